@@ -130,46 +130,33 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
 
 
-def shingle_hashes(texts: list[str | None], hasher: WordHasher, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of every word ``k``-gram of each text, and the text that each is of; a shorter text
-    has its whole sequence as one; none without words. Repeats within a text are kept."""
-    words, n = [], np.zeros(len(texts), dtype=np.int64)
-    for i, t in enumerate(texts):
-        if t:
-            w = words_of(t)
-            n[i] = len(w)
-            words += w
-    h = hasher(words)
-    total = len(h)
-    if not total:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(texts)), n)
-    x = np.zeros(max(0, total - k + 1), dtype=np.uint64)
+def shingle_hashes(words: list[list[bytes]], hasher: WordHasher, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every word ``k``-gram of each text, in order, and offsets; a shorter text has its
+    whole sequence as one; none without words. Repeats within a text are kept."""
+    n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    h = hasher([w for x in words for w in x])
+    start = np.cumsum(n) - n
+    x = np.zeros(max(0, len(h) - k + 1), dtype=np.uint64)
     for j in range(k):
         x = mix(x * np.uint64(0x9E3779B97F4A7C15) + h[j : j + len(x)])
-    same = owner[: len(x)] == owner[k - 1 :] if len(x) else np.zeros(0, bool)
-    out, of = [x[same]], [owner[: len(x)][same]]
-    start = np.cumsum(n) - n
-    for i in np.flatnonzero((n > 0) & (n < k)):
-        y = np.full(1, np.uint64(n[i]))
-        for v in h[start[i] : start[i] + n[i]]:
-            y = mix(y * np.uint64(0x9E3779B97F4A7C15) + v)
-        out.append(y)
-        of.append(np.full(1, i))
-    h, of = np.concatenate(out), np.concatenate(of)
-    order = np.argsort(of, kind="stable")
-    return h[order], of[order]
-
-
-def distinct_sets(texts: list[str | None], hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text: values sorted within each text, and offsets."""
-    h, of = shingle_hashes(texts, hasher)
-    order = np.lexsort((h, of))
-    h, of = h[order], of[order]
-    keep = np.ones(len(h), dtype=bool)
-    keep[1:] = (h[1:] != h[:-1]) | (of[1:] != of[:-1])
-    h, of = h[keep], of[keep]
-    return h, np.searchsorted(of, np.arange(len(texts) + 1))
+    count = np.where(n >= k, n - k + 1, np.minimum(n, 1))
+    offsets = np.concatenate([[0], np.cumsum(count)])
+    out = np.zeros(offsets[-1], dtype=np.uint64)
+    for i in range(len(words)):
+        if n[i] >= k:
+            out[offsets[i] : offsets[i + 1]] = x[start[i] : start[i] + count[i]]
+        elif n[i]:
+            y = np.full(1, np.uint64(n[i]))
+            for v in h[start[i] : start[i] + n[i]]:
+                y = mix(y * np.uint64(0x9E3779B97F4A7C15) + v)
+            out[offsets[i]] = y[0]
+    return out, offsets
+
+
+def distinct_sets(words: list[list[bytes]], hasher: WordHasher) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    h, at = shingle_hashes(words, hasher)
+    return [np.unique(h[at[i] : at[i + 1]]) for i in range(len(words))]
 
 
 def in_batches(rows: Iterator[dict], schema: pa.Schema, size: int = 4000) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_gam, quality_rules, shard_lp, url_cascade
+from . import fingerprint, ngram_join, packing, quality_gam, quality_rules, shard_lp, url_cascade
 from .common import table
 
 
@@ -44,7 +44,33 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(docs).select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+k AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM k JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a AS root, b AS doc_id FROM e UNION SELECT r.root, e.b FROM r JOIN e ON e.a = r.doc_id)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(d.doc_id, min(r.root)) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY d.doc_id
+"""
+
+
+def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_next(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier, "op3_sharding": op3_sharding, "op4_url_filters": op4_url_filters, "op6_quality_rules": op6_quality_rules,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join, "op8_document_fingerprints": op8_document_fingerprints, "op9_best_fit_packing": op9_best_fit_packing,
 }
-ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL}
+ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL, "op7_ngram_jaccard_join": OP7_SQL}
