@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, ngram_join, packing, quality_gam, quality_rules, shard_lp, url_cascade
+from . import fingerprint, ngram_join, packing, pii_crf, quality_gam, quality_rules, shard_lp, url_cascade
 from .common import table
 
 
@@ -69,8 +69,17 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = pii_crf.find(docs, pii_crf.fit_spans(docs))
+    line = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    number = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", *map(number, pii_crf.KINDS), F.sha2(line("base"), 256).alias("base_sha256"), line("spans").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier, "op3_sharding": op3_sharding, "op4_url_filters": op4_url_filters, "op6_quality_rules": op6_quality_rules,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join, "op8_document_fingerprints": op8_document_fingerprints, "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_pii": op10_pii,
 }
 ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL, "op7_ngram_jaccard_join": OP7_SQL}
