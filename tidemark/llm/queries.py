@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, ngram_join, packing, pii_crf, quality_gam, quality_rules, shard_lp, url_cascade
+from . import fingerprint, html_mincut, ngram_join, packing, pii_crf, quality_gam, quality_rules, shard_lp, sp_sampling, url_cascade
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.score(docs.withColumn("held_out", F.coalesce(held, F.lit(False))), model).select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_sampling.encode(table(spark, sf_dir, "documents", "doc_id", "text"), digest=True)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_lp.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -39,6 +43,11 @@ SELECT page_id, host, path, max_by(rule, length(rule)) AS rule, coalesce(max_by(
 """
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return html_mincut.extract(pages, html_mincut.fit_pages(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
     return quality_rules.apply_rules(docs).select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
@@ -78,7 +87,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_quality_classifier": op1_quality_classifier, "op3_sharding": op3_sharding, "op4_url_filters": op4_url_filters, "op6_quality_rules": op6_quality_rules,
+    "op1_quality_classifier": op1_quality_classifier, "op2_sentencepiece_sampling": op2_sentencepiece_sampling, "op3_sharding": op3_sharding, "op4_url_filters": op4_url_filters,
+    "op5_html_extraction": op5_html_extraction, "op6_quality_rules": op6_quality_rules,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join, "op8_document_fingerprints": op8_document_fingerprints, "op9_best_fit_packing": op9_best_fit_packing,
     "op10_pii": op10_pii,
 }
