@@ -35,25 +35,55 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 class WordTokenizer:
     """Token ids of a text as little-endian bytes. The vocabulary never joins what white space parts, so words are encoded
-    one by one and kept, up to a bound; only words not seen before reach the tokenizer."""
+    apart and kept: those of late use survive when the younger of two tables is full and the older is dropped. Words not seen before reach
+    the tokenizer many at a time, parted by a special token, whose id can't come from a word without its string."""
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 400_000, mark: str = "<|endoftext|>"):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks of a machine side by side
         from tokenizers import Tokenizer
 
-        self._tokenizer, self._most, self._seen = Tokenizer.from_file(path), most, {"": b""}
+        self._tokenizer, self._most, self._mark = Tokenizer.from_file(path), most // 2, mark
+        self._mark_id = self._tokenizer.token_to_id(mark)
+        self._young: dict[str, bytes] = {"": b""}
+        self._old: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode(self, words: list[str]) -> None:
+        young, mark = self._young, self._mark
+        odd = [w for w in words if "<|" in w or "|>" in w]
+        young.update(zip(odd, (x.tobytes() for x in self._ids(odd)), strict=True))
+        plain = [w for w in words if w not in young] if odd else words
+        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+        for group, ids in zip(groups, self._ids([mark.join(g) for g in groups]), strict=True):
+            ends = [*(4 * np.flatnonzero(ids == self._mark_id)).tolist(), 4 * len(ids)]
+            raw, a = ids.tobytes(), 0
+            for w, z in zip(group, ends, strict=True):
+                young[w] = raw[a:z]
+                a = z + 4
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        seen = self._seen
-        new = {w for words in split for w in words if w not in seen}
-        if len(seen) + len(new) > self._most:
-            seen.clear()
-            seen[""] = b""
-            new = {w for words in split for w in words} - {""}
-        new = [*new]
-        for w, e in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            seen[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(seen.__getitem__, words)) for words in split]
+        if len(self._young) > self._most:
+            self._old, self._young = self._young, {"": b""}
+        young, old = self._young, self._old
+        new = {w for words in split for w in words if w not in young}
+        young.update((w, old[w]) for w in new if w in old)
+        self._encode([w for w in new if w not in young])
+        return [b"".join(map(young.__getitem__, words)) for words in split]
+
+
+_TOKENIZERS: dict[str, WordTokenizer] = {}
+
+
+def tokenizer(path: str) -> WordTokenizer:
+    """One for each Python worker, which keeps its words from task to task."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = WordTokenizer(path)
+    return _TOKENIZERS[path]
 
 
 def pieces(docs: DataFrame, *, path: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
@@ -62,7 +92,7 @@ def pieces(docs: DataFrame, *, path: str, capacity: int = CAPACITY, key: str = "
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end, size = WordTokenizer(path), bytes(4), 4 * capacity
+        encode, end, size = tokenizer(path), bytes(4), 4 * capacity
         for b in batches:
             of, no, start, length, crc, ids = [], [], [], [], [], []
             for i, x in enumerate(encode([t or "" for t in b.column(1).to_pylist()])):
