@@ -2,10 +2,11 @@
 
 The global order of n-grams (frequent ones last, else by hash) is cut into fragments. Candidates: in their fragments, the
 first ``n - ceil(0.75 n) + 1`` n-grams of each set, its prefix, meet those of others; two sets that link share one of
-them. Where n-grams meet, a hub of the bucket is compared with the rest; after components are known,
-only members of different components of a bucket are compared with each other, so groups of copies cost a star and not all pairs, and
-no link between components is lost. Verification: the whole sets are cut into fragments too, the overlap of each pair is
-counted fragment by fragment, and the counts are summed per pair.
+them. Of the texts that meet any other, those with the same least n-gram are compared with one hub
+of theirs; then each with the hub of another component that it meets most often; at last
+all members of a bucket that are still in different components with each other. So groups of copies cost stars and not all pairs, and no link between
+components is lost. Verification: the whole sets are cut into fragments too, the overlap of each pair is counted
+fragment by fragment, and the counts are summed per pair.
 
 Which n-grams count as frequent is an order only, found over all documents; any order gives the same links.
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHasher, cut, distinct_sets, parts, small_batches, words_of, written
+from .common import WordHasher, cut, distinct_sets, mix, parts, small_batches, words_of, written
 
 PERCENT = 75
 #: N-grams known as frequent, at most: 2 MB for each worker.
@@ -33,7 +34,21 @@ FREQUENT_FROM = 16
 FRAGMENT, HELD = 1_500_000, 2_000_000
 #: Bits of the filter that tells which texts take part in a pair (2 MB). Beyond its capacity more texts are read, none is lost.
 FILTER_BITS = 1 << 24
-VERIFY_FRAGMENTS = 2
+#: Fragments of the verification, and sets that one comparison of a hub takes.
+VERIFY_FRAGMENTS, SALT_ROWS = 8, 1_000
+#: Bytes of an n-gram's hash that are moved. Two of a pair's some hundreds are equal by chance once in 10^9 pairs.
+WIDTH = 6
+_CUTS = (np.arange(1, VERIFY_FRAGMENTS, dtype=np.uint64) << np.uint64(8 * WIDTH)) // np.uint64(VERIFY_FRAGMENTS)
+
+
+def packed(hashes: np.ndarray) -> bytes:
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH]).tobytes()
+
+
+def unpacked(x: bytes) -> np.ndarray:
+    out = np.zeros((len(x) // WIDTH, 8), np.uint8)
+    out[:, :WIDTH] = np.frombuffer(x, np.uint8).reshape(-1, WIDTH)
+    return out.view("<u8").ravel().astype(np.uint64)
 
 
 def _words(b: pa.RecordBatch) -> list[list[bytes]]:
@@ -103,8 +118,8 @@ def _prefixes(order):
                     rank = np.where(tokens[at] == s, counts[at], 0)
                     if rank.any():
                         s = s[np.argsort(rank, kind="stable")]
-                prefix.append(s[: n - -(-n * PERCENT // 100) + 1].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(prefix, pa.binary())], ["id", "node", "n", "prefix"])
+                prefix.append(packed(s[: n - -(-n * PERCENT // 100) + 1]))
+            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(prefix, pa.binary())], ["id", "also", "node", "n", "prefix"])
 
     return run
 
@@ -118,7 +133,7 @@ def _deal(fragments: int):
         def out() -> pa.RecordBatch:
             t = np.concatenate(tokens)
             of = np.repeat(np.arange(len(nodes)), [len(x) for x in tokens])
-            f = ((t >> np.uint64(40)) % np.uint64(fragments)).astype(np.int64)
+            f = ((t >> np.uint64(16)) % np.uint64(fragments)).astype(np.int64)
             order = np.argsort(f, kind="stable")
             t, of, f = t[order], of[order], f[order]
             ends = np.searchsorted(f, np.arange(fragments + 1))
@@ -127,12 +142,12 @@ def _deal(fragments: int):
                 a, z = ends[k], ends[k + 1]
                 if a < z:
                     own, count = np.unique(of[a:z], return_counts=True)
-                    rows.append((k, t[a:z].tobytes(), node[own].tobytes(), size[own].tobytes(), count.astype(np.int32).tobytes()))
+                    rows.append((k, packed(t[a:z]), node[own].tobytes(), size[own].tobytes(), count.astype(np.int32).tobytes()))
             return pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 4, strict=True)], ["fragment", "tokens", "nodes", "sizes", "counts"])
 
         for b in batches:
             for node, n, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                tokens.append(np.frombuffer(p, np.uint64))
+                tokens.append(unpacked(p))
                 nodes.append(node)
                 sizes.append(n)
                 held += len(tokens[-1])
@@ -145,16 +160,14 @@ def _deal(fragments: int):
     return run
 
 
-_MET = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("bucket_nodes", pa.binary()), ("bucket_sizes", pa.binary()), ("bucket_lengths", pa.binary())])
+_MET = pa.schema([("bucket_nodes", pa.binary()), ("bucket_sizes", pa.binary()), ("bucket_lengths", pa.binary())])
 
 
 def _meet(rows: pa.Table) -> pa.Table:
-    """Within one fragment: pairs of a bucket's hub with its others, and the distinct buckets of three nodes or more."""
-    from .common import mix
-
+    """Within one fragment: the distinct buckets of two nodes or more, packed."""
     cat = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in rows.column(c).to_pylist()])
     count = cat("counts", np.int32)
-    t, node, n = cat("tokens", np.uint64), np.repeat(cat("nodes", np.int64), count), np.repeat(cat("sizes", np.int32), count)
+    t, node, n = unpacked(b"".join(rows.column("tokens").to_pylist())), np.repeat(cat("nodes", np.int64), count), np.repeat(cat("sizes", np.int32), count)
     order = np.argsort(t, kind="stable")
     t, node, n = t[order], node[order], n[order]
     same = t[1:] == t[:-1]
@@ -162,36 +175,24 @@ def _meet(rows: pa.Table) -> pa.Table:
     shared[1:] |= same
     shared[:-1] |= same
     t, node, n = t[shared], node[shared], n[shared]
-    order = np.lexsort((mix(node.view(np.uint64)), t))
+    order = np.lexsort((node, t))
     t, node, n = t[order], node[order], n[order]
     keep = np.ones(len(t), bool)
     keep[1:] = (t[1:] != t[:-1]) | (node[1:] != node[:-1])
     t, node, n = t[keep], node[keep], n[keep]
     first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
     length = np.diff(np.append(first, len(t)))
-    hub = np.repeat(first, length)
-    at = np.arange(len(t))
-    near = (at != hub) & (100 * np.minimum(n, n[hub]).astype(np.int64) >= PERCENT * np.maximum(n, n[hub]).astype(np.int64))
-    a, b = np.minimum(node, node[hub])[near], np.maximum(node, node[hub])[near]
-    pairs = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
     big, seen = [], set()
-    for s, k in zip(first[length > 2], length[length > 2], strict=True):
+    for s, k in zip(first[length > 1], length[length > 1], strict=True):
         h = hash(node[s : s + k].tobytes())
         if h not in seen:
             seen.add(h)
             big.append((s, k))
     pick = np.concatenate([np.arange(s, s + k) for s, k in big]) if big else np.zeros(0, int)
-    lengths = np.array([k for _, k in big], np.int32)
-    row = [np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]), node[pick], n[pick], lengths]
+    row = [node[pick], n[pick], np.array([k for _, k in big], np.int32)]
     return pa.table([pa.array([x.tobytes()], pa.binary()) for x in row], schema=_MET)
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for x in batches:
-        for a, b in zip(x.column(0).to_pylist(), x.column(1).to_pylist(), strict=True):
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(a, np.int64)), pa.array(np.frombuffer(b, np.int64))], ["a", "b"])
-
-
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Buckets as rows, numbered by the hash of their nodes: equal buckets of several fragments become one."""
     import xxhash
@@ -205,8 +206,6 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bits(nodes: np.ndarray) -> np.ndarray:
-    from .common import mix
-
     h = mix(nodes.view(np.uint64))
     return np.stack([h % np.uint64(FILTER_BITS), (h >> np.uint64(32)) % np.uint64(FILTER_BITS)]).astype(np.int64)
 
@@ -228,11 +227,13 @@ def _node_filter(nodes: DataFrame) -> np.ndarray:
     return bits
 
 
-def _sets(wanted):
-    """(node, fragment, its sorted n-grams) of the texts that may take part in a pair."""
+def _sets(wanted, order=None):
+    """Sets of the texts that may take part in a pair: (key, salt, rank, node, n, its n-grams). With ``order``, the key is the set's
+    least n-gram, salted where many texts hold that; else it is left to a join by node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, bits, seen = WordHasher(), wanted.value, set()
+        tokens, counts = order.value if order else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         for b in batches:
             words = [w for w in _words(b) if w]
             if not words:
@@ -242,33 +243,62 @@ def _sets(wanted):
             hit = ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(0)
             pick = [i for i in np.flatnonzero(hit) if nodes[i] not in seen]
             seen.update(nodes[pick])
+            own = mix(nodes.view(np.uint64))
             rows = []
             for i, s in zip(pick, distinct_sets([words[i] for i in pick], hasher), strict=True):
-                f = ((s >> np.uint64(40)) % np.uint64(VERIFY_FRAGMENTS)).astype(np.int64)
-                rows += [(nodes[i], k, len(s), s[f == k].tobytes()) for k in range(VERIFY_FRAGMENTS)]
+                k = min(int(np.searchsorted(tokens, s[0])), len(tokens) - 1)
+                salts = int(counts[k]) // SALT_ROWS + 1 if k >= 0 and tokens[k] == s[0] else 1
+                rows.append((int(s[:1].view(np.int64)[0]), int(own[i] % np.uint64(salts)), int(own[i] >> np.uint64(1)), int(nodes[i]), len(s), packed(s)))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(zip(*rows, strict=True), [pa.int64(), pa.int32(), pa.int64(), pa.binary()], strict=True)], ["node", "fragment", "n", "tokens"])
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "salt", "rank", "node", "n", "tokens"])
 
     return run
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+_SET = "key long, salt long, rank long, node long, n long, tokens binary"
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compare the first set of each (key, salt) with the others. Sets are cut into fragments of the n-gram order; overlaps are
+    counted fragment by fragment and summed, and no more are counted once the rest can't make a link."""
+    last, hub, size, parts_ = None, None, 0, []
     for x in batches:
-        k = [len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True)) for a, b in zip(x.column(4).to_pylist(), x.column(5).to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([*(x.column(i) for i in range(4)), pa.array(k, pa.int64())], ["a", "b", "na", "nb", "k"])
+        a, b = [], []
+        for key, salt, node, n, tokens in zip(*(x.column(i).to_pylist() for i in (0, 1, 3, 4, 5)), strict=True):
+            s = np.sort(unpacked(tokens))
+            mine = np.split(s, np.searchsorted(s, _CUTS))
+            if (key, salt) != last:
+                last, hub, size, parts_ = (key, salt), node, n, mine
+                continue
+            if node == hub:
+                continue
+            need, k, left, right = -(-PERCENT * (n + size) // (100 + PERCENT)), 0, n, size
+            for p, q in zip(parts_, mine, strict=True):
+                if k + min(left, right) < need:
+                    break
+                k += len(np.intersect1d(p, q, assume_unique=True))
+                left, right = left - len(q), right - len(p)
+            if 100 * k >= PERCENT * (n + size - k):
+                a.append(hub)
+                b.append(node)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _compared(sets: DataFrame) -> DataFrame:
+    return sets.repartition(4 * parts(sets.sparkSession), "key", "salt").sortWithinPartitions("key", "salt", "rank").mapInArrow(_linked, "a long, b long")
 
 
 def links_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link: overlaps are counted in each fragment and summed per pair."""
+    """The pairs (a, b) that link. The set of each ``b`` goes to ``a``, in parts where ``a`` has many."""
     spark = pairs.sparkSession
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = spark.sparkContext.broadcast(_node_filter(nodes))
-    sets = texts.mapInArrow(_sets(wanted), "node long, fragment int, n long, tokens binary").dropDuplicates(["node", "fragment"])
-    left = pairs.join(sets.select(F.col("node").alias("b"), "fragment", F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b")
-    both = left.join(sets.select(F.col("node").alias("a"), "fragment", F.col("n").alias("na"), F.col("tokens").alias("ta")), ["a", "fragment"])
-    k = both.select("a", "b", "na", "nb", "ta", "tb").mapInArrow(_overlaps, "a long, b long, na long, nb long, k long")
-    k = k.groupBy("a", "b", "na", "nb").agg(F.sum("k").alias("k"))
-    return k.where(100 * F.col("k") >= PERCENT * (F.col("na") + F.col("nb") - F.col("k"))).select("a", "b")
+    many = pairs.groupBy("a").agg((F.count("*") / SALT_ROWS + 1).cast("long").alias("salts"))
+    spread = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), "salts").alias("salt"))
+    own = spread.select("a", "salt").distinct().select(F.col("a").alias("key"), "salt", F.lit(0).alias("rank"), F.col("a").alias("node"))
+    where = cut(own.unionByName(spread.select(F.col("a").alias("key"), "salt", F.lit(1).alias("rank"), F.col("b").alias("node"))))
+    wanted = spark.sparkContext.broadcast(_node_filter(where.select("node").distinct()))
+    sets = texts.mapInArrow(_sets(wanted), _SET).select("node", "n", "tokens")
+    return _compared(where.join(sets, "node").select("key", "salt", "rank", "node", "n", "tokens"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -286,33 +316,68 @@ def components(links: DataFrame) -> DataFrame:
             return label.select(F.col("a").alias("node"), F.col("c").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key``, n_shingles and component_id of every row of ``docs``."""
-    spark = docs.sparkSession
+def _near(n, m):
+    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+
+
+def _still_open(buckets: DataFrame, part: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The components, and the buckets whose nodes are in several, with each node's as ``c``."""
+    buckets = buckets.join(part, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("c"))
+    several = buckets.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("bucket")
+    return part, cut(buckets.join(several, "bucket"))
+
+
+def _grouped(texts: DataFrame) -> DataFrame:
+    """(id, also, n, c, least) of each row of ``texts`` (text, id, also): the size of its set, its component (null without
+    words), and the component's smallest id."""
+    spark = texts.sparkSession
     small_batches(spark)
-    texts = docs.select(text, key)
-    order = spark.sparkContext.broadcast(frequent(texts.select(text)))
-    kind = texts.schema[key].dataType.simpleString()
-    rows = written(texts.mapInArrow(_prefixes(order), f"id {kind}, node long, n long, prefix binary"))
-    total = rows.where("prefix is not null").agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
+    order = spark.sparkContext.broadcast(frequent(texts.select("text")))
+    kind = texts.schema["id"].dataType.simpleString()
+    rows = written(texts.select("text", "id", "also").mapInArrow(_prefixes(order), f"id {kind}, also long, node long, n long, prefix binary"))
+    total = rows.where("prefix is not null").agg(F.sum(F.octet_length("prefix") / WIDTH)).first()[0] or 0
     fragments = max(2 * parts(spark), int(total // FRAGMENT) + 1)
     dealt = rows.where("prefix is not null").select("node", "n", "prefix").mapInArrow(_deal(fragments), "fragment int, tokens binary, nodes binary, sizes binary, counts binary")
-    met = written(dealt.groupBy("fragment").applyInArrow(_meet, "a binary, b binary, bucket_nodes binary, bucket_sizes binary, bucket_lengths binary"))
-    stars = cut(met.select("a", "b").mapInArrow(_pairs, "a long, b long").distinct())
-    links = cut(links_of(stars, texts.select(text)))
-    part = components(links)
-    # What one star doesn't settle: members of a bucket that are in different components so far.
-    buckets = met.select("bucket_nodes", "bucket_sizes", "bucket_lengths").mapInArrow(_buckets, "bucket long, node long, n long").dropDuplicates(["bucket", "node"])
-    buckets = buckets.join(part, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("c"))
-    open_ = buckets.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("bucket")
-    buckets = cut(buckets.join(open_, "bucket"))
+    met = written(dealt.groupBy("fragment").applyInArrow(_meet, "bucket_nodes binary, bucket_sizes binary, bucket_lengths binary"))
+    buckets = cut(met.mapInArrow(_buckets, "bucket long, node long, n long").dropDuplicates(["bucket", "node"]))
+    texts = texts.select("text")
+    # First, texts with the same least n-gram meet: most of a group of copies is one component after it.
+    wanted = spark.sparkContext.broadcast(_node_filter(buckets.select("node").distinct()))
+    links = cut(_compared(texts.mapInArrow(_sets(wanted, order), _SET)).distinct())
+    part, buckets = _still_open(buckets, components(links))
+    # Then the hub that a node shares most buckets with, where they are in different components.
+    hubs = buckets.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node"), "node", "n", "c")).alias("h")).select("bucket", F.col("h.node").alias("a"), F.col("h.n").alias("na"), F.col("h.c").alias("ca"))
+    pairs = buckets.join(hubs, "bucket").where((F.col("c") != F.col("ca")) & _near(F.col("n"), F.col("na"))).groupBy(F.col("node").alias("b"), "a").agg(F.count("*").alias("k"))
+    pairs = cut(pairs.groupBy("b").agg(F.max(F.struct("k", "a")).alias("h")).select(F.col("h.a").alias("a"), "b"))
+    if pairs.limit(1).count():
+        links = cut(links.unionByName(links_of(pairs, texts)))
+        part, buckets = _still_open(buckets.drop("c"), components(links))
+    # What is left: members of a bucket in different components are all compared.
     x = buckets.select("bucket", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
     y = buckets.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
-    rest = cut(x.join(y, "bucket").where(near).select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
+    rest = x.join(y, "bucket").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _near(F.col("na"), F.col("nb"))).select("a", "b").distinct()
+    ends = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = cut(rest.join(ends, ["a", "b"], "left_anti"))
     if rest.limit(1).count():
-        part = components(links.unionByName(links_of(rest, texts.select(text))))
-    rows = rows.select("id", "node", "n").join(part, "node", "left").withColumn("c", F.coalesce("component", "node"))
+        part = components(links.unionByName(links_of(rest, texts)))
+    rows = rows.select("id", "also", "node", "n").join(part, "node", "left").withColumn("c", F.coalesce("component", "node"))
     least = rows.where("node is not null").groupBy("c").agg(F.min("id").alias("least"))
-    rows = rows.join(least, "c", "left")
-    return rows.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
+    return rows.join(least, "c", "left").select("id", "also", "n", "c", "least")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``key``, n_shingles and component_id of every row of ``docs``."""
+    rows = _grouped(docs.select(F.col(text).alias("text"), F.col(key).alias("id"), F.lit(0).cast("long").alias("also")))
+    return rows.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id (a null id only where no row has one); of rows
+    without words, one of each id and text."""
+    mark = "__text_hash"
+    docs = docs.withColumn(mark, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    rows = _grouped(docs.select(F.col(text).alias("text"), F.col(key).alias("id"), F.col(mark).alias("also")))
+    first = rows.where("c is not null").groupBy("c").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "also")).alias("x")).select("x.id", "x.also")
+    keep = first.unionByName(rows.where("c is null").select("id", "also"))
+    same = docs[key].eqNullSafe(keep["id"]) & (docs[mark] == keep["also"])
+    return docs.join(keep, same, "left_semi").dropDuplicates([key, mark]).drop(mark)
