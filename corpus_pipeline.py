@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality_gam, quality_rules
+from tidemark.llm import ngram_join, packing, pii_crf, quality_gam, quality_rules
 from tidemark.llm.common import shared_dir, table
 
 
@@ -23,7 +23,22 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality classifier", quality), ("quality rules", rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: that of the smallest id."""
+    return ngram_join.one_of_each(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every span of personal data becomes its kind in brackets; n_chars follows."""
+    return pii_crf.redact(docs, pii_crf.fit_spans(docs))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("quality classifier", quality), ("quality rules", rules), ("n-gram Jaccard join", near_duplicates), ("personal data", personal_data), ("best-fit packing", packed)]
 
 #: SQL can't express the trained stages; tests hold each against a brute-force version.
 ORACLE_SQL = None

@@ -50,7 +50,9 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     twice = F.filter("_s", lambda x, k: (x["h"] == F.get("_s", k - 1)["h"]) | (x["h"] == F.get("_s", k + 1)["h"]))
     df = df.select(*done, F.sort_array(F.transform(twice, lambda x: x["i"])).alias("_p"))
     covered = F.aggregate(F.transform("_p", lambda x, k: F.least(F.lit(WINDOW), F.get("_p", k + 1) - x)), F.lit(0), lambda a, x: a + x)
-    return df.select(*done, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
+    df = df.select(*done, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
+    # A generator of one row: a later filter on the counts then stays above them, and doesn't count anew for each mention.
+    return df.select(*keep, F.inline(F.array(F.struct(*COUNTS))))
 
 
 def with_ratios(df: DataFrame) -> DataFrame:
