@@ -38,7 +38,7 @@ class WordTokenizer:
     apart and kept: those of late use survive when the younger of two tables is full and the older is dropped. Words not seen before reach
     the tokenizer many at a time, parted by a special token, whose id can't come from a word without its string."""
 
-    def __init__(self, path: str, most: int = 400_000, mark: str = "<|endoftext|>"):
+    def __init__(self, path: str, most: int = 1_000_000, mark: str = "<|endoftext|>"):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks of a machine side by side
@@ -48,6 +48,7 @@ class WordTokenizer:
         self._mark_id = self._tokenizer.token_to_id(mark)
         self._young: dict[str, bytes] = {"": b""}
         self._old: dict[str, bytes] = {}
+        self._stop, self._comma = (x.tobytes() for x in self._ids([".", ","]))
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -72,7 +73,17 @@ class WordTokenizer:
         young, old = self._young, self._old
         new = {w for words in split for w in words if w not in young}
         young.update((w, old[w]) for w in new if w in old)
-        self._encode([w for w in new if w not in young])
+        # The vocabulary is of lower case, and parts a letter or digit from a stop or comma: such words need encoding once.
+        bare = {}
+        for w in new:
+            if w not in young:
+                x = w.lower() if w.isascii() else w
+                bare[w] = (x[:-1], x[-1]) if len(x) > 1 and x[-1] in ".," and x[-2].isalnum() and "<|" not in x and "|>" not in x else (x if "<|" not in x and "|>" not in x else w, "")
+        self._encode([x for x in {x for x, _ in bare.values()} if x not in young])
+        tail = {"": b"", ".": self._stop, ",": self._comma}
+        for w, (x, t) in bare.items():
+            if w != x:
+                young[w] = young[x] + tail[t]
         return [b"".join(map(young.__getitem__, words)) for words in split]
 
 
