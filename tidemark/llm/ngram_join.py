@@ -2,10 +2,10 @@
 
 The global order of n-grams (frequent ones last, else by hash) is cut into fragments. Candidates: in their fragments, the
 first ``n - ceil(0.75 n) + 1`` n-grams of each set, its prefix, meet those of others; two sets that link share one of
-them. Of the texts that meet any other, those with the same least n-gram are compared with one hub
-of theirs; then each with the hub of another component that it meets most often; at last
-all members of a bucket that are still in different components with each other. So groups of copies cost stars and not all pairs, and no link between
-components is lost. Verification: the whole sets are cut into fragments too, the overlap of each pair is counted
+them. The n-grams that two texts share there are counted in each fragment and summed per pair: sets whose
+prefixes share too few can't link. Each text is first compared with the hub that it shares most with; then
+all members of a bucket that are still in different components with each other, where their counts allow it. So groups of copies cost stars and not all
+pairs, and no link between components is lost. Verification: the whole sets are cut into fragments too, the overlap of each pair is counted
 fragment by fragment, and the counts are summed per pair.
 
 Which n-grams count as frequent is an order only, found over all documents; any order gives the same links.
@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from .common import WordHasher, cut, distinct_sets, mix, parts, small_batches, words_of, written
 
 PERCENT = 75
-#: N-grams known as frequent, at most: 2 MB for each worker.
-MOST_FREQUENT = 1 << 17
-FREQUENT_FROM = 16
+#: N-grams known as frequent, at most: 6 MB for each worker.
+MOST_FREQUENT = 1 << 19
+FREQUENT_FROM = 8
 #: N-grams of one fragment, on average, and n-grams held in memory before they are dealt out.
 FRAGMENT, HELD = 1_500_000, 2_000_000
 #: Bits of the filter that tells which texts take part in a pair (2 MB). Beyond its capacity more texts are read, none is lost.
@@ -93,7 +93,7 @@ def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             least = r["grade"] + 1
             break
     rows = n.where(F.col("grade") >= least).select("token", "n").toArrow()
-    token, count = rows.column("token").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+    token, count = rows.column("token").to_numpy().view(np.uint64), np.minimum(rows.column("n").to_numpy(), 2**31 - 1).astype(np.int32)
     order = np.argsort(token)
     return token[order], count[order]
 
@@ -160,11 +160,11 @@ def _deal(fragments: int):
     return run
 
 
-_MET = pa.schema([("bucket_nodes", pa.binary()), ("bucket_sizes", pa.binary()), ("bucket_lengths", pa.binary())])
+_MET = pa.schema([("bucket_nodes", pa.binary()), ("bucket_sizes", pa.binary()), ("bucket_lengths", pa.binary()), ("bucket_weights", pa.binary())])
 
 
 def _meet(rows: pa.Table) -> pa.Table:
-    """Within one fragment: the distinct buckets of two nodes or more, packed."""
+    """Within one fragment: the distinct buckets of two nodes or more and how many n-grams each is of, packed."""
     cat = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in rows.column(c).to_pylist()])
     count = cat("counts", np.int32)
     t, node, n = unpacked(b"".join(rows.column("tokens").to_pylist())), np.repeat(cat("nodes", np.int64), count), np.repeat(cat("sizes", np.int32), count)
@@ -182,14 +182,14 @@ def _meet(rows: pa.Table) -> pa.Table:
     t, node, n = t[keep], node[keep], n[keep]
     first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
     length = np.diff(np.append(first, len(t)))
-    big, seen = [], set()
-    for s, k in zip(first[length > 1], length[length > 1], strict=True):
-        h = hash(node[s : s + k].tobytes())
-        if h not in seen:
-            seen.add(h)
-            big.append((s, k))
-    pick = np.concatenate([np.arange(s, s + k) for s, k in big]) if big else np.zeros(0, int)
-    row = [node[pick], n[pick], np.array([k for _, k in big], np.int32)]
+    big, weight = {}, {}
+    for s, k in zip(first[length > 1].tolist(), length[length > 1].tolist(), strict=True):
+        h = node[s : s + k].tobytes()
+        if h not in big:
+            big[h], weight[h] = (s, k), 0
+        weight[h] += 1
+    pick = np.concatenate([np.arange(s, s + k) for s, k in big.values()]) if big else np.zeros(0, int)
+    row = [node[pick], n[pick], np.array([k for _, k in big.values()], np.int32), np.array([*weight.values()], np.int32)]
     return pa.table([pa.array([x.tobytes()], pa.binary()) for x in row], schema=_MET)
 
 
@@ -198,11 +198,11 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for x in batches:
-        for nodes, sizes, lengths in zip(*(x.column(i).to_pylist() for i in range(3)), strict=True):
-            node, n, k = np.frombuffer(nodes, np.int64), np.frombuffer(sizes, np.int32), np.frombuffer(lengths, np.int32)
+        for nodes, sizes, lengths, weights in zip(*(x.column(i).to_pylist() for i in range(4)), strict=True):
+            node, n, k, w = np.frombuffer(nodes, np.int64), np.frombuffer(sizes, np.int32), np.frombuffer(lengths, np.int32), np.frombuffer(weights, np.int32)
             ends = np.cumsum(k)
             number = np.fromiter((xxhash.xxh3_64_intdigest(node[e - m : e].tobytes()) for e, m in zip(ends, k, strict=True)), np.uint64, len(k)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(number, k)), pa.array(node), pa.array(n.astype(np.int64))], ["bucket", "node", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(number, k)), pa.array(node), pa.array(n.astype(np.int64)), pa.array(np.repeat(w, k).astype(np.int64))], ["bucket", "node", "n", "w"])
 
 
 def _bits(nodes: np.ndarray) -> np.ndarray:
@@ -227,13 +227,11 @@ def _node_filter(nodes: DataFrame) -> np.ndarray:
     return bits
 
 
-def _sets(wanted, order=None):
-    """Sets of the texts that may take part in a pair: (key, salt, rank, node, n, its n-grams). With ``order``, the key is the set's
-    least n-gram, salted where many texts hold that; else it is left to a join by node."""
+def _sets(wanted):
+    """(node, n, its n-grams) of the texts that may take part in a pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, bits, seen = WordHasher(), wanted.value, set()
-        tokens, counts = order.value if order else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         for b in batches:
             words = [w for w in _words(b) if w]
             if not words:
@@ -243,29 +241,20 @@ def _sets(wanted, order=None):
             hit = ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(0)
             pick = [i for i in np.flatnonzero(hit) if nodes[i] not in seen]
             seen.update(nodes[pick])
-            own = mix(nodes.view(np.uint64))
-            rows = []
-            for i, s in zip(pick, distinct_sets([words[i] for i in pick], hasher), strict=True):
-                k = min(int(np.searchsorted(tokens, s[0])), len(tokens) - 1)
-                salts = int(counts[k]) // SALT_ROWS + 1 if k >= 0 and tokens[k] == s[0] else 1
-                rows.append((int(s[:1].view(np.int64)[0]), int(own[i] % np.uint64(salts)), int(own[i] >> np.uint64(1)), int(nodes[i]), len(s), packed(s)))
-            if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(zip(*rows, strict=True), kinds, strict=True)], ["key", "salt", "rank", "node", "n", "tokens"])
+            if pick:
+                sets = distinct_sets([words[i] for i in pick], hasher)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[pick]), pa.array([*map(len, sets)], pa.int64()), pa.array([packed(s) for s in sets], pa.binary())], ["node", "n", "tokens"])
 
     return run
 
 
-_SET = "key long, salt long, rank long, node long, n long, tokens binary"
-
-
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compare the first set of each (key, salt) with the others. Sets are cut into fragments of the n-gram order; overlaps are
     counted fragment by fragment and summed, and no more are counted once the rest can't make a link."""
     last, hub, size, parts_ = None, None, 0, []
     for x in batches:
         a, b = [], []
-        for key, salt, node, n, tokens in zip(*(x.column(i).to_pylist() for i in (0, 1, 3, 4, 5)), strict=True):
+        for key, salt, node, n, tokens in zip(*(x.column(i).to_pylist() for i in range(5)), strict=True):
             s = np.sort(unpacked(tokens))
             mine = np.split(s, np.searchsorted(s, _CUTS))
             if (key, salt) != last:
@@ -285,10 +274,6 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _compared(sets: DataFrame) -> DataFrame:
-    return sets.repartition(4 * parts(sets.sparkSession), "key", "salt").sortWithinPartitions("key", "salt", "rank").mapInArrow(_linked, "a long, b long")
-
-
 def links_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that link. The set of each ``b`` goes to ``a``, in parts where ``a`` has many."""
     spark = pairs.sparkSession
@@ -297,8 +282,9 @@ def links_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     own = spread.select("a", "salt").distinct().select(F.col("a").alias("key"), "salt", F.lit(0).alias("rank"), F.col("a").alias("node"))
     where = cut(own.unionByName(spread.select(F.col("a").alias("key"), "salt", F.lit(1).alias("rank"), F.col("b").alias("node"))))
     wanted = spark.sparkContext.broadcast(_node_filter(where.select("node").distinct()))
-    sets = texts.mapInArrow(_sets(wanted), _SET).select("node", "n", "tokens")
-    return _compared(where.join(sets, "node").select("key", "salt", "rank", "node", "n", "tokens"))
+    sets = where.join(texts.mapInArrow(_sets(wanted), "node long, n long, tokens binary"), "node")
+    sets = sets.repartition(4 * parts(spark), "key", "salt").sortWithinPartitions("key", "salt", "rank")
+    return sets.select("key", "salt", "node", "n", "tokens").mapInArrow(_linked, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -316,15 +302,25 @@ def components(links: DataFrame) -> DataFrame:
             return label.select(F.col("a").alias("node"), F.col("c").alias("component"))
 
 
-def _near(n, m):
-    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
+def _possible(k, n, m):
+    """Whether sets of n and m n-grams that share k of their prefixes can link: all that they share lies in both
+    prefixes or behind the one that ends first."""
+    behind = lambda x: F.ceil(x * PERCENT / 100) - 1
+    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * (k + F.greatest(behind(n), behind(m))) >= PERCENT * (n + m))
+
+
+def _stars(buckets: DataFrame) -> DataFrame:
+    """For each node the hub of another component that it shares most n-grams with. The hub of a bucket is its node of least hash."""
+    hubs = buckets.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node"), "node", "n", "c")).alias("h")).select("bucket", F.col("h.node").alias("a"), F.col("h.n").alias("m"), F.col("h.c").alias("ca"))
+    pairs = buckets.join(hubs, "bucket").where("c != ca").groupBy(F.col("node").alias("b"), "n", "a", "m").agg(F.sum("w").alias("k")).where(_possible(F.col("k"), F.col("n"), F.col("m")))
+    return pairs.groupBy("b").agg(F.max(F.struct("k", "a")).alias("h")).select(F.col("h.a").alias("a"), "b")
 
 
-def _still_open(buckets: DataFrame, part: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The components, and the buckets whose nodes are in several, with each node's as ``c``."""
-    buckets = buckets.join(part, "node", "left").select("bucket", "node", "n", F.coalesce("component", "node").alias("c"))
+def _still_open(buckets: DataFrame, part: DataFrame) -> DataFrame:
+    """The buckets whose nodes are in several components, with each node's as ``c``."""
+    buckets = buckets.join(part, "node", "left").select("bucket", "node", "n", "w", F.coalesce("component", "node").alias("c"))
     several = buckets.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("bucket")
-    return part, cut(buckets.join(several, "bucket"))
+    return cut(buckets.join(several, "bucket"))
 
 
 def _grouped(texts: DataFrame) -> DataFrame:
@@ -338,28 +334,24 @@ def _grouped(texts: DataFrame) -> DataFrame:
     total = rows.where("prefix is not null").agg(F.sum(F.octet_length("prefix") / WIDTH)).first()[0] or 0
     fragments = max(2 * parts(spark), int(total // FRAGMENT) + 1)
     dealt = rows.where("prefix is not null").select("node", "n", "prefix").mapInArrow(_deal(fragments), "fragment int, tokens binary, nodes binary, sizes binary, counts binary")
-    met = written(dealt.groupBy("fragment").applyInArrow(_meet, "bucket_nodes binary, bucket_sizes binary, bucket_lengths binary"))
-    buckets = cut(met.mapInArrow(_buckets, "bucket long, node long, n long").dropDuplicates(["bucket", "node"]))
+    met = written(dealt.groupBy("fragment").applyInArrow(_meet, "bucket_nodes binary, bucket_sizes binary, bucket_lengths binary, bucket_weights binary"))
+    buckets = met.mapInArrow(_buckets, "bucket long, node long, n long, w long").groupBy("bucket", "node").agg(F.max("n").alias("n"), F.sum("w").alias("w"))
+    buckets = cut(buckets.withColumn("c", F.col("node")))
     texts = texts.select("text")
-    # First, texts with the same least n-gram meet: most of a group of copies is one component after it.
-    wanted = spark.sparkContext.broadcast(_node_filter(buckets.select("node").distinct()))
-    links = cut(_compared(texts.mapInArrow(_sets(wanted, order), _SET)).distinct())
-    part, buckets = _still_open(buckets, components(links))
-    # Then the hub that a node shares most buckets with, where they are in different components.
-    hubs = buckets.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node"), "node", "n", "c")).alias("h")).select("bucket", F.col("h.node").alias("a"), F.col("h.n").alias("na"), F.col("h.c").alias("ca"))
-    pairs = buckets.join(hubs, "bucket").where((F.col("c") != F.col("ca")) & _near(F.col("n"), F.col("na"))).groupBy(F.col("node").alias("b"), "a").agg(F.count("*").alias("k"))
-    pairs = cut(pairs.groupBy("b").agg(F.max(F.struct("k", "a")).alias("h")).select(F.col("h.a").alias("a"), "b"))
+    links = spark.createDataFrame([], "a long, b long")
+    pairs = cut(_stars(buckets))
     if pairs.limit(1).count():
-        links = cut(links.unionByName(links_of(pairs, texts)))
-        part, buckets = _still_open(buckets.drop("c"), components(links))
-    # What is left: members of a bucket in different components are all compared.
-    x = buckets.select("bucket", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
+        links = cut(links_of(pairs, texts))
+        buckets = _still_open(buckets.drop("c"), components(links))
+    # What stars don't settle: members of a bucket in different components, where their counts allow a link.
+    x = buckets.select("bucket", "w", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
     y = buckets.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    rest = x.join(y, "bucket").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _near(F.col("na"), F.col("nb"))).select("a", "b").distinct()
-    ends = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = cut(rest.join(ends, ["a", "b"], "left_anti"))
+    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
+    rest = x.join(y, "bucket").where(near).groupBy("a", "b", "na", "nb").agg(F.sum("w").alias("k"))
+    rest = cut(rest.where(_possible(F.col("k"), F.col("na"), F.col("nb"))).select("a", "b"))
     if rest.limit(1).count():
-        part = components(links.unionByName(links_of(rest, texts)))
+        links = cut(links.unionByName(links_of(rest, texts)))
+    part = components(links)
     rows = rows.select("id", "also", "node", "n").join(part, "node", "left").withColumn("c", F.coalesce("component", "node"))
     least = rows.where("node is not null").groupBy("c").agg(F.min("id").alias("least"))
     return rows.join(least, "c", "left").select("id", "also", "n", "c", "least")
