@@ -30,6 +30,14 @@ def training_bounds(origins: DataFrame, *, train: int = 1260) -> DataFrame:
     return origins.withColumns({"train_end": end, "train_start": F.greatest(F.lit(0), end - (train - 1)), "train_rows": end - F.greatest(F.lit(0), end - (train - 1)) + 1})
 
 
+def production_bounds(df: DataFrame, *, keys: list[str], time: str, horizons: list[int], train: int = 1260) -> DataFrame:
+    """The fold of a forecast from each series' last row: its actual prices aren't known yet."""
+    o = ordered(keys, time)
+    last = df.withColumns({"row": (F.row_number().over(o) - 1).cast("long"), "_n": F.count("*").over(Window.partitionBy(*keys))}).where("row = _n - 1")
+    last = last.select(*keys, F.col("row").alias("cutoff_row"), F.col(time).alias("cutoff_date"), F.col("close").alias("current_price"), F.lit(None).cast("double").alias("actual_price"), F.explode(F.array(*map(F.lit, horizons))).alias("step"))
+    return training_bounds(last, train=train)
+
+
 def direct_target(df: DataFrame, *, keys: list[str], time: str, horizons: list[int]) -> DataFrame:
     o = ordered(keys, time)
     log = lambda x: F.when(x > 0, F.log(F.when(x > 0, x)))

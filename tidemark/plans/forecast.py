@@ -209,6 +209,17 @@ def ridge_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.ridge_forecasts(ridge_features(spark, sf_dir), bounds, keys=["series"], cols=RIDGE_COLS)
 
 
+@query("production_forecast")
+def production_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ridge from each series' last row, with its date and direction."""
+    b = views.bars(spark, sf_dir)
+    made = op.ridge_forecasts(ridge_features(spark, sf_dir), op.production_bounds(b, **BY, horizons=op.HORIZONS), keys=["series"], cols=RIDGE_COLS)
+    holidays = spark.createDataFrame([(d,) for d in HOLIDAYS], "date string").select(F.col("date").cast("date"))
+    days = op.next_sessions(b.groupBy("series").agg(F.max("date").alias("date")), holidays, **BY)
+    df = made.drop("actual_price").join(days, ["series", "step"])
+    return df.withColumn("direction", op.direction(F.col("current_price"), F.col("predicted")))
+
+
 @query("gbt_importance")
 def gbt_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees on the pooled series for one horizon, and the share of each feature."""
