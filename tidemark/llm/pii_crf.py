@@ -190,9 +190,10 @@ class Tagger:
             g["emb"] += table @ p[f"x{d}"].T
         return float((z - gold).mean()), g
 
-    def fit(self, codes: np.ndarray, tags: np.ndarray, *, epochs: int = 10, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Tagger:
-        """Adam; deterministic."""
+    def fit(self, codes: np.ndarray, tags: np.ndarray, *, epochs: int = 8, steps: int = 400, batch: int = 64, rate: float = 0.01, seed: int = 7) -> Tagger:
+        """Adam, for ``epochs`` rounds over the rows and ``steps`` batches at least; deterministic."""
         r, m, v, k = np.random.default_rng(seed), {}, {}, 0
+        epochs = max(epochs, -(-steps * batch // max(1, len(codes))))
         for epoch in range(epochs):
             order = r.permutation(len(codes))
             for a in range(0, len(order), batch):
@@ -203,7 +204,7 @@ class Tagger:
                     x = x * min(1.0, 5 / (norm + 1e-9))
                     m[name] = 0.9 * m.get(name, 0) + 0.1 * x
                     v[name] = 0.999 * v.get(name, 0) + 0.001 * x * x
-                    self.p[name] -= rate * (0.5 ** (epoch / 4)) * (m[name] / (1 - 0.9**k)) / (np.sqrt(v[name] / (1 - 0.999**k)) + 1e-8)
+                    self.p[name] -= rate * 0.125 ** (epoch / epochs) * (m[name] / (1 - 0.9**k)) / (np.sqrt(v[name] / (1 - 0.999**k)) + 1e-8)
         return self
 
 
