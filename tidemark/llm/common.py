@@ -102,7 +102,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHasher:
     """64-bit hashes of words, kept for words seen before, up to a bound."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 250_000):
         import xxhash
 
         self._hash, self._most, self._seen = xxhash.xxh3_64_intdigest, most, {}

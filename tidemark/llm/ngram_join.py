@@ -4,7 +4,7 @@ The global order of n-grams (frequent ones last, else by hash) is cut into fragm
 first ``n - ceil(0.75 n) + 1`` n-grams of each set, its prefix, meet those of others; two sets that link share one of
 them. The n-grams that two texts share there are counted in each fragment and summed per pair: sets whose
 prefixes share too few can't link. Each text is first compared with the hub that it shares most with; then
-all members of a bucket that are still in different components with each other, where their counts allow it. So groups of copies cost stars and not all
+all members of a bucket that are still in different components with each other, where the places of what they share allow it. So groups of copies cost stars and not all
 pairs, and no link between components is lost. Verification: the whole sets are cut into fragments too, the overlap of each pair is counted
 fragment by fragment, and the counts are summed per pair.
 
@@ -31,7 +31,7 @@ PERCENT = 75
 MOST_FREQUENT = 1 << 19
 FREQUENT_FROM = 8
 #: N-grams of one fragment, on average, and n-grams held in memory before they are dealt out.
-FRAGMENT, HELD = 1_500_000, 2_000_000
+FRAGMENT, HELD = 750_000, 1_000_000
 #: Bits of the filter that tells which texts take part in a pair (2 MB). Beyond its capacity more texts are read, none is lost.
 FILTER_BITS = 1 << 24
 #: Fragments of the verification, and sets that one comparison of a hub takes.
@@ -125,7 +125,7 @@ def _prefixes(order):
 
 
 def _deal(fragments: int):
-    """Rows (fragment, its n-grams, nodes, sizes, n-grams of each node) from many prefixes at a time."""
+    """Rows (fragment, its n-grams, nodes, sizes, n-grams of each node, their places in it) from many prefixes at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, nodes, sizes, held = [], [], [], 0
@@ -133,17 +133,18 @@ def _deal(fragments: int):
         def out() -> pa.RecordBatch:
             t = np.concatenate(tokens)
             of = np.repeat(np.arange(len(nodes)), [len(x) for x in tokens])
+            place = np.concatenate([np.minimum(np.arange(len(x)), 65_535) for x in tokens]).astype(np.uint16)
             f = ((t >> np.uint64(16)) % np.uint64(fragments)).astype(np.int64)
             order = np.argsort(f, kind="stable")
-            t, of, f = t[order], of[order], f[order]
+            t, of, f, place = t[order], of[order], f[order], place[order]
             ends = np.searchsorted(f, np.arange(fragments + 1))
             node, size, rows = np.array(nodes, np.int64), np.array(sizes, np.int32), []
             for k in range(fragments):
                 a, z = ends[k], ends[k + 1]
                 if a < z:
                     own, count = np.unique(of[a:z], return_counts=True)
-                    rows.append((k, packed(t[a:z]), node[own].tobytes(), size[own].tobytes(), count.astype(np.int32).tobytes()))
-            return pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 4, strict=True)], ["fragment", "tokens", "nodes", "sizes", "counts"])
+                    rows.append((k, packed(t[a:z]), node[own].tobytes(), size[own].tobytes(), count.astype(np.int32).tobytes(), place[a:z].tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 5, strict=True)], ["fragment", "tokens", "nodes", "sizes", "counts", "places"])
 
         for b in batches:
             for node, n, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
@@ -160,36 +161,40 @@ def _deal(fragments: int):
     return run
 
 
-_MET = pa.schema([("bucket_nodes", pa.binary()), ("bucket_sizes", pa.binary()), ("bucket_lengths", pa.binary()), ("bucket_weights", pa.binary())])
+_MET = pa.schema([("bucket_nodes", pa.binary()), ("bucket_sizes", pa.binary()), ("bucket_lengths", pa.binary()), ("bucket_weights", pa.binary()), ("bucket_places", pa.binary())])
 
 
 def _meet(rows: pa.Table) -> pa.Table:
-    """Within one fragment: the distinct buckets of two nodes or more and how many n-grams each is of, packed."""
+    """Within one fragment: the distinct buckets of two nodes or more, packed, how many n-grams each is of, and the first place of
+    one of them in each node's prefix."""
     cat = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in rows.column(c).to_pylist()])
     count = cat("counts", np.int32)
-    t, node, n = unpacked(b"".join(rows.column("tokens").to_pylist())), np.repeat(cat("nodes", np.int64), count), np.repeat(cat("sizes", np.int32), count)
+    t, node, n, place = unpacked(b"".join(rows.column("tokens").to_pylist())), np.repeat(cat("nodes", np.int64), count), np.repeat(cat("sizes", np.int32), count), cat("places", np.uint16)
     order = np.argsort(t, kind="stable")
-    t, node, n = t[order], node[order], n[order]
+    t, node, n, place = t[order], node[order], n[order], place[order]
     same = t[1:] == t[:-1]
     shared = np.zeros(len(t), bool)
     shared[1:] |= same
     shared[:-1] |= same
-    t, node, n = t[shared], node[shared], n[shared]
+    t, node, n, place = t[shared], node[shared], n[shared], place[shared]
     order = np.lexsort((node, t))
-    t, node, n = t[order], node[order], n[order]
+    t, node, n, place = t[order], node[order], n[order], place[order]
     keep = np.ones(len(t), bool)
     keep[1:] = (t[1:] != t[:-1]) | (node[1:] != node[:-1])
-    t, node, n = t[keep], node[keep], n[keep]
+    t, node, n, place = t[keep], node[keep], n[keep], place[keep]
     first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
     length = np.diff(np.append(first, len(t)))
     big, weight = {}, {}
     for s, k in zip(first[length > 1].tolist(), length[length > 1].tolist(), strict=True):
         h = node[s : s + k].tobytes()
-        if h not in big:
+        if h in big:
+            a = big[h][0]
+            np.minimum(place[a : a + k], place[s : s + k], out=place[a : a + k])
+        else:
             big[h], weight[h] = (s, k), 0
         weight[h] += 1
     pick = np.concatenate([np.arange(s, s + k) for s, k in big.values()]) if big else np.zeros(0, int)
-    row = [node[pick], n[pick], np.array([k for _, k in big.values()], np.int32), np.array([*weight.values()], np.int32)]
+    row = [node[pick], n[pick], np.array([k for _, k in big.values()], np.int32), np.array([*weight.values()], np.int32), place[pick]]
     return pa.table([pa.array([x.tobytes()], pa.binary()) for x in row], schema=_MET)
 
 
@@ -198,11 +203,11 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for x in batches:
-        for nodes, sizes, lengths, weights in zip(*(x.column(i).to_pylist() for i in range(4)), strict=True):
+        for nodes, sizes, lengths, weights, places in zip(*(x.column(i).to_pylist() for i in range(5)), strict=True):
             node, n, k, w = np.frombuffer(nodes, np.int64), np.frombuffer(sizes, np.int32), np.frombuffer(lengths, np.int32), np.frombuffer(weights, np.int32)
             ends = np.cumsum(k)
             number = np.fromiter((xxhash.xxh3_64_intdigest(node[e - m : e].tobytes()) for e, m in zip(ends, k, strict=True)), np.uint64, len(k)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(number, k)), pa.array(node), pa.array(n.astype(np.int64)), pa.array(np.repeat(w, k).astype(np.int64))], ["bucket", "node", "n", "w"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(number, k)), pa.array(node), pa.array(n.astype(np.int64)), pa.array(np.repeat(w, k).astype(np.int64)), pa.array(np.frombuffer(places, np.uint16).astype(np.int64))], ["bucket", "node", "n", "w", "place"])
 
 
 def _bits(nodes: np.ndarray) -> np.ndarray:
@@ -310,15 +315,17 @@ def _possible(k, n, m):
 
 
 def _stars(buckets: DataFrame) -> DataFrame:
-    """For each node the hub of another component that it shares most n-grams with. The hub of a bucket is its node of least hash."""
-    hubs = buckets.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node"), "node", "n", "c")).alias("h")).select("bucket", F.col("h.node").alias("a"), F.col("h.n").alias("m"), F.col("h.c").alias("ca"))
+    """For each node the hub of another component that it shares most n-grams with. The hub of a bucket is its node with the largest
+    share of shared n-grams in its prefix: of a group of copies the one that was changed least."""
+    shared = buckets.groupBy("node").agg((F.sum("w") / F.max("n")).alias("s"))
+    hubs = buckets.join(shared, "node").groupBy("bucket").agg(F.max(F.struct("s", "node", "n", "c")).alias("h")).select("bucket", F.col("h.node").alias("a"), F.col("h.n").alias("m"), F.col("h.c").alias("ca"))
     pairs = buckets.join(hubs, "bucket").where("c != ca").groupBy(F.col("node").alias("b"), "n", "a", "m").agg(F.sum("w").alias("k")).where(_possible(F.col("k"), F.col("n"), F.col("m")))
     return pairs.groupBy("b").agg(F.max(F.struct("k", "a")).alias("h")).select(F.col("h.a").alias("a"), "b")
 
 
 def _still_open(buckets: DataFrame, part: DataFrame) -> DataFrame:
     """The buckets whose nodes are in several components, with each node's as ``c``."""
-    buckets = buckets.join(part, "node", "left").select("bucket", "node", "n", "w", F.coalesce("component", "node").alias("c"))
+    buckets = buckets.join(part, "node", "left").select("bucket", "node", "n", "w", "place", F.coalesce("component", "node").alias("c"))
     several = buckets.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("bucket")
     return cut(buckets.join(several, "bucket"))
 
@@ -333,22 +340,28 @@ def _grouped(texts: DataFrame) -> DataFrame:
     rows = written(texts.select("text", "id", "also").mapInArrow(_prefixes(order), f"id {kind}, also long, node long, n long, prefix binary"))
     total = rows.where("prefix is not null").agg(F.sum(F.octet_length("prefix") / WIDTH)).first()[0] or 0
     fragments = max(2 * parts(spark), int(total // FRAGMENT) + 1)
-    dealt = rows.where("prefix is not null").select("node", "n", "prefix").mapInArrow(_deal(fragments), "fragment int, tokens binary, nodes binary, sizes binary, counts binary")
-    met = written(dealt.groupBy("fragment").applyInArrow(_meet, "bucket_nodes binary, bucket_sizes binary, bucket_lengths binary, bucket_weights binary"))
-    buckets = met.mapInArrow(_buckets, "bucket long, node long, n long, w long").groupBy("bucket", "node").agg(F.max("n").alias("n"), F.sum("w").alias("w"))
+    dealt = rows.where("prefix is not null").select("node", "n", "prefix").mapInArrow(_deal(fragments), "fragment int, tokens binary, nodes binary, sizes binary, counts binary, places binary")
+    met = written(dealt.groupBy("fragment").applyInArrow(_meet, "bucket_nodes binary, bucket_sizes binary, bucket_lengths binary, bucket_weights binary, bucket_places binary"))
+    buckets = met.mapInArrow(_buckets, "bucket long, node long, n long, w long, place long").groupBy("bucket", "node").agg(F.max("n").alias("n"), F.sum("w").alias("w"), F.min("place").alias("place"))
     buckets = cut(buckets.withColumn("c", F.col("node")))
     texts = texts.select("text")
     links = spark.createDataFrame([], "a long, b long")
     pairs = cut(_stars(buckets))
     if pairs.limit(1).count():
         links = cut(links_of(pairs, texts))
-        buckets = _still_open(buckets.drop("c"), components(links))
-    # What stars don't settle: members of a bucket in different components, where their counts allow a link.
-    x = buckets.select("bucket", "w", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    y = buckets.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
+        # A hub and what links with it are one component so far; that is all that has to be known here.
+        hubs = links.select(F.col("a").alias("b")).distinct()
+        buckets = _still_open(buckets.drop("c"), links.join(hubs, "b", "left_anti").select(F.col("b").alias("node"), F.col("a").alias("component")))
+    # What stars don't settle: members of a bucket in different components. Of ``need`` n-grams that a pair must share, the first
+    # ``some`` lie within the first n - need + some places of both prefixes.
+    x = buckets.select("bucket", "w", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("place").alias("pa"))
+    y = buckets.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("place").alias("pb"))
+    larger, smaller = F.greatest("na", "nb"), F.least("na", "nb")
+    need = F.ceil(PERCENT * (F.col("na") + F.col("nb")) / (100 + PERCENT))
+    some = F.greatest(F.lit(1), F.least(1 + F.floor(smaller / 50), need - F.ceil(PERCENT * larger / 100) + 1))
+    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (100 * smaller >= PERCENT * larger) & (F.col("pa") < F.col("na") - need + some) & (F.col("pb") < F.col("nb") - need + some)
     rest = x.join(y, "bucket").where(near).groupBy("a", "b", "na", "nb").agg(F.sum("w").alias("k"))
-    rest = cut(rest.where(_possible(F.col("k"), F.col("na"), F.col("nb"))).select("a", "b"))
+    rest = cut(rest.where(F.col("k") >= some).select("a", "b"))
     if rest.limit(1).count():
         links = cut(links.unionByName(links_of(rest, texts)))
     part = components(links)

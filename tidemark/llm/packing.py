@@ -25,6 +25,8 @@ from .common import cut, rank_in_blocks, small_batches
 
 CAPACITY = 2048
 VOCABULARY = "word_bpe_49k.json"
+#: Words that a Python worker keeps at most, some 200 bytes each.
+KEPT_WORDS = 1_000_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -38,7 +40,7 @@ class WordTokenizer:
     apart and kept: those of late use survive when the younger of two tables is full and the older is dropped. Words not seen before reach
     the tokenizer many at a time, parted by a special token, whose id can't come from a word without its string."""
 
-    def __init__(self, path: str, most: int = 1_000_000, mark: str = "<|endoftext|>"):
+    def __init__(self, path: str, most: int = KEPT_WORDS, mark: str = "<|endoftext|>"):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks of a machine side by side
@@ -87,23 +89,23 @@ class WordTokenizer:
         return [b"".join(map(young.__getitem__, words)) for words in split]
 
 
-_TOKENIZERS: dict[str, WordTokenizer] = {}
+_TOKENIZERS: dict[tuple[str, int], WordTokenizer] = {}
 
 
-def tokenizer(path: str) -> WordTokenizer:
+def tokenizer(path: str, most: int = KEPT_WORDS) -> WordTokenizer:
     """One for each Python worker, which keeps its words from task to task."""
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
-    return _TOKENIZERS[path]
+    if (path, most) not in _TOKENIZERS:
+        _TOKENIZERS[path, most] = WordTokenizer(path, most)
+    return _TOKENIZERS[path, most]
 
 
-def pieces(docs: DataFrame, *, path: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, *, path: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text", with_ids: bool = False, kept_words: int = KEPT_WORDS) -> DataFrame:
     """One row for each piece: key, piece, start, length, ids_crc32 and, on request, the ids."""
     small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end, size = tokenizer(path), bytes(4), 4 * capacity
+        encode, end, size = tokenizer(path, kept_words), bytes(4), 4 * capacity
         for b in batches:
             of, no, start, length, crc, ids = [], [], [], [], [], []
             for i, x in enumerate(encode([t or "" for t in b.column(1).to_pylist()])):
@@ -244,5 +246,6 @@ def pack(rows: DataFrame, *, capacity: int = CAPACITY, key: str = "doc_id") -> D
     return ranked.select(*names, "rank").mapInArrow(run, schema)
 
 
-def pack_documents(docs: DataFrame, *, path: str | None = None, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text") -> DataFrame:
-    return pack(pieces(docs, path=path or vocabulary_path(), capacity=capacity, key=key, text=text), capacity=capacity, key=key)
+def pack_documents(docs: DataFrame, *, path: str | None = None, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text", kept_words: int = KEPT_WORDS) -> DataFrame:
+    """The pieces of all documents with their sequences and places."""
+    return pack(pieces(docs, path=path or vocabulary_path(), capacity=capacity, key=key, text=text, kept_words=kept_words), capacity=capacity, key=key)
