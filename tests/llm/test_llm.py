@@ -141,6 +141,17 @@ def test_copies_share_a_shard(spark):
     assert sum(len(s) > 1 for s in where.values()) <= 12 and len(where[zlib.crc32(b"hot copy")]) <= 10
 
 
+def test_common_lines_vote(spark):
+    line = "a line that more rows hold than any of the shards can take\n"
+    rows = [(i, f"{line}own words {i}" if i < 400 else f"lonely text {i}") for i in range(1200)]
+    out = shard_lp.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), shards=10).collect()
+    assert len({r.shard for r in out if r.doc_id < 400}) <= 4 + 1 and set(Counter(r.shard for r in out).values()) == {120}
+    few = [(i, f"a line that is held by two texts, and it is number {i // 2} of them\nx{i}") for i in range(60)]
+    where = {r.doc_id: r.shard for r in shard_lp.shard_documents(spark.createDataFrame(few, "doc_id long, text string")).collect()}
+    # 60 rows in 40 shards: 20 shards have room for two.
+    assert sum(where[i] == where[i + 1] for i in range(0, 60, 2)) >= 18
+
+
 def test_sharding_of_odd_rows(spark, odd):
     assert shard_lp.shard_documents(odd).count() == len(ODD)
 

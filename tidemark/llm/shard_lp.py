@@ -1,8 +1,8 @@
 """Sharding by balanced label propagation.
 
-Nodes are units: the copies of one text, or a part of them where there are more than a shard's share. Units that share a long
-line are linked through that line. Each round, lines tell their members which shard holds most of them; a unit asks to move where
-most of its lines point; every shard accepts the requests of highest gain up to its room, found from a
+Nodes are units: the copies of one text, or a part of them where they are many. Units that share a long line are linked
+through that line and start together. Each round, lines tell their members which shards hold most of them, as many as
+their rows fill; a unit asks to move where most of its lines point; every shard accepts the requests of highest gain up to its room, found from a
 histogram of gains rather than from a sort in one task. At the end counts are made exactly even: surplus rows of
 full shards fill the gaps of others, and at most one unit is cut at each border. DataFrame functions only.
 
@@ -30,13 +30,79 @@ def _base(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", (F.octet_length(t) + OVERHEAD).cast("long").alias("size"), F.crc32(t.cast("binary")).cast("long").alias("text_crc32"), F.xxhash64(t, F.octet_length(t)).alias("same"), lines.alias("lines"))
 
 
-def _moves(links: DataFrame, labels: DataFrame, shards: int, room: list[int], step: int) -> DataFrame:
+def _homes(items: list, families: list, goal: list[int]) -> tuple[dict, dict, list]:
+    """Where the large groups start: shards with rows for each item (family, key, rows) and for what else a family has, and the room
+    that is left for all others. A group that fits into a shard isn't split while one has room for it, and a larger one fills
+    whole shards; what belongs to one family goes on where the family already is."""
+    share, free, placed, others, rest = max(goal), list(goal), {}, {}, dict(families)
+
+    def take(n: int, own: list[int]) -> list[tuple[int, int]]:
+        got = []
+        while n > 0:
+            fits = [s for s in own if free[s] >= n] or ([] if n > share else [s for s in range(len(free)) if free[s] >= n])
+            s = min(fits, key=lambda s: (free[s], s)) if fits else max([s for s in own if free[s] > 0] or range(len(free)), key=lambda s: (free[s], -s))
+            k = min(n, free[s])
+            if k <= 0:  # no room anywhere: rounding of the counts only
+                got.append((s, n))
+                break
+            free[s] -= k
+            n -= k
+            got.append((s, k))
+            if s not in own:
+                own.append(s)
+        return got
+
+    groups: dict = {}
+    for family, key, n in items:
+        groups.setdefault((family, None) if family in rest else (None, key), []).append((n, key))
+        if family in rest:
+            rest[family] -= n
+    for family in rest:
+        groups.setdefault((family, None), [])
+    total = {g: sum(n for n, _ in x) + rest.get(g[0], 0) for g, x in groups.items()}
+    for g in sorted(groups, key=lambda g: (-total[g], str(g))):
+        own: list[int] = []
+        for n, key in sorted(groups[g], key=lambda x: (-x[0], x[1])):
+            placed[key] = take(n, own)
+        if rest.get(g[0], 0) > 0:
+            others[g[0]] = take(rest[g[0]], own)
+    return placed, others, [(s, max(0, n)) for s, n in enumerate(free)]
+
+
+def _start(labels: DataFrame, share: int, goal: list[int]) -> DataFrame:
+    """Home shards: units that share their most common line, or their text, start together. ``wide`` is the most common of a unit's
+    lines that don't fit into one shard; within the units of such a line those that share another one stay together."""
+    spark, least = labels.sparkSession, share // 32
+    labels = labels.withColumn("item", F.xxhash64(F.coalesce("wide", F.lit(0)), "near"))
+    # At most 32 items and 32 families for each shard reach the driver.
+    items = [(r["wide"], r["item"], r["n"]) for r in labels.groupBy("wide", "item").agg(F.sum("rows").alias("n")).where(F.col("n") > least).collect()]
+    families = [(r["wide"], r["n"]) for r in labels.where("wide is not null").groupBy("wide").agg(F.sum("rows").alias("n")).where(F.col("n") > least).collect()]
+    placed, others, free = _homes(items, families, goal)
+
+    def frame(found: dict, key: str, out: str) -> DataFrame:
+        rows = [(k, [s for s, _ in x], [float(sum(n for _, n in x[: i + 1])) / sum(n for _, n in x) for i in range(len(x))]) for k, x in found.items()]
+        return F.broadcast(spark.createDataFrame(rows, f"{key} long, {out}_s array<int>, {out}_e array<double>"))
+
+    part = lambda *x: F.pmod(F.xxhash64(*x), F.lit(1_000_000)) / 1_000_000
+    at = lambda ends, x: F.size(F.filter(ends, lambda e: e <= x))
+    labels = labels.join(frame(placed, "item", "i"), "item", "left").join(frame(others, "wide", "f"), "wide", "left")
+    room = sum(n for _, n in free)
+    ends = F.array(*(F.lit(sum(n for _, n in free[: s + 1]) / room if room else (s + 1) / len(free)) for s in range(len(free))))
+    own = part("unit")
+    shard = F.coalesce(F.get("i_s", at(F.col("i_e"), own)), F.get("f_s", at(F.col("f_e"), part("near"))), at(ends, part(F.coalesce("wide", "near"))))
+    return labels.select("unit", "rows", "fixed", "linked", F.least(shard, F.lit(len(goal) - 1)).cast("int").alias("shard"))
+
+
+def _moves(links: DataFrame, labels: DataFrame, share: int, room: list[int], step: int) -> DataFrame:
     """Accepted moves (unit, to): every shard takes the requests of highest gain up to its room."""
-    at = links.join(labels.select("unit", "rows", "shard"), "unit")
-    votes = at.groupBy("line", "shard").agg(F.sum("rows").alias("n"))
-    best = votes.groupBy("line").agg(F.max(F.struct("n", (-F.col("shard")).alias("s"))).alias("b")).select("line", (-F.col("b.s")).alias("to"), F.col("b.n").alias("n"))
+    at = links.join(labels.select("unit", "rows", "fixed", "shard"), "unit")
+    votes = at.groupBy("line", "shard").agg(F.sum("rows").alias("n"), F.max("spread").alias("spread"))
+    # A line asks for as many shards as its rows fill, those that hold most of it; one row for each shard at most.
+    best = votes.groupBy("line").agg(F.sort_array(F.collect_list(F.struct("n", (-F.col("shard")).alias("s"))), asc=False).alias("b"), F.ceil(F.sum("n") / share).cast("int").alias("k"), F.max("spread").alias("spread"))
+    best = best.select("line", F.transform(F.slice("b", 1, F.col("k")), lambda x: -x["s"]).alias("wanted"), F.explode(F.sequence(F.lit(0), F.col("spread") - 1)).alias("salt"))
+    to = F.when(F.array_contains("wanted", F.col("shard")), F.col("shard")).otherwise(F.get("wanted", F.pmod(F.col("shard") + step, F.size("wanted"))))
     # A line counts less the more units hold it; its own unit's vote for the present shard is part of it.
-    asks = at.join(best, "line").groupBy("unit", "shard", "rows", "to").agg(F.sum(1 / F.col("units")).alias("weight"))
+    asks = at.where(~F.col("fixed")).join(best, ["line", "salt"]).withColumn("to", to).groupBy("unit", "shard", "rows", "to").agg(F.sum(1 / F.col("units")).alias("weight"))
     mine = F.when(F.col("to") == F.col("shard"), F.col("weight")).otherwise(0.0)
     asks = asks.groupBy("unit", "shard", "rows").agg(F.max(F.struct("weight", "to")).alias("b"), F.sum(mine).alias("own"))
     asks = asks.select("unit", "rows", F.col("shard").alias("from"), F.col("b.to").alias("to"), (F.col("b.weight") - F.col("own")).alias("gain"))
@@ -54,31 +120,45 @@ def shard_documents(docs: DataFrame, *, shards: int = 40, rounds: int = 4, slack
     """doc_id, size, text_crc32, law, shard, slot and grown_shard (null under this law) for every row of ``docs`` (doc_id, text)."""
     base = cut(_base(docs))
     total = base.count()
-    share = max(1, total // shards)
+    share = max(1, -(-total // shards))
+    goal = [total // shards + (s < total % shards) for s in range(shards)]
     most = max(1, min(share // 8, MAX_UNIT))
     many = base.groupBy("same").agg(F.count("*").alias("n")).where(F.col("n") > most).select("same", F.ceil(F.col("n") / most).cast("int").alias("pieces"))
     base = base.join(many, "same", "left")
     piece = F.when(F.col("pieces").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("pieces")))
-    base = cut(base.select("doc_id", "size", "text_crc32", F.xxhash64("same", piece).alias("unit"), "lines"))
-    labels = base.groupBy("unit").agg(F.count("*").alias("rows")).withColumn("shard", F.pmod("unit", F.lit(shards)).cast("int"))
-    links = base.select("unit", F.explode("lines").alias("line")).groupBy("unit", "line").agg(F.count("*").alias("held"))
-    # A line held by more rows than a shard takes can't bring its units together.
-    useful = links.groupBy("line").agg(F.count("*").alias("units"), F.sum("held").alias("n")).where((F.col("units") > 1) & (F.col("n") <= share)).select("line", "units")
-    links, labels = cut(links.join(useful, "line").select("unit", "line", "units")), cut(labels)
+    base = cut(base.select("doc_id", "size", "text_crc32", "same", piece.alias("piece"), "pieces", F.xxhash64("same", piece).alias("unit"), "lines"))
+    held = base.select("unit", F.explode("lines").alias("line")).groupBy("unit", "line").agg(F.count("*").alias("held"))
+    useful = cut(held.groupBy("line").agg(F.count("*").alias("units"), F.sum("held").alias("n")).where(F.col("units") > 1))
+    # The members of a common line are dealt over several tasks.
+    spread = F.broadcast(useful.where(F.col("units") > most).select("line", F.ceil(F.col("units") / most).cast("int").alias("spread")))
+    useful = useful.join(spread, "line", "left").withColumn("spread", F.coalesce("spread", F.lit(1)))
+    links = held.drop("held").join(spread, "line", "left").select("unit", "line", F.coalesce(F.pmod(F.xxhash64("unit"), F.col("spread")), F.lit(0)).cast("int").alias("salt"))
+    links = cut(links.join(useful.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("spread") - 1))), ["line", "salt"]))
+    lead = lambda c: F.max(F.when(c, F.struct("n", "line")))
+    leaders = links.groupBy("unit").agg(lead(F.col("n") > share).alias("wide"), lead(F.col("n") <= share).alias("near"))
+    labels = base.groupBy("unit").agg(F.count("*").alias("rows"), F.max("same").alias("same"), F.max("piece").alias("piece"), F.max("pieces").alias("pieces")).join(leaders, "unit", "left")
+    labels = labels.select("unit", "rows", "piece", "pieces", F.lit(False).alias("fixed"), (F.col("wide").isNotNull() | F.col("near").isNotNull() | (F.col("rows") > 1)).alias("linked"), F.col("wide.line").alias("wide"), F.coalesce(F.col("near.line"), F.col("unit")).alias("near"))
+    labels = cut(_start(cut(labels), share, goal))
+    links = links.select("unit", "line", "units", "salt", "spread")
     for step in range(rounds):
         load = {r["shard"]: r["n"] for r in labels.groupBy("shard").agg(F.sum("rows").alias("n")).collect()}  # one row for each shard
         room = [max(0, int(share * (1 + slack)) - load.get(s, 0)) for s in range(shards)]
-        moves = _moves(links, labels, shards, room, step)
-        labels = cut(labels.join(moves, "unit", "left").select("unit", "rows", F.coalesce("to", "shard").alias("shard")))
-    load = {r["shard"]: r["n"] for r in labels.groupBy("shard").agg(F.sum("rows").alias("n")).collect()}
-    goal = [total // shards + (s < total % shards) for s in range(shards)]
+        moves = _moves(links, labels, share, room, step)
+        labels = cut(labels.join(moves, "unit", "left").select("unit", "rows", "fixed", "linked", F.coalesce("to", "shard").alias("shard")))
+    # Within a shard, parts of large texts come first and units without links last: these are what fills the gaps of others.
+    tier = F.when(F.col("fixed"), 0).when(F.col("linked"), 1).otherwise(2)
+    labels = labels.select("unit", "rows", "shard", (F.col("shard") * 3 + tier).alias("place"))
+    tiers = {r["place"]: r["n"] for r in labels.groupBy("place").agg(F.sum("rows").alias("n")).collect()}  # three rows for each shard
+    load = {s: sum(tiers.get(3 * s + i, 0) for i in range(3)) for s in range(shards)}
+    before = [sum(tiers.get(3 * s + j, 0) for j in range(i)) for s in range(shards) for i in range(3)]
     over, gap = [0], [0]
     for s in range(shards):
         over.append(over[-1] + max(0, load.get(s, 0) - goal[s]))
         gap.append(gap[-1] + max(0, goal[s] - load.get(s, 0)))
-    placed = base.drop("lines").join(labels.select("unit", "shard"), "unit")
-    placed = rank_in_blocks(placed, "shard", F.xxhash64("unit"), ["unit", "doc_id", "text_crc32"], "at")
     longs = lambda xs: F.array(*(F.lit(int(x)).cast("long") for x in xs))
+    placed = base.select("doc_id", "size", "text_crc32", "unit").join(labels.select("unit", "shard", "place"), "unit")
+    placed = rank_in_blocks(placed, "place", F.xxhash64("unit"), ["unit", "doc_id", "text_crc32"], "at")
+    placed = placed.withColumn("at", F.col("at") + F.get(longs(before), F.col("place")))
     stays = F.col("at") < F.get(longs(goal), F.col("shard"))
     placed = placed.withColumn("spare", F.when(~stays, F.get(longs(over), F.col("shard")) + F.col("at") - F.get(longs(goal), F.col("shard"))))
     placed = placed.withColumn("new", F.when(~stays, F.size(F.filter(longs(gap[1:]), lambda x: x <= F.col("spare")))))
