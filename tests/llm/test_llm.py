@@ -152,6 +152,13 @@ def test_common_lines_vote(spark):
     assert sum(where[i] == where[i + 1] for i in range(0, 60, 2)) >= 18
 
 
+def test_large_copies_fill_shards(spark):
+    rows = [(i, "hot copy" if i < 400 else "warm copy" if i < 500 else f"lonely text {i}") for i in range(1200)]
+    out = shard_lp.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), shards=10).collect()
+    hot, warm = {r.shard for r in out if r.doc_id < 400}, {r.shard for r in out if 400 <= r.doc_id < 500}
+    assert len(hot) <= 4 + 1 and len(warm) == 1 and set(Counter(r.shard for r in out).values()) == {120}
+
+
 def test_sharding_of_odd_rows(spark, odd):
     assert shard_lp.shard_documents(odd).count() == len(ODD)
 

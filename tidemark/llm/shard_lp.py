@@ -1,7 +1,7 @@
 """Sharding by balanced label propagation.
 
-Nodes are units: the copies of one text, or a part of them where they are many. Units that share a long line are linked
-through that line and start together. Each round, lines tell their members which shards hold most of them, as many as
+Nodes are units: the copies of one text, or a part of them where they are many; parts of one text
+start in the same or in consecutive shards and stay there. Units that share a long line are linked through that line and start together. Each round, lines tell their members which shards hold most of them, as many as
 their rows fill; a unit asks to move where most of its lines point; every shard accepts the requests of highest gain up to its room, found from a
 histogram of gains rather than from a sort in one task. At the end counts are made exactly even: surplus rows of
 full shards fill the gaps of others, and at most one unit is cut at each border. DataFrame functions only.
@@ -88,7 +88,7 @@ def _start(labels: DataFrame, share: int, goal: list[int]) -> DataFrame:
     labels = labels.join(frame(placed, "item", "i"), "item", "left").join(frame(others, "wide", "f"), "wide", "left")
     room = sum(n for _, n in free)
     ends = F.array(*(F.lit(sum(n for _, n in free[: s + 1]) / room if room else (s + 1) / len(free)) for s in range(len(free))))
-    own = part("unit")
+    own = F.coalesce((F.col("piece") + 0.5) / F.col("pieces"), part("unit"))
     shard = F.coalesce(F.get("i_s", at(F.col("i_e"), own)), F.get("f_s", at(F.col("f_e"), part("near"))), at(ends, part(F.coalesce("wide", "near"))))
     return labels.select("unit", "rows", "fixed", "linked", F.least(shard, F.lit(len(goal) - 1)).cast("int").alias("shard"))
 
@@ -137,7 +137,7 @@ def shard_documents(docs: DataFrame, *, shards: int = 40, rounds: int = 4, slack
     lead = lambda c: F.max(F.when(c, F.struct("n", "line")))
     leaders = links.groupBy("unit").agg(lead(F.col("n") > share).alias("wide"), lead(F.col("n") <= share).alias("near"))
     labels = base.groupBy("unit").agg(F.count("*").alias("rows"), F.max("same").alias("same"), F.max("piece").alias("piece"), F.max("pieces").alias("pieces")).join(leaders, "unit", "left")
-    labels = labels.select("unit", "rows", "piece", "pieces", F.lit(False).alias("fixed"), (F.col("wide").isNotNull() | F.col("near").isNotNull() | (F.col("rows") > 1)).alias("linked"), F.col("wide.line").alias("wide"), F.coalesce(F.col("near.line"), F.col("unit")).alias("near"))
+    labels = labels.select("unit", "rows", "piece", "pieces", F.col("pieces").isNotNull().alias("fixed"), (F.col("wide").isNotNull() | F.col("near").isNotNull() | (F.col("rows") > 1)).alias("linked"), F.col("wide.line").alias("wide"), F.coalesce("near.line", "same").alias("near"))
     labels = cut(_start(cut(labels), share, goal))
     links = links.select("unit", "line", "units", "salt", "spread")
     for step in range(rounds):
