@@ -172,3 +172,27 @@ def test_regime_grid_equals_plain_join(spark):
     plain = got.join(h, "series").where("d <= add_months(date, -12) and abs(ret_21 - r) <= 2.0 and abs(vol_21 - v) <= 0.05").groupBy("series", "date").agg(F.count("f").alias("n"))
     both = got.join(plain, ["series", "date"], "left").where("regime_n_5 != coalesce(n, 0)")
     assert both.count() == 0 and got.where("regime_n_5 > 0").count() > 0
+
+
+def test_boosted_trees_learn_a_step():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(800, 4))
+    x[::9, 1] = np.nan
+    y = 0.5 * (x[:, 0] > 0.3) + 0.3 * np.isnan(x[:, 1]) + 0.01 * rng.normal(size=800)
+    m = forecast.gbt_fit(x, y, **forecast.TREES)
+    assert len(m[2]) == 240 and np.mean((forecast.gbt_predict(m, x) - y) ** 2) < 0.05 * y.var()
+    assert m[3][0] > m[3][2] + m[3][3] and m[3][1] > m[3][2] + m[3][3]
+
+
+def test_boosted_trees_for_all_horizons(spark):
+    from tidemark.plans import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    key = ["series", "cutoff_date", "step"]
+    want = {tuple(r[k] for k in key) for r in QUERIES["ridge_forecasts"](spark, sf).collect()}
+    got = QUERIES["gbt_forecasts"](spark, sf).collect()
+    assert {tuple(r[k] for k in key) for r in got} == want and len(got) == len(want) and {r.step for r in got} == set(forecast.HORIZONS)
+    total = {}
+    for r in QUERIES["gbt_importance"](spark, sf).collect():
+        total[r.series, r.horizon] = total.get((r.series, r.horizon), 0) + r.importance
+    assert {h for _, h in total} == set(forecast.HORIZONS) and all(abs(x - 1) < 1e-9 or x == 0 for x in total.values())

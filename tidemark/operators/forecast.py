@@ -182,13 +182,18 @@ def ridge_predict(model: tuple, x: np.ndarray) -> np.ndarray:
     return (z @ w + b) * ys + ym
 
 
-def ridge_forecasts(features: DataFrame, bounds: DataFrame, *, keys: list[str], cols: list[str], alpha: float = 20.0) -> DataFrame:
-    """One small fit for each (series, cutoff, step), in parallel: training rows reach their fold by a join on the series with
-    a bound on the row number, and a fold is a group of at most the training window. ``features``: keys, row, close, ``cols`` and target_<step>."""
+def fold_rows(features: DataFrame, bounds: DataFrame, *, keys: list[str], cols: list[str]) -> DataFrame:
+    """Training rows and the cutoff row of each fold: they reach it by a join on the series with a bound on the row number."""
     steps = sorted(int(c.removeprefix("target_")) for c in features.columns if c.startswith("target_"))
     long = features.select(*keys, "row", *cols, F.explode(F.array(*(F.struct(F.lit(h).alias("step"), F.col(f"target_{h}").alias("target")) for h in steps))).alias("t")).select(*keys, "row", *cols, "t.*")
     fold = bounds.where(F.col("step").isin(steps)).select(*keys, "cutoff_row", "cutoff_date", "step", "current_price", "actual_price", "train_start", "train_end")
-    rows = long.join(fold, [*keys, "step"]).where(F.col("row").between(F.col("train_start"), F.col("train_end")) | (F.col("row") == F.col("cutoff_row")))
+    return long.join(fold, [*keys, "step"]).where(F.col("row").between(F.col("train_start"), F.col("train_end")) | (F.col("row") == F.col("cutoff_row")))
+
+
+def ridge_forecasts(features: DataFrame, bounds: DataFrame, *, keys: list[str], cols: list[str], alpha: float = 20.0) -> DataFrame:
+    """One small fit for each (series, cutoff, step), in parallel: training rows reach their fold by a join on the series with
+    a bound on the row number, and a fold is a group of at most the training window. ``features``: keys, row, close, ``cols`` and target_<step>."""
+    rows = fold_rows(features, bounds, keys=keys, cols=cols)
     schema = ", ".join([*(f"{k} {features.schema[k].dataType.simpleString()}" for k in keys), "cutoff_date date, step int, current_price double, actual_price double, predicted double, train_rows long"])
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -201,3 +206,86 @@ def ridge_forecasts(features: DataFrame, bounds: DataFrame, *, keys: list[str],
         return pd.DataFrame([[*(first[k] for k in keys), first["cutoff_date"], int(first["step"]), first["current_price"], first["actual_price"], value, len(train)]], columns=[*keys, "cutoff_date", "step", "current_price", "actual_price", "predicted", "train_rows"])
 
     return rows.groupBy(*keys, "cutoff_row", "step").applyInPandas(one, schema)
+
+
+TREES = {"trees": 240, "rate": 0.03, "depth": 3, "leaf": 12, "row_share": 0.8, "col_share": 0.75, "alpha": 0.1, "lam": 12.0}
+BINS = 64
+
+
+def _codes(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    """The bin of each value; the last one is for those that are missing."""
+    return np.column_stack([np.where(np.isnan(x[:, j]), BINS, np.searchsorted(e, x[:, j], side="left")) for j, e in enumerate(edges)])
+
+
+def gbt_fit(x: np.ndarray, y: np.ndarray, *, trees: int, rate: float, depth: int, leaf: int, row_share: float, col_share: float, alpha: float, lam: float, seed: int = 7) -> tuple:
+    """Boosted regression trees of squared error on binned columns; missing values go to the side of higher gain. Returns bin edges,
+    the start value, the trees (column, bin, side of missing values and value of each node, in heap order) and each column's mean gain."""
+    rng, (n, m) = np.random.default_rng(seed), x.shape
+    edges = [np.unique(np.quantile(v, np.arange(1, BINS) / BINS)) if len(v := x[~np.isnan(x[:, j]), j]) else np.empty(0) for j in range(m)]
+    code, start, made, gains, used = _codes(x, edges), float(y.mean()), [], np.zeros(m), np.zeros(m)
+    at, width, pred = np.arange(m) * (BINS + 1), m * (BINS + 1), np.full(n, float(y.mean()))
+    shrunk = lambda g: np.sign(g) * np.maximum(np.abs(g) - alpha, 0)
+    score = lambda g, h: shrunk(g) ** 2 / (h + lam)
+    for _ in range(trees):
+        left = y - pred
+        rows, cols = np.flatnonzero(rng.random(n) < row_share), rng.permutation(m)[: max(1, int(col_share * m))]
+        node, nodes = np.zeros(n, dtype=np.int64), 2 ** (depth + 1) - 1
+        col, cut, side, value = np.full(nodes, -1), np.zeros(nodes, dtype=np.int64), np.zeros(nodes, dtype=bool), np.zeros(nodes)
+        for level in range(depth):
+            first, k = 2**level - 1, 2**level
+            live = rows[node[rows] >= first]
+            key = ((node[live] - first)[:, None] * width + at + code[live]).ravel()
+            h = np.bincount(key, minlength=k * width).reshape(k, m, BINS + 1).astype(float)
+            g = np.bincount(key, np.repeat(left[live], m), minlength=k * width).reshape(k, m, BINS + 1)
+            gt, ht = g.sum(2, keepdims=True), h.sum(2, keepdims=True)
+            best = np.full((2, k, m, BINS), -np.inf)
+            for s in (0, 1):  # missing values right, then left
+                gl, hl = np.cumsum(g[:, :, :BINS], 2) + s * g[:, :, BINS:], np.cumsum(h[:, :, :BINS], 2) + s * h[:, :, BINS:]
+                ok = (hl >= leaf) & (ht - hl >= leaf)
+                best[s][:, cols] = np.where(ok, score(gl, hl) + score(gt - gl, ht - hl) - score(gt, ht), -np.inf)[:, cols]
+            for i in range(k):
+                s, j, b = np.unravel_index(np.argmax(best[:, i]), (2, m, BINS))
+                if best[s, i, j, b] > 1e-12:
+                    col[first + i], cut[first + i], side[first + i] = j, b, bool(s)
+                    gains[j] += best[s, i, j, b]
+                    used[j] += 1
+            node = _step(node, code, col, cut, side)
+        value = rate * shrunk(np.bincount(node[rows], left[rows], minlength=nodes)) / (np.bincount(node[rows], minlength=nodes) + lam)
+        pred += value[node]
+        made.append((col, cut, side, value))
+    return edges, start, made, gains / np.maximum(used, 1)
+
+
+def _step(node: np.ndarray, code: np.ndarray, col: np.ndarray, cut: np.ndarray, side: np.ndarray) -> np.ndarray:
+    c = code[np.arange(len(node)), np.maximum(col[node], 0)]
+    goes_left = np.where(c == BINS, side[node], c <= cut[node])
+    return np.where(col[node] < 0, node, 2 * node + np.where(goes_left, 1, 2))
+
+
+def gbt_predict(model: tuple, x: np.ndarray, depth: int = TREES["depth"]) -> np.ndarray:
+    edges, start, made, _ = model
+    code, out = _codes(x, edges), np.full(len(x), start)
+    for col, cut, side, value in made:
+        node = np.zeros(len(x), dtype=np.int64)
+        for _ in range(depth):
+            node = _step(node, code, col, cut, side)
+        out += value[node]
+    return out
+
+
+def gbt_forecasts(features: DataFrame, bounds: DataFrame, *, keys: list[str], cols: list[str]) -> DataFrame:
+    """Boosted trees for each (series, cutoff, step), as ``ridge_forecasts``, with each fit's importances: mean gains that sum to one."""
+    rows = fold_rows(features, bounds, keys=keys, cols=cols)
+    schema = ", ".join([*(f"{k} {features.schema[k].dataType.simpleString()}" for k in keys), "cutoff_date date, step int, current_price double, actual_price double, predicted double, train_rows long, importance array<double>"])
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        train, at = pdf[(pdf["row"] <= pdf["train_end"]) & pdf["target"].notna()].sort_values("row"), pdf[pdf["row"] == pdf["cutoff_row"]]
+        value, share = float("nan"), None
+        if len(train) > 2 and len(at):
+            m = gbt_fit(train[cols].to_numpy(float), train["target"].to_numpy(float), **TREES)
+            value = float(first["current_price"] * np.exp(gbt_predict(m, at[cols].to_numpy(float)[:1])[0]))
+            share = (m[3] / (m[3].sum() or 1.0)).tolist()
+        return pd.DataFrame([[*(first[k] for k in keys), first["cutoff_date"], int(first["step"]), first["current_price"], first["actual_price"], value, len(train), share]], columns=[*keys, "cutoff_date", "step", "current_price", "actual_price", "predicted", "train_rows", "importance"])
+
+    return rows.groupBy(*keys, "cutoff_row", "step").applyInPandas(one, schema)

@@ -220,15 +220,17 @@ def production_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("direction", op.direction(F.col("current_price"), F.col("predicted")))
 
 
+@query("gbt_forecasts")
+def gbt_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees for each (series, cutoff, step) on the rows before it."""
+    bounds = op.training_bounds(op.rolling_origins(views.bars(spark, sf_dir), **BY))
+    return op.gbt_forecasts(ridge_features(spark, sf_dir), bounds, keys=["series"], cols=RIDGE_COLS).drop("importance")
+
+
 @query("gbt_importance")
 def gbt_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boosted trees on the pooled series for one horizon, and the share of each feature."""
-    from pyspark.ml.feature import Imputer, VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-
-    df = ridge_features(spark, sf_dir).where("target_5 is not null").select(*RIDGE_COLS, F.col("target_5").alias("label"))
-    filled = [f"{c}_filled" for c in RIDGE_COLS]
-    df = VectorAssembler(inputCols=filled, outputCol="features").transform(Imputer(inputCols=RIDGE_COLS, outputCols=filled, strategy="median").fit(df).transform(df))
-    model = GBTRegressor(maxIter=20, stepSize=0.1, maxDepth=3, minInstancesPerNode=12, subsamplingRate=0.8, featureSubsetStrategy="0.75", seed=7).fit(df)
-    total = float(sum(model.featureImportances.toArray())) or 1.0
-    return spark.createDataFrame([(c, float(x) / total) for c, x in zip(RIDGE_COLS, model.featureImportances.toArray(), strict=True)], "feature string, importance double")
+    """The share of each feature in the boosted trees of each series and horizon that forecast from its last row."""
+    bounds = op.production_bounds(views.bars(spark, sf_dir), **BY, horizons=op.HORIZONS)
+    made = op.gbt_forecasts(ridge_features(spark, sf_dir), bounds, keys=["series"], cols=RIDGE_COLS).where("importance is not null")
+    names = F.array(*map(F.lit, RIDGE_COLS))
+    return made.select("series", F.col("step").alias("horizon"), F.posexplode("importance").alias("at", "importance")).select("series", "horizon", F.get(names, F.col("at")).alias("feature"), "importance")
