@@ -196,3 +196,20 @@ def test_boosted_trees_for_all_horizons(spark):
     for r in QUERIES["gbt_importance"](spark, sf).collect():
         total[r.series, r.horizon] = total.get((r.series, r.horizon), 0) + r.importance
     assert {h for _, h in total} == set(forecast.HORIZONS) and all(abs(x - 1) < 1e-9 or x == 0 for x in total.values())
+
+
+def test_series_json_of_several_bodies(spark):
+    body = lambda v: '{"observations": [{"date": "2020-01-01", "value": "%s"}]}' % v
+    raw = spark.createDataFrame([("a", 2, body("5")), ("a", 10, body(".")), ("a", 1, body("7"))], "series string, page long, body string")
+    assert [r.value for r in landing.normalise_series_json(raw, series="series", body="body", page="page").collect()] == [5.0]
+
+
+def test_pages_have_all_events(spark, monkeypatch):
+    from tidemark.plans import QUERIES
+
+    seen, real = [], landing.normalise_paged_json
+    monkeypatch.setattr(landing, "normalise_paged_json", lambda pages, **kw: seen.append(pages) or real(pages, **kw))
+    QUERIES["norm_paged_union"](spark, "/root/testdata/sf0.001")
+    data = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    got = seen[0].select(F.explode(F.from_json("body", "response struct<data: array<struct<value: string>>>")["response"]["data"]).alias("x")).select("x.value")
+    assert got.count() == data.count() and got.where("value = '.'").count() == data.where("event_id % 10 = 0").count()

@@ -32,20 +32,21 @@ _EV = "SELECT CAST(ts AS DATE) AS date, event_type AS series_id, event_id, value
 
 @query("norm_series_json", f", e AS ({_EV}) SELECT date, series_id, {r(value='value')} FROM e QUALIFY row_number() OVER (PARTITION BY date, series_id ORDER BY event_id DESC) = 1")
 def norm_series_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One body for each event type and day; every tenth value is a dot."""
+    """Bodies of 5000 events at most for each event type and day; every tenth value is a dot."""
     e = views.table(spark, sf_dir, "events").withColumn("date", F.col("ts").cast("date"))
     text = F.when(F.col("event_id") % 10 == 0, F.lit(".")).otherwise(F.col("value").cast("string"))
     item = F.struct(F.col("event_id").alias("o"), F.col("date").cast("string").alias("date"), text.alias("value"))
-    raw = e.groupBy("event_type", "date").agg(F.sort_array(F.collect_list(item)).alias("x"))
-    raw = raw.select("event_type", F.to_json(F.struct(F.transform("x", lambda v: F.struct(v["date"].alias("date"), v["value"].alias("value"))).alias("observations"))).alias("body"))
-    return shown(op.normalise_series_json(raw, series="event_type", body="body"), ["date", "series_id"], ["value"])
+    raw = e.groupBy("event_type", "date", F.floor(F.col("event_id") / 5000).alias("page")).agg(F.sort_array(F.collect_list(item)).alias("x"))
+    raw = raw.select("event_type", "page", F.to_json(F.struct(F.transform("x", lambda v: F.struct(v["date"].alias("date"), v["value"].alias("value"))).alias("observations"))).alias("body"))
+    return shown(op.normalise_series_json(raw, series="event_type", body="body", page="page"), ["date", "series_id"], ["value"])
 
 
 @query("norm_paged_union", f", e AS ({_EV}) SELECT date, series_id, {r(value='value')} FROM e QUALIFY row_number() OVER (PARTITION BY date, series_id ORDER BY event_id) = 1")
 def norm_paged_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of 5000 events."""
-    e = views.table(spark, sf_dir, "events").where("event_id % 10 <> 0")
-    item = F.struct(F.col("event_id").alias("o"), F.col("ts").cast("date").cast("string").alias("period"), F.col("event_type").alias("series"), F.col("value").cast("string").alias("value"))
+    """Pages of 5000 events; every tenth value is a dot."""
+    e = views.table(spark, sf_dir, "events")
+    text = F.when(F.col("event_id") % 10 == 0, F.lit(".")).otherwise(F.col("value").cast("string"))
+    item = F.struct(F.col("event_id").alias("o"), F.col("ts").cast("date").cast("string").alias("period"), F.col("event_type").alias("series"), text.alias("value"))
     pages = e.groupBy(F.floor(F.col("event_id") / 5000).alias("page")).agg(F.sort_array(F.collect_list(item)).alias("x"))
     pages = pages.select("page", F.to_json(F.struct(F.struct(F.transform("x", lambda v: F.struct(v["period"].alias("period"), v["series"].alias("series"), v["value"].alias("value"))).alias("data")).alias("response"))).alias("body"))
     return shown(op.normalise_paged_json(pages, body="body", page="page"), ["date", "series_id"], ["value"])

@@ -47,12 +47,13 @@ def normalise_price_csv(raw: DataFrame, *, source: str, arrival: str, start: str
     return _first(df, ["date"], [F.col("_o")]).select("date", "price", F.lit(source).alias("source"))
 
 
-def normalise_series_json(raw: DataFrame, *, series: str, body: str) -> DataFrame:
-    """(date, series_id, value) from bodies {"observations": [{date, value}]}; of a date that comes twice the last stays."""
+def normalise_series_json(raw: DataFrame, *, series: str, body: str, page: str | None = None) -> DataFrame:
+    """(date, series_id, value) from bodies {"observations": [{date, value}]}; of a date that comes twice the last stays, in the order of
+    ``page`` where a series has several bodies."""
     schema = "observations array<struct<date: string, value: string>>"
-    df = raw.select(F.col(series).alias("series_id"), F.posexplode(F.from_json(body, schema)["observations"]).alias("_o", "x"))
-    df = df.select(F.expr("try_cast(x.date as date)").alias("date"), "series_id", number(F.col("x.value")).alias("value"), "_o").where("date is not null and value is not null")
-    return _first(df, ["date", "series_id"], [F.desc("_o")]).drop("_o")
+    df = raw.select(F.col(series).alias("series_id"), (F.col(page) if page else F.lit(0)).alias("_p"), F.posexplode(F.from_json(body, schema)["observations"]).alias("_o", "x"))
+    df = df.select(F.expr("try_cast(x.date as date)").alias("date"), "series_id", number(F.col("x.value")).alias("value"), "_p", "_o").where("date is not null and value is not null")
+    return _first(df, ["date", "series_id"], [F.desc("_p"), F.desc("_o")]).drop("_p", "_o")
 
 
 def normalise_paged_json(pages: DataFrame, *, body: str, page: str) -> DataFrame:
