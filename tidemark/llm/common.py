@@ -5,19 +5,17 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Words, in Java and Python syntax alike: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 SHINGLE = 5
-#: Rows of text in one Arrow batch; texts may be very long, so batches are small.
-BATCH_ROWS = 1000
+#: Rows and bytes of text in one Arrow batch; texts may be very long, so batches are small.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
@@ -27,18 +25,21 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the memory of a Python worker when texts are long."""
+    """Bound the memory of a Python worker by rows and bytes, since texts may be long. The session keeps the bounds: plans read them when they run."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session names it; a fresh temporary one
-    only where the session names none (tests on one machine)."""
+    """The folder that all executors share, as the session names it. Where it names none, a temporary one of this machine if driver
+    and executors are one process (tests), else an error."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named is None:
         jsc = spark.sparkContext._jsc.sc()
         if jsc.getCheckpointDir().isDefined():
             return jsc.getCheckpointDir().get()
+        if not jsc.isLocal():
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(named)
     return named
@@ -61,18 +62,37 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def rank_in_blocks(df: DataFrame, group: str, salt, order: list, out: str, rows_per_block: int = 20_000) -> DataFrame:
-    """Exact 0-based rank of each row within ``group`` without one task per group.
+def hot_keys(df: DataFrame, key: str, rows: int, counts: str | None = None, most: int = 10_000) -> DataFrame:
+    """(key, _salts): the keys of more than ``rows`` rows, the ``most`` largest of them, so that it may be broadcast, with the number of tasks to
+    deal each over. Keys beyond those have at most a share of 1 / ``most`` of all rows. ``counts`` names a column with a key's rows."""
+    n = df.groupBy(key).agg(F.count("*").alias("_n")) if counts is None else df.select(key, F.col(counts).alias("_n"))
+    return n.where(F.col("_n") > rows).orderBy(F.desc("_n")).limit(most).select(key, F.ceil(F.col("_n") / rows).cast("int").alias("_salts"))
+
+
+def spread(df: DataFrame, key: str, hot: DataFrame, *by) -> DataFrame:
+    """``df`` with ``_salt``, by which rows of a hot key are dealt over several tasks; 0 for other keys."""
+    salt = F.pmod(F.xxhash64(*by), F.coalesce("_salts", F.lit(1))).cast("int")
+    return df.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_salts")
+
+
+def copied(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """``df`` with a row for each ``_salt`` of its key, to be joined with what was :func:`spread`."""
+    salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    return df.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(salts)).drop("_salts")
+
+
+def rank_in_blocks(df: DataFrame, group: str, salt, order: list, out: str, rows_per_block: int = 20_000, most_groups: int = 4096) -> DataFrame:
+    """Exact 0-based rank of each row within ``group``, of which there are few, without one task per group.
 
     Rows of a group are dealt to blocks by the integer column ``salt`` (a hash); the rank is the number of rows
-    in the group's earlier blocks plus the position in the own block, by ``order``. Only block
-    counts, whose number is rows / ``rows_per_block`` plus one for each group, are summed over a whole group.
+    in the group's earlier blocks plus the position in the own block, by ``order``. A block that is far too large because many rows have one salt is only slow. The groups'
+    counts, at most ``most_groups``, reach the driver; block counts, whose number is rows / ``rows_per_block`` plus one for each group, are summed over a whole group.
     """
-    n = df.groupBy(group).agg(F.count("*").alias("_n"))
-    n = n.select(group, F.ceil(F.col("_n") / rows_per_block).cast("int").alias("_blocks"))
-    df = df.join(n, group).withColumn("_block", F.pmod(salt, F.col("_blocks"))).drop("_blocks")
-    from pyspark.sql import Window
-
+    n = df.groupBy(group).agg(F.count("*").alias("n")).where(F.col("n") > rows_per_block).limit(most_groups + 1).collect()
+    if len(n) > most_groups:
+        raise ValueError(f"more than {most_groups} large groups")
+    blocks = df.sparkSession.createDataFrame([(r[group], -(-r["n"] // rows_per_block)) for r in n], f"{group} {df.schema[group].dataType.simpleString()}, _blocks long")
+    df = df.join(F.broadcast(blocks), group, "left").withColumn("_block", F.pmod(salt, F.coalesce("_blocks", F.lit(1)))).drop("_blocks")
     counts = df.groupBy(group, "_block").agg(F.count("*").alias("_n"))
     w = Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(group, "_block", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_before"))
@@ -157,14 +177,3 @@ def distinct_sets(words: list[list[bytes]], hasher: WordHasher) -> list[np.ndarr
     """The sorted distinct shingle hashes of each text."""
     h, at = shingle_hashes(words, hasher)
     return [np.unique(h[at[i] : at[i + 1]]) for i in range(len(words))]
-
-
-def in_batches(rows: Iterator[dict], schema: pa.Schema, size: int = 4000) -> Iterator[pa.RecordBatch]:
-    held: list[dict] = []
-    for r in rows:
-        held.append(r)
-        if len(held) >= size:
-            yield pa.RecordBatch.from_pylist(held, schema=schema)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_pylist(held, schema=schema)

@@ -3,16 +3,20 @@
 The global order of n-grams (frequent ones last, else by hash) is cut into fragments. Candidates: in their fragments, the
 first ``n - ceil(0.75 n) + 1`` n-grams of each set, its prefix, meet those of others; two sets that link share one of
 them. The n-grams that two texts share there are counted in each fragment and summed per pair: sets whose
-prefixes share too few can't link. Each text is first compared with the hub that it shares most with; then
-all members of a bucket that are still in different components with each other, where the places of what they share allow it. So groups of copies cost stars and not all
-pairs, and no link between components is lost. Verification: the whole sets are cut into fragments too, the overlap of each pair is counted
-fragment by fragment, and the counts are summed per pair.
+prefixes share too few can't link. Verification: the whole sets are cut into fragments of the hash order too; each fragment counts its
+part of a pair's overlap, and the counts are summed per pair.
 
-Which n-grams count as frequent is an order only, found over all documents; any order gives the same links.
+Groups of copies cost stars and not all pairs. Each text is first compared with the hub that it shares most with, and texts that many
+others of other components share n-grams with are compared with the hub of those. What is left are members of a bucket in different components. They are a
+candidate only where all bounds allow it: their sizes, the places of what they share, how many of their n-grams any other
+text has, and the overlaps of both with a common hub, outside of which they share at most what either has left. No link
+between components is lost.
+
+Which n-grams count as frequent is an order only, found over all documents; any order gives the same links. N-grams are compared by 64-bit hashes.
 
 Nulls and edge cases: a null text, or one without words, has an empty set and links with nothing; its component is its own
 id. Rows of equal word sequences are one node, so repeated rows and ids are fine; a component's id is the smallest id of its rows,
-null where none has one. An empty table gives an empty result. Extra columns are ignored.
+null where none has one. An empty table gives an empty result. Extra columns are ignored by ``near_duplicates`` and kept by ``one_of_each``.
 """
 
 from __future__ import annotations
@@ -21,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHasher, cut, distinct_sets, mix, parts, small_batches, words_of, written
+from .common import WordHasher, copied, cut, distinct_sets, hot_keys, mix, parts, small_batches, spread, words_of, written
 
 PERCENT = 75
 #: N-grams known as frequent, at most: 6 MB for each worker.
@@ -32,23 +36,19 @@ MOST_FREQUENT = 1 << 19
 FREQUENT_FROM = 8
 #: N-grams of one fragment, on average, and n-grams held in memory before they are dealt out.
 FRAGMENT, HELD = 750_000, 1_000_000
+#: Holders of one n-gram that meet in one group; those of a more frequent one are dealt over several.
+HOLDERS = 50_000
 #: Bits of the filter that tells which texts take part in a pair (2 MB). Beyond its capacity more texts are read, none is lost.
 FILTER_BITS = 1 << 24
-#: Fragments of the verification, and sets that one comparison of a hub takes.
-VERIFY_FRAGMENTS, SALT_ROWS = 8, 1_000
-#: Bytes of an n-gram's hash that are moved. Two of a pair's some hundreds are equal by chance once in 10^9 pairs.
-WIDTH = 6
-_CUTS = (np.arange(1, VERIFY_FRAGMENTS, dtype=np.uint64) << np.uint64(8 * WIDTH)) // np.uint64(VERIFY_FRAGMENTS)
-
-
-def packed(hashes: np.ndarray) -> bytes:
-    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH]).tobytes()
+#: Fragments of the verification; rows of one bucket, or partners of one hub, that one task takes together.
+VERIFY_FRAGMENTS, SALT_ROWS = 4, 1_000
+#: A text with more candidates than this in open buckets is compared with their hub first.
+BUSY = 64
+_CUTS = np.arange(1, VERIFY_FRAGMENTS, dtype=np.uint64) * np.uint64(2**64 // VERIFY_FRAGMENTS)
 
 
 def unpacked(x: bytes) -> np.ndarray:
-    out = np.zeros((len(x) // WIDTH, 8), np.uint8)
-    out[:, :WIDTH] = np.frombuffer(x, np.uint8).reshape(-1, WIDTH)
-    return out.view("<u8").ravel().astype(np.uint64)
+    return np.frombuffer(x, "<u8").astype(np.uint64)
 
 
 def _words(b: pa.RecordBatch) -> list[list[bytes]]:
@@ -118,13 +118,24 @@ def _prefixes(order):
                     rank = np.where(tokens[at] == s, counts[at], 0)
                     if rank.any():
                         s = s[np.argsort(rank, kind="stable")]
-                prefix.append(packed(s[: n - -(-n * PERCENT // 100) + 1]))
+                prefix.append(s[: n - -(-n * PERCENT // 100) + 1].astype("<u8").tobytes())
             yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(prefix, pa.binary())], ["id", "also", "node", "n", "prefix"])
 
     return run
 
 
-def _deal(fragments: int):
+def _pieces(order, t: np.ndarray) -> np.ndarray:
+    """Over how many groups the holders of each n-gram are dealt."""
+    tokens, counts = order.value
+    hot = counts > HOLDERS
+    tokens, counts = tokens[hot], counts[hot]
+    if not len(tokens):
+        return np.ones(len(t), np.int64)
+    at = np.minimum(np.searchsorted(tokens, t), len(tokens) - 1)
+    return np.where(tokens[at] == t, -(-counts[at].astype(np.int64) // HOLDERS), 1)
+
+
+def _deal(fragments: int, order):
     """Rows (fragment, its n-grams, nodes, sizes, n-grams of each node, their places in it) from many prefixes at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,16 +145,17 @@ def _deal(fragments: int):
             t = np.concatenate(tokens)
             of = np.repeat(np.arange(len(nodes)), [len(x) for x in tokens])
             place = np.concatenate([np.minimum(np.arange(len(x)), 65_535) for x in tokens]).astype(np.uint16)
-            f = ((t >> np.uint64(16)) % np.uint64(fragments)).astype(np.int64)
-            order = np.argsort(f, kind="stable")
-            t, of, f, place = t[order], of[order], f[order], place[order]
-            ends = np.searchsorted(f, np.arange(fragments + 1))
-            node, size, rows = np.array(nodes, np.int64), np.array(sizes, np.int32), []
+            node, size = np.array(nodes, np.int64), np.array(sizes, np.int32)
+            own = mix(node.view(np.uint64))[of] % _pieces(order, t).astype(np.uint64)
+            f = ((mix(t) + own) % np.uint64(fragments)).astype(np.int64)
+            by = np.argsort(f, kind="stable")
+            t, of, f, place = t[by], of[by], f[by], place[by]
+            ends, rows = np.searchsorted(f, np.arange(fragments + 1)), []
             for k in range(fragments):
                 a, z = ends[k], ends[k + 1]
                 if a < z:
-                    own, count = np.unique(of[a:z], return_counts=True)
-                    rows.append((k, packed(t[a:z]), node[own].tobytes(), size[own].tobytes(), count.astype(np.int32).tobytes(), place[a:z].tobytes()))
+                    one, count = np.unique(of[a:z], return_counts=True)
+                    rows.append((k, t[a:z].astype("<u8").tobytes(), node[one].tobytes(), size[one].tobytes(), count.astype(np.int32).tobytes(), place[a:z].tobytes()))
             return pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 5, strict=True)], ["fragment", "tokens", "nodes", "sizes", "counts", "places"])
 
         for b in batches:
@@ -161,53 +173,49 @@ def _deal(fragments: int):
     return run
 
 
-_MET = pa.schema([("bucket_nodes", pa.binary()), ("bucket_sizes", pa.binary()), ("bucket_lengths", pa.binary()), ("bucket_weights", pa.binary()), ("bucket_places", pa.binary())])
-
-
-def _meet(rows: pa.Table) -> pa.Table:
-    """Within one fragment: the distinct buckets of two nodes or more, packed, how many n-grams each is of, and the first place of
-    one of them in each node's prefix."""
-    cat = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in rows.column(c).to_pylist()])
-    count = cat("counts", np.int32)
-    t, node, n, place = unpacked(b"".join(rows.column("tokens").to_pylist())), np.repeat(cat("nodes", np.int64), count), np.repeat(cat("sizes", np.int32), count), cat("places", np.uint16)
-    order = np.argsort(t, kind="stable")
-    t, node, n, place = t[order], node[order], n[order], place[order]
-    same = t[1:] == t[:-1]
-    shared = np.zeros(len(t), bool)
-    shared[1:] |= same
-    shared[:-1] |= same
-    t, node, n, place = t[shared], node[shared], n[shared], place[shared]
-    order = np.lexsort((node, t))
-    t, node, n, place = t[order], node[order], n[order], place[order]
-    keep = np.ones(len(t), bool)
-    keep[1:] = (t[1:] != t[:-1]) | (node[1:] != node[:-1])
-    t, node, n, place = t[keep], node[keep], n[keep], place[keep]
-    first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
-    length = np.diff(np.append(first, len(t)))
-    big, weight = {}, {}
-    for s, k in zip(first[length > 1].tolist(), length[length > 1].tolist(), strict=True):
-        h = node[s : s + k].tobytes()
-        if h in big:
-            a = big[h][0]
-            np.minimum(place[a : a + k], place[s : s + k], out=place[a : a + k])
-        else:
-            big[h], weight[h] = (s, k), 0
-        weight[h] += 1
-    pick = np.concatenate([np.arange(s, s + k) for s, k in big.values()]) if big else np.zeros(0, int)
-    row = [node[pick], n[pick], np.array([k for _, k in big.values()], np.int32), np.array([*weight.values()], np.int32), place[pick]]
-    return pa.table([pa.array([x.tobytes()], pa.binary()) for x in row], schema=_MET)
-
-
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Buckets as rows, numbered by the hash of their nodes: equal buckets of several fragments become one."""
-    import xxhash
+def _meet(order):
+    """Within one fragment: rows (bucket, node, size, n-grams, first place) of the nodes that share n-grams. N-grams that the same nodes
+    share are one bucket, named by the hash of its nodes, so that equal buckets of several fragments are one too; an n-gram
+    whose holders were dealt over several groups is named by its own hash, and all its holders are given."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        import xxhash
+
+        cat = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in rows.column(c).to_pylist()])
+        count = cat("counts", np.int32)
+        t, node, n, place = unpacked(b"".join(rows.column("tokens").to_pylist())), np.repeat(cat("nodes", np.int64), count), np.repeat(cat("sizes", np.int32), count), cat("places", np.uint16)
+        by = np.argsort(t, kind="stable")
+        t, node, n, place = t[by], node[by], n[by], place[by]
+        same, split = t[1:] == t[:-1], _pieces(order, t) > 1
+        shared = split.copy()
+        shared[1:] |= same
+        shared[:-1] |= same
+        t, node, n, place, split = t[shared], node[shared], n[shared], place[shared], split[shared]
+        by = np.lexsort((node, t))
+        t, node, n, place, split = t[by], node[by], n[by], place[by], split[by]
+        keep = np.ones(len(t), bool)
+        keep[1:] = (t[1:] != t[:-1]) | (node[1:] != node[:-1])
+        t, node, n, place, split = t[keep], node[keep], n[keep], place[keep], split[keep]
+        first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
+        length = np.diff(np.append(first, len(t)))
+        big: dict[bytes, list[int]] = {}
+        for s, k in zip(first.tolist(), length.tolist(), strict=True):
+            if k < 2 and not split[s]:
+                continue
+            h = t[s : s + 1].tobytes() if split[s] else node[s : s + k].tobytes()
+            if h in big:
+                a = big[h][0]
+                np.minimum(place[a : a + k], place[s : s + k], out=place[a : a + k])
+                big[h][2] += 1
+            else:
+                big[h] = [s, k, 1]
+        spans = np.array([*big.values()], np.int64).reshape(-1, 3)
+        name = np.fromiter((xxhash.xxh3_64_intdigest(h) for h in big), np.uint64, len(big)).view(np.int64)
+        pick = np.concatenate([np.arange(s, s + k) for s, k, _ in spans]) if len(spans) else np.zeros(0, int)
+        cols = [np.repeat(name, spans[:, 1]), node[pick], n[pick].astype(np.int64), np.repeat(spans[:, 2], spans[:, 1]), place[pick].astype(np.int64)]
+        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["bucket", "node", "n", "w", "place"])
 
-    for x in batches:
-        for nodes, sizes, lengths, weights, places in zip(*(x.column(i).to_pylist() for i in range(5)), strict=True):
-            node, n, k, w = np.frombuffer(nodes, np.int64), np.frombuffer(sizes, np.int32), np.frombuffer(lengths, np.int32), np.frombuffer(weights, np.int32)
-            ends = np.cumsum(k)
-            number = np.fromiter((xxhash.xxh3_64_intdigest(node[e - m : e].tobytes()) for e, m in zip(ends, k, strict=True)), np.uint64, len(k)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(number, k)), pa.array(node), pa.array(n.astype(np.int64)), pa.array(np.repeat(w, k).astype(np.int64)), pa.array(np.frombuffer(places, np.uint16).astype(np.int64))], ["bucket", "node", "n", "w", "place"])
+    return run
 
 
 def _bits(nodes: np.ndarray) -> np.ndarray:
@@ -232,8 +240,8 @@ def _node_filter(nodes: DataFrame) -> np.ndarray:
     return bits
 
 
-def _sets(wanted):
-    """(node, n, its n-grams) of the texts that may take part in a pair."""
+def _segments(wanted):
+    """(node, fragment, its n-grams) of the texts that may take part in a pair."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, bits, seen = WordHasher(), wanted.value, set()
@@ -244,90 +252,167 @@ def _sets(wanted):
             nodes = np.array([_node(w) for w in words], np.int64)
             at = _bits(nodes)
             hit = ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(0)
-            pick = [i for i in np.flatnonzero(hit) if nodes[i] not in seen]
-            seen.update(nodes[pick])
+            pick = []
+            for i in np.flatnonzero(hit).tolist():
+                if nodes[i] not in seen:
+                    seen.add(nodes[i])
+                    pick.append(i)
             if pick:
-                sets = distinct_sets([words[i] for i in pick], hasher)
-                yield pa.RecordBatch.from_arrays([pa.array(nodes[pick]), pa.array([*map(len, sets)], pa.int64()), pa.array([packed(s) for s in sets], pa.binary())], ["node", "n", "tokens"])
+                cuts = [s for x in distinct_sets([words[i] for i in pick], hasher) for s in np.split(x, np.searchsorted(x, _CUTS))]
+                cols = [pa.array(np.repeat(nodes[pick], VERIFY_FRAGMENTS)), pa.array(np.tile(np.arange(VERIFY_FRAGMENTS, dtype=np.int32), len(pick))), pa.array([s.astype("<u8").tobytes() for s in cuts], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["node", "fragment", "tokens"])
 
     return run
 
 
-def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare the first set of each (key, salt) with the others. Sets are cut into fragments of the n-gram order; overlaps are
-    counted fragment by fragment and summed, and no more are counted once the rest can't make a link."""
-    last, hub, size, parts_ = None, None, 0, []
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hub, node, overlap) within one fragment: the first row of each (key, salt, fragment) is the hub's. A text that several tasks
+    read comes several times in a row and counts once."""
+    last, hub, mine, before = None, None, np.zeros(0, np.uint64), None
     for x in batches:
-        a, b = [], []
-        for key, salt, node, n, tokens in zip(*(x.column(i).to_pylist() for i in range(5)), strict=True):
-            s = np.sort(unpacked(tokens))
-            mine = np.split(s, np.searchsorted(s, _CUTS))
-            if (key, salt) != last:
-                last, hub, size, parts_ = (key, salt), node, n, mine
-                continue
-            if node == hub:
-                continue
-            need, k, left, right = -(-PERCENT * (n + size) // (100 + PERCENT)), 0, n, size
-            for p, q in zip(parts_, mine, strict=True):
-                if k + min(left, right) < need:
-                    break
-                k += len(np.intersect1d(p, q, assume_unique=True))
-                left, right = left - len(q), right - len(p)
-            if 100 * k >= PERCENT * (n + size - k):
+        a, b, k = [], [], []
+        for key, salt, fragment, node, tokens in zip(*(x.column(i).to_pylist() for i in range(5)), strict=True):
+            if (key, salt, fragment) != last:
+                last, hub, mine, before = (key, salt, fragment), node, unpacked(tokens), node
+            elif node != before:
+                before = node
                 a.append(hub)
                 b.append(node)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                k.append(len(np.intersect1d(mine, unpacked(tokens), assume_unique=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, k)], ["a", "b", "k"])
 
 
-def links_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link. The set of each ``b`` goes to ``a``, in parts where ``a`` has many."""
+def overlaps_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, k) with the exact overlap of each pair (a, b). In each fragment the n-grams of each ``b`` go to those of ``a``, in parts
+    where ``a`` has many; partial overlaps are summed per pair."""
     spark = pairs.sparkSession
-    many = pairs.groupBy("a").agg((F.count("*") / SALT_ROWS + 1).cast("long").alias("salts"))
-    spread = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), "salts").alias("salt"))
-    own = spread.select("a", "salt").distinct().select(F.col("a").alias("key"), "salt", F.lit(0).alias("rank"), F.col("a").alias("node"))
-    where = cut(own.unionByName(spread.select(F.col("a").alias("key"), "salt", F.lit(1).alias("rank"), F.col("b").alias("node"))))
+    dealt = spread(pairs.select("a", "b"), "a", hot_keys(pairs, "a", SALT_ROWS), F.col("b"))
+    own = dealt.select("a", "_salt").distinct().select(F.col("a").alias("key"), "_salt", F.lit(0).alias("rank"), F.col("a").alias("node"))
+    where = cut(own.unionByName(dealt.select(F.col("a").alias("key"), "_salt", F.lit(1).alias("rank"), F.col("b").alias("node"))))
     wanted = spark.sparkContext.broadcast(_node_filter(where.select("node").distinct()))
-    sets = where.join(texts.mapInArrow(_sets(wanted), "node long, n long, tokens binary"), "node")
-    sets = sets.repartition(4 * parts(spark), "key", "salt").sortWithinPartitions("key", "salt", "rank")
-    return sets.select("key", "salt", "node", "n", "tokens").mapInArrow(_linked, "a long, b long").distinct()
+    sets = where.join(texts.mapInArrow(_segments(wanted), "node long, fragment int, tokens binary"), "node")
+    sets = sets.repartition(4 * parts(spark), "key", "_salt", "fragment").sortWithinPartitions("key", "_salt", "fragment", "rank", "node")
+    partial = sets.select("key", "_salt", "fragment", "node", "tokens").mapInArrow(_overlaps, "a long, b long, k long")
+    return partial.groupBy("a", "b").agg(F.sum("k").alias("k"))
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable. Labels fall to neighbours' minima and then to their label's label."""
-    both = cut(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    hot = hot_keys(both, "b", SALT_ROWS)
+    both = cut(spread(both, "b", hot, F.col("a")))
     label = cut(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("c")))
     while True:
-        near = both.join(label.select(F.col("a").alias("b"), "c"), "b").groupBy("a").agg(F.min("c").alias("near"))
+        near = both.join(copied(label.select(F.col("a").alias("b"), "c"), "b", hot), ["b", "_salt"]).groupBy("a").agg(F.min("c").alias("near"))
         down = label.join(near, "a").select("a", F.col("c").alias("old"), F.least("c", "near").alias("c"))
-        jump = down.join(label.select(F.col("a").alias("c"), F.col("c").alias("up")), "c", "left")
-        new = cut(jump.select("a", "old", F.least(F.col("c"), F.coalesce("up", "c")).alias("c")))
+        few = hot_keys(down, "c", SALT_ROWS)
+        up = copied(label.select(F.col("a").alias("c"), F.col("c").alias("up")), "c", few)
+        new = cut(spread(down, "c", few, F.col("a")).join(up, ["c", "_salt"], "left").select("a", "old", F.least(F.col("c"), F.coalesce("up", "c")).alias("c")))
         done = not new.where("old != c").limit(1).count()
         label = new.select("a", "c")
         if done:
             return label.select(F.col("a").alias("node"), F.col("c").alias("component"))
 
 
+def _need(n: Column, m: Column) -> Column:
+    """The overlap from which sets of n and m n-grams link."""
+    return F.ceil(PERCENT * (n + m) / (100 + PERCENT))
+
+
 def _possible(k, n, m):
     """Whether sets of n and m n-grams that share k of their prefixes can link: all that they share lies in both
     prefixes or behind the one that ends first."""
     behind = lambda x: F.ceil(x * PERCENT / 100) - 1
-    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * (k + F.greatest(behind(n), behind(m))) >= PERCENT * (n + m))
+    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (k + F.greatest(behind(n), behind(m)) >= _need(n, m))
 
 
-def _stars(buckets: DataFrame) -> DataFrame:
-    """For each node the hub of another component that it shares most n-grams with. The hub of a bucket is its node with the largest
-    share of shared n-grams in its prefix: of a group of copies the one that was changed least."""
-    shared = buckets.groupBy("node").agg((F.sum("w") / F.max("n")).alias("s"))
-    hubs = buckets.join(shared, "node").groupBy("bucket").agg(F.max(F.struct("s", "node", "n", "c")).alias("h")).select("bucket", F.col("h.node").alias("a"), F.col("h.n").alias("m"), F.col("h.c").alias("ca"))
-    pairs = buckets.join(hubs, "bucket").where("c != ca").groupBy(F.col("node").alias("b"), "n", "a", "m").agg(F.sum("w").alias("k")).where(_possible(F.col("k"), F.col("n"), F.col("m")))
-    return pairs.groupBy("b").agg(F.max(F.struct("k", "a")).alias("h")).select(F.col("h.a").alias("a"), "b")
+def _living(buckets: DataFrame) -> DataFrame:
+    """Buckets of the nodes that can link at all, with ``e``: how many of a node's n-grams any other text may have. Those of the prefix
+    that are in no bucket are its own alone."""
+    own = buckets.groupBy("node").agg(F.sum("w").alias("s"), F.max("n").alias("n")).select("node", (F.ceil(F.col("n") * PERCENT / 100) - 1 + F.col("s")).alias("e"), "n")
+    return buckets.join(own.where(100 * F.col("e") >= PERCENT * F.col("n")).select("node", "e"), "node")
+
+
+def _to_hubs(buckets: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Each row of ``buckets`` with its bucket's row of ``hubs``; large buckets are dealt over several tasks."""
+    salts = F.ceil(F.col("holders") / SALT_ROWS).cast("int")
+    rows = buckets.withColumn("_salt", F.pmod(F.xxhash64("node"), salts).cast("int"))
+    return rows.join(hubs.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("holders"), ["bucket", "_salt"])
 
 
-def _still_open(buckets: DataFrame, part: DataFrame) -> DataFrame:
-    """The buckets whose nodes are in several components, with each node's as ``c``."""
-    buckets = buckets.join(part, "node", "left").select("bucket", "node", "n", "w", "place", F.coalesce("component", "node").alias("c"))
-    several = buckets.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo != hi").select("bucket")
-    return cut(buckets.join(several, "bucket"))
+def _stars(buckets: DataFrame) -> DataFrame:
+    """(a, m, b, n): for each node b the hub a that it shares most n-grams with, and their sizes. The hub of a bucket is its node with the
+    largest share of n-grams that others have: of a group of copies the one that was changed least."""
+    hubs = buckets.groupBy("bucket").agg(F.max(F.struct(F.col("e") / F.col("n"), "node", "n", "e")).alias("h"), F.max("holders").alias("holders"))
+    hubs = hubs.select("bucket", "holders", F.col("h.node").alias("a"), F.col("h.n").alias("m"), F.col("h.e").alias("f"))
+    pairs = _to_hubs(buckets, hubs).where("node != a").groupBy(F.col("node").alias("b"), "n", "e", "a", "m", "f").agg(F.sum("w").alias("k"))
+    pairs = pairs.where(_possible(F.col("k"), F.col("n"), F.col("m")) & (F.least("e", "f") >= _need(F.col("n"), F.col("m"))))
+    return pairs.groupBy("b", "n").agg(F.max(F.struct("k", "a", "m")).alias("h")).select("h.a", "h.m", "b", "n")
+
+
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs`` (a, m, b, n) with their overlap ``o`` and whether they link."""
+    o = pairs.join(overlaps_of(pairs, texts).withColumnRenamed("k", "o"), ["a", "b"], "left").fillna(0, ["o"])
+    return cut(o.withColumn("linked", F.col("o") >= _need(F.col("n"), F.col("m"))))
+
+
+def _open(buckets: DataFrame, done: DataFrame) -> DataFrame:
+    """The buckets whose nodes are in several components, with each node's component ``c`` as far as ``done`` tells, and the overlap ``o``
+    with its hub; the hub of one that was compared with none is itself if it is one. A hub's rank is above those it was chosen for,
+    so the links to hubs are a forest, and two steps towards its roots do for now."""
+    up = done.where("linked").select(F.col("b").alias("node"), F.col("a").alias("c"))
+    for _ in range(2):
+        hot = hot_keys(up, "c", SALT_ROWS)
+        over = copied(up.select(F.col("node").alias("c"), F.col("c").alias("top")), "c", hot)
+        up = cut(spread(up, "c", hot, F.col("node")).join(over, ["c", "_salt"], "left").select("node", F.coalesce("top", "c").alias("c")))
+    hubs = done.select(F.col("a").alias("node"), F.col("a").alias("hub"), F.col("m").alias("o"), F.lit(0).alias("rank")).distinct()
+    hubs = hubs.unionByName(done.select(F.col("b").alias("node"), F.col("a").alias("hub"), "o", F.lit(1).alias("rank")))
+    hubs = hubs.groupBy("node").agg(F.max(F.struct("rank", "hub", "o")).alias("x")).select("node", "x.hub", "x.o")
+    rows = buckets.drop("c", "hub", "o").join(up, "node", "left").join(hubs, "node", "left").withColumn("c", F.coalesce("c", "node"))
+    several = rows.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("now"), F.max("holders").alias("holders")).where("lo != hi").drop("lo", "hi")
+    return cut(_to_hubs(rows, several).drop("_salt", "holders").withColumnRenamed("now", "holders"))
+
+
+def _busy(buckets: DataFrame) -> DataFrame:
+    """(a, m, b, n): nodes not compared yet that share buckets with many others, and the hub of most of those."""
+    busy = buckets.where("hub is null").groupBy("node").agg(F.sum(F.col("holders") - 1).alias("others")).where(F.col("others") > BUSY).select("node")
+    most = buckets.where("hub is not null").groupBy("bucket", "hub").agg(F.count("*").alias("k"), F.max("holders").alias("holders")).groupBy("bucket").agg(F.max(F.struct("k", "hub")).alias("h"), F.max("holders").alias("holders"))
+    rows = _to_hubs(buckets.drop("hub").join(busy, "node"), most.select("bucket", "holders", F.col("h.hub").alias("a")))
+    best = rows.groupBy("node", "n", "a").agg(F.sum("w").alias("k")).groupBy("node", "n").agg(F.max(F.struct("k", "a")).alias("h"))
+    return best.select("h.a", F.col("node").alias("b"), "n")
+
+
+def _rest(buckets: DataFrame) -> DataFrame:
+    """(a, m, b, n): pairs of a bucket in different components that all bounds allow. Of the n-grams that a pair must share, the first ``some`` lie
+    within the first n - need + some places of both prefixes."""
+    side = lambda q, s: buckets.select("bucket", *(F.col(c).alias(c + s) for c in ("node", "n", "e", "c", "hub", "o", "place")), *q)
+    salts = F.ceil(F.col("holders") / SALT_ROWS).cast("int")
+    x, y = side(["w", F.pmod(F.xxhash64("node"), salts).cast("int").alias("_salt")], "1"), side([F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt")], "2")
+    n, m, o, p = (F.col(c) for c in ("n1", "n2", "o1", "o2"))
+    larger, smaller, need = F.greatest(n, m), F.least(n, m), _need(n, m)
+    some = F.greatest(F.lit(1), F.least(1 + F.floor(smaller / 50), need - F.ceil(PERCENT * larger / 100) + 1))
+    near = (F.col("node1") < F.col("node2")) & (F.col("c1") != F.col("c2")) & (100 * smaller >= PERCENT * larger) & (F.col("place1") < n - need + some) & (F.col("place2") < m - need + some)
+    near = near & (F.least("e1", "e2") >= need) & ~F.coalesce((F.col("hub1") == F.col("node2")) | (F.col("hub2") == F.col("node1")), F.lit(False))
+    near = near & F.coalesce((F.col("hub1") != F.col("hub2")) | (F.least(o, p) + F.least(F.col("e1") - o, F.col("e2") - p) >= need), F.lit(True))
+    pairs = x.join(y, ["bucket", "_salt"]).where(near).groupBy(F.col("node1").alias("a"), F.col("node2").alias("b"), F.col("n1").alias("m"), F.col("n2").alias("n")).agg(F.sum("w").alias("k"), F.max(some).alias("some"))
+    return pairs.where("k >= some").select("a", "m", "b", "n")
+
+
+def _links(buckets: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all that is connected."""
+    done = _compared(cut(_stars(buckets)), texts)
+    buckets = _open(buckets, done)
+    sizes = buckets.select(F.col("node").alias("a"), F.col("n").alias("m")).distinct()
+    known = done.select("a", "m").unionByName(sizes).distinct()
+    busy = cut(_busy(buckets).join(known, "a"))
+    if busy.limit(1).count():
+        done = cut(done.unionByName(_compared(busy, texts).select(*done.columns)))
+        buckets = _open(buckets, done)
+    links = done.where("linked").select("a", "b")
+    rest = cut(_rest(buckets))
+    if rest.limit(1).count():
+        links = links.unionByName(_compared(rest, texts).where("linked").select("a", "b"))
+    return links
 
 
 def _grouped(texts: DataFrame) -> DataFrame:
@@ -338,36 +423,27 @@ def _grouped(texts: DataFrame) -> DataFrame:
     order = spark.sparkContext.broadcast(frequent(texts.select("text")))
     kind = texts.schema["id"].dataType.simpleString()
     rows = written(texts.select("text", "id", "also").mapInArrow(_prefixes(order), f"id {kind}, also long, node long, n long, prefix binary"))
-    total = rows.where("prefix is not null").agg(F.sum(F.octet_length("prefix") / WIDTH)).first()[0] or 0
+    total = rows.where("prefix is not null").agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
     fragments = max(2 * parts(spark), int(total // FRAGMENT) + 1)
-    dealt = rows.where("prefix is not null").select("node", "n", "prefix").mapInArrow(_deal(fragments), "fragment int, tokens binary, nodes binary, sizes binary, counts binary, places binary")
-    met = written(dealt.groupBy("fragment").applyInArrow(_meet, "bucket_nodes binary, bucket_sizes binary, bucket_lengths binary, bucket_weights binary, bucket_places binary"))
-    buckets = met.mapInArrow(_buckets, "bucket long, node long, n long, w long, place long").groupBy("bucket", "node").agg(F.max("n").alias("n"), F.sum("w").alias("w"), F.min("place").alias("place"))
-    buckets = cut(buckets.withColumn("c", F.col("node")))
-    texts = texts.select("text")
-    links = spark.createDataFrame([], "a long, b long")
-    pairs = cut(_stars(buckets))
-    if pairs.limit(1).count():
-        links = cut(links_of(pairs, texts))
-        # A hub and what links with it are one component so far; that is all that has to be known here.
-        hubs = links.select(F.col("a").alias("b")).distinct()
-        buckets = _still_open(buckets.drop("c"), links.join(hubs, "b", "left_anti").select(F.col("b").alias("node"), F.col("a").alias("component")))
-    # What stars don't settle: members of a bucket in different components. Of ``need`` n-grams that a pair must share, the first
-    # ``some`` lie within the first n - need + some places of both prefixes.
-    x = buckets.select("bucket", "w", F.col("node").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"), F.col("place").alias("pa"))
-    y = buckets.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"), F.col("place").alias("pb"))
-    larger, smaller = F.greatest("na", "nb"), F.least("na", "nb")
-    need = F.ceil(PERCENT * (F.col("na") + F.col("nb")) / (100 + PERCENT))
-    some = F.greatest(F.lit(1), F.least(1 + F.floor(smaller / 50), need - F.ceil(PERCENT * larger / 100) + 1))
-    near = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (100 * smaller >= PERCENT * larger) & (F.col("pa") < F.col("na") - need + some) & (F.col("pb") < F.col("nb") - need + some)
-    rest = x.join(y, "bucket").where(near).groupBy("a", "b", "na", "nb").agg(F.sum("w").alias("k"))
-    rest = cut(rest.where(F.col("k") >= some).select("a", "b"))
-    if rest.limit(1).count():
-        links = cut(links.unionByName(links_of(rest, texts)))
-    part = components(links)
-    rows = rows.select("id", "also", "node", "n").join(part, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    least = rows.where("node is not null").groupBy("c").agg(F.min("id").alias("least"))
-    return rows.join(least, "c", "left").select("id", "also", "n", "c", "least")
+    dealt = rows.where("prefix is not null").select("node", "n", "prefix").mapInArrow(_deal(fragments, order), "fragment int, tokens binary, nodes binary, sizes binary, counts binary, places binary")
+    met = dealt.groupBy("fragment").applyInArrow(_meet(order), "bucket long, node long, n long, w long, place long")
+    buckets = _living(cut(met.groupBy("bucket", "node").agg(F.max("n").alias("n"), F.sum("w").alias("w"), F.min("place").alias("place"))))
+    buckets = cut(buckets)
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("holders")).where("holders > 1")
+    buckets = cut(buckets.join(sizes, "bucket"))
+    part = components(cut(_links(buckets, texts.select("text"))))
+
+    rows = rows.select("id", "also", "node", "n")
+    nodes = cut(rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("_rows")))
+    linked = cut(part.join(nodes, "node").select("node", "component", "least"))
+    big = hot_keys(linked, "component", SALT_ROWS)
+    least = copied(linked.groupBy("component").agg(F.min("least").alias("of")), "component", big)
+    linked = spread(linked, "component", big, F.col("node")).join(least, ["component", "_salt"]).select("node", "component", "of")
+    nodes = nodes.join(linked, "node", "left").select("node", "_rows", F.coalesce("component", "node").alias("c"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("of")).alias("least"))
+    hot = hot_keys(nodes, "node", 2 * SALT_ROWS, counts="_rows")
+    full = spread(rows.where("node is not null"), "node", hot, F.col("id"), F.col("also")).join(copied(nodes.drop("_rows"), "node", hot), ["node", "_salt"])
+    none = rows.where("node is null").withColumns({"c": F.lit(None).cast("long"), "least": F.lit(None).cast(kind)})
+    return full.select("id", "also", "n", "c", "least").unionByName(none.select("id", "also", "n", "c", "least"))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -378,11 +454,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each component, that of the smallest id (a null id only where no row has one); of rows
-    without words, one of each id and text."""
-    mark = "__text_hash"
-    docs = docs.withColumn(mark, F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    rows = _grouped(docs.select(F.col(text).alias("text"), F.col(key).alias("id"), F.col(mark).alias("also")))
+    without words, one of each id and text. All columns stay."""
+    kept = "__kept" + "_" * sum(map(len, docs.columns))
+    named = lambda k, h: F.concat(F.when(k.isNull(), "-").otherwise("+"), F.coalesce(k.cast("string"), F.lit("")), F.lit(":"), h.cast("string")).alias(kept)
+    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    rows = _grouped(docs.select(F.col(text).alias("text"), F.col(key).alias("id"), hashed.alias("also")))
     first = rows.where("c is not null").groupBy("c").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "also")).alias("x")).select("x.id", "x.also")
-    keep = first.unionByName(rows.where("c is null").select("id", "also"))
-    same = docs[key].eqNullSafe(keep["id"]) & (docs[mark] == keep["also"])
-    return docs.join(keep, same, "left_semi").dropDuplicates([key, mark]).drop(mark)
+    keep = first.unionByName(rows.where("c is null").select("id", "also")).select(named(F.col("id"), F.col("also")))
+    return docs.withColumn(kept, named(F.col(key), hashed)).join(keep, kept, "left_semi").dropDuplicates([kept]).drop(kept)
