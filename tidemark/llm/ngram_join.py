@@ -374,12 +374,15 @@ def _open(buckets: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def _busy(buckets: DataFrame) -> DataFrame:
-    """(a, m, b, n): nodes not compared yet that share buckets with many others, and the hub of most of those."""
-    busy = buckets.where("hub is null").groupBy("node").agg(F.sum(F.col("holders") - 1).alias("others")).where(F.col("others") > BUSY).select("node")
-    most = buckets.where("hub is not null").groupBy("bucket", "hub").agg(F.count("*").alias("k"), F.max("holders").alias("holders")).groupBy("bucket").agg(F.max(F.struct("k", "hub")).alias("h"), F.max("holders").alias("holders"))
-    rows = _to_hubs(buckets.drop("hub").join(busy, "node"), most.select("bucket", "holders", F.col("h.hub").alias("a")))
-    best = rows.groupBy("node", "n", "a").agg(F.sum("w").alias("k")).groupBy("node", "n").agg(F.max(F.struct("k", "a")).alias("h"))
-    return best.select("h.a", F.col("node").alias("b"), "n")
+    """(a, b, n): nodes not compared yet that share buckets with many others of like size, and the hub of most of those."""
+    rows = buckets.withColumn("class", F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))))
+    like = rows.groupBy("bucket", "class", "hub").agg(F.count("*").alias("k"), F.max("holders").alias("holders"))
+    like = like.groupBy("bucket", "class").agg(F.sum("k").alias("others"), F.max(F.when(F.col("hub").isNotNull(), F.struct("k", "hub"))).alias("h"), F.max("holders").alias("holders"))
+    like = like.where("others > 1").select("bucket", F.col("class").alias("of"), "others", F.col("h.hub").alias("a"), "holders")
+    rows = _to_hubs(rows.where("hub is null").drop("hub"), like).where("class = of")
+    best = rows.groupBy("node", "n", "a").agg(F.sum("w").alias("k"), F.sum(F.col("others") - 1).alias("others"))
+    best = best.groupBy("node", "n").agg(F.sum("others").alias("others"), F.max(F.when(F.col("a").isNotNull(), F.struct("k", "a"))).alias("h"))
+    return best.where((F.col("others") > BUSY) & F.col("h").isNotNull()).select("h.a", F.col("node").alias("b"), "n")
 
 
 def _rest(buckets: DataFrame) -> DataFrame:
