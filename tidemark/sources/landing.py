@@ -67,6 +67,13 @@ def normalise_paged_json(pages: DataFrame, *, body: str, page: str) -> DataFrame
 POSITION_COLS = ["open_interest", "longs", "shorts"]
 
 
+def _compact_date(c: str) -> Column:
+    """A date yymmdd, also one that was read as a number; years from 69 on are of the twentieth century."""
+    text = F.lpad(F.regexp_replace(F.col(c).cast("string"), r"\.0$", ""), 6, "0")
+    century = F.when(F.substring(text, 1, 2) >= "69", "19").otherwise("20")
+    return F.to_date(F.try_to_timestamp(F.concat(century, text), F.lit("yyyyMMdd")))
+
+
 def normalise_positioning(raw: DataFrame, *, code: str | None, arrival: str, lag_days: int = 3) -> DataFrame:
     """Reports with their day of publication. A compact date yymmdd stands in where there is no report_date; codes are padded to six places;
     of a report that comes twice the last stays. Missing columns raise."""
@@ -74,7 +81,7 @@ def normalise_positioning(raw: DataFrame, *, code: str | None, arrival: str, lag
     need = {"market", "code", *POSITION_COLS} - {*df.columns}
     if need or not {"report_date", "yymmdd"} & {*df.columns}:
         raise ValueError(f"missing columns: {sorted(need) or ['report_date']}")
-    compact = F.to_date(F.try_to_timestamp(F.lpad(F.regexp_replace(F.col("yymmdd").cast("string"), r"\.0$", ""), 6, "0"), F.lit("yyMMdd"))) if "yymmdd" in df.columns else F.lit(None).cast("date")
+    compact = _compact_date("yymmdd") if "yymmdd" in df.columns else F.lit(None).cast("date")
     plain = F.expr("try_cast(report_date as date)") if "report_date" in df.columns else F.lit(None).cast("date")
     df = df.select(
         "market", F.lpad(F.trim(F.col("code").cast("string")), 6, "0").alias("code"), F.coalesce(plain, compact).alias("report_date"), *(number(F.regexp_replace(F.col(c).cast("string"), ",", "")).alias(c) for c in POSITION_COLS), F.col(arrival.lower()).alias("_o")
