@@ -58,6 +58,11 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def private(*frames: DataFrame) -> str:
+    """A prefix that no column of the frames starts with."""
+    return "_" * (1 + max([len(c) - len(c.lstrip("_")) for df in frames for c in df.columns], default=0))
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

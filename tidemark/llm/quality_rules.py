@@ -2,45 +2,49 @@
 
 Each text gets counts of words, symbols, repeated lines and repeated passages. For every (language, source) a KLL
 sketch of each ratio is built; sketches of small groups are replaced by the merged sketch of their language, and of
-small languages by that of all rows. A text fails where a ratio lies far outside of its group's central
-range. DataFrame functions only.
+small languages by that of all rows. A text fails where a ratio lies far above the lower part of its group. Both quantiles are below the
+median, so that a source of which more than half is junk can't vouch for itself; a group without spread takes that of its language, or of all
+rows. DataFrame functions only.
 
 Nulls and edge cases: a null or empty text has no words and fails the base rule; null languages and
-sources are groups of their own; an empty table gives an empty result; repeated rows get equal verdicts; extra columns
-pass through, those named like an output are replaced.
+sources are groups of their own; an empty table gives an empty result; repeated rows get equal verdicts. Extra columns
+pass through: ``keep_good`` returns its rows whole under any names, ``apply_rules`` replaces columns that are named like one of its outputs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import copied, cut, hot_keys, private, spread
 
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 20, 30, 8
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: Ratio, with the slack that is added to its fence: below it a value is no reason to reject a text.
 RATIOS = {"symbol_ratio": 0.03, "dup_line_ratio": 0.05, "repeat_ratio": 0.25, "word_length": 2.0}
 #: The fence is the upper quantile plus REACH times the range between the two.
-LOWER, UPPER, REACH = 0.2, 0.8, 4.0
+LOWER, UPPER, REACH = 0.1, 0.4, 8.0
 #: Groups of fewer rows use the merged sketch of the level above.
 MIN_GROUP = 200
 SKETCH_K = 1024
+#: Groups whose fences may be broadcast, some hundred bytes each.
+BROADCAST_GROUPS = 10_000
 _SPACE = r"[\x20\x09-\x0D]+"
 
 
-def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add :data:`COUNTS`. Equal 8-word windows are found by their 64-bit hashes, put together by doubling."""
-    t, keep = F.coalesce(F.col(text), F.lit("")), [c for c in docs.columns if c.lower() not in COUNTS]
+def _counted(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """``keep`` and :data:`COUNTS`. Equal 8-word windows are found by their 64-bit hashes, put together by doubling."""
+    t = F.coalesce(F.col(text), F.lit(""))
     bare = F.regexp_replace(t, _SPACE, "")
     lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    df = docs.select(*keep, F.array_remove(F.split(t, _SPACE), "").alias("_w"), bare.alias("_bare"), lines.alias("_lines"))
+    # Other columns wait in one of their own, so that no name can clash.
+    df = docs.select(F.struct(F.lit(0).alias("_"), *keep).alias("kept_"), F.array_remove(F.split(t, _SPACE), "").alias("_w"), bare.alias("_bare"), lines.alias("_lines"))
     df = df.select(
-        *keep, F.size("_w").cast("long").alias("n_words"), F.length("_bare").cast("long").alias("word_chars"),
+        "kept_", F.size("_w").cast("long").alias("n_words"), F.length("_bare").cast("long").alias("word_chars"),
         (F.length("_bare") - F.length(F.regexp_replace("_bare", r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"), F.transform("_w", lambda w: F.xxhash64(w)).alias("_h"),
     )
-    done = [*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines"]
+    done = ["kept_", "n_words", "word_chars", "n_symbols", "n_dup_lines"]
     joined = lambda k: F.transform("_h", lambda x, i: F.xxhash64(x, F.get("_h", i + k)))
     for k in (1, 2, 4):
         df = df.select(*done, joined(k).alias("_h"))
@@ -52,56 +56,75 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     covered = F.aggregate(F.transform("_p", lambda x, k: F.least(F.lit(WINDOW), F.get("_p", k + 1) - x)), F.lit(0), lambda a, x: a + x)
     df = df.select(*done, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
     # A generator of one row: a later filter on the counts then stays above them, and doesn't count anew for each mention.
-    return df.select(*keep, F.inline(F.array(F.struct(*COUNTS))))
+    return df.select(*(F.col("kept_")[c].alias(c) for c in keep), F.inline(F.array(F.struct(*COUNTS))))
+
+
+def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Add :data:`COUNTS`; columns of these names are replaced."""
+    return _counted(docs, text, [c for c in docs.columns if c.lower() not in COUNTS])
 
 
-def with_ratios(df: DataFrame) -> DataFrame:
+def ratios() -> dict[str, Column]:
     words = F.greatest(F.col("n_words"), F.lit(1))
-    return df.withColumns({
+    return {
         "symbol_ratio": F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)), "dup_line_ratio": F.col("n_dup_lines") / words,
         "repeat_ratio": F.col("n_repeat_words") / words, "word_length": F.col("word_chars") / words,
-    })
+    }
 
 
 def thresholds(counted: DataFrame, keys: tuple[str, str] = ("lang", "source")) -> DataFrame:
-    """One row for each (language, source): the fence of every ratio. Computed once, since KLL compaction draws lots."""
-    rows = with_ratios(counted).where(F.col("n_words") > 0)
-    one = rows.groupBy(*keys).agg(F.count("*").alias("_n"), *(F.kll_sketch_agg_double(r, F.lit(SKETCH_K)).alias(r) for r in RATIOS))
-    one = cut(one)
-    merged = [F.sum("_n").alias("_n"), *(F.kll_merge_agg_double(r).alias(r) for r in RATIOS)]
-    tag = lambda df, name: df.select(*[c for c in df.columns if c in keys], F.struct("_n", *RATIOS).alias(name))
-    lang, everything = tag(one.groupBy(keys[0]).agg(*merged), "_lang"), one.agg(*merged).select(F.struct("_n", *RATIOS).alias("_all"))
-    up = lang.withColumnRenamed(keys[0], "_k")
-    df = one.select(*keys, F.struct("_n", *RATIOS).alias("_own")).join(up, F.col(keys[0]).eqNullSafe(F.col("_k"))).drop("_k")
-    df = df.withColumn("_all", everything.scalar())
-    pick = F.when(F.col("_own._n") >= MIN_GROUP, F.col("_own")).when(F.col("_lang._n") >= MIN_GROUP, F.col("_lang")).otherwise(F.col("_all"))
-    df = df.select(*keys, pick.alias("_s"))
-    q = lambda r, at: F.kll_sketch_get_quantile_double(F.col(f"_s.{r}"), F.lit(at))
-    fence = {f"{r}_most": q(r, UPPER) + REACH * (q(r, UPPER) - q(r, LOWER)) + slack for r, slack in RATIOS.items()}
-    return cut(df.select(*(F.col(k).alias(f"_{k}") for k in keys), *(e.alias(n) for n, e in fence.items())))
-
-
-def judge(counted: DataFrame, limits: DataFrame, keys: tuple[str, str] = ("lang", "source")) -> DataFrame:
-    """Add ``base_failed`` and ``kept`` to counted texts."""
-    df = with_ratios(counted.drop("base_failed", "kept"))
-    on = F.col(f"_{keys[0]}").eqNullSafe(F.col(keys[0])) & F.col(f"_{keys[1]}").eqNullSafe(F.col(keys[1]))
-    df = df.join(limits, on, "left")
+    """One row for each (language, source): ``group``, the two as text, and the fence of every ratio. Computed once, since KLL compaction draws lots."""
+    rows = counted.where(F.col("n_words") > 0).select(F.col(keys[0]).alias("k"), _group(keys).alias("group"), *(x.alias(r) for r, x in ratios().items()))
+    one = cut(rows.groupBy("k", "group").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(r, F.lit(SKETCH_K)).alias(r) for r in RATIOS)))
+    merged = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(r).alias(r) for r in RATIOS)]
+    whole = F.struct("n", *RATIOS)
+    up = one.groupBy("k").agg(*merged).select(F.col("k").alias("up"), whole.alias("lang"))
+    df = one.select("group", "k", whole.alias("own")).join(up, F.col("k").eqNullSafe(F.col("up")))
+    df = df.withColumn("all", one.agg(*merged).select(whole).scalar())
+    pick = F.when(F.col("own.n") >= MIN_GROUP, F.col("own")).when(F.col("lang.n") >= MIN_GROUP, F.col("lang")).otherwise(F.col("all"))
+    df = df.select("group", pick.alias("s"), "lang", "all")
+    q = lambda level, r, at: F.kll_sketch_get_quantile_double(F.col(f"{level}.{r}"), F.lit(at))
+    width = lambda level, r: q(level, r, UPPER) - q(level, r, LOWER)
+    fences = []
+    for r, slack in RATIOS.items():
+        spread_ = F.coalesce(*(F.when(width(level, r) > 0, width(level, r)) for level in ("s", "lang", "all")), F.lit(0.0))
+        fences.append(q("s", r, UPPER) + REACH * spread_ + slack)
+    return cut(df.select("group", *(f.alias(r) for r, f in zip(RATIOS, fences, strict=True))))
+
+
+def _group(keys: tuple[str, str]) -> Column:
+    """Both keys as one text; a null is not there."""
+    return F.to_json(F.struct(F.col(keys[0]).alias("a"), F.col(keys[1]).alias("b")))
+
+
+def _judged(counted: DataFrame, limits: DataFrame, keys: tuple[str, str]) -> tuple[DataFrame, str]:
+    """``counted`` with base_failed, kept and the fences under private names, and the prefix of those. Fences are broadcast if there are few groups; else large groups are dealt out."""
+    p = private(counted)
+    named = limits.toDF(*(p + c for c in limits.columns))
+    df = counted.withColumn(f"{p}group", _group(keys))
+    if limits.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
+        df = df.join(F.broadcast(named), f"{p}group", "left")
+    else:
+        hot = hot_keys(df, f"{p}group", 100_000)
+        df = spread(df, f"{p}group", hot, *(c for c in COUNTS)).join(copied(named, f"{p}group", hot), [f"{p}group", "_salt"], "left").drop("_salt")
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     odd = F.lit(False)
-    for r in RATIOS:
-        odd = odd | F.coalesce(F.col(r) > F.col(f"{r}_most"), F.lit(False))
-    df = df.withColumn("base_failed", base).withColumn("kept", ~base & ~odd)
-    return df.drop(*(f"_{k}" for k in keys), *(f"{r}_most" for r in RATIOS), *RATIOS)
+    for r, x in ratios().items():
+        odd = odd | F.coalesce(x > F.col(f"{p}{r}"), F.lit(False))
+    return df.withColumns({f"{p}base": base, f"{p}good": ~base & ~odd}), p
 
 
 def apply_rules(docs: DataFrame, text: str = "text", keys: tuple[str, str] = ("lang", "source")) -> DataFrame:
-    """Counts, verdict and all other columns but the text, for each row of ``docs``."""
+    """Counts, ``base_failed``, ``kept`` and all other columns but the text, for each row of ``docs``."""
     counted = cut(with_counts(docs, text).drop(text))
-    return judge(counted, thresholds(counted, keys), keys)
+    df, p = _judged(counted, thresholds(counted, keys), keys)
+    names = [c for c in counted.columns if c.lower() not in ("base_failed", "kept")]
+    return df.select(*names, F.col(f"{p}base").alias("base_failed"), F.col(f"{p}good").alias("kept"))
 
 
 def keep_good(docs: DataFrame, text: str = "text", keys: tuple[str, str] = ("lang", "source")) -> DataFrame:
     """The rows of ``docs`` that pass, whole. Texts are counted twice rather than shuffled."""
-    narrow = docs.select(*dict.fromkeys([text, *keys]))
-    limits = thresholds(cut(with_counts(narrow, text).drop(text)), keys)
-    return judge(with_counts(docs, text), limits, keys).where("kept").select(*docs.columns)
+    limits = thresholds(cut(_counted(docs, text, [*keys])), keys)
+    packed = docs.select(F.struct("*").alias("row"), F.col(text).alias("text_"), *(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)))
+    df, p = _judged(_counted(packed, "text_", ["row", "k0", "k1"]), limits, ("k0", "k1"))
+    return df.where(f"{p}good").select("row.*")
