@@ -1,12 +1,15 @@
 """Main text of a page by a minimum cut.
 
-A page is read into blocks: runs of text between block elements. A logistic classifier, trained on pages whose elements say
-what they are and on the same blocks without those hints, gives each block a cost of being content and of being boilerplate;
-these are the capacities to the two terminals. Neighbours in reading order, and neighbours that share a parent or a
+A page is read into blocks: runs of text between block elements. A logistic classifier of what a block looks like (length, links, stops, tag,
+place, neighbours) gives each block a cost of being content and of being boilerplate; it learns from blocks whose elements say what they
+are, which it doesn't see. What elements say is added to the costs at a fixed weight. These
+are the capacities to the two terminals. Neighbours in reading order, and neighbours that share a parent or a
 section, are tied by smoothness edges. The blocks on the source's side of the minimum cut are the main text.
 
-Nulls and edge cases: a null, empty or text-free page has the text "" and no characters; unclosed elements, comments and scripts end where
-HTML ends them, at the latest with the page; null ids and urls, repeated rows and empty tables work; extra columns pass through, and one
+Nulls and edge cases: a null, empty or text-free page has the text "" and no characters; a comment, script, style, title or text area that isn't closed lasts to
+the end of the page; other elements that aren't closed end with the element that they are in, those that hold no blocks (buttons, options, drawings) where
+a block starts; a quote in a tag that isn't closed is a character like others; elements may be nested to any depth; a character reference of any length is decoded
+(one beyond all characters is U+FFFD); null ids and urls, repeated rows and empty tables work; extra columns pass through, and one
 named like an output is replaced.
 """
 
@@ -14,9 +17,9 @@ from __future__ import annotations
 
 import html as _html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -26,34 +29,57 @@ from pyspark.sql import types as T
 
 from .common import small_batches
 
-#: Pages that the fit sees at most, in expectation: a share by hash.
-FIT_PAGES = 400
+#: Pages that the fit sees at most, in expectation: a share by hash; and blocks of them, exactly.
+FIT_PAGES, FIT_BLOCKS = 400, 20_000
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol optgroup option p pre section select summary table tbody td template textarea tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "select", "button")
+#: Elements whose content is characters and no markup, and elements that hold no blocks.
+RAW, PHRASING = frozenset("script style textarea title iframe".split()), ("button", "option", "optgroup", "select", "svg")
 #: Elements and words of class or id that name what is not main text.
-AWAY_TAGS = frozenset("nav footer aside form head dialog menu fieldset title button select option textarea noscript template iframe svg".split())
+AWAY_TAGS = frozenset("nav footer aside form head dialog menu fieldset title button select option optgroup textarea noscript template iframe svg".split())
 AWAY_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 AWAY_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side aside nav navbar navigation menu footer header masthead breadcrumb breadcrumbs comment comments reply replies respond discussion disqus notice notices alert cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended widget widgets toolbar pagination pager search form copyright".split())
 _MAIN_WORDS = frozenset("article content main post entry story body text".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+#: Elements that are too large for their class to say anything about all that is in them.
+_WHOLE = frozenset("html body main article".split())
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_WORDS = re.compile(r"[^a-z]+")
-FEATURES = ["bias", "away", "main", "heading", "paragraph", "links", "words", "stops", "few", "symbols"]
+_WORDS, _LONG = re.compile(r"[^a-z]+"), re.compile(r"&#(?:[0-9]{8,}|[xX][0-9a-fA-F]{7,});?")
+_HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+FEATURES = ["bias", "heading", "paragraph", "item", "links", "words", "stops", "few", "symbols", "edge", "near_words", "near_links"]
 #: Start and prior of the fit, in the order of FEATURES.
-PRIOR = np.array([-0.5, -6.0, 4.0, 0.3, 0.8, -2.5, 1.0, 0.6, -0.4, -0.2])
+PRIOR = np.array([-0.5, 0.3, 0.8, -0.2, -2.5, 1.0, 0.6, -0.4, -0.2, -0.3, 0.5, -0.5])
+#: Log odds that an element adds which says that it is boilerplate, or main text.
+SAYS_AWAY, SAYS_MAIN = -6.0, 4.0
 
 
 @dataclass(slots=True)
 class Block:
+    """A run of text, with its element's name and parent, the number of block elements it is in and how many of those
+    the block before it is in too, what the elements say, and the share of its text that is links."""
+
     text: str
-    path: tuple[int, ...]
     tag: str
+    parent: int
+    depth: int
+    shared: int
     away: bool
     main: bool
     links: float
 
 
+@dataclass(slots=True)
+class _Open:
+    """An open block element, with what it and those around it say, and the inline elements that are open in it."""
+
+    tag: str
+    number: int
+    away: bool
+    main: bool
+    inline: list[tuple[str, bool, bool]] = field(default_factory=list)
+    names: Counter = field(default_factory=Counter)
+
+
 def _says(tag: str, attrs: str) -> tuple[bool, bool]:
     """Whether an element says that it is boilerplate, or main text."""
     away, main = tag in AWAY_TAGS, tag in ("article", "main")
@@ -62,8 +88,8 @@ def _says(tag: str, attrs: str) -> tuple[bool, bool]:
             name, value = name.lower(), next((v for v in values if v), "").lower()
             if name in ("class", "id"):
                 words = {w for w in _WORDS.split(value) if w}
-                away |= bool(words & AWAY_WORDS)
-                main |= not away and bool(words & _MAIN_WORDS)
+                away |= tag not in _WHOLE and bool(words & AWAY_WORDS)
+                main |= not away and tag not in _WHOLE and bool(words & _MAIN_WORDS)
             elif name == "role":
                 away |= value in AWAY_ROLES
                 main |= value in ("main", "article")
@@ -74,24 +100,33 @@ def _says(tag: str, attrs: str) -> tuple[bool, bool]:
     return away, main
 
 
+def _short(m: re.Match) -> str:
+    """A long character reference as one that can be decoded."""
+    x = m[0].rstrip(";")[2:]
+    digits = x.lstrip("xX0")
+    return "\ufffd" if len(digits) > 7 else f"&#{'x' if x[0] in 'xX' else ''}{digits or '0'};"
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """The blocks of a page in reading order, with what their ancestors say."""
     out: list[Block] = []
     if not page:
         return out
-    # Open elements: tag, number, says boilerplate, says main text.
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    stack = [_Open("", 0, False, False)]
     parts: list[str] = []
     linked = total = number = at = 0
-    in_link = False
+    in_link, low = False, 1
 
     def flush() -> None:
-        nonlocal parts, linked, total
+        nonlocal parts, linked, total, low
         if parts:
-            text = " ".join(_html.unescape("".join(parts)).split())
+            text = "".join(parts)
+            text = " ".join(_html.unescape(_LONG.sub(_short, text) if "&#" in text else text).split())
             if text:
-                top = [x for x in stack if x[0] in BLOCK or not x[0]]
-                out.append(Block(text, tuple(x[1] for x in top), top[-1][0], any(x[2] for x in stack), any(x[3] for x in stack), linked / max(1, total)))
+                top = stack[-1]
+                away, main = (top.inline[-1][1:] if top.inline else (top.away, top.main))
+                out.append(Block(text, top.tag, stack[-2].number if len(stack) > 1 else -1, len(stack), low, away, main, linked / max(1, total)))
+                low = len(stack)
             parts, linked, total = [], 0, 0
 
     def say(text: str) -> None:
@@ -101,6 +136,12 @@ def blocks_of(page: str | None) -> list[Block]:
             total += len(text)
             linked += len(text) * in_link
 
+    def shut() -> None:
+        nonlocal low
+        opened[stack.pop().tag] -= 1
+        low = min(low, len(stack))
+
+    opened: Counter = Counter()
     while at < len(page):
         m = _TOKEN.search(page, at)
         say(page[at : m.start()] if m else page[at:])
@@ -112,52 +153,72 @@ def blocks_of(page: str | None) -> list[Block]:
         tag = m[2].lower()
         if tag in ("br", "wbr", "img", "hr", "input"):
             say(" ")
+        top = stack[-1]
         if m[1]:
             if tag == "a":
                 in_link = False
-            if tag in BLOCK:
+            if tag in BLOCK or tag in PHRASING:
                 flush()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    if tag in BLOCK or not any(x[0] in BLOCK for x in stack[k + 1 :]):
-                        del stack[k:]
-                    break
+                if opened[tag] > 0:
+                    while stack[-1].tag != tag:
+                        shut()
+                    shut()
+            elif top.names[tag] > 0:
+                while True:
+                    name = top.inline.pop()[0]
+                    top.names[name] -= 1
+                    if name == tag:
+                        break
             continue
-        if tag in RAW and not (m[3] or "").endswith("/"):
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)  # its text is never main text
+        if tag in RAW:
+            if not (m[3] or "").endswith("/"):
+                end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+                at = end.end() if end else len(page)  # its text is never main text
             if tag in BLOCK:
                 flush()
             continue
-        if tag in BLOCK:
+        if tag in BLOCK or tag in PHRASING:
             flush()
-            shut = {"p": ("p",), "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p")}.get(tag, ("p",))
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in shut:
-                    del stack[k:]
-                    if tag not in ("tr", "li", "dt", "dd", "td", "th"):
-                        break
-                elif stack[k][0] in BLOCK:
-                    break
+            ends = {"li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th", "p"), "td": ("td", "th", "p"), "th": ("td", "th", "p")}.get(tag, ("p",))
+            while stack[-1].tag in (ends if tag in PHRASING or tag == "p" else (*ends, *PHRASING)) and not (tag in PHRASING and stack[-1].tag == "p"):
+                shut()
+            if tag == "p":
+                while stack[-1].tag in PHRASING:
+                    shut()
+                if stack[-1].tag == "p":
+                    shut()
             in_link = False
-        elif tag == "a":
-            in_link = True
-        if tag not in VOID:
-            number += 1
-            stack.append((tag, number, *_says(tag, m[3])))
-            if len(stack) > 400:  # runaway nesting of unclosed inline elements
-                stack[:] = [x for x in stack if x[0] in BLOCK or not x[0]][:400]
+            if tag not in VOID and not (tag in PHRASING and (m[3] or "").endswith("/")):
+                number += 1
+                top = stack[-1]
+                away, main = (top.inline[-1][1:] if top.inline else (top.away, top.main))
+                own = _says(tag, m[3])
+                stack.append(_Open(tag, number, away or own[0], main or own[1]))
+                opened[tag] += 1
+        elif tag not in VOID:
+            in_link = in_link or tag == "a"
+            away, main = (top.inline[-1][1:] if top.inline else (top.away, top.main))
+            own = _says(tag, m[3])
+            top.inline.append((tag, away or own[0], main or own[1]))
+            top.names[tag] += 1
     flush()
     return out
 
 
-def features(blocks: list[Block], hints: bool = True) -> np.ndarray:
-    out = np.zeros((len(blocks), len(FEATURES)))
+def features(blocks: list[Block]) -> np.ndarray:
+    """What each block and its neighbours look like; nothing of what elements say."""
+    n = len(blocks)
+    out = np.zeros((n, len(FEATURES)))
     for i, b in enumerate(blocks):
-        n = len(b.text.split())
+        words = len(b.text.split())
         stops = b.text.count(".") + b.text.count(",") + b.text.count(";")
-        odd = sum(b.text.count(c) for c in "|»©·›")
-        out[i] = (1, b.away and hints, b.main and not b.away and hints, b.tag in ("h1", "h2", "h3", "h4", "h5", "h6"), b.tag in ("p", "blockquote", "pre", "h1"), b.links, min(np.log1p(n) / 3, 2), min(stops / max(1, n) * 8, 1.5), n < 4, min(odd, 3))
+        odd = sum(b.text.count(c) for c in "|\u00bb\u00a9\u00b7\u203a")
+        out[i, :9] = (1, b.tag in _HEADINGS, b.tag in ("p", "blockquote", "pre"), b.tag in ("li", "td", "th", "dd", "dt", "option"), b.links, min(np.log1p(words) / 3, 2), min(stops / max(1, words) * 8, 1.5), words < 4, min(odd, 3))
+    if n:
+        out[:, 9] = np.abs(np.arange(n) * 2 / max(1, n - 1) - 1) ** 3
+        pad = np.zeros((n + 2, 2))
+        pad[1:-1] = out[:, [5, 4]]
+        out[:, 10:] = (pad[:-2] + pad[2:]) / 2
     return out
 
 
@@ -239,46 +300,50 @@ def _edges(blocks: list[Block], near: float, kin: float) -> list[tuple[int, int,
     out, last = [], {}
     for i, b in enumerate(blocks):
         if i:
-            a = blocks[i - 1]
-            shared = sum(x == y for x, y in zip(a.path, b.path, strict=False)) / max(len(a.path), len(b.path))
-            out.append((i - 1, i, near * shared**2))
-        parent = b.path[:-1]
-        if parent in last and last[parent] != i - 1:
-            out.append((last[parent], i, kin))
-        last[parent] = i
+            out.append((i - 1, i, near * (b.shared / max(blocks[i - 1].depth, b.depth)) ** 2))
+        if b.parent in last and last[b.parent] != i - 1:
+            out.append((last[b.parent], i, kin))
+        last[b.parent] = i
     return out
 
 
-def main_text(page: str | None, weights: np.ndarray, *, near: float = 0.6, kin: float = 0.6) -> str:
+def odds(blocks: list[Block], weights: np.ndarray) -> np.ndarray:
+    """Log odds of each block being main text: the classifier's, and what elements say."""
+    looks = np.clip(features(blocks) @ weights, -7, 7)
+    return looks + np.array([SAYS_AWAY if b.away else SAYS_MAIN if b.main else 0.0 for b in blocks])
+
+
+def labels(blocks: list[Block], weights: np.ndarray, *, near: float = 1.2, kin: float = 0.3) -> np.ndarray:
+    """Whether each block is on the content's side of the minimum cut."""
+    x = odds(blocks, weights)
+    return minimum_cut(np.logaddexp(0, x), np.logaddexp(0, -x), _edges(blocks, near, kin))
+
+
+def main_text(page: str | None, weights: np.ndarray) -> str:
     blocks = blocks_of(page)
-    if not blocks:
-        return ""
-    p = 1 / (1 + np.exp(-np.clip(features(blocks) @ weights, -7, 7)))
-    keep = minimum_cut(-np.log(1 - p), -np.log(p), _edges(blocks, near, kin))
-    return "\n".join(b.text for b, k in zip(blocks, keep, strict=True) if k)
+    return "\n".join(b.text for b, k in zip(blocks, labels(blocks, weights), strict=True) if k) if blocks else ""
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
         for page in b.column(0).to_pylist():
-            blocks = [x for x in blocks_of(page) if x.away or x.main]
-            y = [float(not x.away) for x in blocks]
-            rows += [(a, *f) for hints in (True, False) for a, f in zip(y, features(blocks, hints).tolist(), strict=True)]
+            blocks = blocks_of(page)
+            rows += [(float(not x.away), *f) for x, f in zip(blocks, features(blocks).tolist(), strict=True) if x.away or x.main]
         cols = [*zip(*rows, strict=True)] or [[]] * (1 + len(FEATURES))
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in cols], ["y", *FEATURES])
 
 
-def fit_pages(pages: DataFrame, html: str = "html", *, fit_pages: int = FIT_PAGES) -> np.ndarray:
-    """Fit on blocks whose elements say what they are, of about ``fit_pages`` pages by hash."""
+def fit_pages(pages: DataFrame, html: str = "html", *, fit_pages: int = FIT_PAGES, fit_blocks: int = FIT_BLOCKS) -> np.ndarray:
+    """Fit on blocks whose elements say what they are, of about ``fit_pages`` pages by hash, and at most ``fit_blocks`` different ones of them."""
     small_batches(pages.sparkSession)
     rows = pages.select(html).where(F.col(html).isNotNull())
     share = min(1.0, fit_pages / max(1, rows.count()))
     rows = rows.where(F.pmod(F.xxhash64(html), F.lit(1_000_003)) < int(share * 1_000_003))
     data = rows.mapInArrow(_labelled, ", ".join(f"{c} double" for c in ["y", *FEATURES]))
-    # Equal rows count once with their number bounded, so a page that is copied many times doesn't take over.
-    data = data.groupBy(*data.columns).agg(F.count("*").alias("_n")).toPandas().sort_values(["y", *FEATURES]).to_numpy(dtype=float)
-    return fit(data[:, 1:-1], data[:, 0]) if len(data) else PRIOR.copy()
+    # Equal rows count once, so a page that is copied many times doesn't take over.
+    data = data.distinct().orderBy(F.xxhash64(*data.columns), *data.columns).limit(fit_blocks).toPandas().to_numpy(dtype=float)
+    return fit(data[:, 1:], data[:, 0]) if len(data) else PRIOR.copy()
 
 
 def extract(pages: DataFrame, weights: np.ndarray, *, html: str = "html") -> DataFrame:
