@@ -73,14 +73,15 @@ class WordTokenizer:
         if len(self._young) > self._most:
             self._old, self._young = self._young, {"": b""}
         young, old = self._young, self._old
-        new = {w for words in split for w in words if w not in young}
+        new = set().union(*split).difference(young)
         young.update((w, old[w]) for w in new if w in old)
-        # The vocabulary is of lower case, and parts a letter or digit from a stop or comma: such words need encoding once.
+        # The vocabulary is of lower case, and parts an ASCII letter or digit from a stop or comma: such words need encoding once.
+        # Other letters may be normalised to a letter and a mark that isn't parted from the stop.
         bare = {}
         for w in new:
             if w not in young:
                 x = w.lower() if w.isascii() else w
-                bare[w] = (x[:-1], x[-1]) if len(x) > 1 and x[-1] in ".," and x[-2].isalnum() and "<|" not in x and "|>" not in x else (x if "<|" not in x and "|>" not in x else w, "")
+                bare[w] = (x[:-1], x[-1]) if len(x) > 1 and x[-1] in ".," and x[-2].isascii() and x[-2].isalnum() and "<|" not in x and "|>" not in x else (x if "<|" not in x and "|>" not in x else w, "")
         self._encode([x for x in {x for x, _ in bare.values()} if x not in young])
         tail = {"": b"", ".": self._stop, ",": self._comma}
         for w, (x, t) in bare.items():
