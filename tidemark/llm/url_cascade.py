@@ -34,10 +34,10 @@ def with_host_path(df: DataFrame, url: str = "url") -> DataFrame:
     return df.drop("host", "path").withColumns({"host": F.translate(F.regexp_extract(u, _URL, 1), _UPPER, _LOWER), "path": F.regexp_extract(u, _URL, 2)})
 
 
-def candidate_keys(lengths: list[int]) -> Column:
-    """All keys by which a rule could fit (host, path), longest first."""
+def candidate_keys(lengths: list[int], most: int) -> Column:
+    """All keys by which a rule could fit (host, path), longest first. ``most``: labels of the longest listed host."""
     labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    suffixes = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most))), lambda i: F.array_join(F.slice(labels, -i, i), "."))
     paths = F.filter(F.array(*(F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in sorted(lengths, reverse=True))), lambda p: p.isNotNull())
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(paths, lambda p: F.struct((-F.length(s) - F.length(p)).alias("n"), F.concat(s, p).alias("key")))))
     return F.transform(F.sort_array(keys), lambda x: x["key"])
@@ -54,11 +54,14 @@ class Level:
         return F.pmod(F.xxhash64(key, F.lit(self.seed), F.lit(j)), F.lit(self.bits))
 
     def has(self, key: Column) -> Column:
-        words, found = F.lit(self.words), F.lit(True)
-        for j in range(self.hashes):
-            at = self.at(key, j)
-            found = found & (F.get(words, (at / 64).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))) != 0)
-        return found
+        def held(words: Column) -> Column:
+            found = F.lit(True)
+            for j in range(self.hashes):
+                at = self.at(key, j)
+                found = found & (F.get(words, (at / 64).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))) != 0)
+            return found
+
+        return F.get(F.transform(F.array(F.lit(self.words)), held), F.lit(0))  # the filter is in the plan once
 
 
 def _level(keys: DataFrame, n: int, rate: float, seed: int) -> Level:
@@ -96,18 +99,18 @@ class Cascade:
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """Add host, path, rule (the longest listed key, or null) and verdict. ``rules``: columns host, path, verdict."""
     df = with_host_path(pages.drop("rule", "verdict"), url)
-    listed = rules.select(F.concat("host", "path").alias("key"), F.length("path").alias("n"), (F.col("verdict") == "block").alias("block")).where("key is not null")
-    lengths = [r["n"] for r in listed.select("n").distinct().limit(4097).collect()]
+    listed = rules.select(F.concat("host", "path").alias("key"), F.length("path").alias("n"), F.size(F.split("host", r"\.")).alias("labels"), (F.col("verdict") == "block").alias("block")).where("key is not null")
+    lengths, most = [r["n"] for r in listed.select("n").distinct().limit(4097).collect()], listed.agg(F.max("labels")).first()[0]
     if len(lengths) > 4096:
         raise ValueError("rules have more than 4096 lengths of path")
     listed = cut(listed.groupBy("key").agg(F.max("block").alias("block")))
     if not lengths:
         return df.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit("allow")})
     prefix = df.select("host", F.substring("path", 1, max(lengths)).alias("path")).distinct()
-    universe = prefix.select(F.explode(candidate_keys(lengths)).alias("key")).distinct()
+    universe = prefix.select(F.explode(candidate_keys(lengths, most)).alias("key")).distinct()
     member = Cascade(listed.select("key"), cut(universe.join(listed.select("key"), "key", "left_anti")))
     blocked = Cascade(listed.where("block").select("key"), listed.where("not block").select("key"))
-    df = df.withColumn("rule", F.get(F.filter(candidate_keys(lengths), member.has), F.lit(0)))
+    df = df.withColumn("rule", F.get(F.filter(candidate_keys(lengths, most), member.has), F.lit(0)))
     return df.withColumn("verdict", F.when(F.col("rule").isNotNull() & blocked.has(F.col("rule")), F.lit("block")).otherwise(F.lit("allow")))
 
 
