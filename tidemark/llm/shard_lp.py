@@ -22,6 +22,10 @@ LAW = "rows"
 OVERHEAD = 16
 LINE_CHARS = 40
 MAX_UNIT = 10_000
+#: Parts of the requests of one gain that a shard takes or refuses whole.
+LOTS = 32
+#: Texts that are cut at most: the most common ones. Others have at most a share of 1 / MOST_CUT of all rows.
+MOST_CUT = 10_000
 
 
 def _base(docs: DataFrame) -> DataFrame:
@@ -94,7 +98,7 @@ def _start(labels: DataFrame, share: int, goal: list[int]) -> DataFrame:
 
 
 def _moves(links: DataFrame, labels: DataFrame, share: int, room: list[int], step: int) -> DataFrame:
-    """Accepted moves (unit, to): every shard takes the requests of highest gain up to its room."""
+    """Accepted moves (unit, to): every shard takes the requests of highest gain as long as all of a gain and lot fit into its room."""
     at = links.join(labels.select("unit", "rows", "fixed", "shard"), "unit")
     votes = at.groupBy("line", "shard").agg(F.sum("rows").alias("n"), F.max("spread").alias("spread"))
     # A line asks for as many shards as its rows fill, those that hold most of it; one row for each shard at most.
@@ -108,12 +112,12 @@ def _moves(links: DataFrame, labels: DataFrame, share: int, room: list[int], ste
     asks = asks.select("unit", "rows", F.col("shard").alias("from"), F.col("b.to").alias("to"), (F.col("b.weight") - F.col("own")).alias("gain"))
     asks = asks.where((F.col("gain") > 0) & ((F.col("to") > F.col("from")) if step % 2 else (F.col("to") < F.col("from"))))
     asks = cut(asks.withColumn("grade", F.greatest(F.lit(-20), F.least(F.lit(20), F.floor(F.log2("gain")).cast("int")))))
-    grades = asks.groupBy("to", "grade").agg(F.sum("rows").alias("n"))  # at most 41 for each shard
-    w = Window.partitionBy("to").orderBy(F.desc("grade")).rowsBetween(Window.unboundedPreceding, -1)
+    asks = asks.withColumn("lot", F.pmod(F.xxhash64("unit", F.lit(step)), F.lit(LOTS)).cast("int"))
+    grades = asks.groupBy("to", "grade", "lot").agg(F.sum("rows").alias("n"))  # at most 41 * LOTS for each shard
+    w = Window.partitionBy("to").orderBy(F.desc("grade"), "lot").rowsBetween(Window.unboundedPreceding, 0)
     free = F.get(F.array(*(F.lit(int(r)) for r in room)), F.col("to"))
-    grades = grades.withColumn("share", (free - F.coalesce(F.sum("n").over(w), F.lit(0))) / F.col("n"))
-    lot = F.pmod(F.xxhash64("unit", F.lit(step)), F.lit(1_000_000)) / 1_000_000
-    return asks.join(F.broadcast(grades.select("to", "grade", "share")), ["to", "grade"]).where(lot < F.col("share")).select("unit", "to")
+    taken = grades.withColumn("sum", F.sum("n").over(w)).where(F.col("sum") <= free).select("to", "grade", "lot")
+    return asks.join(F.broadcast(taken), ["to", "grade", "lot"]).select("unit", "to")
 
 
 def shard_documents(docs: DataFrame, *, shards: int = 40, rounds: int = 4, slack: float = 0.1) -> DataFrame:
@@ -123,8 +127,8 @@ def shard_documents(docs: DataFrame, *, shards: int = 40, rounds: int = 4, slack
     share = max(1, -(-total // shards))
     goal = [total // shards + (s < total % shards) for s in range(shards)]
     most = max(1, min(share // 8, MAX_UNIT))
-    many = base.groupBy("same").agg(F.count("*").alias("n")).where(F.col("n") > most).select("same", F.ceil(F.col("n") / most).cast("int").alias("pieces"))
-    base = base.join(many, "same", "left")
+    many = base.groupBy("same").agg(F.count("*").alias("n")).where(F.col("n") > most).orderBy(F.desc("n"), "same").limit(MOST_CUT).select("same", F.ceil(F.col("n") / most).cast("int").alias("pieces"))
+    base = base.join(F.broadcast(many), "same", "left")
     piece = F.when(F.col("pieces").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("pieces")))
     base = cut(base.select("doc_id", "size", "text_crc32", "same", piece.alias("piece"), "pieces", F.xxhash64("same", piece).alias("unit"), "lines"))
     held = base.select("unit", F.explode("lines").alias("line")).groupBy("unit", "line").agg(F.count("*").alias("held"))
