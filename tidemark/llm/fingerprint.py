@@ -7,7 +7,7 @@ equal by chance: an estimate of the Jaccard similarity of the texts' sets.
 
 Nulls and edge cases: a null text is empty; texts of fewer than five words have one gram of all of them; a text without words
 has the fingerprint "", whose likeness is 1 to itself and 0 to others; ties of the key are ordered by text; a null key comes
-first; a single row is its own next one; an empty table gives an empty result. Extra columns are ignored.
+first; a single row is its own next one; an empty table gives an empty result. The key is a whole number; another type raises. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ _EDGES = np.arange(BINS, dtype=np.uint64) << _SHIFT
 BLOCK_ROWS, MOST_BLOCKS = 5_000, 20_000
 
 
-def _probes(first: int, last: int) -> np.ndarray:
-    x = np.arange(BINS, dtype=np.uint64)[:, None] * np.uint64(1_000_003) + np.arange(first, last, dtype=np.uint64)[None, :]
+def _probes(first: int, last: int, bins: np.ndarray | None = None) -> np.ndarray:
+    x = (np.arange(BINS) if bins is None else bins).astype(np.uint64)[:, None] * np.uint64(1_000_003) + np.arange(first, last, dtype=np.uint64)[None, :]
     return (mix(mix(x + np.uint64(77))) % np.uint64(BINS)).astype(np.int64)
 
 
@@ -55,9 +55,13 @@ def sketch(grams: np.ndarray) -> np.ndarray | None:
         found = hit.any(1)
         donor[empty[found]] = probes[empty[found], hit[found].argmax(1)]
         empty = empty[~found]
-    if len(empty):
-        have = np.flatnonzero(full)
-        donor[empty] = have[_ROUNDS[0][empty, 0] % len(have)]
+    start = 4096
+    while len(empty):  # rare, and only where very few bins are full
+        probes = _probes(start, start + 4096, empty)
+        hit, start = full[probes], start + 4096
+        found = hit.any(1)
+        donor[empty[found]] = probes[found, hit[found].argmax(1)]
+        empty = empty[~found]
     return (mix(value[donor]) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
 
 
@@ -99,7 +103,9 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     """Rows (block, look, key, text) such that, sorted within their partition, each row of ``look`` 0 is followed by the next one
     in the order of the key over the whole table, the last by the first. Texts are shuffled once: blocks are
     ranges of the key, and the first row of each block is also dealt to the block before it, with ``look`` 1."""
-    low = F.coalesce(F.col(key), F.lit(-(2**63)))
+    if docs.schema[key].dataType.simpleString() not in ("bigint", "int", "smallint", "tinyint"):
+        raise ValueError(f"{key} must be a whole number")
+    low = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63)))
     rows = docs.select(low.alias("k"), F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     n = rows.count()
     blocks = max(1, min(MOST_BLOCKS, math.ceil(n / BLOCK_ROWS)))

@@ -12,6 +12,7 @@ named like the output is replaced), and repeated rows are scored alike.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 
 from .common import small_batches
 
-#: Labelled rows that the fit sees at most, in expectation: a sample by hash of the id.
+#: Labelled rows that the fit sees at most: a sample by hash of the id.
 FIT_ROWS = 20_000
 FEATURES = [
     "words", "chars_per_word", "distinct_share", "repeat_next", "upper", "symbols", "bars", "bangs", "digits", "stops",
@@ -46,13 +47,12 @@ def features(texts: list[str | None]) -> np.ndarray:
             continue
         m = len(words)
         lines = [x for x in b.split(b"\n") if x.strip()]
-        kinds = set(words)
+        kinds = Counter(words)
         gone = lambda chars: n - len(b.translate(None, chars))
         lengths = list(map(len, words))
-        head = max(kinds, key=len) if m < 3 else None
         nxt = sum(map(bytes.__eq__, words, words[1:]))
         pairs = len(set(zip(words, words[1:], strict=False)))
-        common = words.count(words[m // 2]) if head is None else 1
+        common = max(kinds.values())
         out[i] = (
             m, n / m, len(kinds) / m, nxt / m, gone(_UPPER) / n, gone(_SYMBOL) / n, b.count(b"|") / m, b.count(b"!") / m, gone(_DIGIT) / n, b.count(b".") / m,
             b.count(b",") / m, gone(_WHITE) / n, len(lines), m / len(lines), 1 - len(set(lines)) / len(lines), gone(_WIDE) / n, max(lengths), sum(x < 3 for x in lengths) / m, common / m, pairs / max(1, m - 1),
@@ -163,7 +163,7 @@ def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit_labelled(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS) -> AdditiveModel:
     """Fit on documents with a row in ``labels`` (doc_id, quality). Beyond ``fit_rows`` labels a share by hash of the
-    id is taken, so that what reaches the driver is bounded: the features of about ``fit_rows`` documents."""
+    id is taken, and of their documents' different features at most ``fit_rows`` reach the driver, those of the smallest hashes."""
     spark = docs.sparkSession
     small_batches(spark)
     labels = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").cast("double").alias("y"))
@@ -171,7 +171,8 @@ def fit_labelled(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS
     labels = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < int(share * 1_000_003))
     rows = docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id").select("y", "text")  # at most about fit_rows ids
     schema = T.StructType([T.StructField("y", T.DoubleType())] + [T.StructField(c, T.DoubleType()) for c in FEATURES])
-    data = rows.mapInArrow(_featurize, schema).toPandas().sort_values(["y", *FEATURES]).to_numpy(dtype=float)
+    rows = rows.mapInArrow(_featurize, schema).distinct()  # an id or a text that is repeated counts once
+    data = rows.orderBy(F.xxhash64(*rows.columns), *rows.columns).limit(fit_rows).toPandas().sort_values(["y", *FEATURES]).to_numpy(dtype=float)
     return fit(data[:, 1:], (data[:, 0] >= 0.5).astype(float))
 
 
