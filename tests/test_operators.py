@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import analogs, forecast, indicators, joins, projections, quality
+from tidemark.operators import analogs, analysis, forecast, indicators, joins, projections, quality
 from tidemark.sources import landing
 
 BY = {"keys": ["series"], "time": "date"}
@@ -129,6 +129,49 @@ def test_legacy_positioning_date(spark):
         landing.normalise_positioning(raw.drop("Longs"), code=None, arrival="arrival")
 
 
+def test_compact_dates_of_both_centuries(spark):
+    raw = spark.createDataFrame([(t, "088691", t, "1", "1", "1", 1) for t in ("950109", "690101.0", "681231", "100105", "70104.0", "991340", None)], "Market string, Code string, YYMMDD string, Open_Interest string, Longs string, Shorts string, arrival int")
+    got = {r.market: r.report_date for r in landing.normalise_positioning(raw, code=None, arrival="arrival").collect()}
+    assert got == {"950109": dt.date(1995, 1, 9), "690101.0": dt.date(1969, 1, 1), "681231": dt.date(2068, 12, 31), "100105": dt.date(2010, 1, 5), "70104.0": dt.date(2007, 1, 4)}
+
+
+def test_content_hash_sees_repeated_rows(spark):
+    rows = [(1, "a"), (1, "b"), (2, "a"), (2, "b"), (2, "b"), (3, "b"), (3, "a"), (4, None), (5, "-"), (6, "b"), (6, "b")]
+    got = {r.k: r["hash"] for r in analysis.content_hash(spark.createDataFrame(rows, "k int, x string"), by=["k"], cols=["x"]).collect()}
+    assert got[1] == got[3] and len({got[k] for k in (1, 2, 4, 5, 6)}) == 5 and got[6] != "0"
+
+
+def test_results_are_stored_once(spark):
+    base = spark.createDataFrame([("r", "m", "test", 1, "mae", 1.0), ("r", "m", "test", 1, "rmse", 2.0)], "run_id string, model string, split string, horizon int, metric string, value double")
+    new = spark.createDataFrame([("r", "m", "test", 1, "mae", 3.0, 1), ("r", "m", "test", 1, "mae", None, 2), ("r", "m", "test", 5, "mae", 4.0, 1)], base.schema.simpleString()[7:-1].replace(":", " ") + ", at int")
+    once = forecast.upsert_results(base, new, table="metrics", arrival="at")
+    want = [(1, "mae", None), (1, "rmse", 2.0), (5, "mae", 4.0)]
+    for df in (once, forecast.upsert_results(once, new, table="metrics", arrival="at")):
+        assert df.columns == base.columns and sorted((r.horizon, r.metric, r.value) for r in df.collect()) == want
+    with pytest.raises(ValueError, match="needs"):
+        forecast.upsert_results(base, new.drop("split"), table="metrics", arrival="at")
+
+
+def test_holidays_of_known_years(spark):
+    got = {(r.date.isoformat(), r.name) for r in forecast.federal_holidays(spark.createDataFrame([(2001,), (2022,)], "year int")).collect()}
+    assert {("2001-11-12", "veterans"), ("2001-05-28", "memorial"), ("2001-11-22", "thanksgiving"), ("2022-06-20", "juneteenth"), ("2021-12-31", "new year"), ("2022-12-26", "christmas"), ("2022-01-17", "king"), ("2022-09-05", "labor")} <= got
+    assert len(got) == 21
+
+
+def test_short_histories_are_named(spark):
+    df = spark.createDataFrame([("a", i) for i in range(30)] + [("b", i) for i in range(5)], "series string, x int")
+    assert {r.series: (r.rows, r.needed, r.ok) for r in forecast.history_guard(df, keys=["series"], train=10, windows=1, horizon=5).collect()} == {"a": (30, 20, True), "b": (5, 20, False)}
+    with pytest.raises(ValueError, match="'b'"):
+        forecast.history_guard(df, keys=["series"], train=10, windows=1, horizon=5, strict=True)
+
+
+def test_forecast_errors_are_single(spark):
+    pred = spark.createDataFrame([("s", dt.date(2020, 1, 1), 1, "m", 11.0, 10.0), ("s", dt.date(2020, 1, 1), 2, "m", 8.0, 10.0), ("s", dt.date(2020, 1, 2), 1, "m", 9.0, None)], "series string, cutoff_date date, step int, model string, predicted double, actual_price double")
+    runs = spark.createDataFrame([("r", "m")], "run_id string, selected_model string")
+    got = {(r.step, r.metric): (r.value, r.n) for r in forecast.live_forecast_metrics(pred, runs).collect()}
+    assert got == {(1, "rmse"): (1.0, 1), (1, "mae"): (1.0, 1), (1, "mape"): (10.0, 1), (2, "rmse"): (2.0, 1), (2, "mae"): (2.0, 1), (2, "mape"): (20.0, 1)}
+
+
 def test_positional_and_zipped_csv(spark, tmp_path):
     (tmp_path / "p.csv").write_text("GOLD,x,2020-01-07,088691\nSILVER,y,2020-01-07,084691\n")
     got = landing.read_positional(spark, str(tmp_path / "p.csv"), columns={0: "market", 3: "code"}).orderBy("market").collect()

@@ -84,9 +84,11 @@ def return_histogram(df: DataFrame, *, keys: list[str], value: str, bins: int =
 
 
 def content_hash(df: DataFrame, *, by: list[str], cols: list[str]) -> DataFrame:
-    """A hash of the rows' content that doesn't depend on their order."""
-    h = F.xxhash64(*cols)
-    return df.groupBy(*by).agg(F.bit_xor(h).alias("hash"), F.count("*").alias("n"))
+    """A hash of the rows' content that doesn't depend on their order: the sum of the first 60 bits of each row's MD5. Columns are taken as text, null as "-";
+    rows that come twice count twice."""
+    text = F.concat_ws("|", *(F.coalesce(F.concat(F.lit("+"), F.col(c).cast("string")), F.lit("-")) for c in cols))
+    h = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.groupBy(*by).agg(F.sum(h).cast("string").alias("hash"), F.count("*").alias("n"))
 
 
 def latest_row(df: DataFrame, *, keys: list[str], time: str, cols: list[str]) -> DataFrame:

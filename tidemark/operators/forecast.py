@@ -24,6 +24,32 @@ def rolling_origins(df: DataFrame, *, keys: list[str], time: str, windows: int =
     return df.select(*keys, F.col("window").cast("int").alias("window"), F.col("row").cast("long").alias("cutoff_row"), F.col(time).alias("cutoff_date"), F.col("close").alias("current_price"), F.explode("_a").alias("a")).select("*", "a.*").drop("a")
 
 
+def history_guard(df: DataFrame, *, keys: list[str], train: int = 1260, windows: int = 6, horizon: int = 10, strict: bool = False) -> DataFrame:
+    """Rows of each series and how many it needs: the training window, the horizon of each origin, and one more for the labels. With
+    ``strict``, raise if any series is too short."""
+    need = train + windows * horizon + horizon
+    out = df.groupBy(*keys).agg(F.count("*").alias("rows")).withColumns({"needed": F.lit(need).cast("long"), "ok": F.col("rows") >= need})
+    if strict and (short := out.where("not ok").orderBy(*keys).limit(20).collect()):
+        raise ValueError(f"series of fewer than {need} rows, among them: " + ", ".join(str(tuple(r[k] for k in keys)) for r in short))
+    return out
+
+
+def federal_holidays(years: DataFrame, *, year: str = "year") -> DataFrame:
+    """(date, name) of the US federal holidays of each year, observed on the nearest workday; Juneteenth from 2021 on."""
+    y = F.col(year)
+    day = lambda m, d: F.make_date(y, F.lit(m), F.lit(d))
+    # The n-th given weekday (0: Monday) on or after a date.
+    nth = lambda m, wd, n: F.date_add(day(m, 1), (F.lit(7 + wd) - F.weekday(day(m, 1))) % 7 + 7 * (n - 1))
+    observed = lambda d: F.when(F.weekday(d) == 5, F.date_sub(d, 1)).when(F.weekday(d) == 6, F.date_add(d, 1)).otherwise(d)
+    last_monday = F.date_sub(day(5, 31), F.weekday(day(5, 31)))
+    all_ = {
+        "new year": observed(day(1, 1)), "king": nth(1, 0, 3), "presidents": nth(2, 0, 3), "memorial": last_monday, "juneteenth": F.when(y >= 2021, observed(day(6, 19))), "independence": observed(day(7, 4)),
+        "labor": nth(9, 0, 1), "columbus": nth(10, 0, 2), "veterans": observed(day(11, 11)), "thanksgiving": nth(11, 3, 4), "christmas": observed(day(12, 25)),
+    }
+    rows = F.array(*(F.struct(d.alias("date"), F.lit(n).alias("name")) for n, d in all_.items()))
+    return years.select(F.explode(rows).alias("x")).select("x.*").where("date is not null")
+
+
 def training_bounds(origins: DataFrame, *, train: int = 1260) -> DataFrame:
     """Rows that a fit for a step may see: none whose label lies after the cutoff."""
     end = F.col("cutoff_row") - F.col("step")
@@ -55,7 +81,7 @@ def future_calendar(df: DataFrame, *, keys: list[str], time: str, horizons: list
 
 
 def next_sessions(last: DataFrame, holidays: DataFrame, *, keys: list[str], time: str, n: int = 10) -> DataFrame:
-    """The next n business days that are no holiday, after each series' last date. ``holidays``: a calendar's dates."""
+    """The next n business days that are no holiday, after each series' last date. ``holidays``: a calendar's dates, a few for each year."""
     days = last.select(*keys, F.explode(F.sequence(F.date_add(time, 1), F.date_add(time, 2 * n + 14))).alias("forecast_date"))
     days = days.where(F.weekday("forecast_date") < 5).join(F.broadcast(holidays.select(F.col("date").alias("forecast_date"))), "forecast_date", "left_anti")
     return days.withColumn("step", F.row_number().over(Window.partitionBy(*keys).orderBy("forecast_date"))).where(F.col("step") <= n).select(*keys, "step", "forecast_date")
@@ -80,8 +106,8 @@ METRICS = ["rmse", "mae", "mape", "smape", "nrmse", "direction"]
 def leaderboard(metrics: DataFrame, *, model: str = "model") -> DataFrame:
     """Plain mean of each metric over horizons; the least RMSE, then MAE, then name, is selected. Few rows: one for each model."""
     df = metrics.groupBy(model).agg(*(F.avg(c).alias(c) for c in METRICS))
-    best = df.agg(F.min(F.struct("rmse", "mae", model)).alias("b")).select(F.col(f"b.{model}").alias("_best"))
-    return df.join(F.broadcast(best)).withColumn("selected", F.col(model) == F.col("_best")).drop("_best")
+    best = df.agg(F.min(F.struct("rmse", "mae", model)).alias("b")).select(F.col(f"b.{model}"))
+    return df.withColumn("selected", F.col(model) == best.scalar())
 
 
 def predictions_wide(pred: DataFrame, *, ids: list[str], models: list[str]) -> DataFrame:
@@ -137,17 +163,45 @@ def reconcile(pred: DataFrame, actuals: DataFrame, *, on: list[str]) -> DataFram
     return df.withColumn("actual_price", F.when(F.col("actual_price").isNull(), F.col("_now")).otherwise(F.col("actual_price"))).drop("_now")
 
 
-def live_metrics(pred: DataFrame, runs: DataFrame) -> DataFrame:
-    """Per forecast (its step, n 1) and per run (step 0) errors in long form; running it again gives the same rows."""
-    df = pred.join(F.broadcast(runs.withColumnRenamed("selected_model", "model")), "model").where("actual_price is not null")
+def live_errors(pred: DataFrame, runs: DataFrame) -> DataFrame:
+    """Errors of each forecast of a run's selected model whose actual price is known."""
+    df = pred.join(runs.withColumnRenamed("selected_model", "model"), "model").where("actual_price is not null")
     e = F.col("predicted") - F.col("actual_price")
-    one = df.select("run_id", "model", "cutoff_date", "step", F.abs(e).alias("absolute_error"), (e * e).alias("squared_error"), F.when(F.col("actual_price") != 0, 100 * F.abs(e) / F.col("actual_price")).alias("percent_error"))
-    run = one.groupBy("run_id", "model").agg(F.sqrt(F.avg("squared_error")).alias("rmse"), F.avg("absolute_error").alias("mae"), F.avg("percent_error").alias("mape"), F.count("*").alias("n"))
-    rows = one.groupBy("run_id", "model", "step").agg(F.sqrt(F.avg("squared_error")).alias("rmse"), F.avg("absolute_error").alias("mae"), F.avg("percent_error").alias("mape"), F.count("*").alias("n"))
-    both = rows.unionByName(run.withColumn("step", F.lit(0)))
+    ids = [c for c in ("run_id", "model", "series", "cutoff_date", "step") if c in df.columns]
+    return df.select(*ids, F.abs(e).alias("absolute_error"), (e * e).alias("squared_error"), F.when(F.col("actual_price") != 0, 100 * F.abs(e) / F.col("actual_price")).alias("percent_error"))
+
+
+def live_forecast_metrics(pred: DataFrame, runs: DataFrame) -> DataFrame:
+    """One row for each forecast and metric (n 1), in long form, for :func:`upsert_results`."""
+    one = live_errors(pred, runs).withColumns({"rmse": F.sqrt("squared_error"), "mae": F.col("absolute_error"), "mape": F.col("percent_error"), "n": F.lit(1).cast("long")})
+    ids = [c for c in one.columns if c in ("run_id", "model", "series", "cutoff_date", "step", "n")]
+    return one.select(*ids, "rmse", "mae", "mape").unpivot(ids, ["rmse", "mae", "mape"], "metric", "value")
+
+
+def live_metrics(pred: DataFrame, runs: DataFrame) -> DataFrame:
+    """Per step and per run (step 0) errors in long form, rolled up from those of :func:`live_errors`."""
+    one = live_errors(pred, runs)
+    errors = [F.sqrt(F.avg("squared_error")).alias("rmse"), F.avg("absolute_error").alias("mae"), F.avg("percent_error").alias("mape"), F.count("*").alias("n")]
+    both = one.groupBy("run_id", "model", "step").agg(*errors).unionByName(one.groupBy("run_id", "model").agg(*errors).withColumn("step", F.lit(0)))
     return both.unpivot(["run_id", "model", "step", "n"], ["rmse", "mae", "mape"], "metric", "value")
 
 
+#: The keys of the result tables.
+RESULT_KEYS = {"candidates": ["run_id", "model"], "metrics": ["run_id", "model", "split", "horizon", "metric"], "predictions": ["run_id", "step"], "live_metrics": ["run_id", "model", "series", "cutoff_date", "step", "metric"]}
+
+
+def upsert_results(base: DataFrame, new: DataFrame, *, table: str, arrival: str) -> DataFrame:
+    """``base`` with the rows of ``new`` under the table's keys: of rows of one key the one of the latest ``arrival`` replaces the base's. Running it again
+    with the same rows gives the same table. ``arrival`` isn't kept."""
+    on = RESULT_KEYS[table]
+    if missing := [c for c in [*on, arrival] if c not in new.columns]:
+        raise ValueError(f"{table} needs {missing}")
+    rank = lambda old, at: F.struct(F.lit(old).alias("new"), at.cast(new.schema[arrival].dataType).alias("at")).alias("_rank")
+    both = base.select("*", rank(0, F.lit(None))).unionByName(new.select(*base.columns, rank(1, F.col(arrival))))
+    latest = F.max_by(F.struct(*(c for c in base.columns if c not in on)), "_rank").alias("_x")
+    return both.groupBy(*on).agg(latest).select(*on, "_x.*").select(*base.columns)
+
+
 def sequence_frame(df: DataFrame, *, keys: list[str], time: str, cols: list[str], price: str = "close") -> DataFrame:
     """Log price as target, causally filled features, only complete rows, and a dense time index."""
     w = Window.partitionBy(*keys).orderBy(time)

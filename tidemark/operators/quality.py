@@ -41,14 +41,23 @@ def constraint_report(df: DataFrame, *, on: list[str], parent: DataFrame, parent
     return out
 
 
-def freshness_report(tables: dict[str, tuple[DataFrame, str]], *, as_of: str, limit_days: int) -> DataFrame:
-    """Last date and age of each table, and whether it is ok, stale or empty."""
+def freshness_report(tables: dict[str, tuple[DataFrame | None, str]], *, as_of: str, limit_days: int, fallback: dict[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
+    """Last date and age of each table, and whether it is ok, stale or empty. A table that is empty or couldn't be read (None) and has rows in
+    ``fallback`` is shown with those, as fallback; one that couldn't be read and has none is an error."""
+    spark = next(df for df, _ in [*tables.values(), *(fallback or {}).values()] if df is not None).sparkSession
     out = None
     for name, (df, time) in tables.items():
-        one = df.agg(F.max(time).cast("date").alias("last_date")).select(F.lit(name).alias("name"), "last_date")
+        last = spark.range(1).select(F.lit(None).cast("date").alias("own")) if df is None else df.agg(F.max(time).cast("date").alias("own"))
+        if name in (fallback or {}):
+            other, at = fallback[name]
+            last = last.withColumn("other", other.agg(F.max(at).cast("date")).scalar())
+        else:
+            last = last.withColumn("other", F.lit(None).cast("date"))
+        one = last.select(F.lit(name).alias("name"), F.coalesce("own", "other").alias("last_date"), F.lit(df is not None).alias("_read"), F.col("own").isNotNull().alias("_own"))
         out = one if out is None else out.unionByName(one)
     age = F.datediff(F.lit(as_of).cast("date"), F.col("last_date"))
-    return out.withColumns({"age_days": age, "status": F.when(F.col("last_date").isNull(), "empty").when(age > limit_days, "stale").otherwise("ok")})
+    state = F.when(F.col("last_date").isNull(), F.when(F.col("_read"), "empty").otherwise("error")).when(~F.col("_own"), "fallback").when(age > limit_days, "stale").otherwise("ok")
+    return out.withColumns({"age_days": age, "status": state}).drop("_read", "_own")
 
 
 def table_status(tables: dict[str, DataFrame | None]) -> DataFrame:

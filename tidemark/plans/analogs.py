@@ -46,6 +46,11 @@ def analog_same_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show(op.same_month(op.future_returns(views.bars(spark, sf_dir), **BY), **BY), "month", MONTH)
 
 
+@query("analog_same_month_many", _sql("month", MONTH, "month(h.date) = month(c.date)").replace("FROM bars)", "FROM bars_many)"))
+def analog_same_month_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _show(op.same_month(op.future_returns(views.bars_many(spark, sf_dir), **BY), **BY), "month", MONTH)
+
+
 @query("analog_same_quarter", _sql("quarter", QUARTER, "quarter(h.date) = quarter(c.date)"))
 def analog_same_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _show(op.same_quarter(op.future_returns(views.bars(spark, sf_dir), **BY), **BY), "quarter", QUARTER)

@@ -48,11 +48,13 @@ def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.constraint_report(li, on=["l_orderkey", "l_linenumber"], parent=orders, parent_key="o_orderkey", child_key="l_orderkey", domain={"l_returnflag": ["A", "N"]})
 
 
-@query("freshness_report", """ SELECT name, last_date, CAST(DATE '2001-11-10' - last_date AS INTEGER) AS age_days, CASE WHEN last_date IS NULL THEN 'empty' WHEN DATE '2001-11-10' - last_date > 30 THEN 'stale' ELSE 'ok' END AS status
-FROM (SELECT 'bars' AS name, max(date) AS last_date FROM bars UNION ALL SELECT 'macro', max(date) FROM macro_daily UNION ALL SELECT 'none', max(date) FROM bars WHERE volume < 0) x""")
+@query("freshness_report", """ SELECT name, last_date, CAST(DATE '2001-11-10' - last_date AS INTEGER) AS age_days, CASE WHEN name = 'gone' THEN 'error' WHEN last_date IS NULL THEN 'empty' WHEN name IN ('spot', 'unread') THEN 'fallback' WHEN DATE '2001-11-10' - last_date > 30 THEN 'stale' ELSE 'ok' END AS status
+FROM (SELECT 'bars' AS name, max(date) AS last_date FROM bars UNION ALL SELECT 'macro', max(date) FROM macro_daily UNION ALL SELECT 'none', max(date) FROM bars WHERE volume < 0 UNION ALL SELECT 'gone', NULL
+UNION ALL SELECT 'spot', max(date) FROM fallback_spot UNION ALL SELECT 'unread', max(date) FROM fallback_spot) x""")
 def freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = views.bars(spark, sf_dir)
-    return quality.freshness_report({"bars": (b, "date"), "macro": (views.macro_daily(spark, sf_dir), "date"), "none": (b.where("volume < 0"), "date")}, as_of="2001-11-10", limit_days=30)
+    b, spot = views.bars(spark, sf_dir), (views.spot(spark, sf_dir, "2-HIGH"), "date")
+    tables = {"bars": (b, "date"), "macro": (views.macro_daily(spark, sf_dir), "date"), "none": (b.where("volume < 0"), "date"), "gone": (None, "date"), "spot": (b.where("volume < 0"), "date"), "unread": (None, "date")}
+    return quality.freshness_report(tables, as_of="2001-11-10", limit_days=30, fallback={"spot": spot, "unread": spot})
 
 
 @query("table_status", " SELECT 'orders' AS name, count(*) AS n, 'OK' AS status FROM orders UNION ALL SELECT 'none', count(*), 'EMPTY' FROM orders WHERE o_totalprice < 0 UNION ALL SELECT 'gone', -1, 'NOT FOUND'")
@@ -121,9 +123,9 @@ def corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(op.corr_matrix(_changes(spark, sf_dir, gaps=True), cols=_CC), ["a", "b"], ["corr"], 6)
 
 
-@query("redundant_pairs", _CORR + f" SELECT a, b, {r(6, corr='c')} FROM ({_PAIRS}) y WHERE abs(c) >= 0.6")
+@query("redundant_pairs", _CORR + f" SELECT a, b, {r(6, corr='c')} FROM ({_PAIRS}) y WHERE abs(c) >= 0.3")
 def redundant_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(op.redundant_pairs(_changes(spark, sf_dir, gaps=True), cols=_CC, least=0.6), ["a", "b"], ["corr"], 6)
+    return shown(op.redundant_pairs(_changes(spark, sf_dir, gaps=True), cols=_CC, least=0.3), ["a", "b"], ["corr"], 6)
 
 
 _SP = f""", x AS (SELECT series, open, volume, close, {_F5} AS t FROM bars_gaps), u AS (SELECT series, t, feature, v FROM (""" + " UNION ALL ".join(f"SELECT series, t, '{c}' AS feature, {c} AS v FROM x" for c in ("open", "volume", "close")) + """) z WHERE t IS NOT NULL AND v IS NOT NULL),
@@ -154,9 +156,14 @@ def return_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.return_histogram(_changes(spark, sf_dir), keys=["series"], value="change")
 
 
-@query("content_hash")
+_HASHED = "concat_ws('|', '+' || CAST(date AS VARCHAR), '+' || CAST(CAST(round(open * 100) AS BIGINT) AS VARCHAR), '+' || CAST(CAST(volume AS BIGINT) AS VARCHAR))"
+
+
+@query("content_hash", f" SELECT series, CAST(sum(CAST('0x' || substr(md5({_HASHED}), 1, 15) AS HUGEINT)) AS VARCHAR) AS hash, count(*) AS n FROM bars GROUP BY series")
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op.content_hash(views.bars(spark, sf_dir), by=["series"], cols=["date", "open", "close", "volume"])
+    """Prices in cents, since the two engines write doubles differently."""
+    b = views.bars(spark, sf_dir).select("series", "date", F.round(F.col("open") * 100).cast("long").alias("open"), F.col("volume").cast("long").alias("volume"))
+    return op.content_hash(b, by=["series"], cols=["date", "open", "volume"])
 
 
 @query("latest_row", " SELECT series, date, close, volume FROM bars QUALIFY row_number() OVER (PARTITION BY series ORDER BY date DESC) = 1")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,19 +44,39 @@ def future_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(op.future_calendar(views.bars(spark, sf_dir), **BY, horizons=op.HORIZONS), [*ID, "step", "forecast_date", "gap_days"], ["month_sin", "day_cos"], 6)
 
 
-#: US federal holidays of the years that the tables reach, observed on the nearest workday. Fixed values of the calendar.
-HOLIDAYS = [
-    "2001-01-01", "2001-01-15", "2001-02-19", "2001-05-28", "2001-07-04", "2001-09-03", "2001-10-08", "2001-11-12", "2001-11-22", "2001-12-25",
-    "2002-01-01", "2002-01-21", "2002-02-18", "2002-05-27", "2002-07-04", "2002-09-02", "2002-10-14", "2002-11-11", "2002-11-28", "2002-12-25",
-]
-_DAYS = ", ".join(f"(DATE '{d}')" for d in HOLIDAYS)
+_NTH = "make_date(y, {m}, 1) + CAST(({wd} - isodow(make_date(y, {m}, 1)) + 7) % 7 + {n} AS INTEGER)"
+_OBSERVED = "CASE isodow(make_date(y, {m}, {d})) WHEN 6 THEN make_date(y, {m}, {d}) - 1 WHEN 7 THEN make_date(y, {m}, {d}) + 1 ELSE make_date(y, {m}, {d}) END"
+_DAYS = {
+    "new year": _OBSERVED.format(m=1, d=1), "king": _NTH.format(m=1, wd=1, n=14), "presidents": _NTH.format(m=2, wd=1, n=14), "memorial": "make_date(y, 5, 31) - CAST(isodow(make_date(y, 5, 31)) - 1 AS INTEGER)",
+    "juneteenth": "CASE WHEN y >= 2021 THEN " + _OBSERVED.format(m=6, d=19) + " END", "independence": _OBSERVED.format(m=7, d=4), "labor": _NTH.format(m=9, wd=1, n=0), "columbus": _NTH.format(m=10, wd=1, n=7),
+    "veterans": _OBSERVED.format(m=11, d=11), "thanksgiving": _NTH.format(m=11, wd=4, n=21), "christmas": _OBSERVED.format(m=12, d=25),
+}
+_YEARS = "SELECT DISTINCT year(date) + k AS y FROM {0}, (VALUES (0), (1)) v(k)"
+_HOLIDAYS = "hy AS ({years}), hd AS (" + " UNION ALL ".join(f"SELECT {e} AS date, '{n}' AS name FROM hy" for n, e in _DAYS.items()) + "), h AS (SELECT * FROM hd WHERE date IS NOT NULL)"
+
+
+def _holidays(dates: DataFrame) -> DataFrame:
+    """The holidays of all years in ``dates`` and the years after."""
+    years = dates.select(F.year("date").alias("year")).distinct()
+    return op.federal_holidays(years.select(F.explode(F.array("year", F.col("year") + 1)).alias("year")).distinct())
+
+
+@query("federal_holidays", ", " + _HOLIDAYS.format(years=_YEARS.format("(SELECT date FROM bars UNION SELECT date + INTERVAL 25 YEAR FROM bars)")) + " SELECT date, name FROM h")
+def federal_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the tables' years, and of those 25 years later."""
+    b = views.bars(spark, sf_dir).select("date")
+    return _holidays(b.unionByName(b.select(F.add_months("date", 300).alias("date"))))
 
 
-@query("next_sessions", f", h AS (SELECT * FROM (VALUES {_DAYS}) v(d)), l AS (SELECT series, max(date) AS date FROM bars_many GROUP BY series), a AS (SELECT series, CAST(unnest(generate_series(date + 1, date + 34, INTERVAL 1 DAY)) AS DATE) AS d FROM l) SELECT series, CAST(row_number() OVER (PARTITION BY series ORDER BY d) AS INTEGER) AS step, d AS forecast_date FROM a WHERE isodow(d) < 6 AND d NOT IN (SELECT d FROM h) QUALIFY row_number() OVER (PARTITION BY series ORDER BY d) <= 10")
+@query("next_sessions", ", " + _HOLIDAYS.format(years=_YEARS.format("bars_many")) + ", l AS (SELECT series, max(date) AS date FROM bars_many GROUP BY series), a AS (SELECT series, CAST(unnest(generate_series(date + 1, date + 34, INTERVAL 1 DAY)) AS DATE) AS d FROM l) SELECT series, CAST(row_number() OVER (PARTITION BY series ORDER BY d) AS INTEGER) AS step, d AS forecast_date FROM a WHERE isodow(d) < 6 AND d NOT IN (SELECT date FROM h) QUALIFY row_number() OVER (PARTITION BY series ORDER BY d) <= 10")
 def next_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = views.bars_many(spark, sf_dir).groupBy("series").agg(F.max("date").alias("date"))
-    holidays = spark.createDataFrame([(d,) for d in HOLIDAYS], "date string").select(F.col("date").cast("date"))
-    return op.next_sessions(last, holidays, **BY)
+    b = views.bars_many(spark, sf_dir)
+    return op.next_sessions(b.groupBy("series").agg(F.max("date").alias("date")), _holidays(b), **BY)
+
+
+@query("history_guard", " SELECT series, count(*) AS rows, CAST(200 AS BIGINT) AS needed, count(*) >= 200 AS ok FROM bars_many GROUP BY series")
+def history_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op.history_guard(views.bars_many(spark, sf_dir), keys=["series"], train=130)
 
 
 _ME = "predicted - actual_price"
@@ -176,6 +198,42 @@ def live_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(op.live_metrics(views.naive_predictions(spark, sf_dir), views.runs(spark)), ["run_id", "model", "step", "n", "metric"], ["value"], 3)
 
 
+_LE = f", e AS (SELECT run_id, model, series, cutoff_date, step, abs({_ME}) AS mae, sqrt(({_ME}) * ({_ME})) AS rmse, 100 * abs({_ME}) / nullif(actual_price, 0) AS mape FROM naive_predictions JOIN runs ON selected_model = model WHERE actual_price IS NOT NULL)"
+_LL = " UNION ALL ".join(f"SELECT run_id, model, series, cutoff_date, step, CAST(1 AS BIGINT) AS n, '{m}' AS metric, {m} AS value FROM e" for m in ("rmse", "mae", "mape"))
+_LIVE = ["run_id", "model", "series", "cutoff_date", "step", "n", "metric"]
+
+
+@query("live_forecast_metrics", _LE + f" SELECT {', '.join(_LIVE)}, round(value + 3.3e-9, 3) + 0.0 AS value FROM ({_LL}) x")
+def live_forecast_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(op.live_forecast_metrics(views.naive_predictions(spark, sf_dir), views.runs(spark)), _LIVE, ["value"], 3)
+
+
+@query("live_metric_upsert", _LE + f", x AS ({_LL}) SELECT {', '.join(_LIVE)}, round(CASE WHEN cutoff_date < DATE '1997-01-01' THEN value ELSE value + 2 END + 3.3e-9, 3) + 0.0 AS value FROM x WHERE step < 9 OR cutoff_date >= DATE '1997-01-01'")
+def live_metric_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store holds steps under 9; rows from 1997 on come twice more, of which the later ones count. The second run changes nothing."""
+    rows = op.live_forecast_metrics(views.naive_predictions(spark, sf_dir), views.runs(spark))
+    late = rows.where("cutoff_date >= date'1997-01-01'")
+    new = late.withColumns({"arrival": F.lit(1), "value": F.col("value") + 1}).unionByName(late.withColumns({"arrival": F.lit(2), "value": F.col("value") + 2}))
+    store = rows.where("step < 9")
+    for _ in range(2):
+        store = op.upsert_results(store, new, table="live_metrics", arrival="arrival")
+    return shown(store, _LIVE, ["value"], 3)
+
+
+_RM = _M + ", k AS (SELECT selected_model AS model, run_id FROM runs), o AS (" + " UNION ALL ".join(f"SELECT k.run_id, m.model, 'test' AS split, m.step AS horizon, '{c}' AS metric, m.{c} AS value, m.n FROM m JOIN k USING (model)" for c in op.METRICS) + ")"
+
+
+@query("result_store", _RM + " SELECT run_id, model, split, horizon, metric, n, round(CASE WHEN metric <> 'mae' THEN value * 2 ELSE value END + 3.3e-9, 3) + 0.0 AS value FROM o")
+def result_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of each run by (run, model, split, horizon, metric): the store of a first evaluation takes the rows of a second one."""
+    m = joins.unpivot_metrics(_metrics(spark, sf_dir).select("model", "step", "n", *op.METRICS), ids=["model", "step", "n"], metrics=op.METRICS)
+    runs = views.runs(spark).withColumnRenamed("selected_model", "model")
+    rows = m.join(runs, "model").select("run_id", "model", F.lit("test").alias("split"), F.col("step").alias("horizon"), "metric", "value", "n")
+    new = rows.where("metric <> 'mae'").withColumns({"value": F.col("value") * 2, "arrival": F.lit(1)})
+    store = op.upsert_results(rows.where("metric in ('mae', 'rmse')"), new, table="metrics", arrival="arrival")
+    return shown(store, ["run_id", "model", "split", "horizon", "metric", "n"], ["value"], 3)
+
+
 @query("sequence_frame", f", f AS (SELECT series, date, CASE WHEN close > 0 THEN ln(close) END AS y, last_value(open IGNORE NULLS) OVER ({_W}) AS open, last_value(volume IGNORE NULLS) OVER ({_W}) AS volume FROM bars_gaps) SELECT series, date, row_number() OVER ({_W}) - 1 AS time_idx, {r(6, y='y')}, open, volume FROM f WHERE y IS NOT NULL AND open IS NOT NULL AND volume IS NOT NULL")
 def sequence_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(op.sequence_frame(views.bars_gaps(spark, sf_dir), **BY, cols=["open", "volume"]), [*ID, "time_idx", "open", "volume"], ["y"], 6)
@@ -193,8 +251,8 @@ def json_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 RIDGE_COLS = ["log_return", "log_gap", "log_intraday", "price_to_mean_21", "return_sd_21", "volume_zscore_21"]
 
 
-def ridge_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = views.bars(spark, sf_dir)
+def ridge_features(spark: SparkSession, sf_dir: str, bars: Callable[[SparkSession, str], DataFrame] = views.bars) -> DataFrame:
+    b = bars(spark, sf_dir)
     df = projections.volume_zscore(projections.rolling_return_stats(projections.log_bar_features(b, **BY), **BY, spans=(21,)), **BY, spans=(21,))
     df = op.direct_target(df, **BY, horizons=op.HORIZONS)
     from ..functions.windows import ordered
@@ -209,13 +267,19 @@ def ridge_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.ridge_forecasts(ridge_features(spark, sf_dir), bounds, keys=["series"], cols=RIDGE_COLS)
 
 
+@query("ridge_forecasts_many")
+def ridge_forecasts_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for every supplier's series, from its last cutoff."""
+    bounds = op.training_bounds(op.rolling_origins(views.bars_many(spark, sf_dir), **BY, windows=1))
+    return op.ridge_forecasts(ridge_features(spark, sf_dir, views.bars_many), bounds, keys=["series"], cols=RIDGE_COLS)
+
+
 @query("production_forecast")
 def production_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ridge from each series' last row, with its date and direction."""
     b = views.bars(spark, sf_dir)
     made = op.ridge_forecasts(ridge_features(spark, sf_dir), op.production_bounds(b, **BY, horizons=op.HORIZONS), keys=["series"], cols=RIDGE_COLS)
-    holidays = spark.createDataFrame([(d,) for d in HOLIDAYS], "date string").select(F.col("date").cast("date"))
-    days = op.next_sessions(b.groupBy("series").agg(F.max("date").alias("date")), holidays, **BY)
+    days = op.next_sessions(b.groupBy("series").agg(F.max("date").alias("date")), _holidays(b), **BY)
     df = made.drop("actual_price").join(days, ["series", "step"])
     return df.withColumn("direction", op.direction(F.col("current_price"), F.col("predicted")))
 

@@ -24,6 +24,13 @@ def sma_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(shown(df, [*ID, "std_20"], [f"sma_{n}" for n in op.SPANS], 6), [*ID, *(f"sma_{n}" for n in op.SPANS)], ["std_20"])
 
 
+@query("sma_features_many", f"SELECT series, date, {r(6, **{f'sma_{n}': over('avg(close)', n) for n in op.SPANS})}, {r(4, std_20=over('stddev_samp(close)', 20))} FROM bars_many")
+def sma_features_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over as many series as there are suppliers."""
+    df = op.sma_features(views.bars_many(spark, sf_dir), **BY)
+    return shown(shown(df, [*ID, "std_20"], [f"sma_{n}" for n in op.SPANS], 6), [*ID, *(f"sma_{n}" for n in op.SPANS)], ["std_20"])
+
+
 def ema_sql(name: str, table: str, col: str, spans: list[int], prefix: str) -> str:
     """Band self-join on row numbers; nulls drop from both sums."""
     cols = ", ".join(f"sum(CASE WHEN a.rn - b.rn < {n} THEN b.{col} * pow({1 - 2 / (n + 1)!r}, a.rn - b.rn) END) / nullif(sum(CASE WHEN a.rn - b.rn < {n} AND b.{col} IS NOT NULL THEN pow({1 - 2 / (n + 1)!r}, a.rn - b.rn) END), 0) AS {prefix}{n}" for n in spans)

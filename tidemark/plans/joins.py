@@ -33,10 +33,10 @@ def series_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(op.series_fallback(p, views.macro_monthly(spark, sf_dir), series="series_id"), ["date", "series_id"], ["value"])
 
 
-@query("semi_outliers", f", z AS (SELECT series, date, close, {over('avg(close)', 252)} AS m, {over('stddev_samp(close)', 252)} AS s FROM bars) SELECT series, date, close FROM bars WHERE (series, date) IN (SELECT (series, date) FROM z WHERE s > 0 AND abs(close - m) / s > 2)")
+@query("semi_outliers", f", z AS (SELECT series, date, close, {over('avg(close)', 252)} AS m, {over('stddev_samp(close)', 252)} AS s FROM bars) SELECT series, date, close FROM bars WHERE (series, date) IN (SELECT (series, date) FROM z WHERE s > 0 AND abs(close - m) / s > 1.5)")
 def semi_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = views.bars(spark, sf_dir)
-    z = projections.rolling_zscore(b, **BY, col="close", n=252).where("abs(close_zscore_252) > 2").select(*ID)
+    z = projections.rolling_zscore(b, **BY, col="close", n=252).where("abs(close_zscore_252) > 1.5").select(*ID)
     return b.join(z, ID, "left_semi").select(*ID, "close")
 
 
@@ -47,10 +47,18 @@ _ASOF = "(SELECT date, series_id, value FROM macro_daily)"
 def asof_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = views.macro_daily(spark, sf_dir)
     days = views.bars(spark, sf_dir).where("series = 'A'").select("date", "close")
-    left = days.join(F.broadcast(m.select("series_id").distinct()))  # the five order priorities
+    left = days.withColumn("series_id", F.explode(m.agg(F.collect_set("series_id")).scalar()))  # the five order priorities
     return shown(op.asof(left, m, keys=["series_id"], left_time="date", right_time="date", cols=["value"]), ["date", "series_id", "close"], ["value"])
 
 
+@query("asof_strict_many", f" SELECT l.series, l.date, l.close, {r(value='m.close')} FROM bars_many l ASOF LEFT JOIN (SELECT series + 1 AS series, date, close FROM bars_many) m ON l.series = m.series AND l.date > m.date")
+def asof_strict_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each series with the last earlier close of the series before it."""
+    b = views.bars_many(spark, sf_dir)
+    other = b.select((F.col("series") + 1).alias("series"), "date", F.col("close").alias("value"))
+    return shown(op.asof(b.select("series", "date", "close"), other, keys=["series"], left_time="date", right_time="date", cols=["value"]), ["series", "date", "close"], ["value"])
+
+
 _FB = ", ".join(f"CASE WHEN {c} IS NULL AND close IS NOT NULL THEN last_value({c} IGNORE NULLS) OVER (PARTITION BY series ORDER BY date RANGE BETWEEN INTERVAL 3 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) ELSE {c} END AS {c}" for c in ("open", "high", "low", "volume"))
 
 
@@ -65,7 +73,8 @@ l AS (SELECT b.date, c.contract, b.close FROM (SELECT date, close FROM bars WHER
 SELECT l.date, l.contract, l.close, i.report_date, i.open_interest FROM l LEFT JOIN i ON l.contract = i.contract AND l.date >= i.available_date AND (i.next IS NULL OR l.date < i.next)""")
 def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = views.positioning(spark, sf_dir)
-    left = views.bars(spark, sf_dir).where("series = 'A'").select("date", "close").join(F.broadcast(p.select("contract").distinct()))  # the two line states
+    days = views.bars(spark, sf_dir).where("series = 'A'").select("date", "close")
+    left = days.withColumn("contract", F.explode(p.agg(F.collect_set("contract")).scalar()))  # the two line states
     return op.interval_join(left, p, keys=["contract"], time="date", start="available_date", cols=["report_date", "open_interest"]).select("date", "contract", "close", "report_date", "open_interest")
 
 

@@ -109,6 +109,11 @@ def rolling_return_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(op.rolling_return_stats(views.bars_gaps(spark, sf_dir), **BY), ID, [*_STATS])
 
 
+@query("rolling_return_stats_many", f", x AS (SELECT *, {_RET} AS ret FROM bars_many) SELECT series, date, {r(4, **_STATS)} FROM x")
+def rolling_return_stats_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(op.rolling_return_stats(views.bars_many(spark, sf_dir), **BY), ID, [*_STATS])
+
+
 _VZ = {f"volume_zscore_{n}": _full(f"CASE WHEN {over('stddev_samp(v)', n)} > 0 THEN (v - {over('avg(v)', n)}) / {over('stddev_samp(v)', n)} END", "v", n) for n in (21, 63, 252)}
 
 
