@@ -68,6 +68,45 @@ def test_classifier_on_odd_rows(spark, odd):
     assert out.columns == [*odd.drop("score").columns, "score"] and out.count() == len(ODD) and out.where("score is null or score < 0 or score > 1").count() == 0
 
 
+def _slow_margin(model, x):
+    """Bins and table entries one at a time."""
+    out = model.base
+    bins = [sum(edge <= v for edge in cuts) for v, cuts in zip(x, model.cuts, strict=True)]
+    for table, b in zip(model.tables, bins, strict=True):
+        out += table[b]
+    for j, k, table in model.pairs:
+        out += table[model.coarse[j][bins[j]]][model.coarse[k][bins[k]]]
+    return out
+
+
+def test_scores_against_a_slow_version(texts):
+    x, r = quality_gam.features([*texts.values()]), np.random.default_rng(2)
+    y = (x[:, 0] + r.normal(0, 50, len(x)) > np.median(x[:, 0])).astype(float)
+    model = quality_gam.fit(x, y, rounds=10, pair_rounds=5)
+    assert model.margin(x) == pytest.approx([_slow_margin(model, row) for row in x]) and len(model.pairs) == 6
+
+
+def test_one_round_of_boosting_against_brute_force():
+    r = np.random.default_rng(5)
+    for _ in range(30):
+        g, h = r.normal(0, 1, 9), r.random(9) + 0.1
+        value = lambda a, b: g[a:b].sum() ** 2 / (h[a:b].sum() + 1.0)  # noqa: E731, B023
+        at = max(range(1, 9), key=lambda k: value(0, k) + value(k, 9))
+        want = [g[:at].sum() / (h[:at].sum() + 1.0)] * at + [g[at:].sum() / (h[at:].sum() + 1.0)] * (9 - at)
+        assert quality_gam._tree(g, h, 2, 1.0) == pytest.approx(want)
+        gg, hh = r.normal(0, 1, (4, 5)), r.random((4, 5)) + 0.1
+        parts = lambda i, j, x: (x[:i, :j].sum(), x[:i, j:].sum(), x[i:, :j].sum(), x[i:, j:].sum())
+        best = max(sum(a * a / (b + 1.0) for a, b in zip(parts(i, j, gg), parts(i, j, hh), strict=True)) for i in range(1, 4) for j in range(1, 5))
+        assert quality_gam._pair_tree(gg, hh, 1.0)[0] == pytest.approx(best)
+
+
+def test_fit_is_bounded_by_rows(spark):
+    docs = spark.createDataFrame([(1, f"some text number {i} of a row") for i in range(300)] + [(2, "x " * 40)] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    model = quality_gam.fit_labelled(docs, labels, fit_rows=20)
+    assert sum(len(c) for c in model.cuts) <= 20 * 20 and quality_gam.score(docs, model).count() == 350
+
+
 # 2 sampled segmentation
 
 
@@ -159,6 +198,20 @@ def test_large_copies_fill_shards(spark):
     assert len(hot) <= 4 + 1 and len(warm) == 1 and set(Counter(r.shard for r in out).values()) == {120}
 
 
+def test_links_are_cut_less_than_by_hashing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = shard_lp.shard_documents(docs, shards=10).select("doc_id", "shard").collect()
+    lines = defaultdict(set)
+    for r in docs.collect():
+        for x in set((r.text or "").split("\n")):
+            if len(x) >= shard_lp.LINE_CHARS:
+                lines[x].add(r.doc_id)
+    lines = [x for x in lines.values() if len(x) > 1]
+    spread = lambda shard: sum(len({shard[i] for i in x}) - 1 for x in lines)
+    by_hash = spread({r.doc_id: zlib.crc32(str(r.doc_id).encode()) % 10 for r in rows})
+    assert spread({r.doc_id: r.shard for r in rows}) < 0.6 * by_hash
+
+
 def test_sharding_of_odd_rows(spark, odd):
     assert shard_lp.shard_documents(odd).count() == len(ODD)
 
@@ -378,6 +431,29 @@ def test_join_on_odd_rows(spark, odd):
     assert kept.columns == odd.columns and sorted(x.doc_id or 0 for x in kept.collect()) == [0, 1, 2, 3, 4, 7, 8, 9]
 
 
+def test_join_with_clashing_names(spark, odd):
+    docs = odd
+    for name in ("id", "also", "node", "n", "c", "least", "bucket", "component_id", "n_shingles", "__kept", "_salt"):
+        docs = docs.withColumn(name, F.lit("mine"))
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted(x.doc_id or 0 for x in kept.where("c = 'mine' and __kept = 'mine'").collect()) == [0, 1, 2, 3, 4, 7, 8, 9]
+
+
+def test_join_of_one_large_group(spark, monkeypatch):
+    """A group of near copies on both sides of the threshold, with every common n-gram, bucket and hub dealt over several tasks."""
+    for name, value in (("HOLDERS", 20), ("SALT_ROWS", 7), ("BUSY", 4), ("HELD", 3000)):
+        monkeypatch.setattr(ngram_join, name, value)
+    r, base = np.random.default_rng(8), [f"b{i}" for i in range(140)]
+    rows = [(i, " ".join(base)) for i in range(10)]
+    for i in range(10, 150):
+        words = [*base]
+        for at in r.choice(140, int(r.integers(1, 8)), replace=False):
+            words[at] = f"e{r.integers(10**9)}"
+        rows.append((i, " ".join(words)))
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert sorted((tuple(x) for x in got), key=repr) == _components(rows)
+
+
 # 8 fingerprints
 
 
@@ -438,13 +514,13 @@ def test_sketch_of_small_sets():
 # 9 packing
 
 
-def test_packing(spark, texts):
+def _check_packing(out, texts):
     from tokenizers import Tokenizer
 
     t, rows = Tokenizer.from_file(packing.vocabulary_path()), defaultdict(list)
-    out = QUERIES["op9_best_fit_packing"](spark, SF).collect()
     for r in out:
         rows[r.doc_id].append((r.piece, r.start, r.length, r.ids_crc32))
+    assert set(rows) == set(texts)
     for k, text in texts.items():
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
         assert sorted(rows[k]) == [(i, a, len(ids[a : a + 2048]), zlib.crc32(ids[a : a + 2048].tobytes())) for i, a in enumerate(range(0, len(ids), 2048))]
@@ -457,6 +533,10 @@ def test_packing(spark, texts):
     assert len(full) <= math.ceil(sum(r.length for r in out) / 2048) * 1.02 + 1
 
 
+def test_packing(spark, texts):
+    _check_packing(QUERIES["op9_best_fit_packing"](spark, SF).collect(), texts)
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.dictionaries(st.integers(1, 20), st.integers(1, 6), max_size=8))
 def test_plan_places_every_piece_once(counts):
@@ -494,6 +574,14 @@ def test_words_are_tokenised_as_whole_texts(text):
     assert w([text])[0] == np.array(w._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_packing_with_clashing_names(spark, odd):
+    docs = odd
+    for name in ("piece", "length", "start", "rank", "_block", "sequence_id", "n"):
+        docs = docs.withColumn(name, F.lit("mine"))
+    out = packing.pack_documents(docs)
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.where("piece = 0").count() == len(ODD)
+
+
 def test_every_letter_before_a_stop():
     w = packing.tokenizer(packing.vocabulary_path())
     letters = [chr(i) for i in range(0x80, 0x30000) if chr(i).isalnum() and not 0x4E00 <= i < 0xA000 and not 0xAC00 <= i < 0xD7A4 and not 0x20000 <= i]
@@ -631,21 +719,43 @@ def test_pipeline_stages(spark):
     import corpus_pipeline
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
     state = {}
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
+        before, after = docs.collect(), out.collect()
+        ids = sorted(r.doc_id for r in after)
+        if name == "quality classifier":
+            model = quality_gam.fit_labelled(docs, labels.where("crc32(cast(cast(doc_id as string) as binary)) % 3 != 1"))
+            assert ids == sorted(r.doc_id for r in before if _slow_margin(model, quality_gam.features([r.text])[0]) >= 0)
+        if name == "quality rules":
+            fences = {r["group"]: r for r in quality_rules.thresholds(quality_rules.with_counts(docs)).collect()}
+            kept = []
+            for r in before:
+                n, chars, symbols, dup, repeat = _counts(r.text)
+                f = fences.get(f'{{"a":"{r.lang}","b":"{r.source}"}}')
+                ratios = {"symbol_ratio": symbols / max(1, chars), "dup_line_ratio": dup / max(1, n), "repeat_ratio": repeat / max(1, n), "word_length": chars / max(1, n)}
+                if n >= 20 and 100 * repeat <= 30 * n and all(x <= f[k] for k, x in ratios.items()):
+                    kept.append(r.doc_id)
+            assert ids == sorted(kept)
         if name == "n-gram Jaccard join":
-            rows = [(r.doc_id, r.text) for r in docs.collect()]
-            want = sorted(k for k, _, c in _components(rows) if k == c)
-            assert sorted(r.doc_id for r in out.collect()) == want
+            assert ids == sorted(k for k, _, c in _components([(r.doc_id, r.text) for r in before]) if k == c)
         if name == "personal data":
-            want = {r.doc_id: pii_crf.base_spans(r.text) for r in docs.collect()}
-            got = {r.doc_id: r for r in out.collect()}
-            assert set(got) == set(want) and all(not pii_crf.base_spans(r.text) and r.n_chars == len(r.text) for r in got.values())
-        if name != "best-fit packing":
+            got = {r.doc_id: r for r in after}
+            assert ids == sorted(r.doc_id for r in before) and all(not pii_crf.base_spans(r.text) and r.n_chars == len(r.text) for r in after)
+            for r in before:
+                base = pii_crf.base_spans(r.text)
+                if base and not any(a < z2 and z > a2 for i, (_, a, z) in enumerate(base) for _, a2, z2 in base[:i]):
+                    left = r.text
+                    for kind, a, z in sorted(base, key=lambda x: -x[1]):
+                        left = f"{left[:a]}[{kind.upper()}]{left[z:]}"
+                    assert got[r.doc_id].text == left or len(got[r.doc_id].text) < len(left)
+        if name == "best-fit packing":
+            _check_packing(after, {r.doc_id: r.text for r in before})
+        else:
             assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-        state[name] = out.count()
-        docs = spark.createDataFrame(out.collect(), out.schema)
+        state[name] = len(after)
+        docs = spark.createDataFrame(after, out.schema)
     assert [*state.values()][:4] == sorted([*state.values()][:4], reverse=True) and min(state.values()) > 0
 
 

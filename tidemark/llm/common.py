@@ -58,6 +58,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what was written for a later step, in whatever file system it is."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def private(*frames: DataFrame) -> str:
     """A prefix that no column of the frames starts with."""
     return "_" * (1 + max([len(c) - len(c.lstrip("_")) for df in frames for c in df.columns], default=0))
