@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import ngram_join, packing, pii_crf, quality_gam, quality_rules
-from tidemark.llm.common import shared_dir, table
+from tidemark.llm.common import remove, shared_dir, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,10 +45,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    """All stages over ``documents``, each written and read again; what a stage has read is removed once its own result is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES:
         path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        before = path
     return docs
