@@ -8,9 +8,10 @@ part of a pair's overlap, and the counts are summed per pair.
 
 Groups of copies cost stars and not all pairs. Each text is first compared with the hub that it shares most with, and texts that many
 others of other components share n-grams with are compared with the hub of those. What is left are members of a bucket in different components. They are a
-candidate only where all bounds allow it: their sizes, the places of what they share, how many of their n-grams any other
-text has, and the overlaps of both with a common hub, outside of which they share at most what either has left. No link
-between components is lost.
+candidate only where all bounds allow it: their sizes, the places of what they share, how many n-grams either
+can share at all, and the overlaps of both with a common hub, outside of which they share at most what either has left. No link
+between components is lost. (An n-gram of a prefix that another text has lies in that one's prefix too, if that ends behind it; so n-grams of a prefix that
+meet nothing are shared with no text whose prefix ends behind the last of them.)
 
 Which n-grams count as frequent is an order only, found over all documents; any order gives the same links. N-grams are compared by 64-bit hashes.
 
@@ -35,7 +36,7 @@ PERCENT = 75
 MOST_FREQUENT = 1 << 19
 FREQUENT_FROM = 8
 #: N-grams of one fragment, on average, and n-grams held in memory before they are dealt out.
-FRAGMENT, HELD = 750_000, 1_000_000
+FRAGMENT, HELD = 750_000, 500_000
 #: Holders of one n-gram that meet in one group; those of a more frequent one are dealt over several.
 HOLDERS = 50_000
 #: Bits of the filter that tells which texts take part in a pair (2 MB). Beyond its capacity more texts are read, none is lost.
@@ -135,8 +136,19 @@ def _pieces(order, t: np.ndarray) -> np.ndarray:
     return np.where(tokens[at] == t, -(-counts[at].astype(np.int64) // HOLDERS), 1)
 
 
+def _in_order(order, t: np.ndarray) -> np.ndarray:
+    """The places of n-grams in the global order, as numbers that never invert it; those of n-grams that aren't frequent are below 2^32."""
+    tokens, counts = order.value
+    rank = np.zeros(len(t), np.int64)
+    if len(tokens):
+        at = np.minimum(np.searchsorted(tokens, t), len(tokens) - 1)
+        rank = np.where(tokens[at] == t, counts[at], 0).astype(np.int64)
+    return (rank << 32) + (t >> np.uint64(32)).astype(np.int64)
+
+
 def _deal(fragments: int, order):
-    """Rows (fragment, its n-grams, nodes, sizes, n-grams of each node, their places in it) from many prefixes at a time."""
+    """Rows (fragment, its n-grams, nodes, sizes, ends, n-grams of each node, their places in it) from many prefixes at a time. A prefix's end is
+    the place of its last n-gram in the global order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, nodes, sizes, held = [], [], [], 0
@@ -146,6 +158,7 @@ def _deal(fragments: int, order):
             of = np.repeat(np.arange(len(nodes)), [len(x) for x in tokens])
             place = np.concatenate([np.minimum(np.arange(len(x)), 65_535) for x in tokens]).astype(np.uint16)
             node, size = np.array(nodes, np.int64), np.array(sizes, np.int32)
+            end = _in_order(order, np.array([x[-1] for x in tokens], np.uint64))
             own = mix(node.view(np.uint64))[of] % _pieces(order, t).astype(np.uint64)
             f = ((mix(t) + own) % np.uint64(fragments)).astype(np.int64)
             by = np.argsort(f, kind="stable")
@@ -155,8 +168,8 @@ def _deal(fragments: int, order):
                 a, z = ends[k], ends[k + 1]
                 if a < z:
                     one, count = np.unique(of[a:z], return_counts=True)
-                    rows.append((k, t[a:z].astype("<u8").tobytes(), node[one].tobytes(), size[one].tobytes(), count.astype(np.int32).tobytes(), place[a:z].tobytes()))
-            return pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 5, strict=True)], ["fragment", "tokens", "nodes", "sizes", "counts", "places"])
+                    rows.append((k, t[a:z].astype("<u8").tobytes(), node[one].tobytes(), size[one].tobytes(), end[one].tobytes(), count.astype(np.int32).tobytes(), place[a:z].tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 6, strict=True)], ["fragment", "tokens", "nodes", "sizes", "ends", "counts", "places"])
 
         for b in batches:
             for node, n, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
@@ -174,28 +187,35 @@ def _deal(fragments: int, order):
 
 
 def _meet(order):
-    """Within one fragment: rows (bucket, node, size, n-grams, first place) of the nodes that share n-grams. N-grams that the same nodes
+    """Within one fragment: rows (bucket, node, size, end, n-grams, first place) of the nodes that share n-grams. N-grams that the same nodes
     share are one bucket, named by the hash of its nodes, so that equal buckets of several fragments are one too; an n-gram
-    whose holders were dealt over several groups is named by its own hash, and all its holders are given."""
+    whose holders were dealt over several groups is named by its own hash, and all its holders are given. Rows without a bucket tell the place of the last
+    frequent n-gram that a node alone has."""
 
     def run(rows: pa.Table) -> pa.Table:
         import xxhash
 
         cat = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in rows.column(c).to_pylist()])
         count = cat("counts", np.int32)
-        t, node, n, place = unpacked(b"".join(rows.column("tokens").to_pylist())), np.repeat(cat("nodes", np.int64), count), np.repeat(cat("sizes", np.int32), count), cat("places", np.uint16)
+        t, node, place = unpacked(b"".join(rows.column("tokens").to_pylist())), np.repeat(cat("nodes", np.int64), count), cat("places", np.uint16)
+        of, sizes, ends = np.repeat(np.arange(len(count)), count), cat("sizes", np.int32), cat("ends", np.int64)
         by = np.argsort(t, kind="stable")
-        t, node, n, place = t[by], node[by], n[by], place[by]
+        t, node, of, place = t[by], node[by], of[by], place[by]
         same, split = t[1:] == t[:-1], _pieces(order, t) > 1
         shared = split.copy()
         shared[1:] |= same
         shared[:-1] |= same
-        t, node, n, place, split = t[shared], node[shared], n[shared], place[shared], split[shared]
+        alone = _in_order(order, t[~shared])
+        lone, alone = node[~shared][alone >= 1 << 32], alone[alone >= 1 << 32]
+        by = np.lexsort((-alone, lone))
+        lone, alone = lone[by], alone[by]
+        last = np.flatnonzero(np.concatenate([[True], lone[1:] != lone[:-1]])) if len(lone) else np.zeros(0, int)
+        t, node, of, place, split = t[shared], node[shared], of[shared], place[shared], split[shared]
         by = np.lexsort((node, t))
-        t, node, n, place, split = t[by], node[by], n[by], place[by], split[by]
+        t, node, of, place, split = t[by], node[by], of[by], place[by], split[by]
         keep = np.ones(len(t), bool)
         keep[1:] = (t[1:] != t[:-1]) | (node[1:] != node[:-1])
-        t, node, n, place, split = t[keep], node[keep], n[keep], place[keep], split[keep]
+        t, node, of, place, split = t[keep], node[keep], of[keep], place[keep], split[keep]
         first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
         length = np.diff(np.append(first, len(t)))
         big: dict[bytes, list[int]] = {}
@@ -212,8 +232,10 @@ def _meet(order):
         spans = np.array([*big.values()], np.int64).reshape(-1, 3)
         name = np.fromiter((xxhash.xxh3_64_intdigest(h) for h in big), np.uint64, len(big)).view(np.int64)
         pick = np.concatenate([np.arange(s, s + k) for s, k, _ in spans]) if len(spans) else np.zeros(0, int)
-        cols = [np.repeat(name, spans[:, 1]), node[pick], n[pick].astype(np.int64), np.repeat(spans[:, 2], spans[:, 1]), place[pick].astype(np.int64)]
-        return pa.table([pa.array(c, pa.int64()) for c in cols], names=["bucket", "node", "n", "w", "place"])
+        cols = [np.repeat(name, spans[:, 1]), node[pick], sizes[of[pick]].astype(np.int64), ends[of[pick]], np.repeat(spans[:, 2], spans[:, 1]), place[pick].astype(np.int64)]
+        none = np.zeros(len(last), np.int64)
+        more = [pa.nulls(len(last), pa.int64()), lone[last], none, alone[last], none, none]
+        return pa.table([pa.chunked_array([pa.array(c, pa.int64()), x if isinstance(x, pa.Array) else pa.array(x, pa.int64())]) for c, x in zip(cols, more, strict=True)], names=["bucket", "node", "n", "end", "w", "place"])
 
     return run
 
@@ -326,11 +348,14 @@ def _possible(k, n, m):
     return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (k + F.greatest(behind(n), behind(m)) >= _need(n, m))
 
 
-def _living(buckets: DataFrame) -> DataFrame:
-    """Buckets of the nodes that can link at all, with ``e``: how many of a node's n-grams any other text may have. Those of the prefix
-    that are in no bucket are its own alone."""
-    own = buckets.groupBy("node").agg(F.sum("w").alias("s"), F.max("n").alias("n")).select("node", (F.ceil(F.col("n") * PERCENT / 100) - 1 + F.col("s")).alias("e"), "n")
-    return buckets.join(own.where(100 * F.col("e") >= PERCENT * F.col("n")).select("node", "e"), "node")
+def _with_shared(met: DataFrame) -> DataFrame:
+    """The buckets with ``e``, how many of a node's n-grams a text may have whose prefix ends behind ``lone``: those of the prefix that are in no
+    bucket it can't have. ``lone`` is a bound of the place of the last of these."""
+    buckets = met.where("bucket is not null")
+    own = buckets.groupBy("node").agg((F.ceil(F.max("n") * PERCENT / 100) - 1 + F.sum("w")).alias("e"), F.max("end").alias("stop"))
+    lone = met.where("bucket is null").groupBy("node").agg(F.max("end").alias("far"))
+    own = own.join(lone, "node", "left").select("node", "e", F.least("stop", F.coalesce("far", F.lit((1 << 32) - 1))).alias("lone"))
+    return buckets.join(own, "node")
 
 
 def _to_hubs(buckets: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -341,34 +366,36 @@ def _to_hubs(buckets: DataFrame, hubs: DataFrame) -> DataFrame:
 
 
 def _stars(buckets: DataFrame) -> DataFrame:
-    """(a, m, b, n): for each node b the hub a that it shares most n-grams with, and their sizes. The hub of a bucket is its node with the
+    """(a, m, z, b, n): for each node b the hub a that it shares most n-grams with, their sizes, and the end of a. The hub of a bucket is its node with the
     largest share of n-grams that others have: of a group of copies the one that was changed least."""
-    hubs = buckets.groupBy("bucket").agg(F.max(F.struct(F.col("e") / F.col("n"), "node", "n", "e")).alias("h"), F.max("holders").alias("holders"))
-    hubs = hubs.select("bucket", "holders", F.col("h.node").alias("a"), F.col("h.n").alias("m"), F.col("h.e").alias("f"))
-    pairs = _to_hubs(buckets, hubs).where("node != a").groupBy(F.col("node").alias("b"), "n", "e", "a", "m", "f").agg(F.sum("w").alias("k"))
-    pairs = pairs.where(_possible(F.col("k"), F.col("n"), F.col("m")) & (F.least("e", "f") >= _need(F.col("n"), F.col("m"))))
-    return pairs.groupBy("b", "n").agg(F.max(F.struct("k", "a", "m")).alias("h")).select("h.a", "h.m", "b", "n")
+    hubs = buckets.groupBy("bucket").agg(F.max(F.struct(F.col("e") / F.col("n"), "node", "n", "e", "end")).alias("h"), F.max("holders").alias("holders"))
+    hubs = hubs.select("bucket", "holders", F.col("h.node").alias("a"), F.col("h.n").alias("m"), F.col("h.end").alias("z"))
+    pairs = _to_hubs(buckets, hubs).where("node != a").groupBy(F.col("node").alias("b"), "n", "a", "m", "z").agg(F.sum("w").alias("k"))
+    pairs = pairs.where(_possible(F.col("k"), F.col("n"), F.col("m")))
+    return pairs.groupBy("b", "n").agg(F.max(F.struct("k", "a", "m", "z")).alias("h")).select("h.a", "h.m", "h.z", "b", "n")
 
 
 def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``pairs`` (a, m, b, n) with their overlap ``o`` and whether they link."""
+    """``pairs`` (a, m, z, b, n) with their overlap ``o`` and whether they link."""
     o = pairs.join(overlaps_of(pairs, texts).withColumnRenamed("k", "o"), ["a", "b"], "left").fillna(0, ["o"])
     return cut(o.withColumn("linked", F.col("o") >= _need(F.col("n"), F.col("m"))))
 
 
 def _open(buckets: DataFrame, done: DataFrame) -> DataFrame:
-    """The buckets whose nodes are in several components, with each node's component ``c`` as far as ``done`` tells, and the overlap ``o``
-    with its hub; the hub of one that was compared with none is itself if it is one. A hub's rank is above those it was chosen for,
+    """The buckets whose nodes are in several components, with each node's component ``c`` as far as ``done`` tells, its overlap ``o``
+    with its hub, and ``out``, what it may share outside of the hub with a text whose prefix ends behind its lone n-grams; the hub of one that was compared with none is itself if it is one. A hub's rank is above those it was chosen for,
     so the links to hubs are a forest, and two steps towards its roots do for now."""
     up = done.where("linked").select(F.col("b").alias("node"), F.col("a").alias("c"))
     for _ in range(2):
         hot = hot_keys(up, "c", SALT_ROWS)
         over = copied(up.select(F.col("node").alias("c"), F.col("c").alias("top")), "c", hot)
         up = cut(spread(up, "c", hot, F.col("node")).join(over, ["c", "_salt"], "left").select("node", F.coalesce("top", "c").alias("c")))
-    hubs = done.select(F.col("a").alias("node"), F.col("a").alias("hub"), F.col("m").alias("o"), F.lit(0).alias("rank")).distinct()
-    hubs = hubs.unionByName(done.select(F.col("b").alias("node"), F.col("a").alias("hub"), "o", F.lit(1).alias("rank")))
-    hubs = hubs.groupBy("node").agg(F.max(F.struct("rank", "hub", "o")).alias("x")).select("node", "x.hub", "x.o")
-    rows = buckets.drop("c", "hub", "o").join(up, "node", "left").join(hubs, "node", "left").withColumn("c", F.coalesce("c", "node"))
+    hubs = done.select(F.col("a").alias("node"), F.col("a").alias("hub"), F.col("m").alias("o"), "z", F.lit(0).alias("rank")).distinct()
+    hubs = hubs.unionByName(done.select(F.col("b").alias("node"), F.col("a").alias("hub"), "o", "z", F.lit(1).alias("rank")))
+    hubs = hubs.groupBy("node").agg(F.max(F.struct("rank", "hub", "o", "z")).alias("x")).select("node", "x.hub", "x.o", "x.z")
+    rows = buckets.drop("c", "hub", "o", "out").join(up, "node", "left").join(hubs, "node", "left").withColumn("c", F.coalesce("c", "node"))
+    # What a node shares with a hub whose prefix ends behind its lone n-grams is among its ``e``.
+    rows = rows.withColumn("out", F.when(F.col("z") > F.col("lone"), F.col("e")).otherwise(F.col("n")) - F.col("o")).drop("z")
     several = rows.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("now"), F.max("holders").alias("holders")).where("lo != hi").drop("lo", "hi")
     return cut(_to_hubs(rows, several).drop("_salt", "holders").withColumnRenamed("now", "holders"))
 
@@ -386,27 +413,29 @@ def _busy(buckets: DataFrame) -> DataFrame:
 
 
 def _rest(buckets: DataFrame) -> DataFrame:
-    """(a, m, b, n): pairs of a bucket in different components that all bounds allow. Of the n-grams that a pair must share, the first ``some`` lie
+    """(a, m, z, b, n): pairs of a bucket in different components that all bounds allow. Of the n-grams that a pair must share, the first ``some`` lie
     within the first n - need + some places of both prefixes."""
-    side = lambda q, s: buckets.select("bucket", *(F.col(c).alias(c + s) for c in ("node", "n", "e", "c", "hub", "o", "place")), *q)
+    side = lambda q, s: buckets.select("bucket", *(F.col(c).alias(c + s) for c in ("node", "n", "end", "e", "lone", "c", "hub", "o", "out", "place")), *q)
     salts = F.ceil(F.col("holders") / SALT_ROWS).cast("int")
     x, y = side(["w", F.pmod(F.xxhash64("node"), salts).cast("int").alias("_salt")], "1"), side([F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt")], "2")
     n, m, o, p = (F.col(c) for c in ("n1", "n2", "o1", "o2"))
     larger, smaller, need = F.greatest(n, m), F.least(n, m), _need(n, m)
     some = F.greatest(F.lit(1), F.least(1 + F.floor(smaller / 50), need - F.ceil(PERCENT * larger / 100) + 1))
     near = (F.col("node1") < F.col("node2")) & (F.col("c1") != F.col("c2")) & (100 * smaller >= PERCENT * larger) & (F.col("place1") < n - need + some) & (F.col("place2") < m - need + some)
-    near = near & (F.least("e1", "e2") >= need) & ~F.coalesce((F.col("hub1") == F.col("node2")) | (F.col("hub2") == F.col("node1")), F.lit(False))
-    near = near & F.coalesce((F.col("hub1") != F.col("hub2")) | (F.least(o, p) + F.least(F.col("e1") - o, F.col("e2") - p) >= need), F.lit(True))
-    pairs = x.join(y, ["bucket", "_salt"]).where(near).groupBy(F.col("node1").alias("a"), F.col("node2").alias("b"), F.col("n1").alias("m"), F.col("n2").alias("n")).agg(F.sum("w").alias("k"), F.max(some).alias("some"))
-    return pairs.where("k >= some").select("a", "m", "b", "n")
+    known1, known2 = F.col("lone1") < F.col("end2"), F.col("lone2") < F.col("end1")
+    near = near & (F.least(F.when(known1, F.col("e1")).otherwise(n), F.when(known2, F.col("e2")).otherwise(m)) >= need) & ~F.coalesce((F.col("hub1") == F.col("node2")) | (F.col("hub2") == F.col("node1")), F.lit(False))
+    left = F.least(F.when(known1, F.col("out1")).otherwise(n - o), F.when(known2, F.col("out2")).otherwise(m - p))
+    near = near & F.coalesce((F.col("hub1") != F.col("hub2")) | (F.least(o, p) + left >= need), F.lit(True))
+    pairs = x.join(y, ["bucket", "_salt"]).where(near).groupBy(F.col("node1").alias("a"), F.col("node2").alias("b"), F.col("n1").alias("m"), F.col("n2").alias("n"), F.col("end1").alias("z")).agg(F.sum("w").alias("k"), F.max(some).alias("some"))
+    return pairs.where("k >= some").select("a", "m", "z", "b", "n")
 
 
 def _links(buckets: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that connect all that is connected."""
     done = _compared(cut(_stars(buckets)), texts)
     buckets = _open(buckets, done)
-    sizes = buckets.select(F.col("node").alias("a"), F.col("n").alias("m")).distinct()
-    known = done.select("a", "m").unionByName(sizes).distinct()
+    sizes = buckets.select(F.col("node").alias("a"), F.col("n").alias("m"), F.col("end").alias("z")).distinct()
+    known = done.select("a", "m", "z").unionByName(sizes).distinct()
     busy = cut(_busy(buckets).join(known, "a"))
     if busy.limit(1).count():
         done = cut(done.unionByName(_compared(busy, texts).select(*done.columns)))
@@ -428,10 +457,10 @@ def _grouped(texts: DataFrame) -> DataFrame:
     rows = written(texts.select("text", "id", "also").mapInArrow(_prefixes(order), f"id {kind}, also long, node long, n long, prefix binary"))
     total = rows.where("prefix is not null").agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
     fragments = max(2 * parts(spark), int(total // FRAGMENT) + 1)
-    dealt = rows.where("prefix is not null").select("node", "n", "prefix").mapInArrow(_deal(fragments, order), "fragment int, tokens binary, nodes binary, sizes binary, counts binary, places binary")
-    met = dealt.groupBy("fragment").applyInArrow(_meet(order), "bucket long, node long, n long, w long, place long")
-    buckets = _living(cut(met.groupBy("bucket", "node").agg(F.max("n").alias("n"), F.sum("w").alias("w"), F.min("place").alias("place"))))
-    buckets = cut(buckets)
+    dealt = rows.where("prefix is not null").select("node", "n", "prefix").mapInArrow(_deal(fragments, order), "fragment int, tokens binary, nodes binary, sizes binary, ends binary, counts binary, places binary")
+    met = dealt.groupBy("fragment").applyInArrow(_meet(order), "bucket long, node long, n long, end long, w long, place long")
+    met = cut(met.groupBy("bucket", "node").agg(F.max("n").alias("n"), F.max("end").alias("end"), F.sum("w").alias("w"), F.min("place").alias("place")))
+    buckets = cut(_with_shared(met))
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("holders")).where("holders > 1")
     buckets = cut(buckets.join(sizes, "bucket"))
     part = components(cut(_links(buckets, texts.select("text"))))
