@@ -15,7 +15,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORD_BYTES = re.compile(rb"[^\x20\x09-\x0D]+")
 SHINGLE = 5
 #: Rows and bytes of text in one Arrow batch; texts may be very long, so batches are small.
-BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 400, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
