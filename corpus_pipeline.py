@@ -35,7 +35,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences. Python workers outlive the stage, so they keep fewer words."""
-    return packing.pack_documents(docs, kept_words=250_000)
+    return packing.pack_documents(docs, kept_words=100_000)
 
 
 STAGES = [("quality classifier", quality), ("quality rules", rules), ("n-gram Jaccard join", near_duplicates), ("personal data", personal_data), ("best-fit packing", packed)]
