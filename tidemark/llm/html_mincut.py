@@ -49,8 +49,8 @@ _HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 FEATURES = ["bias", "heading", "paragraph", "item", "links", "words", "stops", "few", "symbols", "edge", "near_words", "near_links"]
 #: Start and prior of the fit, in the order of FEATURES.
 PRIOR = np.array([-0.5, 0.3, 0.8, -0.2, -2.5, 1.0, 0.6, -0.4, -0.2, -0.3, 0.5, -0.5])
-#: Log odds that an element adds which says that it is boilerplate, or main text.
-SAYS_AWAY, SAYS_MAIN = -6.0, 4.0
+#: Log odds that an element adds which says that it is boilerplate, beyond all looks, or main text.
+SAYS_AWAY, SAYS_MAIN = -12.0, 6.0
 
 
 @dataclass(slots=True)
