@@ -102,7 +102,7 @@ def tokenizer(path: str, most: int = KEPT_WORDS) -> WordTokenizer:
 
 def pieces(docs: DataFrame, *, path: str, capacity: int = CAPACITY, key: str = "doc_id", text: str = "text", with_ids: bool = False, kept_words: int = KEPT_WORDS) -> DataFrame:
     """One row for each piece: key, piece, start, length, ids_crc32 and, on request, the ids."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, *((1000, 16 << 20) if kept_words >= KEPT_WORDS else ()))  # larger ones meet fewer words twice
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
