@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html_mincut, ngram_join, packing, pii_crf, quality_gam, quality_rules, shard_lp, sp_sampling, url_cascade
+from . import byte_bpe, fingerprint, html_mincut, ngram_join, packing, pii_crf, quality_gam, quality_rules, shard_lp, sp_sampling, url_cascade
 from .common import table
 
 
@@ -86,10 +86,16 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(number, pii_crf.KINDS), F.sha2(line("base"), 256).alias("base_sha256"), line("spans").alias("spans"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
+    back = byte_bpe.decode(byte_bpe.encode(docs).drop("text"))
+    return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier, "op2_sentencepiece_sampling": op2_sentencepiece_sampling, "op3_sharding": op3_sharding, "op4_url_filters": op4_url_filters,
     "op5_html_extraction": op5_html_extraction, "op6_quality_rules": op6_quality_rules,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join, "op8_document_fingerprints": op8_document_fingerprints, "op9_best_fit_packing": op9_best_fit_packing,
-    "op10_pii": op10_pii,
+    "op10_pii": op10_pii, "op11_byte_bpe": op11_byte_bpe,
 }
 ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL, "op7_ngram_jaccard_join": OP7_SQL}
