@@ -47,7 +47,7 @@ def test_against_sql(spark, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_empty_tables(spark, tmp_path, name):
-    for t in ("documents", "labels", "pages"):
+    for t in ("documents", "labels", "pages", "embeddings"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert QUERIES[name](spark, str(tmp_path)).count() == 0
 

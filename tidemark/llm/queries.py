@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprint, html_mincut, ngram_join, packing, pii_crf, quality_gam, quality_rules, shard_lp, sp_sampling, url_cascade
+from . import byte_bpe, fingerprint, html_mincut, ngram_join, packing, pii_crf, quality_gam, quality_rules, shard_lp, source_audit, sp_sampling, url_cascade
 from .common import table
 
 
@@ -92,10 +92,30 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+w AS (SELECT id, lang, source, translate(unnest(ws), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+k AS (SELECT lang, term, count(*) AS q FROM w GROUP BY 1, 2 HAVING count(DISTINCT id) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(q) AS total FROM k GROUP BY 1),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+f AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.q, v.v, v.total, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS own FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT lang, source, term, n, 1 + CAST(1000000000 * CAST(n + 5 AS HUGEINT) // (own + 5 * v) AS BIGINT) AS p, 1 + CAST(1000000000 * CAST(q + 5 AS HUGEINT) // (total + 5 * v) AS BIGINT) AS q FROM f),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(x.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN (SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3) x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source)
+SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM pairs
+UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, term AS item, p - q AS value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY p - q DESC, term) AS INTEGER) AS rank FROM s WHERE n > 0 AND p > q) WHERE rank <= 50
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier, "op2_sentencepiece_sampling": op2_sentencepiece_sampling, "op3_sharding": op3_sharding, "op4_url_filters": op4_url_filters,
     "op5_html_extraction": op5_html_extraction, "op6_quality_rules": op6_quality_rules,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join, "op8_document_fingerprints": op8_document_fingerprints, "op9_best_fit_packing": op9_best_fit_packing,
-    "op10_pii": op10_pii, "op11_byte_bpe": op11_byte_bpe,
+    "op10_pii": op10_pii, "op11_byte_bpe": op11_byte_bpe, "op13_source_divergence": op13_source_divergence,
 }
-ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL, "op7_ngram_jaccard_join": OP7_SQL}
+ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL, "op7_ngram_jaccard_join": OP7_SQL, "op13_source_divergence": OP13_SQL}
