@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprint, html_mincut, ngram_join, packing, pii_crf, quality_gam, quality_rules, shard_lp, source_audit, sp_sampling, url_cascade
+from . import byte_bpe, fingerprint, html_mincut, ngram_join, packing, pii_crf, quality_gam, quality_rules, shard_lp, source_audit, sp_sampling, url_cascade, whitening
 from .common import table
 
 
@@ -92,6 +92,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(table(spark, sf_dir, "documents", "text", "lang", "source"))
 
@@ -116,6 +120,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier, "op2_sentencepiece_sampling": op2_sentencepiece_sampling, "op3_sharding": op3_sharding, "op4_url_filters": op4_url_filters,
     "op5_html_extraction": op5_html_extraction, "op6_quality_rules": op6_quality_rules,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join, "op8_document_fingerprints": op8_document_fingerprints, "op9_best_fit_packing": op9_best_fit_packing,
-    "op10_pii": op10_pii, "op11_byte_bpe": op11_byte_bpe, "op13_source_divergence": op13_source_divergence,
+    "op10_pii": op10_pii, "op11_byte_bpe": op11_byte_bpe, "op12_embedding_whitening": op12_embedding_whitening, "op13_source_divergence": op13_source_divergence,
 }
 ORACLES: dict[str, str] = {"op4_url_filters": OP4_SQL, "op7_ngram_jaccard_join": OP7_SQL, "op13_source_divergence": OP13_SQL}
