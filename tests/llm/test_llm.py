@@ -424,6 +424,48 @@ def test_join_on_edited_copies(spark):
     assert sorted((tuple(x) for x in ngram_join.near_duplicates(docs).collect()), key=repr) == _components(rows)
 
 
+def threshold_rows(seed: int, families: int) -> list[tuple[int, str]]:
+    """Families of windows of one word sequence whose overlaps lie on the threshold or one n-gram off it, each text in up to five copies."""
+    r, rows = np.random.default_rng(seed), []
+    for f in range(families):
+        n = int(r.choice([4, 8, 12, 36, 48, 60, 100]))  # n-grams of the longest
+        words = [f"f{f}x{i}" if r.random() < 0.9 else f"c{r.integers(40)}" for i in range(2 * n + 4)]
+        windows = [(0, n)]
+        for _ in range(int(r.integers(1, 5))):
+            a, m = windows[int(r.integers(len(windows)))]
+            if r.random() < 0.5:  # a part of it
+                k = max(1, -(-3 * m // 4) - int(r.integers(0, 2)))
+                windows.append((a + int(r.integers(0, m - k + 1)), k))
+            else:  # moved by about a seventh
+                windows.append((min(n, a + max(1, m // 7 + int(r.integers(0, 2)))), m))
+        for a, m in windows:
+            text = words[a : a + m + 4]
+            if r.random() < 0.2:
+                text[int(r.integers(len(text)))] = f"e{r.integers(10**9)}"
+            rows += [" ".join(text)] * int(r.integers(1, 6))
+    order = r.permutation(len(rows))
+    return [(int(k), rows[i]) for k, i in enumerate(order)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_join_at_the_threshold_with_copies(spark, seed):
+    """Equal texts lie in several partitions, and so does every family."""
+    rows = threshold_rows(seed, 40)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert sorted((tuple(x) for x in ngram_join.near_duplicates(docs).collect()), key=repr) == _components(rows)
+    kept = sorted(x.doc_id for x in ngram_join.one_of_each(docs).collect())
+    assert kept == sorted({c for _, _, c in _components(rows)})
+
+
+def test_join_of_a_subset_with_copies(spark):
+    """36 of 48 n-grams, exactly three quarters, with copies of both over the partitions."""
+    words = [f"w{i}" for i in range(52)]
+    rows = [(i, " ".join(words)) for i in range(2)] + [(i, " ".join(words[:40])) for i in range(2, 6)]
+    for k in (1, 3, 6):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(k)
+        assert sorted((tuple(x) for x in ngram_join.near_duplicates(docs).collect()), key=repr) == _components(rows)
+
+
 def test_join_on_odd_rows(spark, odd):
     got = sorted((tuple(x) for x in ngram_join.near_duplicates(odd).collect()), key=repr)
     assert got == _components([(r[0], r[1]) for r in ODD])

@@ -205,11 +205,7 @@ def _meet(order):
         shared = split.copy()
         shared[1:] |= same
         shared[:-1] |= same
-        alone = _in_order(order, t[~shared])
-        lone, alone = node[~shared][alone >= 1 << 32], alone[alone >= 1 << 32]
-        by = np.lexsort((-alone, lone))
-        lone, alone = lone[by], alone[by]
-        last = np.flatnonzero(np.concatenate([[True], lone[1:] != lone[:-1]])) if len(lone) else np.zeros(0, int)
+        t1, n1 = t[~shared], node[~shared]
         t, node, of, place, split = t[shared], node[shared], of[shared], place[shared], split[shared]
         by = np.lexsort((node, t))
         t, node, of, place, split = t[by], node[by], of[by], place[by], split[by]
@@ -218,6 +214,13 @@ def _meet(order):
         t, node, of, place, split = t[keep], node[keep], of[keep], place[keep], split[keep]
         first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
         length = np.diff(np.append(first, len(t)))
+        # Equal texts that several tasks read are rows of one node, which alone has the n-gram.
+        one = first[(length < 2) & ~split[first]]
+        lone, alone = np.concatenate([n1, node[one]]), _in_order(order, np.concatenate([t1, t[one]]))
+        lone, alone = lone[alone >= 1 << 32], alone[alone >= 1 << 32]
+        by = np.lexsort((-alone, lone))
+        lone, alone = lone[by], alone[by]
+        last = np.flatnonzero(np.concatenate([[True], lone[1:] != lone[:-1]])) if len(lone) else np.zeros(0, int)
         big: dict[bytes, list[int]] = {}
         for s, k in zip(first.tolist(), length.tolist(), strict=True):
             if k < 2 and not split[s]:
