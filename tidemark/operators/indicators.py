@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.windows import decayed, history, ordered, percent, ratio, trailing
+from ..functions.windows import exponential, ordered, percent, ratio, trailing
 
 SPANS = [10, 20, 50, 100, 200]
 
@@ -20,9 +20,8 @@ def sma_features(df: DataFrame, *, keys: list[str], time: str, col: str = "close
 
 
 def ema_features(df: DataFrame, *, keys: list[str], time: str, col: str = "close", spans: list[int] = SPANS) -> DataFrame:
-    """Finite exponential averages: the widest window is gathered once, and every span is a fold over its end."""
-    df = df.withColumn("_h", history(F.col(col), trailing(keys, time, max(spans))))
-    return df.withColumns({f"ema_{n}": decayed(F.col("_h"), n) for n in spans}).drop("_h")
+    """Finite exponential averages."""
+    return exponential(df, keys=keys, time=time, averages={f"ema_{n}": (col, n) for n in spans})
 
 
 def bollinger(df: DataFrame, *, keys: list[str], time: str, col: str = "close", n: int = 20, width: float = 2.0) -> DataFrame:
@@ -45,12 +44,10 @@ def rsi(df: DataFrame, *, keys: list[str], time: str, col: str = "close", n: int
 
 def macd(df: DataFrame, *, keys: list[str], time: str, col: str = "close", fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
     """Difference of two finite exponential averages from row ``slow`` on, and its own average over the rows it has."""
-    o = ordered(keys, time)
-    df = df.withColumns({"_h": history(F.col(col), trailing(keys, time, slow)), "_rn": F.row_number().over(o)})
-    df = df.withColumn("macd", F.when(F.col("_rn") >= slow, decayed(F.col("_h"), fast) - decayed(F.col("_h"), slow))).drop("_h")
-    df = df.withColumn("_h", F.filter(history(F.col("macd"), trailing(keys, time, signal)), lambda v: v["x"].isNotNull()))
-    df = df.withColumn("macd_signal", F.when(F.col("macd").isNotNull(), decayed(F.col("_h"), signal))).drop("_h", "_rn")
-    return df.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
+    df = exponential(df.withColumn("_rn", F.row_number().over(ordered(keys, time))), keys=keys, time=time, averages={"_fast": (col, fast), "_slow": (col, slow)})
+    df = df.withColumn("macd", F.when(F.col("_rn") >= slow, F.col("_fast") - F.col("_slow"))).drop("_rn", "_fast", "_slow")
+    df = exponential(df, keys=keys, time=time, averages={"macd_signal": ("macd", signal)})
+    return df.withColumn("macd_signal", F.when(F.col("macd").isNotNull(), F.col("macd_signal"))).withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
 
 
 def roc(df: DataFrame, *, keys: list[str], time: str, col: str = "close", n: int = 10) -> DataFrame:
@@ -58,19 +55,23 @@ def roc(df: DataFrame, *, keys: list[str], time: str, col: str = "close", n: int
     return df.withColumn(f"roc_{n}", F.when(before != 0, 100 * (F.col(col) - before) / before))
 
 
+def typical_mean(df: DataFrame, *, keys: list[str], time: str, n: int = 20) -> DataFrame:
+    """``_sma``: the mean of the last n typical prices ``_tp``, over rows that all have one or all lack one (keys tell which)."""
+    return df.withColumn("_sma", F.avg("_tp").over(trailing(keys, time, n)))
+
+
+def cci_from_mean(df: DataFrame, *, keys: list[str], time: str, n: int = 20) -> DataFrame:
+    """The index from the typical price ``_tp`` and its mean ``_sma``."""
+    df = df.withColumn("_near", F.collect_list("_tp").over(trailing(keys, time, n)))
+    df = df.withColumn("_mad", F.aggregate("_near", F.lit(0.0), lambda a, x: a + F.abs(x - F.col("_sma"))) / F.when(F.size("_near") > 0, F.size("_near")))
+    return df.withColumn(f"cci_{n}", F.when(F.col("_mad") > 0, (F.col("_tp") - F.col("_sma")) / (0.015 * F.col("_mad")))).drop("_tp", "_sma", "_near", "_mad")
+
+
 def cci(df: DataFrame, *, keys: list[str], time: str, n: int = 20) -> DataFrame:
     """Commodity channel index. The mean is over n rows that have a price; the deviation around the row's own
     mean is over those of the n row numbers up to it, counted with the rows that lack one."""
-    o = ordered(keys, time)
-    df = df.withColumn("_rn", F.row_number().over(o)).withColumn("_tp", (F.col("high") + F.col("low") + F.col("close")) / 3)
-    priced = F.col("_tp").isNotNull()
-    from pyspark.sql import Window
-
-    kept = Window.partitionBy(*keys, priced).orderBy(time).rowsBetween(-(n - 1), 0)
-    near = Window.partitionBy(*keys).orderBy("_rn").rangeBetween(-(n - 1), 0)
-    df = df.withColumn("_sma", F.when(priced, F.avg("_tp").over(kept))).withColumn("_near", F.collect_list("_tp").over(near))
-    df = df.withColumn("_mad", F.aggregate("_near", F.lit(0.0), lambda a, x: a + F.abs(x - F.col("_sma"))) / F.when(F.size("_near") > 0, F.size("_near")))
-    return df.withColumn(f"cci_{n}", F.when(F.col("_mad") > 0, (F.col("_tp") - F.col("_sma")) / (0.015 * F.col("_mad")))).drop("_rn", "_tp", "_sma", "_near", "_mad")
+    df = df.withColumn("_tp", (F.col("high") + F.col("low") + F.col("close")) / 3).withColumn("_priced", F.col("_tp").isNotNull())
+    return cci_from_mean(typical_mean(df, keys=[*keys, "_priced"], time=time, n=n), keys=keys, time=time, n=n).drop("_priced")
 
 
 def stochastic(df: DataFrame, *, keys: list[str], time: str, n: int = 14, smooth: int = 3) -> DataFrame:
@@ -120,8 +121,6 @@ def sliding_windows(df: DataFrame, *, keys: list[str], time: str, spans: tuple[i
 
 def ewma_features(df: DataFrame, *, keys: list[str], time: str, spans: tuple[int, ...] = (5, 21, 63, 252)) -> DataFrame:
     """Finite exponential averages of price and volume, the price's distance to each, and which of two is above the other (1 or -1)."""
-    w = trailing(keys, time, max(spans))
-    df = df.withColumns({"_c": history(F.col("close"), w), "_v": history(F.col("volume"), w)})
-    df = df.withColumns({**{f"ewma_{n}": decayed(F.col("_c"), n) for n in spans}, **{f"volume_ewma_{n}": decayed(F.col("_v"), n) for n in spans}}).drop("_c", "_v")
+    df = exponential(df, keys=keys, time=time, averages={**{f"ewma_{n}": ("close", n) for n in spans}, **{f"volume_ewma_{n}": ("volume", n) for n in spans}})
     cross = {f"cross_{a}_{b}": F.when(F.col(f"ewma_{a}") > F.col(f"ewma_{b}"), 1).otherwise(-1) for a, b in zip(spans, spans[1:], strict=False)}
     return df.withColumns({**{f"distance_{n}": percent(F.col("close"), F.col(f"ewma_{n}")) for n in spans}, **cross})

@@ -30,6 +30,21 @@ def bars_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars(spark, sf_dir).withColumns({**gone, "close": F.when(day % 11 != 0, F.col("close"))})
 
 
+def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders' shipments as one long series of bars: a bar for each order and day, in the order of day and order."""
+    k = F.struct("l_linenumber", "l_partkey", "l_suppkey")
+    tick = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 10_000_000_000 + F.col("l_orderkey")
+    return (
+        table(spark, sf_dir, "lineitem").groupBy(F.lit("all").alias("series"), tick.alias("tick"))
+        .agg(F.min_by("l_extendedprice", k).alias("open"), F.max("l_extendedprice").alias("high"), F.min("l_extendedprice").alias("low"), F.max_by("l_extendedprice", k).alias("close"), F.sum("l_quantity").alias("volume"))
+    )
+
+
+def ticks_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gone = {c: F.when(F.col("tick") % 7 != 0, F.col(c)) for c in ("open", "high", "low", "volume")}
+    return ticks(spark, sf_dir).withColumns({**gone, "close": F.when(F.col("tick") % 11 != 0, F.col("close"))})
+
+
 def macro_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").groupBy(F.col("o_orderdate").cast("date").alias("date"), F.col("o_orderpriority").alias("series_id")).agg(F.avg("o_totalprice").alias("value"))
 
@@ -88,6 +103,9 @@ def runs(spark: SparkSession) -> DataFrame:
 _K = "ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey"
 _BARS = f"""SELECT {{key}} AS series, CAST(l_shipdate AS DATE) AS date, first(l_extendedprice {_K}) AS open, max(l_extendedprice) AS high, min(l_extendedprice) AS low,
     last(l_extendedprice {_K}) AS close, sum(l_quantity) AS volume FROM lineitem GROUP BY 1, 2"""
+_T = "ORDER BY l_linenumber, l_partkey, l_suppkey"
+_TICKS = f"""SELECT 'all' AS series, (CAST(l_shipdate AS DATE) - DATE '1970-01-01') * 10000000000 + l_orderkey AS tick, first(l_extendedprice {_T}) AS open, max(l_extendedprice) AS high, min(l_extendedprice) AS low,
+    last(l_extendedprice {_T}) AS close, sum(l_quantity) AS volume FROM lineitem GROUP BY 1, 2"""
 _WIDE = ", ".join(f"max({c}) FILTER (WHERE series = '{s}') AS {s.lower()}_{c}" for s in "ANR" for c in ("open", "high", "low", "close", "volume"))
 _STEPS = ", ".join(f"({h})" for h in range(1, 11))
 SQL = f"""
@@ -95,6 +113,8 @@ bars AS ({_BARS.format(key="l_returnflag")}),
 bars_many AS ({_BARS.format(key="l_suppkey")}),
 bars_gaps AS (SELECT series, date, CASE WHEN day(date) % 7 <> 0 THEN open END AS open, CASE WHEN day(date) % 7 <> 0 THEN high END AS high, CASE WHEN day(date) % 7 <> 0 THEN low END AS low,
     CASE WHEN day(date) % 11 <> 0 THEN close END AS close, CASE WHEN day(date) % 7 <> 0 THEN volume END AS volume FROM bars),
+ticks AS ({_TICKS}),
+ticks_gaps AS (SELECT series, tick, {", ".join(f"CASE WHEN tick % {11 if c == 'close' else 7} <> 0 THEN {c} END AS {c}" for c in ("open", "high", "low", "close", "volume"))} FROM ticks),
 macro_daily AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS series_id, avg(o_totalprice) AS value FROM orders GROUP BY 1, 2),
 macro_monthly AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, o_orderpriority AS series_id, avg(o_totalprice) AS value FROM orders GROUP BY 1, 2),
 fallback_price AS (SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) AS price FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
