@@ -73,13 +73,49 @@ def test_intervals_of_constant_residual(spark):
     assert len(rows) == 10 and rows[0].lower_80 == 100.0 and rows[0].upper_95 == 102.0
 
 
+def said(name: str, scale: float, sign: int, **more) -> forecast.Driver:
+    return forecast.Driver(scale, sign, name, f"{name} rose {{}}.", f"{name} fell {{}}.", **more)
+
+
+SPEC = {"real_yield": said("Real yield", 0.1, -1), "vix": said("Vix", 10.0, 1, zero_rose=False), "gone": said("Gone", 1.0, 1), "dollar": said("Dollar", 1.0, -1)}
+
+
 def test_context(spark):
-    pred = spark.createDataFrame([("a", 100.0, 102.0)], "series string, current_price double, predicted double")
-    drivers = spark.createDataFrame([("a", -0.2, 15.0, None, 1.0)], "series string, real_yield double, vix double, gone double, dollar double")
-    spec = {"real_yield": (0.1, -1, "Real yield"), "vix": (10.0, 1, "Vix"), "gone": (1.0, 1, "Gone"), "dollar": (1.0, -1, "Dollar")}
-    x = forecast.forecast_context(pred, drivers, keys=["series"], evidence=spec).first()
+    pred = spark.createDataFrame([("a", 100.0, 102.0), ("b", 100.0, 100.01), ("c", 100.0, 90.0)], "series string, current_price double, predicted double")
+    drivers = spark.createDataFrame([(k, -0.2, 15.0, None, 1.0) for k in "abc"], "series string, real_yield double, vix double, gone double, dollar double")
+    x, flat, down = forecast.forecast_context(pred, drivers, keys=["series"], evidence=SPEC).orderBy("series").collect()
     assert (x.direction, x.change, round(x.change_pct, 9)) == ("UP", 2.0, 2.0)
-    assert len(x.reasons) == 3 and x.reasons[0].startswith("Real yield") and x.reasons[2].startswith("Dollar")
+    assert x.reasons == ["Real yield fell 0.20.", "Vix rose 15.00.", "Counter-signal: Dollar rose 1.00."]
+    assert flat.direction == "FLAT" and flat.reasons == ["Real yield fell 0.20.", "Vix rose 15.00.", "Dollar rose 1.00."]
+    assert down.reasons == ["Dollar rose 1.00.", "Counter-signal: Real yield fell 0.20.", "Counter-signal: Vix rose 15.00."]
+
+
+def test_reasons_by_every_direction(spark):
+    """Against the rule, plainly: support by strength, then what is left, marked; the largest for other directions."""
+    import math
+    import random
+
+    rng, rows = random.Random(3), []
+    for i in range(200):
+        rows.append((i, rng.choice(["UP", "DOWN", "FLAT", None]), *(rng.choice([None, math.nan, math.inf, 0.0, -0.05, 0.2, 5.0, -30.0]) for _ in range(4))))
+    df = spark.createDataFrame(rows, "id int, way string, real_yield double, vix double, gone double, dollar double")
+    got = {r.id: r.reasons for r in forecast.top_reasons(forecast.driver_evidence(df, drivers=SPEC), toward="way").collect()}
+    for i, way, *values in rows:
+        found = [(max(-3, min(3, d.sign * v / d.scale)), f"{d.name} {'rose' if v > 0 or v == 0 and d.zero_rose else 'fell'} {abs(v):.2f}.") for d, v in zip(SPEC.values(), values, strict=True) if v is not None and math.isfinite(v)]
+        strong = sorted(found, key=lambda e: -abs(e[0]))
+        if way in ("UP", "DOWN"):
+            turn = 1 if way == "UP" else -1
+            want = [t for s, t in strong if turn * s > 0][:3]
+            want += [f"Counter-signal: {t}" for s, t in strong if turn * s <= 0][: 3 - len(want)]
+        else:
+            want = [t for _, t in strong[:3]]
+        assert got[i] == want
+
+
+def test_sentences_with_signs_and_clauses(spark):
+    spec = {"x": forecast.Driver(1.0, 1, "X", "X is {}{also}.", "X is {}{also}!", signed=True, also=("y", ", with Y at {}"))}
+    df = spark.createDataFrame([(1, 1.5, 2.0), (2, -0.004, None), (3, -2.0, -0.5), (4, 0.0, float("nan"))], "i int, x double, y double")
+    assert [r.evidence[0].text for r in forecast.driver_evidence(df, drivers=spec).orderBy("i").collect()] == ["X is +1.50, with Y at +2.00.", "X is -0.00!", "X is -2.00, with Y at -0.50!", "X is +0.00."]
 
 
 def test_negative_gap_is_an_error(spark):

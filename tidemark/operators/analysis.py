@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.chunks import CHUNK_ROWS
+from . import quantiles
 
-def group_summary(df: DataFrame, *, by: list[str], value: str) -> DataFrame:
-    """Count, mean, median, deviation, share above zero and t of each group."""
+
+def _with_quantiles(stats: DataFrame, df: DataFrame, by: list[str], value: str, shares: list[float], out: list[str], large: int) -> DataFrame:
+    """``stats``, one row for each group, with exact quantiles beside."""
+    q = quantiles.quantiles(df, by=by, value=value, shares=shares, out=out, large=large).select(*(F.col(c).alias(f"_q_{c}") for c in by), *out)
+    same = reduce(lambda a, c: a & F.col(c).eqNullSafe(F.col(f"_q_{c}")), by, F.lit(True))
+    return stats.join(q, same, "left").drop(*(f"_q_{c}" for c in by))
+
+
+def group_summary(df: DataFrame, *, by: list[str], value: str, large: int = quantiles.LARGE) -> DataFrame:
+    """Count, mean, median, deviation, share above zero and t of each group. Medians of groups above ``large`` values are selected in ranges."""
     x = F.col(value)
-    df = df.where(x.isNotNull()).groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.median(x).alias("median"), F.stddev_samp(x).alias("sd"), F.avg(F.when(x > 0, 1.0).otherwise(0.0)).alias("up_rate"))
-    return df.withColumn("t_stat", F.when(F.col("sd") > 0, F.col("mean") / (F.col("sd") / F.sqrt("n"))))
+    df = df.where(x.isNotNull())
+    stats = df.groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"), F.avg(F.when(x > 0, 1.0).otherwise(0.0)).alias("up_rate"))
+    stats = _with_quantiles(stats, df, by, value, [0.5], ["median"], large)
+    return stats.withColumn("t_stat", F.when(F.col("sd") > 0, F.col("mean") / (F.col("sd") / F.sqrt("n")))).select(*by, "n", "mean", "median", "sd", "up_rate", "t_stat")
 
 
 def top_abs(df: DataFrame, *, col: str, k: int, ties: list[str]) -> DataFrame:
@@ -28,12 +41,11 @@ def seasonal_consistency(df: DataFrame, *, keys: list[str], time: str, value: st
 PERCENTS = [1, 5, 25, 50, 75, 95, 99]
 
 
-def describe(df: DataFrame, *, by: list[str], value: str, exact: bool = True) -> DataFrame:
-    """Count, moments, extremes and percentiles; ``exact=False`` takes approximate percentiles, for large groups."""
-    x, shares = F.col(value), [p / 100 for p in PERCENTS]
-    q = F.percentile(x, F.array(*map(F.lit, shares))) if exact else F.percentile_approx(x, shares, 10_000)
-    df = df.groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"), F.min(x).alias("min"), F.max(x).alias("max"), q.alias("_q"))
-    return df.withColumns({f"p{p}": F.col("_q")[i] for i, p in enumerate(PERCENTS)}).drop("_q")
+def describe(df: DataFrame, *, by: list[str], value: str, large: int = quantiles.LARGE) -> DataFrame:
+    """Count, moments, extremes and exact percentiles; those of groups above ``large`` values are selected in ranges."""
+    x = F.col(value)
+    stats = df.groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"), F.min(x).alias("min"), F.max(x).alias("max"))
+    return _with_quantiles(stats, df, by, value, [p / 100 for p in PERCENTS], [f"p{p}" for p in PERCENTS], large)
 
 
 def corr_matrix(df: DataFrame, *, cols: list[str]) -> DataFrame:
@@ -49,14 +61,10 @@ def redundant_pairs(df: DataFrame, *, cols: list[str], least: float = 0.98) -> D
     return corr_matrix(df, cols=cols).where(F.abs("corr") >= least)
 
 
-def spearman_target(df: DataFrame, *, keys: list[str], cols: list[str], target: str) -> DataFrame:
-    """Rank correlation of each column with the target within each series, over rows that have both; ties have their mean rank."""
-    long = df.select(*keys, F.col(target).alias("_t"), *cols).unpivot([*keys, "_t"], cols, "feature", "_x").where("_t is not null and _x is not null")
-    part = [*keys, "feature"]
-    for c in ("_x", "_t"):
-        ranks, ties = Window.partitionBy(*part).orderBy(c), Window.partitionBy(*part, c)
-        long = long.withColumn(f"{c}r", F.rank().over(ranks) + (F.count("*").over(ties) - 1) / 2)
-    return long.groupBy(*part).agg(F.corr("_xr", "_tr").alias("rho"), F.count("*").alias("n"))
+def spearman_target(df: DataFrame, *, keys: list[str], cols: list[str], target: str, rows: int = CHUNK_ROWS) -> DataFrame:
+    """Rank correlation of each column with the target within each series, over rows that have both; ties have their mean rank. A series' ranks are found by ranges of ``rows`` distinct values."""
+    long = df.select(*keys, F.col(target).alias("_t"), *cols).unpivot([*keys, "_t"], cols, "feature", "_x")
+    return quantiles.spearman(long, by=[*keys, "feature"], a="_x", b="_t", rows=rows)
 
 
 def drift_smd(df: DataFrame, *, keys: list[str], time: str, cols: list[str], share: float = 0.8) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.windows import ordered
+from . import quantiles
 
 HORIZONS = [1, 3, 5, 7, 10]
 
@@ -119,13 +122,14 @@ def blend(pred: DataFrame, *, ids: list[str], name: str = "blend") -> DataFrame:
     return pred.groupBy(*ids).agg(F.avg("predicted").alias("predicted")).withColumn("model", F.lit(name))
 
 
-def prediction_intervals(future: DataFrame, past: DataFrame, *, by: list[str], levels: tuple[float, ...] = (0.8, 0.95)) -> DataFrame:
-    """The point plus and minus quantiles of past absolute errors of the same step."""
-    e = past.where("actual_price is not null and predicted is not null").groupBy(*by).agg(F.percentile(F.abs(F.col("actual_price") - F.col("predicted")), F.array(*map(F.lit, levels))).alias("_q"))
-    out = future.join(e, by, "left")
-    for i, level in enumerate(levels):
-        out = out.withColumns({f"lower_{round(100 * level)}": F.col("predicted") - F.col("_q")[i], f"upper_{round(100 * level)}": F.col("predicted") + F.col("_q")[i]})
-    return out.drop("_q")
+def prediction_intervals(future: DataFrame, past: DataFrame, *, by: list[str], levels: tuple[float, ...] = (0.8, 0.95), large: int = quantiles.LARGE) -> DataFrame:
+    """The point plus and minus quantiles of past absolute errors of the same step; those of more than ``large`` errors are selected in ranges."""
+    errors = past.where("actual_price is not null and predicted is not null").withColumn("_e", F.abs(F.col("actual_price") - F.col("predicted")))
+    names = [f"_q{round(100 * level)}" for level in levels]
+    out = future.join(quantiles.quantiles(errors, by=by, value="_e", shares=list(levels), out=names, large=large), by, "left")
+    for level, q in zip(levels, names, strict=True):
+        out = out.withColumns({f"lower_{round(100 * level)}": F.col("predicted") - F.col(q), f"upper_{round(100 * level)}": F.col("predicted") + F.col(q)})
+    return out.drop(*names)
 
 
 def direction(current: Column, predicted: Column, band: float = 0.05) -> Column:
@@ -133,24 +137,65 @@ def direction(current: Column, predicted: Column, band: float = 0.05) -> Column:
     return F.when(change > band, "UP").when(change < -band, "DOWN").when(change.isNotNull(), "FLAT")
 
 
-def driver_evidence(df: DataFrame, *, drivers: dict[str, tuple[float, int, str]]) -> DataFrame:
-    """``evidence``: for each driver that is there its score, value / scale with a sign, held within 3, and a sentence. ``drivers`` maps a
-    column to scale, sign and name."""
+@dataclass(frozen=True)
+class Driver:
+    """How a column speaks for or against a rise: its score is sign * value / scale, held within 3. ``rose`` and ``fell`` are its sentences for values above and below zero, with ``{}`` for the number (its
+    size, or with a sign if ``signed``) and ``{also}`` for what another column adds: ``also`` is that column and its clause, left out where it is missing. A value of zero is said to have risen or fallen as ``zero_rose`` tells."""
+
+    scale: float
+    sign: int
+    name: str
+    rose: str
+    fell: str
+    zero_rose: bool = True
+    signed: bool = False
+    also: tuple[str, str] | None = None
+
+
+def _finite(c: str) -> Column:
+    return F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) & (F.abs(F.col(c).cast("double")) < float("inf"))
+
+
+def _number(x: Column, signed: bool) -> Column:
+    text = F.round(F.abs(x), 2).cast("decimal(30,2)").cast("string")
+    return F.concat(F.when(x < 0, "-").otherwise("+"), text) if signed else text
+
+
+def _put(template: str, parts: dict[str, Column]) -> Column:
+    """``template`` with columns in place of its marks."""
+    import re
+
+    return F.concat(*(parts[p] if p in parts else F.lit(p) for p in re.split(r"(\{\}|\{also\})", template) if p))
+
+
+def driver_evidence(df: DataFrame, *, drivers: dict[str, Driver]) -> DataFrame:
+    """``evidence``: for each driver whose column holds a finite number, in order, its score, number, name and a sentence that says which way it went and what that means."""
     made = []
-    for i, (c, (scale, sign, name)) in enumerate(drivers.items()):
-        score = F.greatest(F.lit(-3.0), F.least(F.lit(3.0), sign * F.col(c) / scale))
-        made.append(F.when(F.col(c).isNotNull(), F.struct(score.alias("score"), F.lit(i).alias("no"), F.lit(name).alias("driver"), F.format_string(f"{name} %.2f", F.col(c)).alias("text"))))
+    for i, (c, d) in enumerate(drivers.items()):
+        x = F.col(c).cast("double")
+        score = F.greatest(F.lit(-3.0), F.least(F.lit(3.0), d.sign * x / d.scale))
+        marks = {"{}": _number(x, d.signed)}
+        if d.also:
+            marks["{also}"] = F.when(_finite(d.also[0]), _put(d.also[1], {"{}": _number(F.col(d.also[0]).cast("double"), True)})).otherwise("")
+        text = F.when((x >= 0) if d.zero_rose else (x > 0), _put(d.rose, marks)).otherwise(_put(d.fell, marks))
+        made.append(F.when(_finite(c), F.struct(score.alias("score"), F.lit(i).alias("no"), F.lit(d.name).alias("driver"), text.alias("text"))))
     return df.withColumn("evidence", F.filter(F.array(*made), lambda x: x.isNotNull()))
 
 
+COUNTER = "Counter-signal: "
+
+
 def top_reasons(df: DataFrame, *, toward: str, k: int = 3) -> DataFrame:
-    """The k strongest reasons for the forecast's direction; where there are fewer, the strongest against it fill up."""
-    sign = F.when(F.col(toward) == "DOWN", -1.0).otherwise(1.0)
-    ranked = F.transform("evidence", lambda x: F.struct((sign * x["score"] <= 0).alias("against"), (-F.abs(x["score"])).alias("weak"), x["no"].alias("no"), x["text"].alias("text")))
+    """The k strongest reasons for the forecast's direction. Where an UP or DOWN has fewer, the strongest that don't support it fill up, marked as counter-signals; a FLAT or unknown direction
+    has the k of largest score, either way."""
+    sign = F.when(F.col(toward) == "UP", 1.0).when(F.col(toward) == "DOWN", -1.0)
+    against = lambda x: F.coalesce(sign * x["score"] <= 0, F.lit(False))
+    said = lambda x: F.concat(F.when(against(x), COUNTER).otherwise(""), x["text"])
+    ranked = F.transform("evidence", lambda x: F.struct(against(x).alias("against"), (-F.abs(x["score"])).alias("weak"), x["no"].alias("no"), said(x).alias("text")))
     return df.withColumn("reasons", F.transform(F.slice(F.array_sort(ranked), 1, k), lambda x: x["text"]))
 
 
-def forecast_context(pred: DataFrame, drivers: DataFrame, *, keys: list[str], evidence: dict[str, tuple[float, int, str]]) -> DataFrame:
+def forecast_context(pred: DataFrame, drivers: DataFrame, *, keys: list[str], evidence: dict[str, Driver]) -> DataFrame:
     """Change, direction and reasons of each forecast, from its series' latest driver row."""
     df = driver_evidence(pred.join(drivers, keys, "left"), drivers=evidence)
     df = df.withColumns({"change": F.col("predicted") - F.col("current_price"), "change_pct": 100 * (F.col("predicted") / F.when(F.col("current_price") != 0, F.col("current_price")) - 1), "direction": direction(F.col("current_price"), F.col("predicted"))})

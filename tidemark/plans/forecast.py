@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.windows import NUDGE
 from ..operators import forecast as op
 from ..operators import joins, projections
 from . import views
@@ -139,44 +140,63 @@ def forecast_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.naive_predictions(spark, sf_dir).select("series", "cutoff_date", "step", "model", op.direction(F.col("current_price"), F.col("predicted")).alias("direction"))
 
 
-#: Scale, sign and name of each driver.
-DRIVERS = {"change_5": (40.0, 1, "5-day change"), "gap": (60.0, -1, "Gap"), "volume_score": (1.0, 1, "Volume score"), "range": (50.0, -1, "Range")}
-_DRV = f""", d0 AS (SELECT series, date, close, {pct('close', f'lag(close, 5) OVER ({_W})')} AS change_5, {pct('open', f'lag(close) OVER ({_W})')} AS gap, CASE WHEN {over('stddev_samp(volume)', 21)} > 0 THEN (volume - {over('avg(volume)', 21)}) / {over('stddev_samp(volume)', 21)} END AS volume_score,
-CASE WHEN open > 0 THEN 100 * (high - low) / open END AS "range" FROM bars)"""
-_LONG = " UNION ALL ".join(f"SELECT series, date, {i} AS no, '{n}' AS driver, greatest(-3, least(3, {g} * \"{c}\" / {s})) AS score, '{n} ' || format('{{:.2f}}', \"{c}\") AS text FROM d0 WHERE \"{c}\" IS NOT NULL" for i, (c, (s, g, n)) in enumerate(DRIVERS.items()))
+DRIVERS = {
+    "change_5": op.Driver(40.0, 1, "5-day change", "The price rose {}% over five sessions{also}, a following wind.", "The price fell {}% over five sessions{also}, a head wind.", also=("volume_score", ", with volume at {} deviations")),
+    "gap": op.Driver(60.0, -1, "Gap", "The open was {}% above the close before, which tends to be given back.", "The open was {}% below the close before, which tends to be made good.", zero_rose=False),
+    "volume_score": op.Driver(1.0, 1, "Volume score", "Volume is {} deviations from its 21-session mean, supporting demand.", "Volume is {} deviations from its 21-session mean, weakening demand.", zero_rose=False, signed=True),
+    "range": op.Driver(50.0, -1, "Range", "The range was {}% of the open, a sign of stress.", "The range was {}% of the open, a sign of calm.", zero_rose=False),
+}
+_DRV = f""", d0 AS (SELECT series, date, close, {pct('close', f'lag(close, 5) OVER ({_W})')} + {NUDGE} AS change_5, {pct('open', f'lag(close) OVER ({_W})')} + {NUDGE} AS gap, CASE WHEN {over('stddev_samp(volume)', 21)} > 0 THEN (volume - {over('avg(volume)', 21)}) / {over('stddev_samp(volume)', 21)} END + {NUDGE} AS volume_score,
+CASE WHEN open > 0 THEN 100 * (high - low) / open END + {NUDGE} AS "range" FROM bars)"""
+_SIZE = lambda c: f"CAST(CAST(round(abs(\"{c}\"), 2) AS DECIMAL(30, 2)) AS VARCHAR)"
+_SIGNED = lambda c: f"CASE WHEN \"{c}\" < 0 THEN '-' ELSE '+' END || {_SIZE(c)}"
+_TEXT = {
+    "change_5": f"'The price ' || CASE WHEN change_5 >= 0 THEN 'rose ' ELSE 'fell ' END || {_SIZE('change_5')} || '% over five sessions' || CASE WHEN volume_score IS NULL THEN '' ELSE ', with volume at ' || {_SIGNED('volume_score')} || ' deviations' END || CASE WHEN change_5 >= 0 THEN ', a following wind.' ELSE ', a head wind.' END",
+    "gap": f"'The open was ' || {_SIZE('gap')} || CASE WHEN gap > 0 THEN '% above the close before, which tends to be given back.' ELSE '% below the close before, which tends to be made good.' END",
+    "volume_score": f"'Volume is ' || {_SIGNED('volume_score')} || ' deviations from its 21-session mean, ' || CASE WHEN volume_score > 0 THEN 'supporting demand.' ELSE 'weakening demand.' END",
+    "range": f"'The range was ' || {_SIZE('range')} || CASE WHEN \"range\" > 0 THEN '% of the open, a sign of stress.' ELSE '% of the open, a sign of calm.' END",
+}
+_LONG = " UNION ALL ".join(f"SELECT series, date, {i} AS no, '{d.name}' AS driver, greatest(-3, least(3, {d.sign} * \"{c}\" / {d.scale})) AS score, {_TEXT[c]} AS text FROM d0 WHERE \"{c}\" IS NOT NULL" for i, (c, d) in enumerate(DRIVERS.items()))
+
+
+def _reasons_sql(rows: str, by: str, direction: str) -> str:
+    """The three reasons of each row: support first for UP and DOWN, then marked counter-signals; the largest scores for others."""
+    against = f"coalesce(CASE {direction} WHEN 'UP' THEN score <= 0 WHEN 'DOWN' THEN score >= 0 END, FALSE)"
+    return f"(SELECT {by}, string_agg(CASE WHEN {against} THEN 'Counter-signal: ' ELSE '' END || text, ' / ' ORDER BY rn) AS reasons FROM (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY {against}, -abs(score), no) AS rn FROM {rows}) k WHERE rn <= 3 GROUP BY {by})"
 
 
 def _drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = projections.bar_shape(projections.pct_change_k(projections.rolling_zscore(views.bars(spark, sf_dir), **BY, col="volume", n=21), **BY, col="close", steps=[5]), **BY)
-    return b.select(*ID, F.col("close_change_5").alias("change_5"), F.col("gap_pct").alias("gap"), F.col("volume_zscore_21").alias("volume_score"), F.col("range_pct").alias("range"))
+    return b.select(*ID, *((F.col(c) + NUDGE).alias(n) for c, n in (("close_change_5", "change_5"), ("gap_pct", "gap"), ("volume_zscore_21", "volume_score"), ("range_pct", "range"))))
 
 
-@query("driver_evidence", _DRV + f" SELECT series, date, driver, {r(score='score')} FROM ({_LONG}) x")
+@query("driver_evidence", _DRV + f" SELECT series, date, driver, text, {r(score='score')} FROM ({_LONG}) x")
 def driver_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = op.driver_evidence(_drivers(spark, sf_dir), drivers=DRIVERS).select(*ID, F.explode("evidence").alias("e")).select(*ID, "e.driver", "e.score")
-    return shown(df, [*ID, "driver"], ["score"])
+    df = op.driver_evidence(_drivers(spark, sf_dir), drivers=DRIVERS).select(*ID, F.explode("evidence").alias("e")).select(*ID, "e.driver", "e.text", "e.score")
+    return shown(df, [*ID, "driver", "text"], ["score"])
 
 
-_DAY_SIGN = "CASE WHEN day(date) % 2 = 0 THEN 1 ELSE -1 END"
+_DAY_DIRECTION = "CASE WHEN day(date) % 7 = 0 THEN NULL ELSE CASE day(date) % 3 WHEN 0 THEN 'UP' WHEN 1 THEN 'DOWN' ELSE 'FLAT' END END"
 
 
-@query("top_reasons", _DRV + f", e AS ({_LONG}), k AS (SELECT *, row_number() OVER (PARTITION BY series, date ORDER BY {_DAY_SIGN} * score <= 0, -abs(score), no) AS rn FROM e) SELECT series, date, string_agg(driver, ',' ORDER BY rn) AS reasons FROM k WHERE rn <= 3 GROUP BY 1, 2")
+@query("top_reasons", _DRV + f", e AS (SELECT *, {_DAY_DIRECTION} AS direction FROM ({_LONG}) x) SELECT series, date, direction, reasons FROM {_reasons_sql('e', 'series, date, direction', 'direction')} y")
 def top_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For rising, falling, flat and unknown directions."""
+    day = F.dayofmonth("date")
     df = op.driver_evidence(_drivers(spark, sf_dir), drivers=DRIVERS).where(F.size("evidence") > 0)
-    df = op.top_reasons(df.withColumn("direction", F.when(F.dayofmonth("date") % 2 == 0, "UP").otherwise("DOWN")), toward="direction")
-    return df.select(*ID, F.array_join(F.transform("reasons", lambda x: F.regexp_replace(x, r" [^ ]*$", "")), ",").alias("reasons"))
+    df = op.top_reasons(df.withColumn("direction", F.when(day % 7 != 0, F.when(day % 3 == 0, "UP").when(day % 3 == 1, "DOWN").otherwise("FLAT"))), toward="direction")
+    return df.select(*ID, "direction", F.array_join("reasons", " / ").alias("reasons"))
 
 
 @query("forecast_context", _DRV + f""", l AS (SELECT * FROM naive_predictions QUALIFY cutoff_date = max(cutoff_date) OVER (PARTITION BY series, step)), x AS (SELECT *, {_DIRECTION} AS direction FROM l WHERE model = 'sma20'),
-e AS (SELECT z.*, x.step, x.direction, row_number() OVER (PARTITION BY x.series, x.step ORDER BY CASE WHEN x.direction = 'DOWN' THEN -1 ELSE 1 END * score <= 0, -abs(score), no) AS rn FROM ({_LONG}) z JOIN x ON x.series = z.series WHERE (z.series, z.date) IN (SELECT (series, max(date)) FROM bars GROUP BY series)),
-g AS (SELECT series, step, string_agg(driver, ',' ORDER BY rn) AS reasons FROM e WHERE rn <= 3 GROUP BY 1, 2) SELECT x.series, x.step, x.direction, g.reasons, 'driver scores' AS method, {r(change='predicted - current_price', change_pct='100 * (predicted / current_price - 1)')} FROM x LEFT JOIN g USING (series, step)""")
+e AS (SELECT z.*, x.step, x.direction FROM ({_LONG}) z JOIN x ON x.series = z.series WHERE (z.series, z.date) IN (SELECT (series, max(date)) FROM bars GROUP BY series)),
+g AS (SELECT series, step, reasons FROM {_reasons_sql('e', 'series, step, direction', 'direction')} y) SELECT x.series, x.step, x.direction, g.reasons, 'driver scores' AS method, {r(change='predicted - current_price', change_pct='100 * (predicted / current_price - 1)')} FROM x LEFT JOIN g USING (series, step)""")
 def forecast_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = views.naive_predictions(spark, sf_dir).where("model = 'sma20'")
     p = p.join(p.groupBy("series", "step").agg(F.max("cutoff_date").alias("cutoff_date")), ["series", "step", "cutoff_date"], "left_semi")
     d = _drivers(spark, sf_dir)
     d = d.groupBy("series").agg(F.max_by(F.struct(*DRIVERS), "date").alias("x")).select("series", "x.*")
-    df = op.forecast_context(p, d, keys=["series"], evidence=DRIVERS)
-    df = df.withColumn("reasons", F.array_join(F.transform("reasons", lambda x: F.regexp_replace(x, r" [^ ]*$", "")), ","))
+    df = op.forecast_context(p, d, keys=["series"], evidence=DRIVERS).withColumn("reasons", F.array_join("reasons", " / "))
     return shown(df, ["series", "step", "direction", "reasons", "method"], ["change", "change_pct"])
 
 

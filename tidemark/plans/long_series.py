@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import analysis, quantiles
 from ..operators import long_series as op
 from . import indicators, joins, views
 from .indicators import _ADX, _CCI, _CCI_VALUE, _EW, _EWMA, _EWMA_COLS, _MACD, _ROC, _RSI, _RSI_VALUE, _SLIDE, _STO, ID, over
@@ -125,3 +126,26 @@ def interval_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.interval_join(views.ticks(spark, sf_dir).select(*AT, "close"), right, keys=["series"], time="tick", start="start", cols=["since", "size"], rows=ROWS)
 
 
+
+
+_SHARES = (1, 5, 25, 50, 75, 95, 99)
+
+
+@query("quantiles_long", f" SELECT size, {r(**{f'p{p}': f'quantile_cont(change, {p / 100})' for p in _SHARES})} FROM (SELECT CASE WHEN volume > 45 THEN 'large' ELSE 'small' END AS size, close - open AS change FROM ticks_gaps) x GROUP BY size")
+def quantiles_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two groups, both larger than one task may order; many changes are 0."""
+    df = views.ticks_gaps(spark, sf_dir).select(F.when(F.col("volume") > 45, "large").otherwise("small").alias("size"), (F.col("close") - F.col("open")).alias("change"))
+    names = [f"p{p}" for p in _SHARES]
+    return shown(quantiles.quantiles(df, by=["size"], value="change", shares=[p / 100 for p in _SHARES], out=names, large=2_000, few=500), ["size"], names)
+
+
+_PAIRS = " UNION ALL ".join(f"SELECT series, '{c}' AS feature, {c} AS v, t FROM x" for c in ("volume", "high"))
+
+
+@query("spearman_long", f""", x AS (SELECT series, volume, high, close - open AS t FROM ticks_gaps), u AS (SELECT * FROM ({_PAIRS}) z WHERE t IS NOT NULL AND v IS NOT NULL),
+k AS (SELECT series, feature, rank() OVER (PARTITION BY series, feature ORDER BY v) + (count(*) OVER (PARTITION BY series, feature, v) - 1) / 2.0 AS a, rank() OVER (PARTITION BY series, feature ORDER BY t) + (count(*) OVER (PARTITION BY series, feature, t) - 1) / 2.0 AS b FROM u)
+SELECT series, feature, count(*) AS n, {r(6, rho='corr(a, b)')} FROM k GROUP BY 1, 2""")
+def spearman_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Against values with thousands of ties, ranked by ranges."""
+    df = views.ticks_gaps(spark, sf_dir).withColumn("t", F.col("close") - F.col("open"))
+    return shown(analysis.spearman_target(df, keys=["series"], cols=["volume", "high"], target="t", rows=ROWS), ["series", "feature", "n"], ["rho"], 6)
