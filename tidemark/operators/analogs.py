@@ -2,8 +2,7 @@
 
 For bucketed analogs (same month, same quarter, near day of the year) history rows and query rows are one union,
 partitioned by series and bucket and ordered by time; a running aggregate up to the query row is the answer. The regime analog
-puts both sides on a grid whose cells are as large as the tolerance, joins on the nine cells around, and
-checks the exact box.
+sums over a box of earlier points.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.windows import ordered, percent, trailing
+from . import boxes
 
 
 def future_returns(df: DataFrame, *, keys: list[str], time: str, col: str = "close", horizons: tuple[int, ...] = (5, 7, 10, 21)) -> DataFrame:
@@ -58,19 +58,24 @@ def day_of_year(df: DataFrame, *, keys: list[str], time: str, reach: int = 10) -
     return _running(df, h, keys=keys, time=time, bucket=F.dayofyear(time), name="day", stats=_stats({5: "msun", 7: "mun", 10: "mu", 21: "mun"}), cols=cols)
 
 
-def regime(df: DataFrame, *, keys: list[str], time: str, col: str = "close", return_box: float = 2.0, vol_box: float = 0.35) -> DataFrame:
-    """Rows whose 21-row return and volatility lie within the boxes of today's."""
+def regime(df: DataFrame, *, keys: list[str], time: str, col: str = "close", return_box: float = 2.0, vol_box: float = 0.35, block: int = boxes.BLOCK) -> DataFrame:
+    """Rows whose 21-row return and volatility lie within the boxes of today's: sums over earlier points in a box, by :mod:`.boxes`."""
     o = ordered(keys, time)
     df = df.withColumns({"ret_21": percent(F.col(col), F.lag(col, 21).over(o)), "_d1": percent(F.col(col), F.lag(col).over(o))})
     df = df.withColumn("vol_21", F.stddev_samp("_d1").over(trailing(keys, time, 21))).drop("_d1")
-    cell = lambda c, box, by=0: F.floor(F.col(c) / box) + by
-    cols = ["future_5", "future_7", "future_10", "future_21"]
-    h = df.select(*keys, F.col(time).alias("_d"), F.col("ret_21").alias("_r"), F.col("vol_21").alias("_v"), *(F.col(c).alias(f"_{c}") for c in cols), cell("ret_21", return_box).alias("_x"), cell("vol_21", vol_box).alias("_y")).where("_x is not null and _y is not null")
-    steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    q = df.where("ret_21 is not null and vol_21 is not null").select(*keys, time, "ret_21", "vol_21", F.explode(steps).alias("s"))
-    q = q.select(*keys, time, "ret_21", "vol_21", (F.floor(F.col("ret_21") / return_box) + F.col("s.i")).alias("_x"), (F.floor(F.col("vol_21") / vol_box) + F.col("s.j")).alias("_y"))
-    inside = (F.abs(F.col("ret_21") - F.col("_r")) <= return_box) & (F.abs(F.col("vol_21") - F.col("_v")) <= vol_box) & (F.col("_d") <= F.add_months(time, -12))
-    stats = {f"regime_{n}": e for n, e in _stats({5: "mun", 7: "mun", 10: "mu", 21: "mun"}).items()}
-    found = q.join(h, [*keys, "_x", "_y"]).where(inside).groupBy(*keys, time).agg(*(e.alias(n) for n, e in stats.items()))
-    df = df.join(found, [*keys, time], "left")
-    return df.withColumns({n: F.coalesce(F.col(n), F.lit(0)) for n in stats if "_n_" in n})
+    spec, measures = {5: "mun", 7: "mun", 10: "mu", 21: "mun"}, {}
+    for h in spec:
+        x = F.when(~F.isnan(f"future_{h}"), F.col(f"future_{h}"))
+        measures |= {f"_s{h}": x, f"_c{h}": F.when(x.isNotNull(), 1.0), f"_p{h}": F.when(x > 0, 1.0)}
+    found = boxes.earlier_in_box(df, keys=keys, time=time, until=F.add_months(time, -12), at=("ret_21", "vol_21"), reach=(return_box, vol_box), measures=measures, block=block)
+    named = found.select(*(F.col(c).alias(f"_f_{c}") for c in [*keys, time]), *measures)
+    same = F.lit(True)
+    for c in [*keys, time]:
+        same = same & F.col(c).eqNullSafe(F.col(f"_f_{c}"))
+    out = df.join(named, same, "left")
+    made: dict[str, Column] = {}
+    for h, what in spec.items():
+        s, n, p = (F.col(f"_{c}{h}") for c in "scp")
+        value = {"m": ("mean", F.when(n > 0, s / n)), "u": ("up", F.when(n > 0, p / n)), "n": ("n", F.coalesce(F.round(n).cast("long"), F.lit(0)))}
+        made |= {f"regime_{value[c][0]}_{h}": value[c][1] for c in what}
+    return out.select(*(F.col(c) for c in df.columns if c not in made), *(e.alias(n) for n, e in made.items()))
