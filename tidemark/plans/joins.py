@@ -40,6 +40,8 @@ def semi_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.join(z, ID, "left_semi").select(*ID, "close")
 
 
+#: The series of macro values.
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 _ASOF = "(SELECT date, series_id, value FROM macro_daily)"
 
 
@@ -47,7 +49,7 @@ _ASOF = "(SELECT date, series_id, value FROM macro_daily)"
 def asof_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = views.macro_daily(spark, sf_dir)
     days = views.bars(spark, sf_dir).where("series = 'A'").select("date", "close")
-    left = days.withColumn("series_id", F.explode(m.agg(F.collect_set("series_id")).scalar()))  # the five order priorities
+    left = days.withColumn("series_id", F.explode(F.array(*map(F.lit, PRIORITIES))))
     return shown(op.asof(left, m, keys=["series_id"], left_time="date", right_time="date", cols=["value"]), ["date", "series_id", "close"], ["value"])
 
 
@@ -74,7 +76,7 @@ SELECT l.date, l.contract, l.close, i.report_date, i.open_interest FROM l LEFT J
 def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = views.positioning(spark, sf_dir)
     days = views.bars(spark, sf_dir).where("series = 'A'").select("date", "close")
-    left = days.withColumn("contract", F.explode(p.agg(F.collect_set("contract")).scalar()))  # the two line states
+    left = days.withColumn("contract", F.explode(F.array(F.lit("F"), F.lit("O"))))  # the two line states
     return op.interval_join(left, p, keys=["contract"], time="date", start="available_date", cols=["report_date", "open_interest"]).select("date", "contract", "close", "report_date", "open_interest")
 
 
