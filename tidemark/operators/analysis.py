@@ -5,6 +5,8 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,8 +59,47 @@ def corr_matrix(df: DataFrame, *, cols: list[str]) -> DataFrame:
     return long.select(F.split("pair", r"\|")[0].alias("a"), F.split("pair", r"\|")[1].alias("b"), "corr")
 
 
+#: Columns up to which pairs are one aggregate expression each; wider tables go through blocks of co-moments.
+FEW_COLUMNS = 12
+
+
+def wide_corr_matrix(df: DataFrame, *, cols: list[str]) -> DataFrame:
+    """(a, b, corr) of every pair a < b over rows that have both, for tables of many columns. Each task adds up, for all pairs at once, the counts, sums and products of its Arrow batches as
+    products of matrices with their null masks; columns are centred by their means first, so that little is lost. A column's rows of these matrices are then summed by column. NaN counts as missing; null
+    where fewer than two rows have both or one doesn't vary."""
+    cols = sorted(cols)
+    p = len(cols)
+    values = df.select(*(F.col(c).cast("double").alias(c) for c in cols))
+    means = values.agg(*(F.avg(F.when(~F.isnan(c), F.col(c))).alias(c) for c in cols)).first()
+    centre = np.array([means[c] or 0.0 for c in cols])
+
+    def moments(batches):
+        total = np.zeros((4, p, p))
+        for b in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns]).astype(float) - centre
+            there = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x, nan=0.0)
+            total += np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+        yield pa.RecordBatch.from_arrays([pa.array(range(p), pa.int32()), pa.array([total[:, i].tobytes() for i in range(p)], pa.binary())], ["i", "m"])
+
+    def summed(rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(m).reshape(4, p) for m in rows.column("m").to_pylist())
+        return pa.table({"i": rows.column("i")[:1], "m": pa.array([total.tobytes()], pa.binary())})
+
+    held = {r["i"]: np.frombuffer(r["m"]).reshape(4, p) for r in values.mapInArrow(moments, "i int, m binary").groupBy("i").applyInArrow(summed, "i int, m binary").collect()}  # a row for each column
+    out = []
+    for i, j in combinations(range(p), 2):
+        n, x, xx, xy = held[i][:, j] if held else (0, 0, 0, 0)
+        y, yy = held[j][1:3, i] if held else (0, 0)
+        a, b = (xx - x * x / n, yy - y * y / n) if n > 1 else (0.0, 0.0)
+        out.append((cols[i], cols[j], float((xy - x * y / n) / np.sqrt(a) / np.sqrt(b)) if a > 0 and b > 0 else None))
+    return df.sparkSession.createDataFrame(out, "a string, b string, corr double")
+
+
 def redundant_pairs(df: DataFrame, *, cols: list[str], least: float = 0.98) -> DataFrame:
-    return corr_matrix(df, cols=cols).where(F.abs("corr") >= least)
+    """Pairs of columns that say nearly the same, strongest first."""
+    matrix = corr_matrix if len(cols) <= FEW_COLUMNS else wide_corr_matrix
+    return matrix(df, cols=cols).where(F.abs("corr") >= least).orderBy(F.abs("corr").desc(), "a", "b")
 
 
 def spearman_target(df: DataFrame, *, keys: list[str], cols: list[str], target: str, rows: int = CHUNK_ROWS) -> DataFrame:

@@ -281,30 +281,40 @@ def ridge_predict(model: tuple, x: np.ndarray) -> np.ndarray:
     return (z @ w + b) * ys + ym
 
 
-def fold_rows(features: DataFrame, bounds: DataFrame, *, keys: list[str], cols: list[str]) -> DataFrame:
-    """Training rows and the cutoff row of each fold: they reach it by a join on the series with a bound on the row number."""
+def _each_fold(features: DataFrame, bounds: DataFrame, fit, *, keys: list[str], cols: list[str], more: str, parts: int) -> DataFrame:
+    """A row for each fold: its keys and prices, what ``fit(train x, train y, x at the cutoff)`` forecasts as log return and adds in columns ``more``, and the number of training rows.
+
+    A series is one group that holds its rows once, from the first training row to the last cutoff, and cuts all folds from them; with ``parts`` above one, its folds are dealt over as many groups, each with a copy."""
     steps = sorted(int(c.removeprefix("target_")) for c in features.columns if c.startswith("target_"))
-    long = features.select(*keys, "row", *cols, F.explode(F.array(*(F.struct(F.lit(h).alias("step"), F.col(f"target_{h}").alias("target")) for h in steps))).alias("t")).select(*keys, "row", *cols, "t.*")
     fold = bounds.where(F.col("step").isin(steps)).select(*keys, "cutoff_row", "cutoff_date", "step", "current_price", "actual_price", "train_start", "train_end")
-    return long.join(fold, [*keys, "step"]).where(F.col("row").between(F.col("train_start"), F.col("train_end")) | (F.col("row") == F.col("cutoff_row")))
-
-
-def ridge_forecasts(features: DataFrame, bounds: DataFrame, *, keys: list[str], cols: list[str], alpha: float = 20.0) -> DataFrame:
-    """One small fit for each (series, cutoff, step), in parallel: training rows reach their fold by a join on the series with
-    a bound on the row number, and a fold is a group of at most the training window. ``features``: keys, row, close, ``cols`` and target_<step>."""
-    rows = fold_rows(features, bounds, keys=keys, cols=cols)
-    schema = ", ".join([*(f"{k} {features.schema[k].dataType.simpleString()}" for k in keys), "cutoff_date date, step int, current_price double, actual_price double, predicted double, train_rows long"])
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.iloc[0]
-        train, at = pdf[(pdf["row"] <= pdf["train_end"]) & pdf["target"].notna()], pdf[pdf["row"] == pdf["cutoff_row"]]
-        value = float("nan")
-        if len(train) > 2 and len(at):
-            m = ridge_fit(train[cols].to_numpy(float), train["target"].to_numpy(float), alpha)
-            value = float(first["current_price"] * np.exp(ridge_predict(m, at[cols].to_numpy(float)[:1])[0]))
-        return pd.DataFrame([[*(first[k] for k in keys), first["cutoff_date"], int(first["step"]), first["current_price"], first["actual_price"], value, len(train)]], columns=[*keys, "cutoff_date", "step", "current_price", "actual_price", "predicted", "train_rows"])
-
-    return rows.groupBy(*keys, "cutoff_row", "step").applyInPandas(one, schema)
+    reach = fold.groupBy(*keys).agg(F.least(F.min("train_start"), F.min("cutoff_row")).alias("_from"), F.greatest(F.max("train_end"), F.max("cutoff_row")).alias("_to"))
+    rows = features.select(*keys, "row", *dict.fromkeys([*cols, *(f"target_{h}" for h in steps)])).join(reach, keys).where(F.col("row").between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
+    rows = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    fold = fold.withColumn("_part", F.pmod(F.xxhash64("cutoff_row", "step"), F.lit(parts)).cast("int"))
+    own = ["cutoff_date", "step", "current_price", "actual_price"]
+    schema = ", ".join([*(f"`{k}` {features.schema[k].dataType.simpleString()}" for k in keys), "cutoff_date date, step int, current_price double, actual_price double, predicted double, train_rows long", *([more] if more else [])])
+
+    def group(rows: pd.DataFrame, folds: pd.DataFrame) -> pd.DataFrame:
+        rows, out = rows.sort_values("row"), []
+        row, x = rows["row"].to_numpy(), rows[cols].to_numpy(float)
+        for f in folds.itertuples(index=False):
+            y = rows[f"target_{f.step}"].to_numpy(float)
+            inside, at = (row >= f.train_start) & (row <= f.train_end), row == f.cutoff_row
+            if not inside.any() and not at.any():
+                continue
+            train = inside & ~np.isnan(y)
+            value, *rest = fit(x[train], y[train], x[at][:1]) if train.sum() > 2 and at.any() else (float("nan"), *([None] if more else []))
+            out.append([*(getattr(f, k) for k in keys), *(getattr(f, c) for c in own), float(f.current_price * np.exp(value)), int(train.sum()), *rest])
+        names = [*keys, *own, "predicted", "train_rows", *([more.split()[0]] if more else [])]
+        return pd.DataFrame(out, columns=names)
+
+    by = [*keys, "_part"]
+    return rows.groupBy(*by).cogroup(fold.groupBy(*by)).applyInPandas(group, schema)
+
+
+def ridge_forecasts(features: DataFrame, bounds: DataFrame, *, keys: list[str], cols: list[str], alpha: float = 20.0, parts: int = 1) -> DataFrame:
+    """One small fit for each (series, cutoff, step); a series' rows are sent once. ``features``: keys, row, close, ``cols`` and target_<step>."""
+    return _each_fold(features, bounds, lambda x, y, at: (float(ridge_predict(ridge_fit(x, y, alpha), at)[0]),), keys=keys, cols=cols, more="", parts=parts)
 
 
 TREES = {"trees": 240, "rate": 0.03, "depth": 3, "leaf": 12, "row_share": 0.8, "col_share": 0.75, "alpha": 0.1, "lam": 12.0}
@@ -372,19 +382,12 @@ def gbt_predict(model: tuple, x: np.ndarray, depth: int = TREES["depth"]) -> np.
     return out
 
 
-def gbt_forecasts(features: DataFrame, bounds: DataFrame, *, keys: list[str], cols: list[str]) -> DataFrame:
-    """Boosted trees for each (series, cutoff, step), as ``ridge_forecasts``, with each fit's importances: mean gains that sum to one."""
-    rows = fold_rows(features, bounds, keys=keys, cols=cols)
-    schema = ", ".join([*(f"{k} {features.schema[k].dataType.simpleString()}" for k in keys), "cutoff_date date, step int, current_price double, actual_price double, predicted double, train_rows long, importance array<double>"])
+def gbt_forecasts(features: DataFrame, bounds: DataFrame, *, keys: list[str], cols: list[str], parts: int = 8) -> DataFrame:
+    """Boosted trees for each (series, cutoff, step), as ``ridge_forecasts``, with each fit's importances: mean gains that sum to one. A fit takes far longer than sending its rows, so a series' folds
+    are dealt over ``parts`` groups."""
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.iloc[0]
-        train, at = pdf[(pdf["row"] <= pdf["train_end"]) & pdf["target"].notna()].sort_values("row"), pdf[pdf["row"] == pdf["cutoff_row"]]
-        value, share = float("nan"), None
-        if len(train) > 2 and len(at):
-            m = gbt_fit(train[cols].to_numpy(float), train["target"].to_numpy(float), **TREES)
-            value = float(first["current_price"] * np.exp(gbt_predict(m, at[cols].to_numpy(float)[:1])[0]))
-            share = (m[3] / (m[3].sum() or 1.0)).tolist()
-        return pd.DataFrame([[*(first[k] for k in keys), first["cutoff_date"], int(first["step"]), first["current_price"], first["actual_price"], value, len(train), share]], columns=[*keys, "cutoff_date", "step", "current_price", "actual_price", "predicted", "train_rows", "importance"])
+    def fit(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> tuple:
+        m = gbt_fit(x, y, **TREES)
+        return float(gbt_predict(m, at)[0]), (m[3] / (m[3].sum() or 1.0)).tolist()
 
-    return rows.groupBy(*keys, "cutoff_row", "step").applyInPandas(one, schema)
+    return _each_fold(features, bounds, fit, keys=keys, cols=cols, more="importance array<double>", parts=parts)

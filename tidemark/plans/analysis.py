@@ -11,7 +11,7 @@ from ..operators import analogs, projections, quality
 from ..operators import analysis as op
 from . import views
 from .indicators import BY, ID, over
-from .projections import _CP, pct
+from .projections import _CP, _RET, _STATS, pct
 from .registry import query, r, shown
 
 _W = "PARTITION BY series ORDER BY date"
@@ -128,6 +128,27 @@ def redundant_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(op.redundant_pairs(_changes(spark, sf_dir, gaps=True), cols=_CC, least=0.3), ["a", "b"], ["corr"], 6)
 
 
+_WIDE = sorted([*_STATS, *_COLS])
+_WIDE_X = f", y AS (SELECT *, {_RET} AS ret FROM bars_gaps), x AS (SELECT {', '.join(f'{e} AS {c}' for c, e in _STATS.items())}, {', '.join(_COLS)} FROM y)"
+_WIDE_PAIRS = [*combinations(_WIDE, 2)]
+_WIDE_SQL = f", z AS (SELECT {', '.join(f'corr({a}, {b}) AS c{i}' for i, (a, b) in enumerate(_WIDE_PAIRS))} FROM x), k AS (SELECT unnest([{', '.join(repr(a) for a, _ in _WIDE_PAIRS)}]) AS a, unnest([{', '.join(repr(b) for _, b in _WIDE_PAIRS)}]) AS b, unnest([{', '.join(f'CASE WHEN NOT isnan(c{i}) THEN c{i} END' for i in range(len(_WIDE_PAIRS)))}]) AS c FROM z)"
+
+
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars with all statistics of their returns: 53 columns, with gaps."""
+    return projections.rolling_return_stats(views.bars_gaps(spark, sf_dir), **BY)
+
+
+@query("corr_matrix_wide", _WIDE_X + _WIDE_SQL + f" SELECT a, b, {r(6, corr='c')} FROM k")
+def corr_matrix_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(op.wide_corr_matrix(_wide(spark, sf_dir), cols=_WIDE), ["a", "b"], ["corr"], 6)
+
+
+@query("redundant_pairs_wide", _WIDE_X + _WIDE_SQL + f" SELECT a, b, {r(6, corr='c')} FROM k WHERE abs(c) >= 0.98")
+def redundant_pairs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(op.redundant_pairs(_wide(spark, sf_dir), cols=_WIDE), ["a", "b"], ["corr"], 6)
+
+
 _SP = f""", x AS (SELECT series, open, volume, close, {_F5} AS t FROM bars_gaps), u AS (SELECT series, t, feature, v FROM (""" + " UNION ALL ".join(f"SELECT series, t, '{c}' AS feature, {c} AS v FROM x" for c in ("open", "volume", "close")) + """) z WHERE t IS NOT NULL AND v IS NOT NULL),
 k AS (SELECT series, feature, rank() OVER (PARTITION BY series, feature ORDER BY v) + (count(*) OVER (PARTITION BY series, feature, v) - 1) / 2.0 AS a, rank() OVER (PARTITION BY series, feature ORDER BY t) + (count(*) OVER (PARTITION BY series, feature, t) - 1) / 2.0 AS b FROM u)"""
 

@@ -306,9 +306,10 @@ def production_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("gbt_forecasts")
 def gbt_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boosted trees for each (series, cutoff, step) on the rows before it."""
+    """Boosted trees for each (series, cutoff, step) on the rows before it, with the importance of each feature in every fit."""
     bounds = op.training_bounds(op.rolling_origins(views.bars(spark, sf_dir), **BY))
-    return op.gbt_forecasts(ridge_features(spark, sf_dir), bounds, keys=["series"], cols=RIDGE_COLS).drop("importance")
+    made = op.gbt_forecasts(ridge_features(spark, sf_dir), bounds, keys=["series"], cols=RIDGE_COLS)
+    return made.withColumn("importance", F.map_from_arrays(F.array(*map(F.lit, RIDGE_COLS)), "importance"))
 
 
 @query("gbt_importance")
