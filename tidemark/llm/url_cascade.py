@@ -21,10 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, private
 
-#: Bits of one level's filter at most (4 MB): the filter travels inside the plan, so its size must be bounded.
+#: Bits of one level's filter at most (4 MB): the filter travels inside the plan, so its size must be bounded. Longer lists are split by the hash of the key into several cascades.
 MAX_BITS = 1 << 25
+#: Splits whose filters are in one plan; the rows of more are judged one such set after the other.
+MOST_SPLITS = 8
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -38,7 +40,8 @@ def candidate_keys(lengths: list[int], most: int) -> Column:
     """All keys by which a rule could fit (host, path), longest first. ``most``: labels of the longest listed host."""
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most))), lambda i: F.array_join(F.slice(labels, -i, i), "."))
-    paths = F.filter(F.array(*(F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in sorted(lengths, reverse=True))), lambda p: p.isNotNull())
+    fitting = F.filter(F.array(*map(F.lit, sorted(lengths, reverse=True))), lambda n: n <= F.length("path"))
+    paths = F.transform(fitting, lambda n: F.substring(F.col("path"), F.lit(1), n))
     keys = F.flatten(F.transform(suffixes, lambda s: F.transform(paths, lambda p: F.struct((-F.length(s) - F.length(p)).alias("n"), F.concat(s, p).alias("key")))))
     return F.transform(F.sort_array(keys), lambda x: x["key"])
 
@@ -64,10 +67,17 @@ class Level:
         return F.get(F.transform(F.array(F.lit(self.words)), held), F.lit(0))  # the filter is in the plan once
 
 
+def _bits(n: int, rate: float) -> int:
+    return max(64, math.ceil(-n * math.log(rate) / math.log(2) ** 2))
+
+
+def _rate(n_in: int, n_out: int) -> float:
+    """How many of the other keys a first level should let through."""
+    return min(0.5, max(1e-9, n_in / (math.sqrt(2) * max(1, n_out))))
+
+
 def _level(keys: DataFrame, n: int, rate: float, seed: int) -> Level:
-    bits = max(64, math.ceil(-n * math.log(rate) / math.log(2) ** 2))
-    if bits > MAX_BITS:
-        raise ValueError(f"a filter of {bits} bits is over the bound of {MAX_BITS}; split the list")
+    bits = _bits(n, rate)
     level = Level(seed, bits, max(1, round(bits / max(1, n) * math.log(2))) if bits > 64 else 3, np.zeros(math.ceil(bits / 64), dtype=np.int64))
     at = keys.select(F.explode(F.array(*(level.at(F.col("key"), j) for j in range(level.hashes)))).alias("at"))
     words = at.groupBy((F.col("at") / 64).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))).alias("bits"))
@@ -83,7 +93,7 @@ class Cascade:
         self.levels: list[Level] = []
         inside, outside, n_in, n_out = listed, others, listed.count(), others.count()
         while n_in:
-            rate = min(0.5, max(1e-9, n_in / (math.sqrt(2) * max(1, n_out)))) if not self.levels else 0.5
+            rate = _rate(n_in, n_out) if not self.levels else 0.5
             level = _level(inside, n_in, rate, len(self.levels))
             self.levels.append(level)
             inside, outside, n_out = cut(outside.where(level.has(F.col("key")))), inside, n_in
@@ -96,22 +106,58 @@ class Cascade:
         return answer
 
 
+class Cascades:
+    """Exact membership in a list of any size: keys are dealt by their hash over as many cascades as keep every filter within :data:`MAX_BITS`."""
+
+    def __init__(self, listed: DataFrame, others: DataFrame):
+        n_in, n_out = listed.count(), others.count()
+        # A split may get a few more keys than its share; a tenth is left for that.
+        self.splits = max(1, math.ceil(1.1 * _bits(n_in, _rate(n_in, n_out)) / MAX_BITS)) if n_in else 1
+        part = lambda df, i: df if self.splits == 1 else df.where(self._split(F.col("key")) == i)
+        self.cascades = [Cascade(part(listed, i), part(others, i)) for i in range(self.splits)]
+
+    def _split(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key, F.lit("split")), F.lit(self.splits))
+
+    def sets(self) -> list[range]:
+        """The splits that one plan may hold."""
+        return [range(i, min(i + MOST_SPLITS, self.splits)) for i in range(0, self.splits, MOST_SPLITS)]
+
+    def has(self, key: Column, splits: range) -> Column:
+        """Whether ``key`` is listed, as far as it falls into ``splits``."""
+        if self.splits == 1:
+            return self.cascades[0].has(key)
+        answer = F.lit(False)
+        for i in splits:
+            answer = F.when(self._split(key) == i, self.cascades[i].has(key)).otherwise(answer)
+        return answer
+
+
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """Add host, path, rule (the longest listed key, or null) and verdict. ``rules``: columns host, path, verdict."""
     df = with_host_path(pages.drop("rule", "verdict"), url)
     listed = rules.select(F.concat("host", "path").alias("key"), F.length("path").alias("n"), F.size(F.split("host", r"\.")).alias("labels"), (F.col("verdict") == "block").alias("block")).where("key is not null")
-    lengths, most = [r["n"] for r in listed.select("n").distinct().limit(4097).collect()], listed.agg(F.max("labels")).first()[0]
-    if len(lengths) > 4096:
-        raise ValueError("rules have more than 4096 lengths of path")
+    # As many lengths as the longest listed path has characters, at most.
+    lengths, most = [r["n"] for r in listed.select("n").distinct().collect()], listed.agg(F.max("labels")).first()[0]
     listed = cut(listed.groupBy("key").agg(F.max("block").alias("block")))
     if not lengths:
         return df.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit("allow")})
     prefix = df.select("host", F.substring("path", 1, max(lengths)).alias("path")).distinct()
     universe = prefix.select(F.explode(candidate_keys(lengths, most)).alias("key")).distinct()
-    member = Cascade(listed.select("key"), cut(universe.join(listed.select("key"), "key", "left_anti")))
-    blocked = Cascade(listed.where("block").select("key"), listed.where("not block").select("key"))
-    df = df.withColumn("rule", F.get(F.filter(candidate_keys(lengths, most), member.has), F.lit(0)))
-    return df.withColumn("verdict", F.when(F.col("rule").isNotNull() & blocked.has(F.col("rule")), F.lit("block")).otherwise(F.lit("allow")))
+    member = Cascades(listed.select("key"), cut(universe.join(listed.select("key"), "key", "left_anti")))
+    blocked = Cascades(listed.where("block").select("key"), listed.where("not block").select("key"))
+    keys, hits, bad = candidate_keys(lengths, most), private(df) + "hits", private(df) + "bad"
+    sets, within = member.sets(), lambda splits: lambda k: member.has(k, splits)
+    df = df.withColumn(hits, F.filter(keys, within(sets[0])))
+    for splits in sets[1:]:
+        df = cut(df).withColumn(hits, F.concat(hits, F.filter(keys, within(splits))))
+    longest = F.get(F.transform(F.sort_array(F.transform(hits, lambda k: F.struct((-F.length(k)).alias("n"), k.alias("key")))), lambda x: x["key"]), F.lit(0))
+    df = df.withColumn("rule", longest if len(sets) > 1 else F.get(hits, F.lit(0))).drop(hits)
+    sets = blocked.sets()
+    df = df.withColumn(bad, blocked.has(F.col("rule"), sets[0]))
+    for splits in sets[1:]:
+        df = cut(df).withColumn(bad, F.col(bad) | blocked.has(F.col("rule"), splits))
+    return df.withColumn("verdict", F.when(F.col("rule").isNotNull() & F.col(bad), F.lit("block")).otherwise(F.lit("allow"))).drop(bad)
 
 
 RULE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("host", "path", "verdict")])
