@@ -1,7 +1,8 @@
 """Quality rules with thresholds that follow the data.
 
-Each text gets counts of words, symbols, repeated lines and repeated passages. For every (language, source) a KLL
-sketch of each ratio is built; sketches of small groups are replaced by the merged sketch of their language, and of
+Each text gets counts of words, symbols, repeated lines and repeated passages. For every (language, source) a
+sketch of each ratio is built: how many texts fall into each bin of a fixed grid whose bins grow by a tenth of a percent. Such sketches merge by adding counts, and are a function of the rows alone, so the
+same table gives the same verdicts in every run. Sketches of small groups are replaced by the merged sketch of their language, and of
 small languages by that of all rows. A text fails where a ratio lies far above the lower part of its group. Both quantiles are below the
 median, so that a source of which more than half is junk can't vouch for itself; a group without spread takes that of its language, or of all
 rows. DataFrame functions only.
@@ -13,7 +14,9 @@ pass through: ``keep_good`` returns its rows whole under any names, ``apply_rule
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import copied, cut, hot_keys, private, spread
@@ -26,7 +29,8 @@ RATIOS = {"symbol_ratio": 0.03, "dup_line_ratio": 0.05, "repeat_ratio": 0.25, "w
 LOWER, UPPER, REACH = 0.1, 0.4, 8.0
 #: Groups of fewer rows use the merged sketch of the level above.
 MIN_GROUP = 200
-SKETCH_K = 1024
+#: Growth of the grid's bins; a quantile is found to half of that. Ratios lie between 10^-10 and 10^10 or are 0, so a sketch has 46,000 bins at most.
+GROWTH = 1.001
 #: Groups whose fences may be broadcast, some hundred bytes each.
 BROADCAST_GROUPS = 10_000
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -72,23 +76,41 @@ def ratios() -> dict[str, Column]:
     }
 
 
+def _bin(x: Column) -> Column:
+    """The bin of a ratio; null stands for zero."""
+    return F.when(x > 0, F.floor(F.log(F.when(x > 0, x)) / F.lit(math.log(GROWTH))).cast("int"))
+
+
+def _middle(bin_: Column) -> Column:
+    return F.when(bin_.isNull(), 0.0).otherwise(F.exp((bin_ + 0.5) * F.lit(math.log(GROWTH))))
+
+
+def _quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
+    """(by, n, <ratio>_lo, <ratio>_up) of the sketch summed over all but ``by``: counts by ratio and bin."""
+    bins = sketch.groupBy(*by, "ratio", "bin").agg(F.sum("c").alias("c"))
+    w = Window.partitionBy(*by, "ratio")
+    upto = bins.withColumns({"upto": F.sum("c").over(w.orderBy(F.asc_nulls_first("bin")).rowsBetween(Window.unboundedPreceding, 0)), "n": F.sum("c").over(w)})
+    at = lambda share: F.min(F.when(F.col("upto") >= F.col("n") * share, _middle(F.col("bin"))))
+    one = upto.groupBy(*by, "ratio").agg(F.max("n").alias("n"), at(LOWER).alias("lo"), at(UPPER).alias("up"))
+    pick = lambda i, c: F.max(F.when(F.col("ratio") == i, F.col(c)))
+    return one.groupBy(*by).agg(F.max("n").alias("n"), *(pick(i, c).alias(f"{r}_{c}") for i, r in enumerate(RATIOS) for c in ("lo", "up")))
+
+
 def thresholds(counted: DataFrame, keys: tuple[str, str] = ("lang", "source")) -> DataFrame:
-    """One row for each (language, source): ``group``, the two as text, and the fence of every ratio. Computed once, since KLL compaction draws lots."""
-    rows = counted.where(F.col("n_words") > 0).select(F.col(keys[0]).alias("k"), _group(keys).alias("group"), *(x.alias(r) for r, x in ratios().items()))
-    one = cut(rows.groupBy("k", "group").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(r, F.lit(SKETCH_K)).alias(r) for r in RATIOS)))
-    merged = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(r).alias(r) for r in RATIOS)]
-    whole = F.struct("n", *RATIOS)
-    up = one.groupBy("k").agg(*merged).select(F.col("k").alias("up"), whole.alias("lang"))
-    df = one.select("group", "k", whole.alias("own")).join(up, F.col("k").eqNullSafe(F.col("up")))
-    df = df.withColumn("all", one.agg(*merged).select(whole).scalar())
-    pick = F.when(F.col("own.n") >= MIN_GROUP, F.col("own")).when(F.col("lang.n") >= MIN_GROUP, F.col("lang")).otherwise(F.col("all"))
-    df = df.select("group", pick.alias("s"), "lang", "all")
-    q = lambda level, r, at: F.kll_sketch_get_quantile_double(F.col(f"{level}.{r}"), F.lit(at))
-    width = lambda level, r: q(level, r, UPPER) - q(level, r, LOWER)
+    """One row for each (language, source): ``group``, the two as text, and the fence of every ratio."""
+    rows = counted.where(F.col("n_words") > 0).select(F.to_json(F.struct(F.col(keys[0]).alias("a"))).alias("k"), _group(keys).alias("group"), F.posexplode(F.array(*map(_bin, ratios().values()))).alias("ratio", "bin"))
+    sketch = cut(rows.groupBy("k", "group", "ratio", "bin").agg(F.count("*").alias("c")))
+    whole = F.struct("n", *(f"{r}_{c}" for r in RATIOS for c in ("lo", "up")))
+    own = _quantiles(sketch, ["k", "group"]).select("group", "k", whole.alias("own"))
+    up = _quantiles(sketch, ["k"]).select(F.col("k").alias("up"), whole.alias("lang"))
+    every = _quantiles(sketch.withColumn("one", F.lit(1)), ["one"]).select(whole.alias("all"))
+    df = own.join(up, F.col("k") == F.col("up")).withColumn("all", every.scalar())
+    df = df.select("group", F.when(F.col("own.n") >= MIN_GROUP, F.col("own")).when(F.col("lang.n") >= MIN_GROUP, F.col("lang")).otherwise(F.col("all")).alias("s"), "lang", "all")
+    width = lambda level, r: F.col(f"{level}.{r}_up") - F.col(f"{level}.{r}_lo")
     fences = []
     for r, slack in RATIOS.items():
         spread_ = F.coalesce(*(F.when(width(level, r) > 0, width(level, r)) for level in ("s", "lang", "all")), F.lit(0.0))
-        fences.append(q("s", r, UPPER) + REACH * spread_ + slack)
+        fences.append(F.col(f"s.{r}_up") + REACH * spread_ + slack)
     return cut(df.select("group", *(f.alias(r) for r, f in zip(RATIOS, fences, strict=True))))
 
 
