@@ -219,6 +219,19 @@ def test_sharding_of_odd_rows(spark, odd):
 # 4 url filters
 
 
+def test_long_lists_are_split(spark, monkeypatch):
+    """Filters of 64 bits only, and two splits in a plan: many cascades, judged in several passes."""
+    monkeypatch.setattr(url_cascade, "MAX_BITS", 200)
+    monkeypatch.setattr(url_cascade, "MOST_SPLITS", 3)
+    rules = [(f"h{i}.org", "/" + "x" * (i % 5), "block" if i % 3 else "allow") for i in range(120)] + [("org", "/", "allow")]
+    pages = [(i, f"http://a.h{i % 200}.org/{'x' * (i % 7)}/y") for i in range(400)] + [(1000, None)]
+    got = {r.page_id: (r.rule, r.verdict) for r in url_cascade.judge_urls(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(rules, url_cascade.RULE_SCHEMA)).collect()}
+    for k, url in pages:
+        host, path = (url or "http://").split("://")[1].partition("/")[::2]
+        fits = [(h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and ("/" + path).startswith(p)]
+        assert got[k] == (max(fits, key=lambda x: len(x[0])) if fits else (None, "allow"))
+
+
 def test_cascade_is_exact(spark):
     keys = spark.range(20_000).select(F.concat(F.lit("host"), "id", F.lit(".com/")).alias("key"))
     listed, others = keys.where("abs(hash(key)) % 50 = 0"), keys.where("abs(hash(key)) % 50 != 0")
@@ -358,6 +371,30 @@ def test_fences_are_near_exact_quantiles(spark):
     assert one.count() == counted.where("n_words > 0 and lang = 'en'").count()
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_fences_by_a_slow_version(spark, partitions):
+    """All four ratios, from the sorted values of each group, its language, or all rows; the same whatever the partitioning."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("source", F.when(F.col("doc_id") % 3 == 0, "a").when(F.col("doc_id") % 50 == 1, "rare").when(F.col("doc_id") % 7 != 2, "b"))
+    counted = quality_rules.with_counts(docs).repartition(partitions)
+    got = {r["group"]: tuple(r[x] for x in quality_rules.RATIOS) for r in quality_rules.thresholds(counted).collect()}
+    values = defaultdict(lambda: ([], [], [], []))
+    for r in counted.where("n_words > 0").collect():
+        symbols, dups, repeats = r.n_symbols / max(r.word_chars, 1), r.n_dup_lines / r.n_words, r.n_repeat_words / r.n_words
+        for key in ((r.lang, r.source), r.lang, "all rows"):
+            for to, x in zip(values[key], (symbols, dups, repeats, r.word_chars / r.n_words), strict=True):
+                to.append(x)
+    middle = lambda x: math.exp((math.floor(math.log(x) / math.log(quality_rules.GROWTH)) + 0.5) * math.log(quality_rules.GROWTH)) if x > 0 else 0.0
+    at = lambda v, share: middle(sorted(v)[math.ceil(len(v) * share - 1e-9) - 1])
+    groups = [k for k in values if isinstance(k, tuple)]
+    assert len(got) == len(groups)
+    for lang, source in groups:
+        own = next(k for k in ((lang, source), lang, "all rows") if len(values[k][0]) >= quality_rules.MIN_GROUP or k == "all rows")
+        name = "{" + ",".join(f'"{a}":"{b}"' for a, b in (("a", lang), ("b", source)) if b is not None) + "}"
+        for i, slack in enumerate(quality_rules.RATIOS.values()):
+            widths = [w for w in (at(values[k][i], quality_rules.UPPER) - at(values[k][i], quality_rules.LOWER) for k in (own, lang, "all rows")) if w > 0]
+            assert got[name][i] == pytest.approx(at(values[own][i], quality_rules.UPPER) + quality_rules.REACH * (widths[0] if widths else 0.0) + slack, rel=1e-9)
+
+
 def test_rules_with_clashing_names(spark, odd):
     docs = odd
     for name in ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "word_length", "_lang", "_source", "n_words", "kept", "base_failed", "_w", "row", "k", "kept_", "_group"):

@@ -26,6 +26,8 @@ MAX_UNIT = 10_000
 LOTS = 32
 #: Texts that are cut at most: the most common ones. Others have at most a share of 1 / MOST_CUT of all rows.
 MOST_CUT = 10_000
+#: Common lines that are sent to every task at most (16 bytes each).
+SENT_LINES = 100_000
 
 
 def _base(docs: DataFrame) -> DataFrame:
@@ -133,10 +135,16 @@ def shard_documents(docs: DataFrame, *, shards: int = 40, rounds: int = 4, slack
     base = cut(base.select("doc_id", "size", "text_crc32", "same", piece.alias("piece"), "pieces", F.xxhash64("same", piece).alias("unit"), "lines"))
     held = base.select("unit", F.explode("lines").alias("line")).groupBy("unit", "line").agg(F.count("*").alias("held"))
     useful = cut(held.groupBy("line").agg(F.count("*").alias("units"), F.sum("held").alias("n")).where(F.col("units") > 1))
-    # The members of a common line are dealt over several tasks.
-    spread = F.broadcast(useful.where(F.col("units") > most).select("line", F.ceil(F.col("units") / most).cast("int").alias("spread")))
-    useful = useful.join(spread, "line", "left").withColumn("spread", F.coalesce("spread", F.lit(1)))
-    links = held.drop("held").join(spread, "line", "left").select("unit", "line", F.coalesce(F.pmod(F.xxhash64("unit"), F.col("spread")), F.lit(0)).cast("int").alias("salt"))
+    # The members of a common line are dealt over several tasks. The most common lines are sent to every task; each of the others has at most a share of 1 / SENT_LINES of all rows of ``held``.
+    common = cut(useful.where(F.col("units") > most).select("line", "units", F.ceil(F.col("units") / most).cast("int").alias("spread")))
+    more = common.limit(SENT_LINES + 1).count() > SENT_LINES
+    sent = common.orderBy(F.desc("units"), "line").limit(SENT_LINES) if more else common
+    useful = useful.join(common.select("line", "spread"), "line", "left").withColumn("spread", F.coalesce("spread", F.lit(1)))
+    rows = held.drop("held").join(F.broadcast(sent.select("line", "spread")), "line", "left")
+    if more:
+        rest = rows.where("spread is null").drop("spread").join(common.select("line", "spread"), "line", "left")
+        rows = rows.where("spread is not null").unionByName(rest)
+    links = rows.select("unit", "line", F.coalesce(F.pmod(F.xxhash64("unit"), F.col("spread")), F.lit(0)).cast("int").alias("salt"))
     links = cut(links.join(useful.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("spread") - 1))), ["line", "salt"]))
     lead = lambda c: F.max(F.when(c, F.struct("n", "line")))
     leaders = links.groupBy("unit").agg(lead(F.col("n") > share).alias("wide"), lead(F.col("n") <= share).alias("near"))
