@@ -92,17 +92,25 @@ _DIALLED = re.compile(r"[+(]?[0-9](?:[ ()./-]{1,2}[0-9]+|[0-9])+")
 _SHAPES = {"email": _SPELLED, "ip": _PARTED, "card": _GROUPED, "phone": _DIALLED}
 
 
-def plausible(kind: str, s: str) -> bool:
-    """The exact check of a span that the network adds."""
+#: A plain word, "at" and a host that is written as hosts are: prose ("arrived at example.com"), not a rewritten address.
+_PROSE = re.compile(r"[A-Za-z]+ [aA][tT] [A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+#: What stands before numbers of things, and before those of telephones.
+_LABEL, _TELEPHONE = re.compile(r"(?i)(?:\b(?:no|nr|order|invoice|ref|id|isbn|version)\b[.:# ]*|#)$"), re.compile(r"(?i)\b(?:tel|phone|telephone|fax|mobile|cell|call)\b")
+LABEL_CHARS = 24
+
+
+def plausible(kind: str, s: str, before: str = "") -> bool:
+    """The exact check of a span that the network adds. ``before``: the text in front of it, of which :data:`LABEL_CHARS` characters tell numbers of things from telephones."""
     if kind == "email":
-        return bool(_SPELLED.fullmatch(s))
+        return bool(_SPELLED.fullmatch(s)) and not _PROSE.fullmatch(s)
     numbers = _NUMBER.findall(s)
     digits = "".join(numbers)
     if kind == "ip":
         return bool(_PARTED.fullmatch(s)) and all(map(_byte, numbers))
     if kind == "card":
         return 16 <= len(digits) <= 19 and luhn(digits) and bool(_GROUPED.fullmatch(s))
-    return 9 <= len(digits) <= 15 and 3 <= len(numbers) <= 5 and bool(_DIALLED.fullmatch(s))
+    before = before[-LABEL_CHARS:]
+    return 9 <= len(digits) <= 15 and 3 <= len(numbers) <= 5 and bool(_DIALLED.fullmatch(s)) and not (_LABEL.search(before) and not _TELEPHONE.search(before))
 
 
 def regions(text: str) -> list[tuple[int, int]]:
@@ -447,7 +455,7 @@ def added_spans(model: Tagger | None, texts: list[str], found: list[list[Span]])
                 end += 1
             x, y = a + at, a + end
             x, y = _to_words(texts[i], KINDS[kind], x, y)
-            if x < y and all(y <= u or x >= v for _, u, v in found[i] + out[i]) and plausible(KINDS[kind], texts[i][x:y]):
+            if x < y and all(y <= u or x >= v for _, u, v in found[i] + out[i]) and plausible(KINDS[kind], texts[i][x:y], texts[i][max(0, x - LABEL_CHARS) : x]):
                 out[i].append((KINDS[kind], x, y))
             at = end
     return out
