@@ -307,6 +307,24 @@ def test_pages_with_faults(page, want):
     assert html_mincut.main_text(page, html_mincut.PRIOR) == want
 
 
+PROSE = " ".join(f"Sentence number {i} of the article says something, and then a little more." for i in range(12))
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f'<div class="social-science"><p>{PROSE}</p></div>', PROSE), (f'<article><p>{PROSE}</p><section id="related-work"><h2>Related work</h2><p>{PROSE}</p></section></article>', f"{PROSE}\nRelated work\n{PROSE}"),
+        (f"<html><body>{PROSE}</body></html>", PROSE), (PROSE, PROSE), ("One plain page of text, without any mark of what it is.", "One plain page of text, without any mark of what it is."),
+        (f'<div class="sidebar"><p>{PROSE}</p></div>', PROSE),  # nothing else is there
+        (f'<article><p>{PROSE}</p></article><div class="comments"><p>{PROSE} {PROSE} {PROSE}</p></div>', PROSE), (f'<article><p>{PROSE}</p></article><div class="sidebar-left"><p>{PROSE}</p></div>', PROSE),
+        ('<nav><a href="/">Home</a></nav><div id="cookie-notice"><p>We use cookies on this site, and more of them than you think.</p></div><footer>All rights reserved by us and by no one else at all.</footer>', ""),
+        ('<div class="site-header"><p>Welcome to our site, dear reader.</p></div>', ""),
+    ],
+)
+def test_names_that_mislead(page, want):
+    assert html_mincut.main_text(page, html_mincut.PRIOR) == want
+
+
 def test_minimum_cut_equals_brute_force():
     r = np.random.default_rng(3)
     for _ in range(60):

@@ -19,7 +19,7 @@ import html as _html
 import re
 from collections import Counter, deque
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ AWAY_TAGS = frozenset("nav footer aside form head dialog menu fieldset title but
 AWAY_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 AWAY_WORDS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side aside nav navbar navigation menu footer header masthead breadcrumb breadcrumbs comment comments reply replies respond discussion disqus notice notices alert cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended widget widgets toolbar pagination pager search form copyright".split())
 _MAIN_WORDS = frozenset("article content main post entry story body text".split())
+#: Parts of a class or id that say where or how large something is, not what.
+LAYOUT_WORDS = frozenset("area bar block body bottom box btn button buttons col column container content count fixed form group head inner item items left link links list main mobile outer overlay page panel post posts right row section site sticky text title top widget widgets wrap wrapper".split())
 #: Elements that are too large for their class to say anything about all that is in them.
 _WHOLE = frozenset("html body main article".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*)(?:>|\Z)", re.S)
@@ -51,12 +53,15 @@ FEATURES = ["bias", "heading", "paragraph", "item", "links", "words", "stops", "
 PRIOR = np.array([-0.5, 0.3, 0.8, -0.2, -2.5, 1.0, 0.6, -0.4, -0.2, -0.3, 0.5, -0.5])
 #: Log odds that an element adds which says that it is boilerplate, beyond all looks, or main text.
 SAYS_AWAY, SAYS_MAIN = -12.0, 6.0
+#: Words that a page without any main text must have for a name around them to be doubted, and for bare text to be content.
+LEAST_WORDS, BARE_WORDS = 60, 8
 
 
 @dataclass(slots=True)
 class Block:
     """A run of text, with its element's name and parent, the number of block elements it is in and how many of those
-    the block before it is in too, what the elements say, and the share of its text that is links."""
+    the block before it is in too, what the elements say, the share of its text that is links, and the number of the outermost element around it that is boilerplate by its class or id alone (0: none; -1:
+    there is one that is so by its name, role or style)."""
 
     text: str
     tag: str
@@ -66,6 +71,7 @@ class Block:
     away: bool
     main: bool
     links: float
+    named: int = 0
 
 
 @dataclass(slots=True)
@@ -76,20 +82,27 @@ class _Open:
     number: int
     away: bool
     main: bool
-    inline: list[tuple[str, bool, bool]] = field(default_factory=list)
+    named: int = 0
+    inline: list[tuple[str, bool, bool, int]] = field(default_factory=list)
     names: Counter = field(default_factory=Counter)
 
 
-def _says(tag: str, attrs: str) -> tuple[bool, bool]:
-    """Whether an element says that it is boilerplate, or main text."""
-    away, main = tag in AWAY_TAGS, tag in ("article", "main")
+def _names_away(token: str) -> bool:
+    """Whether one class or id names boilerplate: its last part does, or one does and all others tell a place (sidebar-left, but not social-science)."""
+    parts = [w for w in _WORDS.split(token) if w]
+    return bool(parts) and (parts[-1] in AWAY_WORDS or any(w in AWAY_WORDS for w in parts) and all(w in AWAY_WORDS or w in LAYOUT_WORDS or len(w) < 3 for w in parts))
+
+
+def _says(tag: str, attrs: str) -> tuple[bool, bool, bool]:
+    """Whether an element says that it is boilerplate, or main text, and whether the former is by its class or id alone."""
+    away, main, named = tag in AWAY_TAGS, tag in ("article", "main"), False
     if attrs:
         for name, *values in _ATTR.findall(attrs):
             name, value = name.lower(), next((v for v in values if v), "").lower()
             if name in ("class", "id"):
                 words = {w for w in _WORDS.split(value) if w}
-                away |= tag not in _WHOLE and bool(words & AWAY_WORDS)
-                main |= not away and tag not in _WHOLE and bool(words & _MAIN_WORDS)
+                named |= tag not in _WHOLE and any(map(_names_away, value.split()))
+                main |= not away and not named and tag not in _WHOLE and bool(words & _MAIN_WORDS)
             elif name == "role":
                 away |= value in AWAY_ROLES
                 main |= value in ("main", "article")
@@ -97,7 +110,7 @@ def _says(tag: str, attrs: str) -> tuple[bool, bool]:
                 away |= "display:none" in value.replace(" ", "")
             else:
                 away |= name == "hidden" or value == "true"
-    return away, main
+    return away or named, main, named and not away
 
 
 def _short(m: re.Match) -> str:
@@ -114,9 +127,24 @@ def blocks_of(page: str | None) -> list[Block]:
         return out
     stack = [_Open("", 0, False, False)]
     parts: list[str] = []
-    linked = total = number = at = 0
+    linked = total = number = at = marks = 0
     in_link, low = False, 1
 
+    def said() -> tuple[bool, bool, int]:
+        top = stack[-1]
+        return top.inline[-1][1:] if top.inline else (top.away, top.main, top.named)
+
+    def under(own: tuple[bool, bool, bool]) -> tuple[bool, bool, int]:
+        """What all around say together with one element more."""
+        nonlocal marks
+        away, main, named = said()
+        if own[0] and not own[2]:
+            named = -1
+        elif own[2] and not named:
+            marks += 1
+            named = marks
+        return away or own[0], main or own[1], named
+
     def flush() -> None:
         nonlocal parts, linked, total, low
         if parts:
@@ -124,8 +152,8 @@ def blocks_of(page: str | None) -> list[Block]:
             text = " ".join(_html.unescape(_LONG.sub(_short, text) if "&#" in text else text).split())
             if text:
                 top = stack[-1]
-                away, main = (top.inline[-1][1:] if top.inline else (top.away, top.main))
-                out.append(Block(text, top.tag, stack[-2].number if len(stack) > 1 else -1, len(stack), low, away, main, linked / max(1, total)))
+                away, main, named = said()
+                out.append(Block(text, top.tag, stack[-2].number if len(stack) > 1 else -1, len(stack), low, away, main, linked / max(1, total), named))
                 low = len(stack)
             parts, linked, total = [], 0, 0
 
@@ -190,16 +218,11 @@ def blocks_of(page: str | None) -> list[Block]:
             in_link = False
             if tag not in VOID and not (tag in PHRASING and (m[3] or "").endswith("/")):
                 number += 1
-                top = stack[-1]
-                away, main = (top.inline[-1][1:] if top.inline else (top.away, top.main))
-                own = _says(tag, m[3])
-                stack.append(_Open(tag, number, away or own[0], main or own[1]))
+                stack.append(_Open(tag, number, *under(_says(tag, m[3]))))
                 opened[tag] += 1
         elif tag not in VOID:
             in_link = in_link or tag == "a"
-            away, main = (top.inline[-1][1:] if top.inline else (top.away, top.main))
-            own = _says(tag, m[3])
-            top.inline.append((tag, away or own[0], main or own[1]))
+            top.inline.append((tag, *under(_says(tag, m[3]))))
             top.names[tag] += 1
     flush()
     return out
@@ -319,9 +342,32 @@ def labels(blocks: list[Block], weights: np.ndarray, *, near: float = 1.2, kin:
     return minimum_cut(np.logaddexp(0, x), np.logaddexp(0, -x), _edges(blocks, near, kin))
 
 
+def _words(blocks: list[Block]) -> int:
+    return sum(len(b.text.split()) for b in blocks)
+
+
+def reconsidered(blocks: list[Block]) -> list[Block]:
+    """The blocks with names that can't be right taken back: a class or id around most of a page's words, :data:`LEAST_WORDS` at least, names no boilerplate where nothing else is left."""
+    inside: Counter = Counter()
+    for b in blocks:
+        if b.named > 0:
+            inside[b.named] += len(b.text.split())
+    wrong = {k for k, n in inside.items() if n >= LEAST_WORDS and 2 * n > _words(blocks)}
+    return [replace(b, away=False, named=0) if b.named in wrong else b for b in blocks]
+
+
 def main_text(page: str | None, weights: np.ndarray) -> str:
+    """The blocks on the content's side. Where there are none, names around most of the page are taken back; and on a page without any other content, bare text of at least :data:`BARE_WORDS` words is content."""
     blocks = blocks_of(page)
-    return "\n".join(b.text for b, k in zip(blocks, labels(blocks, weights), strict=True) if k) if blocks else ""
+    if not blocks:
+        return ""
+    kept = labels(blocks, weights)
+    if not kept.any():
+        blocks = reconsidered(blocks)
+        kept = labels(blocks, weights)
+    if not kept.any() and _words([b for b in blocks if not b.away and b.links < 0.5]) >= BARE_WORDS:
+        kept = np.array([not b.away and b.links < 0.5 for b in blocks])
+    return "\n".join(b.text for b, k in zip(blocks, kept, strict=True) if k)
 
 
 def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
