@@ -14,19 +14,22 @@ from ..functions.chunks import CHUNK_ROWS
 from . import quantiles
 
 
-def _with_quantiles(stats: DataFrame, df: DataFrame, by: list[str], value: str, shares: list[float], out: list[str], large: int) -> DataFrame:
-    """``stats``, one row for each group, with exact quantiles beside."""
+def _summed(df: DataFrame, by: list[str], value: str, stats: list, shares: list[float], out: list[str], large: int) -> DataFrame:
+    """``stats`` and exact quantiles of each group: in one aggregate where no group is above ``large`` rows, else beside each other."""
+    if not quantiles.any_large(df, by, large):
+        q = F.percentile(F.col(value), F.array(*map(F.lit, shares))).alias("_q")
+        return df.groupBy(*by).agg(*stats, q).withColumns({c: F.col("_q")[i] for i, c in enumerate(out)}).drop("_q")
     q = quantiles.quantiles(df, by=by, value=value, shares=shares, out=out, large=large).select(*(F.col(c).alias(f"_q_{c}") for c in by), *out)
     same = reduce(lambda a, c: a & F.col(c).eqNullSafe(F.col(f"_q_{c}")), by, F.lit(True))
-    return stats.join(q, same, "left").drop(*(f"_q_{c}" for c in by))
+    return df.groupBy(*by).agg(*stats).join(q, same, "left").drop(*(f"_q_{c}" for c in by))
 
 
 def group_summary(df: DataFrame, *, by: list[str], value: str, large: int = quantiles.LARGE) -> DataFrame:
     """Count, mean, median, deviation, share above zero and t of each group. Medians of groups above ``large`` values are selected in ranges."""
     x = F.col(value)
     df = df.where(x.isNotNull())
-    stats = df.groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"), F.avg(F.when(x > 0, 1.0).otherwise(0.0)).alias("up_rate"))
-    stats = _with_quantiles(stats, df, by, value, [0.5], ["median"], large)
+    stats = [F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"), F.avg(F.when(x > 0, 1.0).otherwise(0.0)).alias("up_rate")]
+    stats = _summed(df, by, value, stats, [0.5], ["median"], large)
     return stats.withColumn("t_stat", F.when(F.col("sd") > 0, F.col("mean") / (F.col("sd") / F.sqrt("n")))).select(*by, "n", "mean", "median", "sd", "up_rate", "t_stat")
 
 
@@ -46,8 +49,8 @@ PERCENTS = [1, 5, 25, 50, 75, 95, 99]
 def describe(df: DataFrame, *, by: list[str], value: str, large: int = quantiles.LARGE) -> DataFrame:
     """Count, moments, extremes and exact percentiles; those of groups above ``large`` values are selected in ranges."""
     x = F.col(value)
-    stats = df.groupBy(*by).agg(F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"), F.min(x).alias("min"), F.max(x).alias("max"))
-    return _with_quantiles(stats, df, by, value, [p / 100 for p in PERCENTS], [f"p{p}" for p in PERCENTS], large)
+    stats = [F.count(x).alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("sd"), F.min(x).alias("min"), F.max(x).alias("max")]
+    return _summed(df, by, value, stats, [p / 100 for p in PERCENTS], [f"p{p}" for p in PERCENTS], large)
 
 
 def corr_matrix(df: DataFrame, *, cols: list[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.chunks import numbered
 from ..functions.storage import stored
 from .long_series import asof
+from .quantiles import any_large
 
 #: Points of one block, and of the shortest run that has a tree; points of a shorter rest are compared one by one.
 BLOCK, RUN = 1 << 16, 1 << 8
@@ -83,10 +84,26 @@ def prefix_sums(x: np.ndarray, y: np.ndarray, values: np.ndarray, boxes: np.ndar
 
 def earlier_in_box(df: DataFrame, *, keys: list[str], time: str, until: Column, at: tuple[str, str], reach: tuple[float, float], measures: dict[str, Column], block: int = BLOCK) -> DataFrame:
     """(keys, time, measures...): for each row, the sum of each measure over the rows of its series up to time ``until`` whose coordinates ``at`` both differ from its own by ``reach`` at most. Rows
-    without both coordinates neither count nor are asked for; a null measure adds nothing. Times of a series must differ."""
+    without both coordinates or a time neither count nor are asked for; a null measure adds nothing. Times of a series must differ."""
     x, y = at
-    points = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*keys, F.col(time).alias("_time"), until.alias("_until"), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), *(F.coalesce(e.cast("double"), F.lit(0.0)).alias(f"_m{i}") for i, e in enumerate(measures.values())))
+    points = df.where(F.col(x).isNotNull() & F.col(y).isNotNull() & F.col(time).isNotNull()).select(*keys, F.col(time).alias("_time"), until.alias("_until"), F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), *(F.coalesce(e.cast("double"), F.lit(0.0)).alias(f"_m{i}") for i, e in enumerate(measures.values())))
     names = [f"_m{i}" for i in range(len(measures))]
+    box = lambda qx, qy: np.column_stack([qx - reach[0], qx + reach[0], qy - reach[1], qy + reach[1]])
+    schema = ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys), f"_time {df.schema[time].dataType.simpleString()}", *(f"{n} double" for n in names)])
+    shown = lambda found: found.select(*keys, F.col("_time").alias(time), *(F.col(n).alias(m) for n, m in zip(names, measures, strict=True)))
+
+    def whole(group: pd.DataFrame) -> pd.DataFrame:
+        p = group.sort_values("_time")
+        upto = np.searchsorted(p["_time"].to_numpy(), p["_until"].to_numpy(), "right")
+        x, y = p["_x"].to_numpy(), p["_y"].to_numpy()
+        sums = prefix_sums(x, y, p[names].to_numpy(np.float64).reshape(len(p), len(names)), box(x, y), upto)
+        out = p[[*keys, "_time"]].reset_index(drop=True)
+        for i, n in enumerate(names):
+            out[n] = sums[:, i]
+        return out[upto > 0]
+
+    if not any_large(df, keys, block):  # each series is one block
+        return shown(points.groupBy(*keys).applyInPandas(whole, schema))
     points = stored(numbered(points, keys=keys, time="_time", rows=max(block, 1_000)))
     known = points.select(*keys, F.col("_time").alias("_since"), (F.col("_no") + 1).alias("_upto"))
     asked = asof(points.select(*keys, "_time", "_until", "_x", "_y", "_no"), known, keys=keys, left_time="_until", right_time="_since", cols=["_upto"], strict=False).where("_upto is not null")
@@ -105,14 +122,11 @@ def earlier_in_box(df: DataFrame, *, keys: list[str], time: str, until: Column,
     def run(group: pd.DataFrame) -> pd.DataFrame:
         is_query = group["_upto"].notna().to_numpy()
         p, q = group[~is_query].sort_values("_at"), group[is_query]
-        qx, qy = q["_x"].to_numpy(), q["_y"].to_numpy()
-        boxes = np.column_stack([qx - reach[0], qx + reach[0], qy - reach[1], qy + reach[1]])
+        boxes = box(q["_x"].to_numpy(), q["_y"].to_numpy())
         sums = prefix_sums(p["_x"].to_numpy(), p["_y"].to_numpy(), p[names].to_numpy(np.float64).reshape(len(p), len(names)), boxes, q["_upto"].to_numpy(np.int64))
         out = q[[*keys, "_time"]].reset_index(drop=True)
         for i, n in enumerate(names):
             out[n] = sums[:, i]
         return out
 
-    schema = ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys), f"_time {df.schema[time].dataType.simpleString()}", *(f"{n} double" for n in names)])
-    found = both.groupBy(*keys, "_b", "_q").applyInPandas(run, schema).groupBy(*keys, "_time").agg(*(F.sum(n).alias(n) for n in names))
-    return found.select(*keys, F.col("_time").alias(time), *(F.col(n).alias(m) for n, m in zip(names, measures, strict=True)))
+    return shown(both.groupBy(*keys, "_b", "_q").applyInPandas(run, schema).groupBy(*keys, "_time").agg(*(F.sum(n).alias(n) for n in names)))

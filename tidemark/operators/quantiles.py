@@ -78,15 +78,22 @@ def running_counts(counts: DataFrame, *, by: list[str], value: str, count: str,
     return local.select(*counts.columns, (F.col("_before") + F.col("_own")).alias("_end"))
 
 
+def any_large(df: DataFrame, by: list[str], large: int) -> bool:
+    """Whether a group has more than ``large`` rows. Only the group's columns are computed for this."""
+    return bool(df.groupBy(*by).count().where(F.col("count") > large).limit(1).count())
+
+
 def quantiles(df: DataFrame, *, by: list[str], value: str, shares: list[float], out: list[str], large: int = LARGE, few: int = FEW) -> DataFrame:
     """(by, out...): the exact quantiles of each group, between two values in proportion, as ``percentile`` gives them. Groups of up to ``large`` values take one task each; larger ones are never
     in one place. Null values don't count; a group without values has null quantiles."""
     df = df.select(*by, F.col(value).cast("double").alias("_v"))
-    sizes = stored(df.groupBy(*by).agg(F.count("_v").alias("_n")))
-    big = sizes.where(F.col("_n") > large).select(*(F.col(c).alias(f"_g_{c}") for c in by), "_n")
     names = [f"_q{i}" for i in range(len(shares))]
     plain = lambda d: d.groupBy(*by).agg(F.percentile("_v", F.array(*map(F.lit, shares))).alias("_q")).select(*by, *(F.col("_q")[i].alias(c) for i, c in enumerate(names)))
-    many = big.count()
+    if any_large(df, by, large):
+        big = stored(df.groupBy(*by).agg(F.count("_v").alias("_n")).where(F.col("_n") > large)).select(*(F.col(c).alias(f"_g_{c}") for c in by), "_n")
+        many = big.count()
+    else:
+        many = 0
     if not many:
         return plain(df).select(*by, *(F.col(c).alias(o) for c, o in zip(names, out, strict=True)))
     small = df.join(F.broadcast(big), _equal(by), "left_anti") if many <= SENT_GROUPS else df.join(big, _equal(by), "left_anti")
