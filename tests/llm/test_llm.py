@@ -536,6 +536,44 @@ def test_join_with_clashing_names(spark, odd):
     assert kept.columns == docs.columns and sorted(x.doc_id or 0 for x in kept.where("c = 'mine' and __kept = 'mine'").collect()) == [0, 1, 2, 3, 4, 7, 8, 9]
 
 
+def test_components_of_long_chains(spark, monkeypatch):
+    """Chains, a star, a ring and random links under random ids: a logarithm of rounds, and nothing is left behind but the labels."""
+    monkeypatch.setattr(ngram_join, "SALT_ROWS", 100)
+    r = np.random.default_rng(4)
+    ids = r.permutation(20_000).tolist()
+    pairs = [(i, i + 1) for i in range(3_000)] + [(4_000 + i, 4_001 + i) for i in range(500)] + [(5_000, 5_001 + i) for i in range(400)]
+    pairs += [(6_000 + i, 6_000 + (i + 1) % 300) for i in range(300)] + [(7_000 + int(a), 7_000 + int(b)) for a, b in r.integers(0, 400, (350, 2)) if a != b]
+    up = [*range(20_000)]
+
+    def root(i):
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    for a, b in pairs:
+        up[root(ids[a])] = root(ids[b])
+    least = {}
+    for i in {ids[x] for pair in pairs for x in pair}:
+        least.setdefault(root(i), []).append(i)
+    want = {i: min(group) for group in least.values() for i in group}
+    tables, paths, write = [], [], ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda df, p=None: write(df, tables if p is None else (tables.append(1), p)[1]))
+    got = ngram_join.components(spark.createDataFrame([(ids[a], ids[b]) for a, b in pairs], "a long, b long").repartition(3), paths)
+    assert {x.node: x.component for x in got.collect()} == want and got.count() == len(want)
+    assert len(tables) <= 3 + 3 * 12 and len(paths) == 1
+
+
+def test_join_on_a_sliding_passage(spark):
+    """A chain of links as long as the passage, of which only neighbours link."""
+    r = np.random.default_rng(6)
+    passage = [f"p{i}" for i in range(260)]
+    texts = [" ".join(passage[i : i + 60]) for i in range(0, 200, 4)] + [" ".join(r.choice(["a", "b"], int(r.integers(1, 12)))) for _ in range(60)]
+    rows = [(int(k), texts[i]) for k, i in enumerate(r.permutation(len(texts)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert sorted((tuple(x) for x in ngram_join.near_duplicates(docs).collect()), key=repr) == _components(rows)
+
+
 def test_join_of_one_large_group(spark, monkeypatch):
     """A group of near copies on both sides of the threshold, with every common n-gram, bucket and hub dealt over several tasks."""
     for name, value in (("HOLDERS", 20), ("SALT_ROWS", 7), ("BUSY", 4), ("HELD", 3000)):

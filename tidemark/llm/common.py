@@ -51,10 +51,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Like :func:`cut` for larger frames: columnar files in the shared folder."""
+def written(df: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """Like :func:`cut`, as columnar files in the shared folder, whose path is added to ``paths``. Plans that read them know their true size. A
+    checkpoint keeps the estimate of the plan it was computed by instead, and that of a join is the product of its sides: where each round of a loop joins what
+    the round before left, its digits double, and after some ten rounds planning takes longer than all work. Loops take this one."""
     path = f"{shared_dir(df.sparkSession)}/t-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHasher, copied, cut, distinct_sets, hot_keys, mix, parts, small_batches, spread, words_of, written
+from .common import WordHasher, copied, distinct_sets, hot_keys, mix, parts, remove, small_batches, spread, words_of, written
 
 PERCENT = 75
 #: N-grams known as frequent, at most: 6 MB for each worker.
@@ -86,7 +86,8 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent n-grams of the corpus, at most :data:`MOST_FREQUENT`, sorted, with their counts."""
     n = texts.mapInArrow(_repeated, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_FROM)
-    n = cut(n.withColumn("grade", (F.log2("n") * 4).cast("int")))
+    paths: list[str] = []
+    n = written(n.withColumn("grade", (F.log2("n") * 4).cast("int")), paths)
     least, room = 0, MOST_FREQUENT
     for r in n.groupBy("grade").count().orderBy(F.desc("grade")).collect():  # some 150 rows
         room -= r["count"]
@@ -94,6 +95,7 @@ def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             least = r["grade"] + 1
             break
     rows = n.where(F.col("grade") >= least).select("token", "n").toArrow()
+    remove(texts.sparkSession, paths[0])
     token, count = rows.column("token").to_numpy().view(np.uint64), np.minimum(rows.column("n").to_numpy(), 2**31 - 1).astype(np.int32)
     order = np.argsort(token)
     return token[order], count[order]
@@ -307,13 +309,13 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, k)], ["a", "b", "k"])
 
 
-def overlaps_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def overlaps_of(pairs: DataFrame, texts: DataFrame, paths: list[str] | None = None) -> DataFrame:
     """(a, b, k) with the exact overlap of each pair (a, b). In each fragment the n-grams of each ``b`` go to those of ``a``, in parts
-    where ``a`` has many; partial overlaps are summed per pair."""
+    where ``a`` has many; partial overlaps are summed per pair. What is written for it is added to ``paths``."""
     spark = pairs.sparkSession
     dealt = spread(pairs.select("a", "b"), "a", hot_keys(pairs, "a", SALT_ROWS), F.col("b"))
     own = dealt.select("a", "_salt").distinct().select(F.col("a").alias("key"), "_salt", F.lit(0).alias("rank"), F.col("a").alias("node"))
-    where = cut(own.unionByName(dealt.select(F.col("a").alias("key"), "_salt", F.lit(1).alias("rank"), F.col("b").alias("node"))))
+    where = written(own.unionByName(dealt.select(F.col("a").alias("key"), "_salt", F.lit(1).alias("rank"), F.col("b").alias("node"))), paths)
     wanted = spark.sparkContext.broadcast(_node_filter(where.select("node").distinct()))
     sets = where.join(texts.mapInArrow(_segments(wanted), "node long, fragment int, tokens binary"), "node")
     sets = sets.repartition(4 * parts(spark), "key", "_salt", "fragment").sortWithinPartitions("key", "_salt", "fragment", "rank", "node")
@@ -321,21 +323,31 @@ def overlaps_of(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return partial.groupBy("a", "b").agg(F.sum("k").alias("k"))
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, component): the smallest node reachable. Labels fall to neighbours' minima and then to their label's label."""
+def components(links: DataFrame, paths: list[str] | None = None) -> DataFrame:
+    """(node, component): the smallest node reachable. Labels fall to neighbours' minima, a node that is a label falls with the lowest of those that
+    had it (so whole trees move at once, and long chains take a logarithm of rounds), and then all fall to their label's label. A round's labels
+    are removed when the next are written; the last ones' path is added to ``paths``."""
+    spark, own, rounds = links.sparkSession, [], []
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    hot = hot_keys(both, "b", SALT_ROWS)
-    both = cut(spread(both, "b", hot, F.col("a")))
-    label = cut(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("c")))
+    hot = written(hot_keys(both, "b", SALT_ROWS), own)
+    both = written(spread(both, "b", hot, F.col("a")), own)
+    label = written(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("c")), rounds)
     while True:
         near = both.join(copied(label.select(F.col("a").alias("b"), "c"), "b", hot), ["b", "_salt"]).groupBy("a").agg(F.min("c").alias("near"))
-        down = label.join(near, "a").select("a", F.col("c").alias("old"), F.least("c", "near").alias("c"))
+        down = written(label.join(near, "a").select("a", F.col("c").alias("old"), F.least("c", "near").alias("c")), rounds)
+        hook = down.groupBy(F.col("old").alias("a")).agg(F.min("c").alias("hook"))
+        down = written(down.join(hook, "a", "left").select("a", "old", F.least("c", F.coalesce("hook", "c")).alias("c")), rounds)
         few = hot_keys(down, "c", SALT_ROWS)
-        up = copied(label.select(F.col("a").alias("c"), F.col("c").alias("up")), "c", few)
-        new = cut(spread(down, "c", few, F.col("a")).join(up, ["c", "_salt"], "left").select("a", "old", F.least(F.col("c"), F.coalesce("up", "c")).alias("c")))
+        up = copied(down.select(F.col("a").alias("c"), F.col("c").alias("up")), "c", few)
+        new = written(spread(down, "c", few, F.col("a")).join(up, ["c", "_salt"], "left").select("a", "old", F.least(F.col("c"), F.coalesce("up", "c")).alias("c")), rounds)
         done = not new.where("old != c").limit(1).count()
         label = new.select("a", "c")
+        for path in rounds[:-1] + own * done:
+            remove(spark, path)
+        rounds = rounds[-1:]
         if done:
+            if paths is not None:
+                paths += rounds
             return label.select(F.col("a").alias("node"), F.col("c").alias("component"))
 
 
@@ -378,13 +390,13 @@ def _stars(buckets: DataFrame) -> DataFrame:
     return pairs.groupBy("b", "n").agg(F.max(F.struct("k", "a", "m", "z")).alias("h")).select("h.a", "h.m", "h.z", "b", "n")
 
 
-def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _compared(pairs: DataFrame, texts: DataFrame, paths: list[str]) -> DataFrame:
     """``pairs`` (a, m, z, b, n) with their overlap ``o`` and whether they link."""
-    o = pairs.join(overlaps_of(pairs, texts).withColumnRenamed("k", "o"), ["a", "b"], "left").fillna(0, ["o"])
-    return cut(o.withColumn("linked", F.col("o") >= _need(F.col("n"), F.col("m"))))
+    o = pairs.join(overlaps_of(pairs, texts, paths).withColumnRenamed("k", "o"), ["a", "b"], "left").fillna(0, ["o"])
+    return written(o.withColumn("linked", F.col("o") >= _need(F.col("n"), F.col("m"))), paths)
 
 
-def _open(buckets: DataFrame, done: DataFrame) -> DataFrame:
+def _open(buckets: DataFrame, done: DataFrame, paths: list[str]) -> DataFrame:
     """The buckets whose nodes are in several components, with each node's component ``c`` as far as ``done`` tells, its overlap ``o``
     with its hub, and ``out``, what it may share outside of the hub with a text whose prefix ends behind its lone n-grams; the hub of one that was compared with none is itself if it is one. A hub's rank is above those it was chosen for,
     so the links to hubs are a forest, and two steps towards its roots do for now."""
@@ -392,7 +404,7 @@ def _open(buckets: DataFrame, done: DataFrame) -> DataFrame:
     for _ in range(2):
         hot = hot_keys(up, "c", SALT_ROWS)
         over = copied(up.select(F.col("node").alias("c"), F.col("c").alias("top")), "c", hot)
-        up = cut(spread(up, "c", hot, F.col("node")).join(over, ["c", "_salt"], "left").select("node", F.coalesce("top", "c").alias("c")))
+        up = written(spread(up, "c", hot, F.col("node")).join(over, ["c", "_salt"], "left").select("node", F.coalesce("top", "c").alias("c")), paths)
     hubs = done.select(F.col("a").alias("node"), F.col("a").alias("hub"), F.col("m").alias("o"), "z", F.lit(0).alias("rank")).distinct()
     hubs = hubs.unionByName(done.select(F.col("b").alias("node"), F.col("a").alias("hub"), "o", "z", F.lit(1).alias("rank")))
     hubs = hubs.groupBy("node").agg(F.max(F.struct("rank", "hub", "o", "z")).alias("x")).select("node", "x.hub", "x.o", "x.z")
@@ -400,7 +412,7 @@ def _open(buckets: DataFrame, done: DataFrame) -> DataFrame:
     # What a node shares with a hub whose prefix ends behind its lone n-grams is among its ``e``.
     rows = rows.withColumn("out", F.when(F.col("z") > F.col("lone"), F.col("e")).otherwise(F.col("n")) - F.col("o")).drop("z")
     several = rows.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("now"), F.max("holders").alias("holders")).where("lo != hi").drop("lo", "hi")
-    return cut(_to_hubs(rows, several).drop("_salt", "holders").withColumnRenamed("now", "holders"))
+    return written(_to_hubs(rows, several).drop("_salt", "holders").withColumnRenamed("now", "holders"), paths)
 
 
 def _busy(buckets: DataFrame) -> DataFrame:
@@ -433,20 +445,20 @@ def _rest(buckets: DataFrame) -> DataFrame:
     return pairs.where("k >= some").select("a", "m", "z", "b", "n")
 
 
-def _links(buckets: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) that connect all that is connected."""
-    done = _compared(cut(_stars(buckets)), texts)
-    buckets = _open(buckets, done)
+def _links(buckets: DataFrame, texts: DataFrame, paths: list[str]) -> DataFrame:
+    """Links (a, b) that connect all that is connected. What they are read from is added to ``paths``."""
+    done = _compared(written(_stars(buckets), paths), texts, paths)
+    buckets = _open(buckets, done, paths)
     sizes = buckets.select(F.col("node").alias("a"), F.col("n").alias("m"), F.col("end").alias("z")).distinct()
     known = done.select("a", "m", "z").unionByName(sizes).distinct()
-    busy = cut(_busy(buckets).join(known, "a"))
+    busy = written(_busy(buckets).join(known, "a"), paths)
     if busy.limit(1).count():
-        done = cut(done.unionByName(_compared(busy, texts).select(*done.columns)))
-        buckets = _open(buckets, done)
+        done = written(done.unionByName(_compared(busy, texts, paths).select(*done.columns)), paths)
+        buckets = _open(buckets, done, paths)
     links = done.where("linked").select("a", "b")
-    rest = cut(_rest(buckets))
+    rest = written(_rest(buckets), paths)
     if rest.limit(1).count():
-        links = links.unionByName(_compared(rest, texts).where("linked").select("a", "b"))
+        links = links.unionByName(_compared(rest, texts, paths).where("linked").select("a", "b"))
     return links
 
 
@@ -462,15 +474,23 @@ def _grouped(texts: DataFrame) -> DataFrame:
     fragments = max(2 * parts(spark), int(total // FRAGMENT) + 1)
     dealt = rows.where("prefix is not null").select("node", "n", "prefix").mapInArrow(_deal(fragments, order), "fragment int, tokens binary, nodes binary, sizes binary, ends binary, counts binary, places binary")
     met = dealt.groupBy("fragment").applyInArrow(_meet(order), "bucket long, node long, n long, end long, w long, place long")
-    met = cut(met.groupBy("bucket", "node").agg(F.max("n").alias("n"), F.max("end").alias("end"), F.sum("w").alias("w"), F.min("place").alias("place")))
-    buckets = cut(_with_shared(met))
+    paths: list[str] = []
+    met = written(met.groupBy("bucket", "node").agg(F.max("n").alias("n"), F.max("end").alias("end"), F.sum("w").alias("w"), F.min("place").alias("place")), paths)
+    buckets = written(_with_shared(met), paths)
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("holders")).where("holders > 1")
-    buckets = cut(buckets.join(sizes, "bucket"))
-    part = components(cut(_links(buckets, texts.select("text"))))
+    buckets = written(buckets.join(sizes, "bucket"), paths)
+    links = _links(buckets, texts.select("text"), paths)
+    pairs: list[str] = []
+    links = written(links, pairs)
+    for path in paths:
+        remove(spark, path)
+    part = components(links, pairs)
 
     rows = rows.select("id", "also", "node", "n")
-    nodes = cut(rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("_rows")))
-    linked = cut(part.join(nodes, "node").select("node", "component", "least"))
+    nodes = written(rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("_rows")))
+    linked = written(part.join(nodes, "node").select("node", "component", "least"))
+    for path in pairs:
+        remove(spark, path)
     big = hot_keys(linked, "component", SALT_ROWS)
     least = copied(linked.groupBy("component").agg(F.min("least").alias("of")), "component", big)
     linked = spread(linked, "component", big, F.col("node")).join(least, ["component", "_salt"]).select("node", "component", "of")
