@@ -41,7 +41,7 @@ def momentum_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RSI, MACD, rate of change and stochastic of one cut: the halo is the deepest of the four."""
 
     def all_of(df: DataFrame, *, keys: list[str], time: str) -> DataFrame:
-        for f in (indicators.op.rsi, indicators.op.macd, indicators.op.roc, indicators.op.stochastic):
+        for f in (indicators.op.rsi, indicators.op.roc, indicators.op.stochastic, indicators.op.macd):
             df = f(df, keys=keys, time=time)
         return df
 
