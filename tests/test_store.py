@@ -113,3 +113,15 @@ def test_refusals_and_empty_tables(spark, store):
     assert rows(store.read("empty")) == rows(df)
     store.drop("empty")
     assert store.tables() == ["t"]
+
+
+def test_rows_that_differ_when_computed_again(spark, store, monkeypatch):
+    """As averages of doubles do in another order of a shuffle: each upsert takes its rows once, and the query gives both upserts the same ones."""
+    import random
+
+    from tidemark.plans import stored as plans
+
+    noise = F.udf(lambda: random.SystemRandom().random(), "double").asNondeterministic()
+    new = spark.range(20).select(F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("date"), F.lit("a").alias("series_id"), noise().alias("value"))
+    monkeypatch.setattr(plans, "_base_new", lambda spark, sf_dir: (new, new))
+    assert plans.store_upsert(spark, "").count() == 20

@@ -98,6 +98,7 @@ class Store:
         if mode not in ("full", "subset", "ignore"):
             raise ValueError(f"unknown mode {mode}")
         new = new.withColumn(stamp, F.current_timestamp()) if stamp else new
+        new = stored(new)  # once: a sum of doubles may come out otherwise when it is computed again
         known = before["tables"].get(name)
         if known is None:
             known = self._new(new, keys)
