@@ -123,3 +123,10 @@ def test_one_series_of_a_million_rows(spark, monkeypatch):
         assert np.nanmax(np.abs(out[f"ema_{span}"].astype(float).to_numpy() - np.divide(top, low, out=np.full(n, np.nan), where=low > 0))) < 1e-9
     filled = long_series.ffill_causal(df, keys=[], time="t", cols=["close"], rows=rows).toPandas().sort_values("t")["close"].astype(float).to_numpy()
     assert np.array_equal(filled, pd.Series(x.to_numpy()).ffill().to_numpy(), equal_nan=True)
+
+
+def test_tasks_grow_with_rows_and_not_with_chunks(spark):
+    """Short chunks of a long series: the number of ranges, which the driver hears of, is bounded by what a task may sort; small tables still have a range for each chunk."""
+    assert chunks.parts_of(216_000_000, 4_000) == 432 and chunks.parts_of(36_000_000, 4_000) == 72 and chunks.parts_of(600, 60) == 10 and chunks.parts_of(0, 60) == 1
+    parts, n = chunks.ranged(spark.range(20_000), keys=[], time="id", rows=20)
+    assert n <= 2 * chunks.FEW_RANGES and parts.select("_range").distinct().count() <= n

@@ -71,7 +71,7 @@ def values_at(df: DataFrame, wanted: DataFrame, *, by: list[str], value: str, fe
 
 def running_counts(counts: DataFrame, *, by: list[str], value: str, count: str, rows: int = CHUNK_ROWS) -> DataFrame:
     """``counts``, one row for each distinct value of a group, with ``_end``: how many rows have the value or a smaller one. Work and memory of a task are those of a range of distinct values."""
-    parts = ranged(counts, keys=by, time=value, rows=rows)
+    parts, _ = ranged(counts, keys=by, time=value, rows=rows)
     before = passed_on(parts, own={"_n": F.sum(count)}, carry={"_before": lambda w: F.coalesce(F.sum("_n").over(w), F.lit(0))})
     w = Window.partitionBy("_series", "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     local = parts.withColumn("_own", F.sum(count).over(w)).join(before, ["_series", "_range"])
