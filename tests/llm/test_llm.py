@@ -9,6 +9,8 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -589,6 +591,33 @@ def test_join_of_one_large_group(spark, monkeypatch):
     assert sorted((tuple(x) for x in got), key=repr) == _components(rows)
 
 
+def test_a_node_costs_little_in_each_fragment(spark):
+    """More fragments name a node more often: ten bytes each time beside its n-grams (24 before). Counts of more than two bytes are dealt in several."""
+    r = np.random.default_rng(3)
+    texts = [" ".join(r.choice(10**9, 500).astype(str).tolist()) for _ in range(80)]
+    b = pa.RecordBatch.from_pydict({"text": texts, "id": [*range(80)], "also": [0] * 80})
+    none = type("order", (), {"value": (np.zeros(0, np.uint64), np.zeros(0, np.int32))})
+    size = {}
+    for k in (12, 60):
+        made = pa.Table.from_batches(ngram_join._deal(k, none)(iter([b])))
+        own = made.filter(pa.compute.is_null(made["tokens"]))
+        assert own["id"].to_pylist() == [*range(80)] and own["n"].to_pylist() == [496] * 80 and own["end"].null_count == 0
+        size[k] = sum(len(x) for c in ("tokens", "nodes", "counts", "places") for x in made[c].to_pylist() if x)
+    assert size[12] <= 80 * (125 * 10 + 12 * 10) and size[60] <= 80 * (125 * 10 + 60 * 10)
+    one, count = ngram_join._short(np.array([4, 7, 9]), np.array([3, 200_000, 65_535]))
+    assert one.tolist() == [4, 7, 7, 7, 7, 9] and count.tolist() == [3, 65_535, 65_535, 65_535, 3_395, 65_535]
+
+
+def test_join_stores_no_prefixes(spark, monkeypatch):
+    """Nothing of the size of the n-grams is written beside what a shuffle holds."""
+    stored, write = [], ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda df, p=None: (stored.append(dict(df.dtypes)), write(df, p))[1])
+    rows = threshold_rows(1, 6)
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((tuple(x) for x in got), key=repr) == _components(rows) and len(stored) > 5
+    assert not [x for x in stored if "binary" in x.values()]
+
+
 # 8 fingerprints
 
 

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,32 +64,36 @@ def _node(words: list[bytes]) -> int:
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """N-grams that many texts of a partition hold twice or more; any that more texts hold than there are partitions is among them."""
-    hasher, held, n = WordHasher(), [], 0
+    """N-grams that many texts of a partition hold twice or more; any that more texts hold than there are partitions is among them. Rows without an n-gram
+    tell how many there are in all, and texts."""
+    hasher, held, n, texts = WordHasher(), [], 0, 0
 
     def out() -> pa.RecordBatch:
         x = np.sort(np.concatenate(held)) if held else np.zeros(0, np.uint64)
         at = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, int)
         count = np.diff(np.append(at, len(x)))
         keep = count > 1
-        return pa.RecordBatch.from_arrays([pa.array(x[at][keep].view(np.int64)), pa.array(count[keep])], ["token", "n"])
+        token, many = pa.array(np.append(x[at][keep].view(np.int64), [0, 0]), mask=np.append(~keep[keep], [True, True])), np.append(count[keep], [len(x), texts])
+        return pa.RecordBatch.from_arrays([token, pa.array(many, pa.int64()), pa.array(np.append(np.zeros(len(token) - 1, bool), True))], ["token", "n", "texts"])
 
     for b in batches:
+        texts += b.num_rows
         for s in distinct_sets(_words(b), hasher):
             held.append(s)
             n += len(s)
             if n > HELD:
                 yield out()
-                held, n = [], 0
+                held, n, texts = [], 0, 0
     yield out()
 
 
-def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent n-grams of the corpus, at most :data:`MOST_FREQUENT`, sorted, with their counts."""
-    n = texts.mapInArrow(_repeated, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_FROM)
+def frequent(texts: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], int, int]:
+    """The most frequent n-grams of the corpus, at most :data:`MOST_FREQUENT`, sorted, with their counts; how many n-grams texts hold in all; and how many texts there are."""
+    n = texts.mapInArrow(_repeated, "token long, n long, texts boolean").groupBy("token", "texts").agg(F.sum("n").alias("n")).where(F.col("token").isNull() | (F.col("n") >= FREQUENT_FROM))
     paths: list[str] = []
     n = written(n.withColumn("grade", (F.log2("n") * 4).cast("int")), paths)
-    least, room = 0, MOST_FREQUENT
+    sums = {r["texts"]: r["n"] for r in n.where("token is null").collect()}
+    n, least, room = n.where("token is not null"), 0, MOST_FREQUENT
     for r in n.groupBy("grade").count().orderBy(F.desc("grade")).collect():  # some 150 rows
         room -= r["count"]
         if room < 0:
@@ -98,33 +103,7 @@ def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     remove(texts.sparkSession, paths[0])
     token, count = rows.column("token").to_numpy().view(np.uint64), np.minimum(rows.column("n").to_numpy(), 2**31 - 1).astype(np.int32)
     order = np.argsort(token)
-    return token[order], count[order]
-
-
-def _prefixes(order):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, (tokens, counts), seen = WordHasher(), order.value, set()
-        for b in batches:
-            words = _words(b)
-            node, size, prefix = [], [], []
-            for w, s in zip(words, distinct_sets(words, hasher), strict=True):
-                n = len(s)
-                x = _node(w) if n else None
-                node.append(x)
-                size.append(n)
-                if not n or x in seen:
-                    prefix.append(None)
-                    continue
-                seen.add(x)
-                if len(tokens):
-                    at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
-                    rank = np.where(tokens[at] == s, counts[at], 0)
-                    if rank.any():
-                        s = s[np.argsort(rank, kind="stable")]
-                prefix.append(s[: n - -(-n * PERCENT // 100) + 1].astype("<u8").tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(prefix, pa.binary())], ["id", "also", "node", "n", "prefix"])
-
-    return run
+    return (token[order], count[order]), sums.get(False, 0), sums.get(True, 0)
 
 
 def _pieces(order, t: np.ndarray) -> np.ndarray:
@@ -148,103 +127,153 @@ def _in_order(order, t: np.ndarray) -> np.ndarray:
     return (rank << 32) + (t >> np.uint64(32)).astype(np.int64)
 
 
+def _short(one: np.ndarray, count: np.ndarray, most: int = 65_535) -> tuple[np.ndarray, np.ndarray]:
+    """``count`` in two bytes each: one of more than ``most`` becomes several of the same ``one``."""
+    k = -(-count // most)
+    left = np.full(k.sum(), most, np.int64)
+    left[np.cumsum(k) - 1] = count - (k - 1) * most
+    return np.repeat(one, k), left.astype(np.uint16)
+
+
+#: What is dealt: fragments' parts of prefixes, and, with a null in their place, the rows of the table.
+DEALT = "fragment int, tokens binary, nodes binary, counts binary, places binary, id {0}, also long, node long, n long, end long"
+MET = "bucket long, node long, far long, w long, place long, id {0}, also long, n long, end long, own boolean"
+
+
 def _deal(fragments: int, order):
-    """Rows (fragment, its n-grams, nodes, sizes, ends, n-grams of each node, their places in it) from many prefixes at a time. A prefix's end is
-    the place of its last n-gram in the global order."""
+    """Rows (fragment, its n-grams, nodes, n-grams of each node, their places in it) from many prefixes at a time, and a row for each text: its ids, its node, the size of its
+    set and, once a task for each node, its prefix's end, which is the place of its last n-gram in the global order. A node is named in each of the fragments that
+    its prefix falls into, more of them the larger the table is; what else is known of it is joined later. Prefixes are stored nowhere else."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, nodes, sizes, held = [], [], [], 0
-
-        def out() -> pa.RecordBatch:
-            t = np.concatenate(tokens)
-            of = np.repeat(np.arange(len(nodes)), [len(x) for x in tokens])
-            place = np.concatenate([np.minimum(np.arange(len(x)), 65_535) for x in tokens]).astype(np.uint16)
-            node, size = np.array(nodes, np.int64), np.array(sizes, np.int32)
-            end = _in_order(order, np.array([x[-1] for x in tokens], np.uint64))
+        hasher, (tokens, counts), seen = WordHasher(), order.value, set()
+        prefixes, nodes, held, rows = [], [], 0, 0
+
+        def batch(count: int, kind: pa.DataType, **cols) -> pa.RecordBatch:
+            kinds = {"fragment": pa.int32(), **dict.fromkeys(("tokens", "nodes", "counts", "places"), pa.binary()), "id": kind, **dict.fromkeys(("also", "node", "n", "end"), pa.int64())}
+            return pa.RecordBatch.from_arrays([pa.nulls(count, t) if c not in cols else cols[c] if isinstance(cols[c], pa.Array) else pa.array(cols[c], t) for c, t in kinds.items()], [*kinds])
+
+        def out(kind: pa.DataType) -> pa.RecordBatch:
+            t = np.concatenate(prefixes)
+            of = np.repeat(np.arange(len(nodes)), [len(x) for x in prefixes])
+            place = np.concatenate([np.minimum(np.arange(len(x)), 65_535) for x in prefixes]).astype(np.uint16)
+            node = np.array(nodes, np.int64)
             own = mix(node.view(np.uint64))[of] % _pieces(order, t).astype(np.uint64)
             f = ((mix(t) + own) % np.uint64(fragments)).astype(np.int64)
             by = np.argsort(f, kind="stable")
             t, of, f, place = t[by], of[by], f[by], place[by]
-            ends, rows = np.searchsorted(f, np.arange(fragments + 1)), []
+            ends, made = np.searchsorted(f, np.arange(fragments + 1)), []
             for k in range(fragments):
                 a, z = ends[k], ends[k + 1]
                 if a < z:
-                    one, count = np.unique(of[a:z], return_counts=True)
-                    rows.append((k, t[a:z].astype("<u8").tobytes(), node[one].tobytes(), size[one].tobytes(), end[one].tobytes(), count.astype(np.int32).tobytes(), place[a:z].tobytes()))
-            return pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(zip(*rows, strict=True), [pa.int32()] + [pa.binary()] * 6, strict=True)], ["fragment", "tokens", "nodes", "sizes", "ends", "counts", "places"])
+                    one, count = _short(*np.unique(of[a:z], return_counts=True))
+                    made.append((k, t[a:z].astype("<u8").tobytes(), node[one].tobytes(), count.tobytes(), place[a:z].tobytes()))
+            return batch(len(made), kind, **dict(zip(("fragment", "tokens", "nodes", "counts", "places"), zip(*made, strict=True), strict=True)))
 
         for b in batches:
-            for node, n, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                tokens.append(unpacked(p))
-                nodes.append(node)
-                sizes.append(n)
-                held += len(tokens[-1])
+            words = _words(b)
+            node, size, last = [], [], []
+            for w, s in zip(words, distinct_sets(words, hasher), strict=True):
+                n = len(s)
+                x = _node(w) if n else None
+                node.append(x)
+                size.append(n)
+                if not n or x in seen:
+                    last.append(None)
+                    continue
+                seen.add(x)
+                if len(tokens):
+                    at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
+                    rank = np.where(tokens[at] == s, counts[at], 0)
+                    if rank.any():
+                        s = s[np.argsort(rank, kind="stable")]
+                s = s[: n - -(-n * PERCENT // 100) + 1]
+                last.append(int(_in_order(order, s[-1:])[0]))
+                prefixes.append(s)
+                nodes.append(x)
+                held += len(s)
+            dealt = np.arange(rows, rows + b.num_rows) % fragments
+            yield batch(b.num_rows, b.column(1).type, fragment=dealt, id=b.column(1), also=b.column(2), node=node, n=size, end=last)
+            rows += b.num_rows
             if held > HELD:
-                yield out()
-                tokens, nodes, sizes, held = [], [], [], 0
+                yield out(b.column(1).type)
+                prefixes, nodes, held = [], [], 0
         if nodes:
-            yield out()
+            yield out(b.column(1).type)
 
     return run
 
 
-def _meet(order):
-    """Within one fragment: rows (bucket, node, size, end, n-grams, first place) of the nodes that share n-grams. N-grams that the same nodes
-    share are one bucket, named by the hash of its nodes, so that equal buckets of several fragments are one too; an n-gram
-    whose holders were dealt over several groups is named by its own hash, and all its holders are given. Rows without a bucket tell the place of the last
-    frequent n-gram that a node alone has."""
+def _met(order):
+    """:func:`_meet` of the parts of a fragment; the rows of the table that were dealt to it are passed on as ``own``."""
+    names = ["bucket", "node", "far", "w", "place", "id", "also", "n", "end", "own"]
 
     def run(rows: pa.Table) -> pa.Table:
-        import xxhash
-
-        cat = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in rows.column(c).to_pylist()])
-        count = cat("counts", np.int32)
-        t, node, place = unpacked(b"".join(rows.column("tokens").to_pylist())), np.repeat(cat("nodes", np.int64), count), cat("places", np.uint16)
-        of, sizes, ends = np.repeat(np.arange(len(count)), count), cat("sizes", np.int32), cat("ends", np.int64)
-        by = np.argsort(t, kind="stable")
-        t, node, of, place = t[by], node[by], of[by], place[by]
-        same, split = t[1:] == t[:-1], _pieces(order, t) > 1
-        shared = split.copy()
-        shared[1:] |= same
-        shared[:-1] |= same
-        t1, n1 = t[~shared], node[~shared]
-        t, node, of, place, split = t[shared], node[shared], of[shared], place[shared], split[shared]
-        by = np.lexsort((node, t))
-        t, node, of, place, split = t[by], node[by], of[by], place[by], split[by]
-        keep = np.ones(len(t), bool)
-        keep[1:] = (t[1:] != t[:-1]) | (node[1:] != node[:-1])
-        t, node, of, place, split = t[keep], node[keep], of[keep], place[keep], split[keep]
-        first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
-        length = np.diff(np.append(first, len(t)))
-        # Equal texts that several tasks read are rows of one node, which alone has the n-gram.
-        one = first[(length < 2) & ~split[first]]
-        lone, alone = np.concatenate([n1, node[one]]), _in_order(order, np.concatenate([t1, t[one]]))
-        lone, alone = lone[alone >= 1 << 32], alone[alone >= 1 << 32]
-        by = np.lexsort((-alone, lone))
-        lone, alone = lone[by], alone[by]
-        last = np.flatnonzero(np.concatenate([[True], lone[1:] != lone[:-1]])) if len(lone) else np.zeros(0, int)
-        big: dict[bytes, list[int]] = {}
-        for s, k in zip(first.tolist(), length.tolist(), strict=True):
-            if k < 2 and not split[s]:
-                continue
-            h = t[s : s + 1].tobytes() if split[s] else node[s : s + k].tobytes()
-            if h in big:
-                a = big[h][0]
-                np.minimum(place[a : a + k], place[s : s + k], out=place[a : a + k])
-                big[h][2] += 1
-            else:
-                big[h] = [s, k, 1]
-        spans = np.array([*big.values()], np.int64).reshape(-1, 3)
-        name = np.fromiter((xxhash.xxh3_64_intdigest(h) for h in big), np.uint64, len(big)).view(np.int64)
-        pick = np.concatenate([np.arange(s, s + k) for s, k, _ in spans]) if len(spans) else np.zeros(0, int)
-        cols = [np.repeat(name, spans[:, 1]), node[pick], sizes[of[pick]].astype(np.int64), ends[of[pick]], np.repeat(spans[:, 2], spans[:, 1]), place[pick].astype(np.int64)]
-        none = np.zeros(len(last), np.int64)
-        more = [pa.nulls(len(last), pa.int64()), lone[last], none, alone[last], none, none]
-        return pa.table([pa.chunked_array([pa.array(c, pa.int64()), x if isinstance(x, pa.Array) else pa.array(x, pa.int64())]) for c, x in zip(cols, more, strict=True)], names=["bucket", "node", "n", "end", "w", "place"])
+        kinds = [pa.int64()] * 5 + [rows.column("id").type] + [pa.int64()] * 3 + [pa.bool_()]
+        part = pa.compute.is_valid(rows.column("tokens"))
+        own, parts = rows.filter(pa.compute.invert(part)), rows.filter(part)
+        found = [own.append_column("own", pa.array(np.ones(len(own), bool)))]
+        if len(parts):
+            found.append(_meet(order, parts))
+            found[1] = found[1].append_column("own", pa.array(np.zeros(len(found[1]), bool)))
+        cols = lambda t: [t.column(c).cast(k) if c in t.column_names else pa.chunked_array([pa.nulls(len(t), k)]) for c, k in zip(names, kinds, strict=True)]
+        return pa.concat_tables([pa.table(cols(t), names=names) for t in found])
 
     return run
 
 
+def _meet(order, rows: pa.Table) -> pa.Table:
+    """Within one fragment: rows (bucket, node, n-grams, first place) of the nodes that share n-grams. N-grams that the same nodes
+    share are one bucket, named by the hash of its nodes, so that equal buckets of several fragments are one too; an n-gram
+    whose holders were dealt over several groups is named by its own hash, and all its holders are given. Rows without a bucket tell ``far``, the place of the last
+    frequent n-gram that a node alone has."""
+    import xxhash
+
+    cat = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in rows.column(c).to_pylist()])
+    t, node, place = unpacked(b"".join(rows.column("tokens").to_pylist())), np.repeat(cat("nodes", np.int64), cat("counts", np.uint16)), cat("places", np.uint16)
+    by = np.argsort(t, kind="stable")
+    t, node, place = t[by], node[by], place[by]
+    same, split = t[1:] == t[:-1], _pieces(order, t) > 1
+    shared = split.copy()
+    shared[1:] |= same
+    shared[:-1] |= same
+    t1, n1 = t[~shared], node[~shared]
+    t, node, place, split = t[shared], node[shared], place[shared], split[shared]
+    by = np.lexsort((node, t))
+    t, node, place, split = t[by], node[by], place[by], split[by]
+    keep = np.ones(len(t), bool)
+    keep[1:] = (t[1:] != t[:-1]) | (node[1:] != node[:-1])
+    t, node, place, split = t[keep], node[keep], place[keep], split[keep]
+    first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, int)
+    length = np.diff(np.append(first, len(t)))
+    # Equal texts that several tasks read are rows of one node, which alone has the n-gram.
+    one = first[(length < 2) & ~split[first]]
+    lone, alone = np.concatenate([n1, node[one]]), _in_order(order, np.concatenate([t1, t[one]]))
+    lone, alone = lone[alone >= 1 << 32], alone[alone >= 1 << 32]
+    by = np.lexsort((-alone, lone))
+    lone, alone = lone[by], alone[by]
+    last = np.flatnonzero(np.concatenate([[True], lone[1:] != lone[:-1]])) if len(lone) else np.zeros(0, int)
+    big: dict[bytes, list[int]] = {}
+    for s, k in zip(first.tolist(), length.tolist(), strict=True):
+        if k < 2 and not split[s]:
+            continue
+        h = t[s : s + 1].tobytes() if split[s] else node[s : s + k].tobytes()
+        if h in big:
+            a = big[h][0]
+            np.minimum(place[a : a + k], place[s : s + k], out=place[a : a + k])
+            big[h][2] += 1
+        else:
+            big[h] = [s, k, 1]
+    spans = np.array([*big.values()], np.int64).reshape(-1, 3)
+    name = np.fromiter((xxhash.xxh3_64_intdigest(h) for h in big), np.uint64, len(big)).view(np.int64)
+    pick = np.concatenate([np.arange(s, s + k) for s, k, _ in spans]) if len(spans) else np.zeros(0, int)
+    cols = [np.repeat(name, spans[:, 1]), node[pick], pa.nulls(len(pick), pa.int64()), np.repeat(spans[:, 2], spans[:, 1]), place[pick].astype(np.int64)]
+    none = np.zeros(len(last), np.int64)
+    more = [pa.nulls(len(last), pa.int64()), lone[last], alone[last], none, none]
+    long = lambda x: x if isinstance(x, pa.Array) else pa.array(x, pa.int64())
+    return pa.table([pa.chunked_array([long(c), long(x)]) for c, x in zip(cols, more, strict=True)], names=["bucket", "node", "far", "w", "place"])
+
+
 def _bits(nodes: np.ndarray) -> np.ndarray:
     h = mix(nodes.view(np.uint64))
     return np.stack([h % np.uint64(FILTER_BITS), (h >> np.uint64(32)) % np.uint64(FILTER_BITS)]).astype(np.int64)
@@ -363,14 +392,12 @@ def _possible(k, n, m):
     return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & (k + F.greatest(behind(n), behind(m)) >= _need(n, m))
 
 
-def _with_shared(met: DataFrame) -> DataFrame:
-    """The buckets with ``e``, how many of a node's n-grams a text may have whose prefix ends behind ``lone``: those of the prefix that are in no
+def _with_shared(met: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The buckets with the size ``n`` and the ``end`` of their ``nodes``, and with ``e``, how many of a node's n-grams a text may have whose prefix ends behind ``lone``: those of the prefix that are in no
     bucket it can't have. ``lone`` is a bound of the place of the last of these."""
-    buckets = met.where("bucket is not null")
-    own = buckets.groupBy("node").agg((F.ceil(F.max("n") * PERCENT / 100) - 1 + F.sum("w")).alias("e"), F.max("end").alias("stop"))
-    lone = met.where("bucket is null").groupBy("node").agg(F.max("end").alias("far"))
-    own = own.join(lone, "node", "left").select("node", "e", F.least("stop", F.coalesce("far", F.lit((1 << 32) - 1))).alias("lone"))
-    return buckets.join(own, "node")
+    own = met.groupBy("node").agg(F.sum("w").alias("inside"), F.max("far").alias("far")).where("inside > 0").join(nodes, "node")
+    own = own.select("node", "n", "end", (F.ceil(F.col("n") * PERCENT / 100) - 1 + F.col("inside")).alias("e"), F.least("end", F.coalesce("far", F.lit((1 << 32) - 1))).alias("lone"))
+    return met.where("bucket is not null").drop("far").join(own, "node")
 
 
 def _to_hubs(buckets: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -467,16 +494,17 @@ def _grouped(texts: DataFrame) -> DataFrame:
     words), and the component's smallest id."""
     spark = texts.sparkSession
     small_batches(spark)
-    order = spark.sparkContext.broadcast(frequent(texts.select("text")))
-    kind = texts.schema["id"].dataType.simpleString()
-    rows = written(texts.select("text", "id", "also").mapInArrow(_prefixes(order), f"id {kind}, also long, node long, n long, prefix binary"))
-    total = rows.where("prefix is not null").agg(F.sum(F.octet_length("prefix") / 8)).first()[0] or 0
-    fragments = max(2 * parts(spark), int(total // FRAGMENT) + 1)
-    dealt = rows.where("prefix is not null").select("node", "n", "prefix").mapInArrow(_deal(fragments, order), "fragment int, tokens binary, nodes binary, sizes binary, ends binary, counts binary, places binary")
-    met = dealt.groupBy("fragment").applyInArrow(_meet(order), "bucket long, node long, n long, end long, w long, place long")
+    order, total, count = frequent(texts.select("text"))
+    order, kind = spark.sparkContext.broadcast(order), texts.schema["id"].dataType.simpleString()
+    fragments = max(parts(spark), int((total * (100 - PERCENT) // 100 + count) // FRAGMENT) + 1)
     paths: list[str] = []
-    met = written(met.groupBy("bucket", "node").agg(F.max("n").alias("n"), F.max("end").alias("end"), F.sum("w").alias("w"), F.min("place").alias("place")), paths)
-    buckets = written(_with_shared(met), paths)
+    dealt = texts.select("text", "id", "also").mapInArrow(_deal(fragments, order), DEALT.format(kind))
+    both = written(dealt.groupBy("fragment").applyInArrow(_met(order), MET.format(kind)), paths)
+    rows = written(both.where("own").select("id", "also", "node", "n"))
+    known = written(both.where("own and end is not null").groupBy("node").agg(F.max("n").alias("n"), F.max("end").alias("end")), paths)
+    met = written(both.where("not own").groupBy("bucket", "node").agg(F.max("far").alias("far"), F.sum("w").alias("w"), F.min("place").alias("place")), paths)
+    remove(spark, paths.pop(0))
+    buckets = written(_with_shared(met, known), paths)
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("holders")).where("holders > 1")
     buckets = written(buckets.join(sizes, "bucket"), paths)
     links = _links(buckets, texts.select("text"), paths)
@@ -486,7 +514,6 @@ def _grouped(texts: DataFrame) -> DataFrame:
         remove(spark, path)
     part = components(links, pairs)
 
-    rows = rows.select("id", "also", "node", "n")
     nodes = written(rows.where("node is not null").groupBy("node").agg(F.min("id").alias("least"), F.count("*").alias("_rows")))
     linked = written(part.join(nodes, "node").select("node", "component", "least"))
     for path in pairs:
