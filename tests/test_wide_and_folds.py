@@ -55,3 +55,23 @@ def test_folds_of_a_series_are_cut_in_one_group(spark, parts):
             assert row.predicted is None
         want += 1
     assert len(got) == want
+
+
+def test_ridge_scales_are_numpys():
+    """Gaps, ties, columns without values and few rows: medians and quartile ranges from one sort, as numpy's own."""
+    r = np.random.default_rng(5)
+    for n in (1, 2, 3, 4, 9, 50, 51):
+        x = np.round(r.normal(0, 3, (n, 5)), 1)
+        center, scale = forecast._middle(x)
+        assert np.array_equal(center, np.median(x, axis=0)) and np.allclose(scale, np.subtract(*np.percentile(x, [75, 25], axis=0)), rtol=0, atol=1e-12)
+        x[r.random(x.shape) < 0.4], x[:, 4] = np.nan, np.nan
+        med = forecast.ridge_fit(x, r.normal(size=n), 20.0)[0]
+        assert med[4] == 0 and all(m == (np.nanmedian(c) if np.isfinite(c).any() else 0) for m, c in zip(med, x.T, strict=True))
+
+
+def test_many_ridges_make_the_bars_once(spark):
+    """Features and origins of all suppliers read bars that were aggregated once."""
+    from tidemark.plans import forecast as plans
+
+    plan = plans.ridge_forecasts_many(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_suppkey" not in plan

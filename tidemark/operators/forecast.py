@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -255,22 +255,34 @@ def sequence_frame(df: DataFrame, *, keys: list[str], time: str, cols: list[str]
     return df.withColumn("time_idx", (F.row_number().over(w) - 1).cast("long"))
 
 
+def _middle(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The median and the quartile range of each column, as numpy's, from one sort."""
+    x, n = np.sort(x, axis=0), len(x)
+
+    def quantile(q: float) -> np.ndarray:
+        i, t = int(q * (n - 1)), q * (n - 1) % 1
+        a, b = x[i], x[min(i + 1, n - 1)]
+        return a + (b - a) * t if t < 0.5 else b - (b - a) * (1 - t)
+
+    return (x[(n - 1) // 2] + x[n // 2]) / 2, quantile(0.75) - quantile(0.25)
+
+
 def ridge_fit(x: np.ndarray, y: np.ndarray, alpha: float) -> tuple:
     """Robust ridge: medians fill gaps, which are marked; columns and target are scaled by median and quartile range of the training rows."""
     missing = np.isnan(x)
-    with np.errstate(all="ignore"):
-        import warnings
-
-        with warnings.catch_warnings():
-            warnings.simplefilter("ignore")
-            med = np.nan_to_num(np.nanmedian(x, axis=0))
+    n, have = len(x), len(x) - missing.sum(0)
+    low = np.sort(x, axis=0)  # gaps last
+    at = lambda i: np.take_along_axis(low, np.clip(i, 0, n - 1)[None], 0)[0]
+    med = np.nan_to_num(np.where(have, (at((have - 1) // 2) + at(have // 2)) / 2, 0.0))
     z = np.column_stack([np.where(missing, med, x), missing.astype(float)])
-    center, scale = np.median(z, axis=0), np.subtract(*np.percentile(z, [75, 25], axis=0))
+    center, scale = _middle(z)
     scale[scale == 0] = 1
-    ym, ys = np.median(y), float(np.subtract(*np.percentile(y, [75, 25]))) or 1.0
+    ym, ys = (float(v[0]) for v in _middle(y[:, None]))
+    ys = ys or 1.0
     z, t = (z - center) / scale, (y - ym) / ys
     zm, tm = z.mean(0), t.mean()
-    w = np.linalg.solve((z - zm).T @ (z - zm) + alpha * np.eye(z.shape[1]), (z - zm).T @ (t - tm))
+    z -= zm
+    w = np.linalg.solve(z.T @ z + alpha * np.eye(z.shape[1]), z.T @ (t - tm))
     return med, center, scale, ym, ys, w, tm - zm @ w
 
 
@@ -294,22 +306,27 @@ def _each_fold(features: DataFrame, bounds: DataFrame, fit, *, keys: list[str],
     own = ["cutoff_date", "step", "current_price", "actual_price"]
     schema = ", ".join([*(f"`{k}` {features.schema[k].dataType.simpleString()}" for k in keys), "cutoff_date date, step int, current_price double, actual_price double, predicted double, train_rows long", *([more] if more else [])])
 
-    def group(rows: pd.DataFrame, folds: pd.DataFrame) -> pd.DataFrame:
-        rows, out = rows.sort_values("row"), []
-        row, x = rows["row"].to_numpy(), rows[cols].to_numpy(float)
-        for f in folds.itertuples(index=False):
-            y = rows[f"target_{f.step}"].to_numpy(float)
-            inside, at = (row >= f.train_start) & (row <= f.train_end), row == f.cutoff_row
+    def group(rows: pa.Table, folds: pa.Table) -> pa.Table:
+        row = rows["row"].to_numpy()
+        order = np.argsort(row, kind="stable")
+        row, out = row[order], []
+        numbers = lambda c: rows[c].cast(pa.float64()).to_numpy()[order]
+        x = np.column_stack([numbers(c) for c in cols])
+        for f in folds.to_pylist():
+            inside, at = (row >= f["train_start"]) & (row <= f["train_end"]), row == f["cutoff_row"]
             if not inside.any() and not at.any():
                 continue
+            y = numbers(f"target_{f['step']}")
             train = inside & ~np.isnan(y)
             value, *rest = fit(x[train], y[train], x[at][:1]) if train.sum() > 2 and at.any() else (float("nan"), *([None] if more else []))
-            out.append([*(getattr(f, k) for k in keys), *(getattr(f, c) for c in own), float(f.current_price * np.exp(value)), int(train.sum()), *rest])
+            price = float("nan") if f["current_price"] is None else f["current_price"]
+            out.append([*(f[k] for k in keys), *(f[c] for c in own), float(price * np.exp(value)), int(train.sum()), *rest])
         names = [*keys, *own, "predicted", "train_rows", *([more.split()[0]] if more else [])]
-        return pd.DataFrame(out, columns=names)
+        kinds = [*(folds.schema.field(k).type for k in keys), pa.date32(), pa.int32(), *[pa.float64()] * 3, pa.int64(), *([pa.list_(pa.float64())] if more else [])]
+        return pa.table([pa.array([r[i] for r in out], t, from_pandas=True) for i, t in enumerate(kinds)], names=names)
 
     by = [*keys, "_part"]
-    return rows.groupBy(*by).cogroup(fold.groupBy(*by)).applyInPandas(group, schema)
+    return rows.groupBy(*by).cogroup(fold.groupBy(*by)).applyInArrow(group, schema)
 
 
 def ridge_forecasts(features: DataFrame, bounds: DataFrame, *, keys: list[str], cols: list[str], alpha: float = 20.0, parts: int = 1) -> DataFrame:

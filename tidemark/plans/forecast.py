@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.storage import stored_columns
 from ..functions.windows import NUDGE
 from ..operators import forecast as op
 from ..operators import joins, projections
@@ -290,8 +291,9 @@ def ridge_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("ridge_forecasts_many")
 def ridge_forecasts_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for every supplier's series, from its last cutoff."""
-    bounds = op.training_bounds(op.rolling_origins(views.bars_many(spark, sf_dir), **BY, windows=1))
-    return op.ridge_forecasts(ridge_features(spark, sf_dir, views.bars_many), bounds, keys=["series"], cols=RIDGE_COLS)
+    bars = stored_columns(views.bars_many(spark, sf_dir))  # features and origins read the same bars
+    bounds = op.training_bounds(op.rolling_origins(bars, **BY, windows=1))
+    return op.ridge_forecasts(ridge_features(spark, sf_dir, lambda *_: bars), bounds, keys=["series"], cols=RIDGE_COLS)
 
 
 @query("production_forecast")
