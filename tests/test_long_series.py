@@ -130,3 +130,24 @@ def test_tasks_grow_with_rows_and_not_with_chunks(spark):
     assert chunks.parts_of(216_000_000, 4_000) == 432 and chunks.parts_of(36_000_000, 4_000) == 72 and chunks.parts_of(600, 60) == 10 and chunks.parts_of(0, 60) == 1
     parts, n = chunks.ranged(spark.range(20_000), keys=[], time="id", rows=20)
     assert n <= 2 * chunks.FEW_RANGES and parts.select("_range").distinct().count() <= n
+
+
+@pytest.mark.parametrize("what", ["asof", "interval", "fill", "windows"])
+def test_queries_run_few_tasks_however_short_chunks_are(spark, what):
+    """Each task sends the driver some 9 KB of its figures: 1,000 chunks aren't 1,000 tasks of each stage."""
+    df, by = spark.range(20_000).select("id", (F.col("id") % 97).cast("double").alias("close")), {"keys": [], "time": "id", "rows": 20}
+    right, sides = df.where("id % 50 = 0").select(F.col("id").alias("s"), F.col("close").alias("x")), {"keys": [], "cols": ["x"], "rows": 20}
+    group = f"few-tasks-{what}"
+    spark.sparkContext.setJobGroup(group, group)
+    if what == "asof":
+        out = long_series.asof(df, right, left_time="id", right_time="s", **sides)
+    elif what == "interval":
+        out = long_series.interval_join(df, right, time="id", start="s", **sides)
+    else:
+        out = long_series.ffill_causal(df, **by, cols=["close"]) if what == "fill" else long_series.windows(df, "zscore", **by, reach=19, spans=(4, 20))
+    assert out.count() == 20_000
+    heard = spark.sparkContext.statusTracker()
+    stages = {s for j in heard.getJobIdsForGroup(group) for s in heard.getJobInfo(j).stageIds}
+    tasks = sum(heard.getStageInfo(s).numTasks for s in stages if heard.getStageInfo(s))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < tasks < 10 * chunks.FEW_RANGES
