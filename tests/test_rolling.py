@@ -55,3 +55,19 @@ def test_no_frame_is_gone_over_for_each_row(spark, op):
     df = spark.range(1).select(F.lit("a").alias("k"), F.col("id").alias("t"), *(F.lit(1.0).alias(c) for c in ("open", "high", "low", "close", "volume")))
     plan = op(df, keys=["k"], time="t")._jdf.queryExecution().toString()
     assert "RowFrame, -19" not in plan and "RowFrame, -20" not in plan and "RowFrame, -62" not in plan and "RowFrame, -251" not in plan
+
+
+def test_zscore_equals_spark_frames_without_them(spark, frame):
+    """Gaps, constants, NaN and infinity; frames of 20 and 60 rows gone over for each row took most of ``zscore_long`` on 216 million lines."""
+    got = indicators.zscore(frame, keys=["k"], time="t", col="x")
+    plan = got._jdf.queryExecution().toString()
+    assert "RowFrame, -19" not in plan and "RowFrame, -59" not in plan and got.columns == [*frame.columns, "zscore_20", "zscore_60"]
+    over = lambda n: Window.partitionBy("k").orderBy("t").rowsBetween(-(n - 1), 0)
+    sd = lambda n: F.stddev_samp("x").over(over(n))
+    want = {(r.k, r.t): r for r in frame.withColumns({f"zscore_{n}": F.when(sd(n) > 0, (F.col("x") - F.avg("x").over(over(n))) / sd(n)) for n in (20, 60)}).collect()}
+    rows = got.collect()
+    assert len(rows) == len(want)
+    for r in rows:
+        for o in ("zscore_20", "zscore_60"):
+            a, b = r[o], want[r.k, r.t][o]
+            assert (a is None) == (b is None) and (a is None or a == pytest.approx(b, rel=1e-9, abs=1e-9, nan_ok=True)), (r.k, r.t, o, a, b)

@@ -66,7 +66,7 @@ def adx_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("zscore_long", _ticks(f"SELECT series, date, {r(zscore_20=indicators._z(20), zscore_60=indicators._z(60))} FROM bars_gaps"))
 def zscore_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(op.windows(views.ticks_gaps(spark, sf_dir), "zscore", **TICK), AT, ["zscore_20", "zscore_60"])
+    return shown(op.windows(views.ticks_gaps(spark, sf_dir).select(*AT, "close"), "zscore", **TICK), AT, ["zscore_20", "zscore_60"])
 
 
 @query("sliding_long", _ticks(f"SELECT series, date, {r(3, **_SLIDE)} FROM bars"))
