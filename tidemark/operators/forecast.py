@@ -9,12 +9,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.rolling import Step, rolled
 from ..functions.windows import ordered
 from . import quantiles
 
 HORIZONS = [1, 3, 5, 7, 10]
 
 
+def _is_cutoff(row: Column, n: Column, windows: int, horizon: int) -> Column:
+    back = n - 1 - row
+    return (back % horizon == 0) & (back > 0) & (back <= windows * horizon)
+
+
+def _trained(cutoff: Column, step: Column, train: int) -> tuple[Column, Column]:
+    """The first and last row that a fit for a step may see."""
+    end = cutoff - step
+    return F.greatest(F.lit(0), end - (train - 1)).alias("train_start"), end.alias("train_end")
+
+
 def rolling_origins(df: DataFrame, *, keys: list[str], time: str, windows: int = 6, horizon: int = 10) -> DataFrame:
     """Each series' last ``windows`` cutoffs, ``horizon`` rows apart, with every step ahead, its date, current close and actual open.
     Series that are too short have fewer."""
@@ -22,8 +34,7 @@ def rolling_origins(df: DataFrame, *, keys: list[str], time: str, windows: int =
     n = F.count("*").over(Window.partitionBy(*keys))
     ahead = F.array(*(F.struct(F.lit(h).alias("step"), F.lead(time, h).over(o).alias("forecast_date"), F.lead("open", h).over(o).alias("actual_price")) for h in range(1, horizon + 1)))
     df = df.withColumns({"row": F.row_number().over(o) - 1, "_n": n, "_a": ahead})
-    back = F.col("_n") - 1 - F.col("row")
-    df = df.where((back % horizon == 0) & (back > 0) & (back <= windows * horizon)).withColumn("window", windows - (F.col("_n") - 1 - F.col("row")) / horizon)
+    df = df.where(_is_cutoff(F.col("row"), F.col("_n"), windows, horizon)).withColumn("window", windows - (F.col("_n") - 1 - F.col("row")) / horizon)
     return df.select(*keys, F.col("window").cast("int").alias("window"), F.col("row").cast("long").alias("cutoff_row"), F.col(time).alias("cutoff_date"), F.col("close").alias("current_price"), F.explode("_a").alias("a")).select("*", "a.*").drop("a")
 
 
@@ -55,8 +66,21 @@ def federal_holidays(years: DataFrame, *, year: str = "year") -> DataFrame:
 
 def training_bounds(origins: DataFrame, *, train: int = 1260) -> DataFrame:
     """Rows that a fit for a step may see: none whose label lies after the cutoff."""
-    end = F.col("cutoff_row") - F.col("step")
-    return origins.withColumns({"train_end": end, "train_start": F.greatest(F.lit(0), end - (train - 1)), "train_rows": end - F.greatest(F.lit(0), end - (train - 1)) + 1})
+    start, end = _trained(F.col("cutoff_row"), F.col("step"), train)
+    return origins.withColumns({"train_end": end, "train_start": start, "train_rows": end - start + 1})
+
+
+def with_folds(features: DataFrame, *, keys: list[str], time: str, horizons: list[int], windows: int = 6, horizon: int = 10, train: int = 1260, before: int = 0) -> DataFrame:
+    """Each series' rows from the first that a fold sees, or ``before`` rows before it, to the last cutoff, with ``folds`` at the cutoffs of :func:`rolling_origins`: steps, actual prices and :func:`training_bounds`; null at other rows. Series that are
+    too short have no rows. ``features`` has ``row`` and ``open``. Folds that travel on their series' own rows need no join, so rows dealt by series stay where they are."""
+    o, every = ordered(keys, time), Window.partitionBy(*keys)
+    ahead = F.array(*(F.struct(F.lit(h).alias("step"), F.lead("open", h).over(o).alias("actual_price"), *_trained(F.col("row"), F.lit(h), train)) for h in horizons))
+    df = features.withColumns({"_n": F.count("*").over(every), "_a": ahead})
+    df = df.withColumn("folds", F.when(_is_cutoff(F.col("row"), F.col("_n"), windows, horizon), F.col("_a"))).drop("_n", "_a")
+    cut = lambda x: F.when(F.col("folds").isNotNull(), x)
+    first = F.least("row", F.array_min(F.transform("folds", lambda f: f["train_start"])))
+    df = df.withColumns({"_from": F.min(cut(first)).over(every) - before, "_to": F.max(cut(F.col("row"))).over(every)})
+    return df.where(F.col("row").between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
 
 
 def production_bounds(df: DataFrame, *, keys: list[str], time: str, horizons: list[int], train: int = 1260) -> DataFrame:
@@ -293,40 +317,53 @@ def ridge_predict(model: tuple, x: np.ndarray) -> np.ndarray:
     return (z @ w + b) * ys + ym
 
 
+def _steps(features: DataFrame) -> list[int]:
+    return sorted(int(c.removeprefix("target_")) for c in features.columns if c.startswith("target_"))
+
+
+def _forecast_schema(features: DataFrame, keys: list[str], more: str) -> str:
+    own = "cutoff_date date, step int, current_price double, actual_price double, predicted double, train_rows long"
+    return ", ".join([*(f"`{k}` {features.schema[k].dataType.simpleString()}" for k in keys), own, *([more] if more else [])])
+
+
+def _cut_folds(rows: pa.Table, folds: list[dict], fit, *, keys: list[str], cols: list[str], more: str) -> pa.Table:
+    """The forecasts of a series' ``folds``, cut from its ``rows``."""
+    row = rows["row"].to_numpy()
+    order = np.argsort(row, kind="stable")
+    row, out = row[order], []
+    numbers = lambda c: rows[c].cast(pa.float64()).to_numpy()[order]
+    x = np.column_stack([numbers(c) for c in cols])
+    own = ["cutoff_date", "step", "current_price", "actual_price"]
+    for f in folds:
+        inside, at = (row >= f["train_start"]) & (row <= f["train_end"]), row == f["cutoff_row"]
+        if not inside.any() and not at.any():
+            continue
+        y = numbers(f"target_{f['step']}")
+        train = inside & ~np.isnan(y)
+        value, *rest = fit(x[train], y[train], x[at][:1]) if train.sum() > 2 and at.any() else (float("nan"), *([None] if more else []))
+        price = float("nan") if f["current_price"] is None else f["current_price"]
+        out.append([*(f[k] for k in keys), *(f[c] for c in own), float(price * np.exp(value)), int(train.sum()), *rest])
+    names = [*keys, *own, "predicted", "train_rows", *([more.split()[0]] if more else [])]
+    kinds = [*(rows.schema.field(k).type for k in keys), pa.date32(), pa.int32(), *[pa.float64()] * 3, pa.int64(), *([pa.list_(pa.float64())] if more else [])]
+    return pa.table([pa.array([r[i] for r in out], t, from_pandas=True) for i, t in enumerate(kinds)], names=names)
+
+
 def _each_fold(features: DataFrame, bounds: DataFrame, fit, *, keys: list[str], cols: list[str], more: str, parts: int) -> DataFrame:
     """A row for each fold: its keys and prices, what ``fit(train x, train y, x at the cutoff)`` forecasts as log return and adds in columns ``more``, and the number of training rows.
 
     A series is one group that holds its rows once, from the first training row to the last cutoff, and cuts all folds from them; with ``parts`` above one, its folds are dealt over as many groups, each with a copy."""
-    steps = sorted(int(c.removeprefix("target_")) for c in features.columns if c.startswith("target_"))
+    steps = _steps(features)
     fold = bounds.where(F.col("step").isin(steps)).select(*keys, "cutoff_row", "cutoff_date", "step", "current_price", "actual_price", "train_start", "train_end")
     reach = fold.groupBy(*keys).agg(F.least(F.min("train_start"), F.min("cutoff_row")).alias("_from"), F.greatest(F.max("train_end"), F.max("cutoff_row")).alias("_to"))
     rows = features.select(*keys, "row", *dict.fromkeys([*cols, *(f"target_{h}" for h in steps)])).join(reach, keys).where(F.col("row").between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
     rows = rows.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     fold = fold.withColumn("_part", F.pmod(F.xxhash64("cutoff_row", "step"), F.lit(parts)).cast("int"))
-    own = ["cutoff_date", "step", "current_price", "actual_price"]
-    schema = ", ".join([*(f"`{k}` {features.schema[k].dataType.simpleString()}" for k in keys), "cutoff_date date, step int, current_price double, actual_price double, predicted double, train_rows long", *([more] if more else [])])
+    by = [*keys, "_part"]
 
     def group(rows: pa.Table, folds: pa.Table) -> pa.Table:
-        row = rows["row"].to_numpy()
-        order = np.argsort(row, kind="stable")
-        row, out = row[order], []
-        numbers = lambda c: rows[c].cast(pa.float64()).to_numpy()[order]
-        x = np.column_stack([numbers(c) for c in cols])
-        for f in folds.to_pylist():
-            inside, at = (row >= f["train_start"]) & (row <= f["train_end"]), row == f["cutoff_row"]
-            if not inside.any() and not at.any():
-                continue
-            y = numbers(f"target_{f['step']}")
-            train = inside & ~np.isnan(y)
-            value, *rest = fit(x[train], y[train], x[at][:1]) if train.sum() > 2 and at.any() else (float("nan"), *([None] if more else []))
-            price = float("nan") if f["current_price"] is None else f["current_price"]
-            out.append([*(f[k] for k in keys), *(f[c] for c in own), float(price * np.exp(value)), int(train.sum()), *rest])
-        names = [*keys, *own, "predicted", "train_rows", *([more.split()[0]] if more else [])]
-        kinds = [*(folds.schema.field(k).type for k in keys), pa.date32(), pa.int32(), *[pa.float64()] * 3, pa.int64(), *([pa.list_(pa.float64())] if more else [])]
-        return pa.table([pa.array([r[i] for r in out], t, from_pandas=True) for i, t in enumerate(kinds)], names=names)
+        return _cut_folds(rows, folds.to_pylist(), fit, keys=keys, cols=cols, more=more)
 
-    by = [*keys, "_part"]
-    return rows.groupBy(*by).cogroup(fold.groupBy(*by)).applyInArrow(group, schema)
+    return rows.groupBy(*by).cogroup(fold.groupBy(*by)).applyInArrow(group, _forecast_schema(features, keys, more))
 
 
 def ridge_forecasts(features: DataFrame, bounds: DataFrame, *, keys: list[str], cols: list[str], alpha: float = 20.0, parts: int = 1) -> DataFrame:
@@ -334,6 +371,23 @@ def ridge_forecasts(features: DataFrame, bounds: DataFrame, *, keys: list[str],
     return _each_fold(features, bounds, lambda x, y, at: (float(ridge_predict(ridge_fit(x, y, alpha), at)[0]),), keys=keys, cols=cols, more="", parts=parts)
 
 
+def ridge_forecasts_within(rows: DataFrame, *, keys: list[str], time: str, cols: list[str], steps: list[Step], alpha: float = 20.0) -> DataFrame:
+    """The forecasts of :func:`ridge_forecasts` for folds that travel on the rows (:func:`with_folds`). A series is one group, in which ``steps`` over full windows are made of its rows and of those before the first that
+    a fold sees; ``cols`` may name them. Rows dealt by series aren't shuffled."""
+    own = [*keys, "row", time, "close", "folds"]
+    stats = {o: c for s in steps if isinstance(s, dict) for o, (_, c, _) in s.items()}
+    made = {*stats, *(s[0] for s in steps if not isinstance(s, dict))}
+    rows = rows.select(*dict.fromkeys([*own, *(c for c in [*cols, *stats.values()] if c not in made), *(f"target_{h}" for h in _steps(rows))]))
+
+    def group(rows: pa.Table) -> pa.Table:
+        rows = rolled(rows.sort_by("row"), steps, row="row", whole=True)
+        cutoffs = rows.select(own).filter(rows["folds"].is_valid()).to_pylist()
+        folds = [{**{k: c[k] for k in keys}, "cutoff_row": c["row"], "cutoff_date": c[time], "current_price": c["close"], **f} for c in cutoffs for f in c["folds"]]
+        return _cut_folds(rows, folds, lambda x, y, at: (float(ridge_predict(ridge_fit(x, y, alpha), at)[0]),), keys=keys, cols=cols, more="")
+
+    return rows.groupBy(*keys).applyInArrow(group, _forecast_schema(rows, keys, ""))
+
+
 TREES = {"trees": 240, "rate": 0.03, "depth": 3, "leaf": 12, "row_share": 0.8, "col_share": 0.75, "alpha": 0.1, "lam": 12.0}
 BINS = 64
 

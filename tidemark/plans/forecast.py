@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.storage import stored_columns
-from ..functions.windows import NUDGE
+from ..functions.windows import NUDGE, ordered
 from ..operators import forecast as op
 from ..operators import joins, projections
 from . import views
@@ -276,8 +276,6 @@ def ridge_features(spark: SparkSession, sf_dir: str, bars: Callable[[SparkSessio
     b = bars(spark, sf_dir)
     df = projections.volume_zscore(projections.rolling_return_stats(projections.log_bar_features(b, **BY), **BY, spans=(21,)), **BY, spans=(21,))
     df = op.direct_target(df, **BY, horizons=op.HORIZONS)
-    from ..functions.windows import ordered
-
     return df.withColumn("row", (F.row_number().over(ordered(["series"], "date")) - 1).cast("long")).select("series", "row", *RIDGE_COLS, *(f"target_{h}" for h in op.HORIZONS))
 
 
@@ -290,10 +288,16 @@ def ridge_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ridge_forecasts_many")
 def ridge_forecasts_many(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same for every supplier's series, from its last cutoff."""
-    bars = stored_columns(views.bars_many(spark, sf_dir))  # features and origins read the same bars
-    bounds = op.training_bounds(op.rolling_origins(bars, **BY, windows=1))
-    return op.ridge_forecasts(ridge_features(spark, sf_dir, lambda *_: bars), bounds, keys=["series"], cols=RIDGE_COLS)
+    """The same for every supplier's series, from its last cutoff. Only lines are shuffled, once and by series; the few forecasts are stored."""
+    return stored_columns(_ridge_many(views.bars_many(spark, sf_dir, dealt=True)))
+
+
+def _ridge_many(bars: DataFrame) -> DataFrame:
+    """``ridge_features`` and fits of bars that are dealt by series: windows of 21 rows are made within a series' group."""
+    df = op.direct_target(projections.log_bar_features(bars, **BY), **BY, horizons=op.HORIZONS)
+    df = df.withColumns({"row": (F.row_number().over(ordered(["series"], "date")) - 1).cast("long"), "_x": F.col("close").cast("double"), "_v": projections.log_volume()})
+    rows = op.with_folds(df, **BY, horizons=op.HORIZONS, windows=1, before=20)
+    return op.ridge_forecasts_within(rows, **BY, cols=RIDGE_COLS, steps=projections.return_steps(21))
 
 
 @query("production_forecast")
