@@ -70,3 +70,10 @@ def test_many_ridges_are_those_of_stored_bars(spark):
     for x in want:
         y = got[x.series, x.step]
         assert (x.cutoff_date, x.train_rows, x.current_price, x.actual_price) == (y.cutoff_date, y.train_rows, y.current_price, y.actual_price) and y.predicted == pytest.approx(x.predicted, rel=1e-9)
+
+
+def test_rows_without_a_key_are_a_series(spark):
+    """As a group in SQL; a join with a table of folds would lose them."""
+    bars = _bars(spark).where("series = 2")
+    one, none = ({(x.cutoff_date, x.step): x.predicted for x in plans._ridge_many(b).collect()} for b in (bars, bars.withColumn("series", F.lit(None).cast("long"))))
+    assert len(one) == len(forecast.HORIZONS) and none == one
